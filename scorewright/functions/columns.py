@@ -1,0 +1,132 @@
+"""Column functions (SURVEY G/H): all built-in Spark expressions, no Python UDFs.
+
+Every helper takes and returns ``Column`` objects, so it stays inside
+whole-stage codegen wherever it is used.
+"""
+
+from __future__ import annotations
+
+from typing import Union
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
+
+ColumnOrName = Union[Column, str]
+
+__all__ = [
+    "col",
+    "right",
+    "replace",
+    "if_null",
+    "concat_null",
+    "month_label",
+    "trunc_int",
+    "format_thousands",
+    "format_percent",
+    "to_decimal",
+    "round_half_away",
+    "safe_divide",
+    "percent_of",
+    "to_text",
+    "flag_text",
+    "int_div",
+]
+
+# The decimal shapes of every KPI value and of the display step.
+KPI_DECIMAL = DecimalType(20, 10)
+WIDEN_DECIMAL = DecimalType(20, 13)
+QUOTIENT_INPUT = DecimalType(20, 0)
+PERCENT_PLACES = 1
+MISSING_TEXT = "-"
+
+
+def col(c: ColumnOrName) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def _lit(v) -> Column:
+    return v if isinstance(v, Column) else F.lit(v)
+
+
+def right(c: ColumnOrName, n: int) -> Column:
+    """Last ``n`` characters; shorter strings come back unchanged."""
+    return F.right(col(c), F.lit(n))
+
+
+def replace(c: ColumnOrName, old: str, new: str = "") -> Column:
+    """Replace every occurrence of ``old``."""
+    return F.replace(col(c), F.lit(old), F.lit(new))
+
+
+def if_null(c: ColumnOrName, default) -> Column:
+    """Two-argument NULL default."""
+    return F.coalesce(col(c), _lit(default))
+
+
+def concat_null(*parts) -> Column:
+    """String concatenation that yields NULL when any part is NULL (not concat_ws)."""
+    return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+
+
+def month_label(d: ColumnOrName) -> Column:
+    """'June 2001' from a date."""
+    return F.date_format(col(d), "MMMM yyyy")
+
+
+def trunc_int(c: ColumnOrName) -> Column:
+    """Decimal/double to int, truncating toward zero."""
+    return col(c).cast("int")
+
+
+def format_thousands(c: ColumnOrName, missing: str | None = MISSING_TEXT) -> Column:
+    """Truncate to an integer and print it with thousands separators ('1,234', '-1,234')."""
+    text = F.format_number(trunc_int(c), 0)
+    return text if missing is None else F.coalesce(text, F.lit(missing))
+
+
+def format_percent(c: ColumnOrName, places: int = PERCENT_PLACES, missing: str | None = MISSING_TEXT) -> Column:
+    """Round half away from zero to ``places`` decimals and append '%'."""
+    text = F.concat(col(c).cast(DecimalType(10, places)).cast("string"), F.lit("%"))
+    return text if missing is None else F.coalesce(text, F.lit(missing))
+
+
+def to_decimal(c: ColumnOrName, precision: int = 20, scale: int = 10) -> Column:
+    return col(c).cast(DecimalType(precision, scale))
+
+
+def round_half_away(c: ColumnOrName, places: int = 0) -> Column:
+    """ROUND on a decimal rounds half away from zero (HALF_UP), unlike ``bround``."""
+    return F.round(col(c), places)
+
+
+def safe_divide(a: ColumnOrName, b: ColumnOrName) -> Column:
+    """Decimal quotient a / b; NULL when either side is NULL or b is zero.
+
+    Integer inputs are widened to decimal(20,0), giving a decimal(38,18)
+    quotient, so no binary floating point enters the KPI values.
+    """
+    return F.try_divide(_as_decimal(col(a)), _as_decimal(col(b)))
+
+
+def _as_decimal(c: Column) -> Column:
+    return c.cast(QUOTIENT_INPUT)
+
+
+def percent_of(a: ColumnOrName, b: ColumnOrName, places: int = 3) -> Column:
+    """round(a / b, places) * 100 as decimal(20,10): the ratio KPI shape."""
+    return to_decimal(round_half_away(safe_divide(a, b), places) * F.lit(100))
+
+
+def to_text(c: ColumnOrName) -> Column:
+    return col(c).cast("string")
+
+
+def flag_text(c: ColumnOrName, yes: str = "Y", no: str = "N", on_value: str = "1") -> Column:
+    """'Y' when the flag equals ``on_value`` (compared as text), otherwise 'N' (NULL included)."""
+    return F.when(col(c).cast("string") == F.lit(on_value), F.lit(yes)).otherwise(F.lit(no))
+
+
+def int_div(a: ColumnOrName, b: ColumnOrName) -> Column:
+    """Integer quotient truncated toward zero (Spark ``div``); NULL for a NULL side or a zero divisor."""
+    return F.when(col(b) != 0, F.call_function("div", col(a).cast("long"), col(b).cast("long")))

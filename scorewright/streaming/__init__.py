@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The workload is a periodic batch refresh over the latest snapshot of each
+source: no watermarks, windows over event time, or state.  A caller who
+wants the refresh driven by arriving files can run ``plans.report.refresh``
+from ``foreachBatch``; nothing here is needed for that.
+"""
