@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType,
+    BooleanType, ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType,
     TimestampNTZType, TimestampType,
 )
 
@@ -14,7 +14,7 @@ _TEMPORAL = (DateType, TimestampType, TimestampNTZType)
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Numbers -> double, dates/timestamps -> text; everything else unchanged.
+    """Numbers -> double, dates/timestamps/booleans -> text; everything else unchanged.
 
     One projection on top of the plan; it does not change what is computed.
     """
@@ -22,6 +22,8 @@ def present(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         if isinstance(f.dataType, _NUMERIC) and not isinstance(f.dataType, DoubleType):
             cols.append(F.col(f.name).cast("double").alias(f.name))
+        elif isinstance(f.dataType, BooleanType):
+            cols.append(F.col(f.name).cast("string").alias(f.name))
         elif isinstance(f.dataType, DateType):
             cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd").alias(f.name))
         elif isinstance(f.dataType, _TEMPORAL):
