@@ -73,3 +73,10 @@ def level_label(levels: Sequence[str], ids: Sequence[str] | None = None) -> Colu
         cond = F.col(name).isNull()
         expr = F.when(cond, F.lit(level_id)) if expr is None else expr.when(cond, F.lit(level_id))
     return expr.otherwise(F.lit(ids[len(levels)]))
+
+
+def level_label_sql(levels: Sequence[str], ids: Sequence[str] | None = None) -> str:
+    """``level_label`` as SQL text."""
+    ids = list(ids or [str(i + 1) for i in range(len(levels) + 1)])
+    whens = " ".join(f"WHEN {name} IS NULL THEN '{lid}'" for name, lid in zip(levels, ids))
+    return f"CASE {whens} ELSE '{ids[len(levels)]}' END"

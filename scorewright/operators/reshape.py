@@ -17,18 +17,20 @@ def union_distinct(frames: Sequence[DataFrame]) -> DataFrame:
 def to_long(
     df: DataFrame,
     ids: Sequence[str],
-    values: Mapping[int, Column],
+    values: Mapping[int, Column | str],
     key_name: str = "metric_id",
     value_name: str = "value",
     keep_nulls: bool = True,
 ) -> DataFrame:
     """Unpivot ``values`` (id -> Column) into (ids..., key, value) rows.
 
-    One Expand per input row.  ``keep_nulls=True`` always yields len(values)
+    Values are Columns or SQL expression text.  One Expand per input row.  ``keep_nulls=True`` always yields len(values)
     rows per input row; ``keep_nulls=False`` drops NULL values (SQL UNPIVOT).
     """
-    staged = df.select(*ids, *[c.alias(f"_v{k}") for k, c in values.items()])
+    if all(isinstance(c, str) for c in values.values()):
+        staged = df.selectExpr(*ids, *[f"{c} AS _v{k}" for k, c in values.items()])
+    else:
+        staged = df.select(*ids, *[(F.expr(c) if isinstance(c, str) else c).alias(f"_v{k}") for k, c in values.items()])
     long = staged.unpivot(list(ids), [f"_v{k}" for k in values], "_name", value_name)
-    key = F.substring(F.col("_name"), 3, 12).cast("int").alias(key_name)
-    long = long.select(*ids, key, F.col(value_name))
-    return long if keep_nulls else long.where(F.col(value_name).isNotNull())
+    long = long.selectExpr(*ids, f"CAST(substring(_name, 3) AS INT) AS {key_name}", value_name)
+    return long if keep_nulls else long.where(f"{value_name} IS NOT NULL")

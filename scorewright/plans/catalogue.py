@@ -8,14 +8,10 @@ reproduces the nine KPIs of the scorecard; callers may pass their own.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from scorewright.functions.columns import KPI_DECIMAL, percent_of, to_decimal
-from scorewright.operators.aggregate import add_all, avg_decimal, avg_expr, ratio_of_sums, share
+from scorewright.functions import sql as S
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the source's for identical output)
@@ -60,8 +56,8 @@ HIERARCHY = ("region", "zone", "district")
 class Kpi:
     metric_id: int
     name: str
-    entity: Callable[[], Column]
-    bench: Callable[[], Column]
+    entity: str       # SQL expression over one wide row
+    bench: str        # SQL aggregate expression over a group of wide rows
     entity_display: str
     bench_display: str
     colour: str = NONE
@@ -92,11 +88,13 @@ class Catalogue:
     def ids_where(self, pred: Callable[[Kpi], bool]) -> list[int]:
         return [k.metric_id for k in self.kpis if pred(k)]
 
-    def entity_values(self) -> dict[int, Column]:
-        return {k.metric_id: k.entity().cast(KPI_DECIMAL) for k in self.kpis}
+    def entity_values(self) -> dict[int, str]:
+        """KPI id -> SQL expression, every value decimal(20,10)."""
+        return {k.metric_id: S.to_decimal(k.entity) for k in self.kpis}
 
-    def bench_values(self) -> dict[int, Column]:
-        return {k.metric_id: k.bench().cast(KPI_DECIMAL) for k in self.kpis}
+    def bench_values(self) -> dict[int, str]:
+        """KPI id -> SQL aggregate expression, every value decimal(20,10)."""
+        return {k.metric_id: S.to_decimal(k.bench) for k in self.kpis}
 
 
 def standard_catalogue() -> Catalogue:
@@ -104,40 +102,22 @@ def standard_catalogue() -> Catalogue:
     opp2 = ["favour_brand", "favour_undecided"]
     opp4 = ["count_new", "count_mine", "count_old", "count_any"]
     return Catalogue((
-        Kpi(8, "participation",
-            lambda: to_decimal(F.col("participation")),
-            lambda: share("participation", FLAG_ON, "entity_id"),
-            FLAG, PERCENT, OWN),
-        Kpi(9, "opportunity_sales",
-            lambda: to_decimal(add_all(opp2)),
-            lambda: avg_expr(opp2, integer=True),
-            COUNT, COUNT, NONE),
-        Kpi(14, "opportunity_service",
-            lambda: to_decimal(add_all(opp4)),
-            lambda: avg_expr(opp4, integer=True),
-            COUNT, COUNT, NONE),
-        Kpi(15, "inspection_rate",
-            lambda: percent_of("inspections_done", "repair_orders"),
-            lambda: ratio_of_sums("inspections_done", "repair_orders"),
-            PERCENT, PERCENT, NONE),
-        Kpi(25, "visit_close_rate",
-            lambda: percent_of("visit_sales", "visit_households"),
-            lambda: ratio_of_sums("visit_sales", "visit_households"),
-            PERCENT, PERCENT, VS_BENCH),
-        Kpi(26, "loyalty_rate",
-            lambda: percent_of("loyal_returns", "market_returns"),
-            lambda: ratio_of_sums("loyal_returns", "market_returns"),
-            PERCENT, PERCENT, VS_BENCH),
-        Kpi(27, "attributed_share",
-            lambda: percent_of("attributed_sales", "retail_sales"),
-            lambda: ratio_of_sums("attributed_sales", "retail_sales"),
-            PERCENT, PERCENT, NONE),
-        Kpi(28, "campaign_buy_rate",
-            lambda: percent_of("units_sold", "customers_contacted"),
-            lambda: ratio_of_sums("units_sold", "customers_contacted"),
-            PERCENT, PERCENT, VS_BENCH),
-        Kpi(34, "visit_sales",
-            lambda: to_decimal(F.col("visit_sales")),
-            lambda: avg_decimal("visit_sales", 0),
-            COUNT, COUNT, NONE),
+        Kpi(8, "participation", S.to_decimal("participation"),
+            S.share("participation", FLAG_ON, "entity_id"), FLAG, PERCENT, OWN),
+        Kpi(9, "opportunity_sales", S.to_decimal(S.add_all(opp2)),
+            S.avg_expr(opp2, integer=True), COUNT, COUNT, NONE),
+        Kpi(14, "opportunity_service", S.to_decimal(S.add_all(opp4)),
+            S.avg_expr(opp4, integer=True), COUNT, COUNT, NONE),
+        Kpi(15, "inspection_rate", S.percent_of("inspections_done", "repair_orders"),
+            S.ratio_of_sums("inspections_done", "repair_orders"), PERCENT, PERCENT, NONE),
+        Kpi(25, "visit_close_rate", S.percent_of("visit_sales", "visit_households"),
+            S.ratio_of_sums("visit_sales", "visit_households"), PERCENT, PERCENT, VS_BENCH),
+        Kpi(26, "loyalty_rate", S.percent_of("loyal_returns", "market_returns"),
+            S.ratio_of_sums("loyal_returns", "market_returns"), PERCENT, PERCENT, VS_BENCH),
+        Kpi(27, "attributed_share", S.percent_of("attributed_sales", "retail_sales"),
+            S.ratio_of_sums("attributed_sales", "retail_sales"), PERCENT, PERCENT, NONE),
+        Kpi(28, "campaign_buy_rate", S.percent_of("units_sold", "customers_contacted"),
+            S.ratio_of_sums("units_sold", "customers_contacted"), PERCENT, PERCENT, VS_BENCH),
+        Kpi(34, "visit_sales", S.to_decimal("visit_sales"),
+            S.avg_decimal("visit_sales", 0), COUNT, COUNT, NONE),
     ))

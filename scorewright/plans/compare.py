@@ -15,10 +15,10 @@ without first producing one row per deeper benchmark row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.functions.columns import format_percent, format_thousands, to_text
+from scorewright.functions import sql as S
 from scorewright.operators.joins import DEFAULT_BROADCAST_ROWS
 from scorewright.plans.catalogue import (
     COUNT,
@@ -31,22 +31,22 @@ from scorewright.plans.catalogue import (
     WHITE,
     Catalogue,
 )
-from scorewright.sources.snapshot import report_date_col
 
 LEVELS = ("district", "zone", "region", "nation")
 MATCH_COLUMNS = ("entity_id", "metric_id", "value", "level_id", "b_metric", "b_value")
 SCORECARD_COLUMNS = ("entity_id", "metric_id", "level_id", "value_text", "value_rgb", "bench_text", "period")
 
 
+BENCH_SIDE = ("region AS b_region", "zone AS b_zone", "district AS b_district", "level_id",
+              "metric_id AS b_metric", "value AS b_value")
+
+
 def _bench_side(bench: DataFrame) -> DataFrame:
-    return bench.select(
-        F.col("region").alias("b_region"), F.col("zone").alias("b_zone"), F.col("district").alias("b_district"),
-        F.col("level_id"), F.col("metric_id").alias("b_metric"), F.col("value").alias("b_value"),
-    )
+    return bench.selectExpr(*BENCH_SIDE)
 
 
 def bench_is_bounded(bench: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Row-count check before hinting broadcasts of the (cached) benchmark table."""
+    """Row-count check before hinting broadcasts of the (materialised) benchmark table."""
     return bench.count() <= max_rows
 
 
@@ -57,44 +57,43 @@ class BenchSide:
         hint = F.broadcast if broadcast else (lambda d: d)
         b = _bench_side(bench)
         self.district = hint(b)
-        self.nation = hint(b.where(F.col("b_region") == F.lit(total_label)))
-        zone = b.where(F.col("b_district").isNull())
-        self.zone = hint(zone.withColumn("_hit", F.lit(True)))
-        self.region = hint(zone.where(F.col("b_zone").isNull()).withColumn("_hit", F.lit(True)))
-        self.zone_any = hint(b.select(F.col("b_region").alias("_ab_region"), F.col("b_zone").alias("_ab_zone"),
-                                      F.col("b_metric").alias("_ab_metric")).distinct().withColumn("_any", F.lit(True)))
-        self.region_any = hint(b.select(F.col("b_region").alias("_ab_region"), F.col("b_metric").alias("_ab_metric"))
+        self.nation = hint(b.where(f"b_region = {S.lit(total_label)}"))
+        zone = b.where("b_district IS NULL").withColumn("_hit", F.lit(True))
+        self.zone = hint(zone)
+        self.region = hint(zone.where("b_zone IS NULL"))
+        self.zone_any = hint(b.selectExpr("b_region AS _ab_region", "b_zone AS _ab_zone", "b_metric AS _ab_metric")
+                             .distinct().withColumn("_any", F.lit(True)))
+        self.region_any = hint(b.selectExpr("b_region AS _ab_region", "b_metric AS _ab_metric")
                                .distinct().withColumn("_any", F.lit(True)))
 
 
+_KEYS = {"district": ("region", "zone", "district"), "zone": ("region", "zone"), "region": ("region",)}
+
+
+def _eq(keys, prefix: str, metric: str) -> str:
+    return " AND ".join([f"metric_id = {metric}"] + [f"{k} = {prefix}{k}" for k in keys])
+
+
 def level_matches(em: DataFrame, bench, level: str, total_label: str, broadcast: bool = True) -> DataFrame:
     """Entity KPI rows with the benchmark columns of one level (b_* NULL when unmatched).
 
-    ``bench`` is the benchmark DataFrame or a prepared ``BenchSide``.
+    ``bench`` is the benchmark DataFrame or a prepared ``BenchSide``.  Join
+    conditions are equalities, so a NULL key never matches.
     """
     side = bench if isinstance(bench, BenchSide) else BenchSide(bench, total_label, broadcast)
     if level == "district":
-        b = side.district
-        cond = ((em["region"] == b["b_region"]) & (em["zone"] == b["b_zone"])
-                & (em["district"] == b["b_district"]) & (em["metric_id"] == b["b_metric"]))
-        return em.join(b, cond, "left")
+        return em.join(side.district, F.expr(_eq(_KEYS["district"], "b_", "b_metric")), "left")
     if level == "nation":
-        b = side.nation
-        return em.join(b, em["metric_id"] == b["b_metric"], "inner")
-    if level == "zone":
-        b, a, keys = side.zone, side.zone_any, (("region", "b_region"), ("zone", "b_zone"))
-    elif level == "region":
-        b, a, keys = side.region, side.region_any, (("region", "b_region"),)
-    else:
+        return em.join(side.nation, F.expr("metric_id = b_metric"), "inner")
+    if level not in ("zone", "region"):
         raise ValueError(f"unknown level {level!r}")
-    cond = em["metric_id"] == b["b_metric"]
-    any_cond = em["metric_id"] == a["_ab_metric"]
-    for ek, bk in keys:
-        cond = cond & (em[ek] == b[bk])
-        any_cond = any_cond & (em[ek] == a["_a" + bk])
-    out = em.join(b, cond, "left").join(a, any_cond, "left")
-    out = out.where(F.col("_hit").isNotNull() | F.col("_any").isNull())
-    return out.drop("_hit", "_any", "_ab_metric", *["_a" + bk for _, bk in keys])
+    keys = _KEYS[level]
+    at_level = side.zone if level == "zone" else side.region
+    prefix = side.zone_any if level == "zone" else side.region_any
+    out = em.join(at_level, F.expr(_eq(keys, "b_", "b_metric")), "left") \
+        .join(prefix, F.expr(_eq(keys, "_ab_", "_ab_metric")), "left") \
+        .where("_hit IS NOT NULL OR _any IS NULL")
+    return out.drop("_hit", "_any", "_ab_metric", *[f"_ab_{k}" for k in keys])
 
 
 def level_matches_literal(em: DataFrame, bench: DataFrame, level: str, total_label: str) -> DataFrame:
@@ -102,60 +101,53 @@ def level_matches_literal(em: DataFrame, bench: DataFrame, level: str, total_lab
     b = _bench_side(bench)
     if level in ("district", "nation"):
         return level_matches(em, bench, level, total_label, broadcast=False)
-    if level == "zone":
-        cond = (em["region"] == b["b_region"]) & (em["zone"] == b["b_zone"]) & (em["metric_id"] == b["b_metric"])
-        return em.join(b, cond, "left").where(F.col("b_district").isNull())
-    cond = (em["region"] == b["b_region"]) & (em["metric_id"] == b["b_metric"])
-    return em.join(b, cond, "left").where(F.col("b_district").isNull() & F.col("b_zone").isNull())
+    out = em.join(b, F.expr(_eq(_KEYS[level], "b_", "b_metric")), "left").where("b_district IS NULL")
+    return out if level == "zone" else out.where("b_zone IS NULL")
 
 
-def value_text(catalogue: Catalogue, metric: Column, value: Column) -> Column:
-    """Entity value as text.  The second branch parses as (flag AND value <> 1) OR value IS NULL,
+def value_text(catalogue: Catalogue, metric: str = "metric_id", value: str = "value") -> str:
+    """Entity value as text (SQL).  The second branch parses as (flag AND value <> 1) OR value IS NULL,
     so every KPI with a NULL value shows 'N'."""
     flags = catalogue.ids_where(lambda k: k.entity_display == FLAG)
     counts = catalogue.ids_where(lambda k: k.entity_display == COUNT)
     pcts = catalogue.ids_where(lambda k: k.entity_display == PERCENT)
-    return (
-        F.when(metric.isin(flags) & (value == 1), F.lit("Y"))
-        .when((metric.isin(flags) & (value != 1)) | value.isNull(), F.lit("N"))
-        .when(metric.isin(counts), format_thousands(value))
-        .when(metric.isin(pcts), format_percent(value))
-        .otherwise(to_text(value))
-    )
+    return S.case([
+        (f"{S.isin(metric, flags)} AND {value} = 1", "'Y'"),
+        (f"{S.isin(metric, flags)} AND {value} <> 1 OR {value} IS NULL", "'N'"),
+        (S.isin(metric, counts), S.format_thousands(value)),
+        (S.isin(metric, pcts), S.format_percent(value)),
+    ], S.to_text(value))
 
 
-def bench_text(catalogue: Catalogue, bench_metric: Column, bench_value: Column) -> Column:
-    """Benchmark value as text; NULL when there is no matched benchmark row."""
+def bench_text(catalogue: Catalogue, bench_metric: str = "b_metric", bench_value: str = "b_value") -> str:
+    """Benchmark value as text (SQL); NULL when there is no matched benchmark row."""
     counts = catalogue.ids_where(lambda k: k.bench_display == COUNT)
     pcts = catalogue.ids_where(lambda k: k.bench_display == PERCENT)
-    return (
-        F.when(bench_metric.isin(counts), format_thousands(bench_value))
-        .when(bench_metric.isin(pcts), format_percent(bench_value))
-        .otherwise(to_text(bench_value))
-    )
+    return S.case([
+        (S.isin(bench_metric, counts), S.format_thousands(bench_value)),
+        (S.isin(bench_metric, pcts), S.format_percent(bench_value)),
+    ], S.to_text(bench_value))
 
 
-def rag_colour(catalogue: Catalogue, metric: Column, value: Column, bench_value: Column) -> Column:
-    """Green / red / white: own-value KPIs by their value, vs-benchmark KPIs against it (>= is green)."""
+def rag_colour(catalogue: Catalogue, metric: str = "metric_id", value: str = "value", bench_value: str = "b_value") -> str:
+    """Green / red / white (SQL): own-value KPIs by their value, vs-benchmark KPIs against it (>= is green)."""
     own = catalogue.ids_where(lambda k: k.colour == OWN)
     vs = catalogue.ids_where(lambda k: k.colour == VS_BENCH)
-    return (
-        F.when(metric.isin(own) & (value > 0), F.lit(GREEN))
-        .when(metric.isin(own) & (value == 0), F.lit(RED))
-        .when(metric.isin(vs) & (value < bench_value), F.lit(RED))
-        .when(metric.isin(vs) & (value >= bench_value), F.lit(GREEN))
-        .otherwise(F.lit(WHITE))
-    )
+    return S.case([
+        (f"{S.isin(metric, own)} AND {value} > 0", S.lit(GREEN)),
+        (f"{S.isin(metric, own)} AND {value} = 0", S.lit(RED)),
+        (f"{S.isin(metric, vs)} AND {value} < {bench_value}", S.lit(RED)),
+        (f"{S.isin(metric, vs)} AND {value} >= {bench_value}", S.lit(GREEN)),
+    ], S.lit(WHITE))
 
 
 def format_scorecard(matched: DataFrame, catalogue: Catalogue, report_date) -> DataFrame:
-    m, v, bv = F.col("metric_id"), F.col("value"), F.col("b_value")
-    return matched.select(
-        F.col("entity_id"), m.alias("metric_id"), F.col("level_id"),
-        value_text(catalogue, m, v).alias("value_text"),
-        rag_colour(catalogue, m, v, bv).alias("value_rgb"),
-        bench_text(catalogue, F.col("b_metric"), bv).alias("bench_text"),
-        report_date_col(report_date).alias("period"),
+    return matched.selectExpr(
+        "entity_id", "metric_id", "level_id",
+        f"{value_text(catalogue)} AS value_text",
+        f"{rag_colour(catalogue)} AS value_rgb",
+        f"{bench_text(catalogue)} AS bench_text",
+        f"to_date({S.lit(str(report_date))}) AS period",
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.functions.columns import concat_null, right
+from scorewright.functions import sql as S
 from scorewright.operators.joins import left_join, lookup, sized_broadcast
 from scorewright.operators.windows import top1
 from scorewright.sources.snapshot import as_of, latest_snapshot
@@ -35,16 +35,10 @@ def participation(usage: DataFrame) -> DataFrame:
     Grouped by entity, retail_sales and period: an entity with several retail
     values in the period yields several rows (kept, as in the source).
     """
-    latest = latest_snapshot(usage, "period").where(F.col("entity_id").isNotNull())
+    latest = latest_snapshot(usage, "period").where("entity_id IS NOT NULL")
     agg = latest.groupBy("entity_id", "retail_sales", "period").agg(
-        F.sum("attributed_sales").alias("attributed_sales"),
-        F.max("retail_sales").alias("_retail_max"),
-    )
-    agg = agg.select(
-        "period", "entity_id", "attributed_sales",
-        F.lit(1).alias("participation"),
-        F.col("_retail_max").alias("retail_sales"),
-    )
+        F.expr("sum(attributed_sales) AS attributed_sales"), F.expr("max(retail_sales) AS _retail_max"),
+    ).selectExpr("period", "entity_id", "attributed_sales", "1 AS participation", "_retail_max AS retail_sales")
     return lookup(agg, top_vendor(usage), "entity_id", "vendor")
 
 
@@ -62,9 +56,9 @@ def campaigns(src: DataFrame, report_date) -> DataFrame:
     of the latest period that ended on or before the report date, summed per entity."""
     latest = as_of(latest_snapshot(src, "period"), "end_date", report_date)
     return latest.groupBy("period", "entity_id").agg(
-        F.lit(CAMPAIGN_FLAG).alias("campaign_flag"),
-        F.sum("units_sold").alias("units_sold"),
-        F.sum("customers_contacted").alias("customers_contacted"),
+        F.expr(f"{S.lit(CAMPAIGN_FLAG)} AS campaign_flag"),
+        F.expr("sum(units_sold) AS units_sold"),
+        F.expr("sum(customers_contacted) AS customers_contacted"),
     )
 
 
@@ -79,25 +73,25 @@ def service(entities: DataFrame, orders: DataFrame, inspections: DataFrame) -> D
     out = left_join(d, orders.select("entity_id", "period", "repair_orders"), ["entity_id", "period"])
     out = left_join(out, inspections.select("entity_id", "period", "inspections_done", "menus_presented"),
                     ["entity_id", "period"])
-    return out.select(
+    return out.selectExpr(
         "period", "entity_id",
-        F.coalesce("repair_orders", F.lit(0)).alias("repair_orders"),
-        F.coalesce("inspections_done", F.lit(0)).alias("inspections_done"),
-        F.coalesce("menus_presented", F.lit(0)).alias("menus_presented"),
+        "coalesce(repair_orders, 0) AS repair_orders",
+        "coalesce(inspections_done, 0) AS inspections_done",
+        "coalesce(menus_presented, 0) AS menus_presented",
     )
 
 
 def visit_sales(src: DataFrame, short_len: int = 6) -> DataFrame:
     """src(entity_code, period, visit_households, visit_sales): long codes cut to the short code."""
-    return latest_snapshot(src, "period").select(
-        "period", right("entity_code", short_len).alias("entity_id"), "visit_households", "visit_sales",
+    return latest_snapshot(src, "period").selectExpr(
+        "period", f"{S.right('entity_code', short_len)} AS entity_id", "visit_households", "visit_sales",
     )
 
 
 def advocates(src: DataFrame) -> DataFrame:
     """src(entity_id, period, advocate_name): the greatest name per entity."""
     return latest_snapshot(src, "period").groupBy("entity_id").agg(
-        F.max("advocate_name").alias("advocate"), F.max("period").alias("period"),
+        F.expr("max(advocate_name) AS advocate"), F.expr("max(period) AS period"),
     )
 
 
@@ -109,27 +103,25 @@ def digital_managers(dim: DataFrame, employees: DataFrame, title_prefix: str, ma
     it is broadcast after a size check; a shuffle on district would put a
     whole district into one task.  Several managers per district multiply rows.
     """
-    emp = employees.where(F.col("job").like(title_prefix.replace("%", "\\%") + "%")).select(
-        concat_null(F.col("name_first"), " ", F.col("name_last")).alias("digital_manager"),
-        "job", F.col("district").alias("_emp_district"),
+    emp = employees.where(F.col("job").startswith(title_prefix)).selectExpr(
+        f"{S.concat_null('name_first', S.lit(' '), 'name_last')} AS digital_manager",
+        "job", "district AS _emp_district",
     )
     emp = sized_broadcast(emp, max_rows=max_employees)
-    joined = dim.join(emp, dim["district"] == emp["_emp_district"], "inner")
-    return joined.select("entity_id", "digital_manager", "job", F.col("_emp_district").alias("district"))
+    joined = dim.join(emp, F.expr("district = _emp_district"), "inner")
+    return joined.selectExpr("entity_id", "digital_manager", "job", "_emp_district AS district")
 
 
 def loyalty(src: DataFrame) -> DataFrame:
     """src(entity_id, period, loyal_returns, market_returns): summed per entity in the latest period."""
-    latest = latest_snapshot(src, "period").where(F.col("entity_id").isNotNull())
+    latest = latest_snapshot(src, "period").where("entity_id IS NOT NULL")
     return latest.groupBy("entity_id", "period").agg(
-        F.sum("loyal_returns").alias("loyal_returns"),
-        F.sum("market_returns").alias("market_returns"),
+        F.expr("sum(loyal_returns) AS loyal_returns"), F.expr("sum(market_returns) AS market_returns"),
     )
 
 
 def enrollment(src: DataFrame) -> DataFrame:
     """src(entity_id, period, enrolled_ref): 'Y' when a reference is present, else 'N'."""
-    return latest_snapshot(src, "period").select(
-        "period", "entity_id",
-        F.when(F.col("enrolled_ref").isNotNull(), F.lit("Y")).otherwise(F.lit("N")).alias("enrolled"),
+    return latest_snapshot(src, "period").selectExpr(
+        "period", "entity_id", "CASE WHEN enrolled_ref IS NOT NULL THEN 'Y' ELSE 'N' END AS enrolled",
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorewright.operators.aggregate import level_label, rollup_levels
+from scorewright.functions import sql as S
+from scorewright.operators.aggregate import level_label_sql, rollup_levels
 from scorewright.operators.reshape import to_long
 from scorewright.plans.catalogue import HIERARCHY, Catalogue
 
@@ -26,14 +27,13 @@ def benchmark_metrics(wide: DataFrame, catalogue: Catalogue, total_label: str) -
     Rounding happens per level inside the aggregate expressions.
     """
     values = catalogue.bench_values()
-    agg = rollup_levels(wide, HIERARCHY, [v.alias(f"_b{k}") for k, v in values.items()])
-    labelled = agg.select(
-        F.coalesce(F.col("region"), F.lit(total_label)).alias("region"),
-        "zone", "district",
-        level_label(HIERARCHY).alias("level_id"),
-        *[F.col(f"_b{k}") for k in values],
+    agg = rollup_levels(wide, HIERARCHY, [F.expr(f"{v} AS _b{k}") for k, v in values.items()])
+    labelled = agg.selectExpr(
+        f"coalesce(region, {S.lit(total_label)}) AS region", "zone", "district",
+        f"{level_label_sql(HIERARCHY)} AS level_id",
+        *[f"_b{k}" for k in values],
     )
     return to_long(
         labelled, ["region", "zone", "district", "level_id"],
-        {k: F.col(f"_b{k}") for k in values}, keep_nulls=False,
+        {k: f"_b{k}" for k in values}, keep_nulls=False,
     ).select(*BENCH_COLUMNS)

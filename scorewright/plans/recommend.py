@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorewright.functions import sql as S
 from scorewright.operators.windows import with_sequence
 from scorewright.plans.catalogue import RECOMMENDATION_RULES, RULE_BELOW_BENCH, RULE_NOT_ONE
 from scorewright.plans.compare import LEVELS, BenchSide, bench_is_bounded, level_matches
@@ -24,30 +25,22 @@ def resource_catalogue(metric_names: DataFrame, resource_map: DataFrame, resourc
     )
 
 
-def _rule_condition(kind: str) -> Column:
+def _rule_condition(kind: str) -> str:
     if kind == RULE_BELOW_BENCH:
-        return F.col("value") < F.col("b_value")
+        return "value < b_value"
     if kind == RULE_NOT_ONE:
-        return F.col("value") != 1
+        return "value <> 1"
     raise ValueError(f"unknown rule {kind!r}")
 
 
-def rule_predicate(rules: Sequence[tuple[int, str]]) -> Column:
-    """OR over rules of (resource = id AND condition); UNKNOWN rows are not recommended."""
-    pred = None
-    for rid, kind in rules:
-        term = (F.col("resource_id") == F.lit(rid)) & _rule_condition(kind)
-        pred = term if pred is None else (pred | term)
-    return pred
+def rule_predicate(rules: Sequence[tuple[int, str]]) -> str:
+    """OR over rules of (resource = id AND condition), SQL; UNKNOWN rows are not recommended."""
+    return " OR ".join(f"(resource_id = {int(rid)} AND {_rule_condition(kind)})" for rid, kind in rules)
 
 
-def rule_resource(rules: Sequence[tuple[int, str]]) -> Column:
-    """CASE WHEN <rule 1> THEN resource_id WHEN <rule 2> THEN resource_id END."""
-    expr = None
-    for rid, kind in rules:
-        cond = (F.col("resource_id") == F.lit(rid)) & _rule_condition(kind)
-        expr = F.when(cond, F.col("resource_id")) if expr is None else expr.when(cond, F.col("resource_id"))
-    return expr
+def rule_resource(rules: Sequence[tuple[int, str]]) -> str:
+    """CASE WHEN <rule 1> THEN resource_id WHEN <rule 2> THEN resource_id END (SQL)."""
+    return S.case([(f"resource_id = {int(rid)} AND {_rule_condition(kind)}", "resource_id") for rid, kind in rules])
 
 
 def recommendations(
@@ -67,16 +60,16 @@ def recommendations(
     """
     if broadcast is None:
         broadcast = bench_is_bounded(bench)
-    res = F.broadcast(resources.select("resource_id", F.col("metric_id").alias("_res_metric")))
-    with_res = em.join(res, em["metric_id"] == res["_res_metric"], "inner").drop("_res_metric")
+    res = F.broadcast(resources.selectExpr("resource_id", "metric_id AS _res_metric"))
+    with_res = em.join(res, F.expr("metric_id = _res_metric"), "inner").drop("_res_metric")
     side = BenchSide(bench, total_label, broadcast)
     cols = ("entity_id", "resource_id", "value", "level_id", "b_value")
     parts = [level_matches(with_res, side, lv, total_label).select(*cols) for lv in levels]
     matched = parts[0]
     for p in parts[1:]:
         matched = matched.union(p)
-    fired = matched.where(rule_predicate(rules)).select(
-        rule_resource(rules).alias("resource_id"), F.col("level_id"), F.col("entity_id"),
+    fired = matched.where(rule_predicate(rules)).selectExpr(
+        f"{rule_resource(rules)} AS resource_id", "level_id", "entity_id",
     )
     return with_sequence(fired, ["entity_id", "level_id"], [F.col("resource_id").asc()], name="order_id") \
         .select(*RECOMMENDATION_COLUMNS)

@@ -61,6 +61,7 @@ class ReportConfig:
     catalogue: Catalogue = field(default_factory=standard_catalogue)
     wide_mode: str = "table"        # written to the shared checkpoint folder: cuts the lineage
     facts_mode: str = "cache"
+    metrics_mode: str = "table"     # entity KPIs and benchmarks: read by eight comparison branches
 
 
 @dataclass
@@ -98,8 +99,8 @@ def build(spark: SparkSession, src: ReportSources, cfg: ReportConfig) -> Report:
     facts = build_facts(src, dim0, cfg)
     dim = infer_activity(dim0, facts.service)
     wide = materialise(wide_table(dim, facts), cfg.wide_mode, "wide")
-    em = materialise(entity_metrics(wide, cfg.catalogue), "cache")
-    bench = materialise(benchmark_metrics(wide, cfg.catalogue, cfg.total_label), "cache")
+    em = materialise(entity_metrics(wide, cfg.catalogue), cfg.metrics_mode, "entity-metrics")
+    bench = materialise(benchmark_metrics(wide, cfg.catalogue, cfg.total_label), cfg.metrics_mode, "benchmarks")
     bounded = bench_is_bounded(bench)
     card = scorecard(em, bench, cfg.catalogue, cfg.report_date, cfg.total_label, broadcast=bounded)
     res = resource_catalogue(src.metric_names, src.resource_map, src.resource_links)

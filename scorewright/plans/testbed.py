@@ -47,19 +47,31 @@ _staged: dict[tuple[str, str], str] = {}
 
 def code6(c) -> Column:
     """Short code of a numeric customer key: last 6 digits of the zero-padded key."""
-    return right(F.concat(F.lit("00000"), F.col(c).cast("string") if isinstance(c, str) else c.cast("string")), 6)
+    return F.expr(code6_sql(c)) if isinstance(c, str) else right(F.concat(F.lit("00000"), c.cast("string")), 6)
 
 
-def long_code(c: str) -> Column:
-    return F.concat(F.lit("Customer#"), F.lpad(F.col(c).cast("string"), 9, "0"))
+def code6_sql(c: str) -> str:
+    return f"right(concat('00000', CAST({c} AS STRING)), 6)"
+
+
+def long_code_sql(c: str) -> str:
+    return f"concat('Customer#', lpad(CAST({c} AS STRING), 9, '0'))"
+
+
+def year_sql(c: str) -> str:
+    return f"trunc(to_date({c}), 'year')"
+
+
+def month_sql(c: str) -> str:
+    return f"trunc(to_date({c}), 'month')"
 
 
 def year_of(c: str) -> Column:
-    return F.trunc(F.to_date(F.col(c)), "year")
+    return F.expr(year_sql(c))
 
 
 def month_of(c: str) -> Column:
-    return F.trunc(F.to_date(F.col(c)), "month")
+    return F.expr(month_sql(c))
 
 
 def geography(spark: SparkSession, root: str) -> DataFrame:
@@ -70,69 +82,62 @@ def geography(spark: SparkSession, root: str) -> DataFrame:
     """
     n = scan(spark, "nation", ["n_nationkey", "n_name", "n_regionkey"], root)
     r = scan(spark, "region", ["r_regionkey", "r_name"], root)
-    geo = n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]).select("n_nationkey", "n_name", "r_name")
+    geo = n.join(F.broadcast(r), F.expr("n_regionkey = r_regionkey")).select("n_nationkey", "n_name", "r_name")
     c = scan(spark, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal"], root)
-    return c.join(F.broadcast(geo), c["c_nationkey"] == geo["n_nationkey"]).drop("n_nationkey")
+    return c.join(F.broadcast(geo), F.expr("c_nationkey = n_nationkey")).drop("n_nationkey")
 
 
 def entities(spark: SparkSession, root: str, null_keys: bool = False) -> DataFrame:
     """E: entity_id, region, zone, district (E0 when ``null_keys``: some NULL districts/regions)."""
     g = geography(spark, root)
-    region, district = F.col("r_name"), F.col("c_mktsegment")
+    region, district = "r_name", "c_mktsegment"
     if null_keys:
-        region = F.when(region != E0_NULL_REGION, region)
-        district = F.when(district != E0_NULL_DISTRICT, district)
-    return g.select(
-        F.col("c_custkey").alias("custkey"),
-        right("c_name", 6).alias("entity_id"),
-        region.alias("region"), F.col("n_name").alias("zone"), district.alias("district"),
-    )
+        region = f"CASE WHEN r_name <> '{E0_NULL_REGION}' THEN r_name END"
+        district = f"CASE WHEN c_mktsegment <> '{E0_NULL_DISTRICT}' THEN c_mktsegment END"
+    return g.selectExpr("c_custkey AS custkey", "right(c_name, 6) AS entity_id", f"{region} AS region",
+                        "n_name AS zone", f"{district} AS district")
 
 
 def history(spark: SparkSession, root: str) -> DataFrame:
     o = scan(spark, "orders", ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"], root)
     g = geography(spark, root)
-    h = o.join(g, o["o_custkey"] == g["c_custkey"])
-    return h.select(
-        F.col("c_name").alias("entity_code"),
-        F.when(F.col("o_orderpriority") != "5-LOW", F.concat(F.lit("Store "), right("c_name", 6))).alias("dba_name"),
-        F.col("c_name").alias("legal_name"),
-        F.concat(F.col("r_name"), F.lit(" REGION")).alias("region_name"),
-        F.col("n_name").alias("zone"),
-        F.col("c_mktsegment").alias("district"),
-        F.concat(F.lit("Manager "), F.col("n_name"), F.lit(" "), F.col("c_mktsegment")).alias("manager"),
-        F.col("n_name").alias("svc_zone"),
-        F.col("c_mktsegment").alias("svc_district"),
-        F.concat(F.lit("Service "), F.col("n_name")).alias("svc_manager"),
-        F.to_date("o_orderdate").alias("period"),
-        F.when(F.col("o_orderstatus") == "P", F.lit("Y")).otherwise(F.lit("N")).alias("open_flag"),
+    return o.join(g, F.expr("o_custkey = c_custkey")).selectExpr(
+        "c_name AS entity_code",
+        "CASE WHEN o_orderpriority <> '5-LOW' THEN concat('Store ', right(c_name, 6)) END AS dba_name",
+        "c_name AS legal_name",
+        "concat(r_name, ' REGION') AS region_name",
+        "n_name AS zone",
+        "c_mktsegment AS district",
+        "concat('Manager ', n_name, ' ', c_mktsegment) AS manager",
+        "n_name AS svc_zone",
+        "c_mktsegment AS svc_district",
+        "concat('Service ', n_name) AS svc_manager",
+        "to_date(o_orderdate) AS period",
+        "CASE WHEN o_orderstatus = 'P' THEN 'Y' ELSE 'N' END AS open_flag",
     )
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
     c = scan(spark, "customer", ["c_name", "c_mktsegment", "c_acctbal"], root)
-    return c.where(F.col("c_acctbal") >= 0).select(F.col("c_name").alias("entity_code"),
-                                                    F.col("c_mktsegment").alias("lines"))
+    return c.where("c_acctbal >= 0").selectExpr("c_name AS entity_code", "c_mktsegment AS lines")
 
 
 def regions(spark: SparkSession, root: str) -> DataFrame:
     r = scan(spark, "region", ["r_name"], root)
-    return r.select(F.concat(F.col("r_name"), F.lit(" REGION")).alias("region_name"),
-                    F.substring("r_name", 1, 3).alias("region_short"))
+    return r.selectExpr("concat(r_name, ' REGION') AS region_name", "substring(r_name, 1, 3) AS region_short")
 
 
 def line_orders_frame(spark: SparkSession, root: str) -> DataFrame:
     li = scan(spark, "lineitem", ["l_orderkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate"], root)
     o = scan(spark, "orders", ["o_orderkey", "o_custkey"], root)
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
-    return j.select(
-        code6("o_custkey").alias("entity_id"),
-        year_of("l_shipdate").alias("period"),
-        F.concat(F.lit("Vendor "), F.col("l_suppkey").cast("string")).alias("vendor"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_returnflag").alias("return_flag"),
+    return li.join(o, F.expr("l_orderkey = o_orderkey")).selectExpr(
+        f"{code6_sql('o_custkey')} AS entity_id",
+        f"{year_sql('l_shipdate')} AS period",
+        "concat('Vendor ', CAST(l_suppkey AS STRING)) AS vendor",
+        "CAST(l_quantity AS BIGINT) AS quantity",
+        "l_returnflag AS return_flag",
         # one retail figure per customer: (last digit of the key + 1) * 100
-        ((F.substring(code6("o_custkey"), 6, 1).cast("int") + 1) * 100).alias("retail_sales"),
+        f"(CAST(substring({code6_sql('o_custkey')}, 6, 1) AS INT) + 1) * 100 AS retail_sales",
     )
 
 
@@ -147,22 +152,21 @@ def line_orders(spark: SparkSession, root: str) -> DataFrame:
 
 
 def usage(spark, root):
-    return line_orders(spark, root).select("entity_id", "period", "vendor",
-                                           F.col("quantity").alias("attributed_sales"), "retail_sales")
+    return line_orders(spark, root).selectExpr("entity_id", "period", "vendor", "quantity AS attributed_sales",
+                                               "retail_sales")
 
 
 def inspections(spark, root):
     return line_orders(spark, root).groupBy("entity_id", "period").agg(
-        F.count(F.when(F.col("return_flag") == "R", 1)).alias("inspections_done"),
-        F.count(F.lit(1)).alias("menus_presented"),
+        F.expr("count(CASE WHEN return_flag = 'R' THEN 1 END) AS inspections_done"),
+        F.expr("count(1) AS menus_presented"),
     )
 
 
 def loyalty_src(spark, root):
-    return line_orders(spark, root).select(
-        "entity_id", "period",
-        F.when(F.col("return_flag") == "N", F.lit(1)).otherwise(F.lit(0)).alias("loyal_returns"),
-        F.lit(1).alias("market_returns"),
+    return line_orders(spark, root).selectExpr(
+        "entity_id", "period", "CASE WHEN return_flag = 'N' THEN 1 ELSE 0 END AS loyal_returns",
+        "1 AS market_returns",
     )
 
 
@@ -171,19 +175,18 @@ def _events(spark, root):
 
 
 def opportunity_src(spark, root):
-    e = _events(spark, root)
-    cnt = lambda t: F.count(F.when(F.col("event_type") == t, 1))
-    return e.groupBy(code6("user_id").alias("entity_id"), month_of("ts").alias("period")).agg(
-        cnt("purchase").alias("favour_brand"), cnt("click").alias("favour_undecided"),
-        cnt("view").alias("count_new"), cnt("signup").alias("count_mine"),
-        cnt("error").alias("count_old"), F.count(F.lit(1)).alias("count_any"),
+    e = _events(spark, root).selectExpr(f"{code6_sql('user_id')} AS entity_id", f"{month_sql('ts')} AS period",
+                                        "event_type")
+    cnt = lambda t, name: F.expr(f"count(CASE WHEN event_type = '{t}' THEN 1 END) AS {name}")
+    return e.groupBy("entity_id", "period").agg(
+        cnt("purchase", "favour_brand"), cnt("click", "favour_undecided"), cnt("view", "count_new"),
+        cnt("signup", "count_mine"), cnt("error", "count_old"), F.expr("count(1) AS count_any"),
     )
 
 
 def advocates_src(spark, root):
-    e = _events(spark, root)
-    return e.select(code6("user_id").alias("entity_id"), month_of("ts").alias("period"),
-                    F.concat(F.lit("Advocate "), F.upper("event_type")).alias("advocate_name"))
+    return _events(spark, root).selectExpr(f"{code6_sql('user_id')} AS entity_id", f"{month_sql('ts')} AS period",
+                                           "concat('Advocate ', upper(event_type)) AS advocate_name")
 
 
 def _orders(spark, root):
@@ -191,19 +194,17 @@ def _orders(spark, root):
 
 
 def campaigns_src(spark, root):
-    o = _orders(spark, root)
-    return o.select(
-        code6("o_custkey").alias("entity_id"), year_of("o_orderdate").alias("period"),
-        F.when(F.col("o_orderstatus") == "F", F.lit(1)).otherwise(F.lit(0)).alias("units_sold"),
-        F.lit(1).alias("customers_contacted"),
-        F.to_date("o_orderdate").alias("end_date"),
+    return _orders(spark, root).selectExpr(
+        f"{code6_sql('o_custkey')} AS entity_id", f"{year_sql('o_orderdate')} AS period",
+        "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS units_sold", "1 AS customers_contacted",
+        "to_date(o_orderdate) AS end_date",
     )
 
 
 def service_orders(spark, root):
-    o = _orders(spark, root)
-    return o.groupBy(code6("o_custkey").alias("entity_id"), year_of("o_orderdate").alias("period")) \
-        .agg(F.count(F.lit(1)).alias("repair_orders"))
+    o = _orders(spark, root).selectExpr(f"{code6_sql('o_custkey')} AS entity_id",
+                                        f"{year_sql('o_orderdate')} AS period")
+    return o.groupBy("entity_id", "period").agg(F.expr("count(1) AS repair_orders"))
 
 
 def service_entities(spark, root):
@@ -211,31 +212,30 @@ def service_entities(spark, root):
 
 
 def visits_src(spark, root):
-    o = _orders(spark, root)
-    return o.groupBy(long_code("o_custkey").alias("entity_code"), year_of("o_orderdate").alias("period")).agg(
-        F.count(F.lit(1)).alias("visit_households"),
-        F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("visit_sales"),
+    o = _orders(spark, root).selectExpr(f"{long_code_sql('o_custkey')} AS entity_code",
+                                        f"{year_sql('o_orderdate')} AS period", "o_orderstatus")
+    return o.groupBy("entity_code", "period").agg(
+        F.expr("count(1) AS visit_households"),
+        F.expr("count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS visit_sales"),
     )
 
 
 def employees(spark, root):
     c = scan(spark, "customer", ["c_name", "c_mktsegment"], root)
-    g = c.groupBy("c_mktsegment").agg(F.min("c_name").alias("name_last"))
-    return g.select(
-        F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.lit("Agent")).alias("name_first"),
+    return c.groupBy("c_mktsegment").agg(F.expr("min(c_name) AS name_last")).selectExpr(
+        "CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN 'Agent' END AS name_first",
         "name_last",
-        F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("Field Analyst"))
-        .otherwise(F.lit("District Digital Manager")).alias("job"),
-        F.col("c_mktsegment").alias("district"),
+        "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Field Analyst' ELSE 'District Digital Manager' END AS job",
+        "c_mktsegment AS district",
     )
 
 
 def enrollment_src(spark, root):
     c = scan(spark, "customer", ["c_name", "c_acctbal"], root)
-    return c.select(
-        right("c_name", 6).alias("entity_id"),
-        F.lit(ENROLLMENT_PERIOD).alias("period"),
-        F.when(F.col("c_acctbal") > 5000, F.concat(F.lit("EN-"), right("c_name", 6))).alias("enrolled_ref"),
+    return c.selectExpr(
+        "right(c_name, 6) AS entity_id",
+        f"DATE '{ENROLLMENT_PERIOD.isoformat()}' AS period",
+        "CASE WHEN c_acctbal > 5000 THEN concat('EN-', right(c_name, 6)) END AS enrolled_ref",
     )
 
 

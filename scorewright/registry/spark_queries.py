@@ -108,8 +108,8 @@ def e0_report(spark, root):
         w0 = wide.withColumn("region", F.when(F.col("region") != testbed.E0_NULL_REGION, F.col("region"))) \
             .withColumn("district", F.when(F.col("district") != testbed.E0_NULL_DISTRICT, F.col("district")))
         c = cat.standard_catalogue()
-        em = sinks.materialise(mt.entity_metrics(w0, c), "cache")
-        bench = sinks.materialise(mt.benchmark_metrics(w0, c, testbed.TOTAL_LABEL), "cache")
+        em = sinks.materialise(mt.entity_metrics(w0, c), "table", "e0-entity-metrics")
+        bench = sinks.materialise(mt.benchmark_metrics(w0, c, testbed.TOTAL_LABEL), "table", "e0-benchmarks")
         _reports[key] = (em, bench)
     return _reports[key]
 

@@ -22,7 +22,7 @@ def latest_snapshot(df: DataFrame, period_col: str) -> DataFrame:
     Apply it to the table as read, before any other predicate, because the
     maximum is taken over whatever ``df`` contains.
     """
-    latest = scalar_value(df, F.max(period_col))
+    latest = df.selectExpr(f"max({period_col})").scalar()
     return df.where(F.col(period_col) == latest)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
 from collections.abc import Sequence
 
@@ -27,9 +28,31 @@ def scan(spark: SparkSession, source: str, cols: Sequence[str] | None = None, ro
     return df.select(*cols) if cols else df
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    if isinstance(v, _dt.date):
+        return f"DATE '{v.isoformat()}'"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def constants(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """A small typed relation from literal rows (mapping tables, catalogues).
 
-    Kept as a LocalRelation: it is broadcast wherever it is joined.
+    Built as an inline ``VALUES`` table, so the plan holds a LocalRelation
+    whose exact size the planner knows: it is broadcast wherever it is joined
+    (an RDD-backed frame would have unknown size and be shuffled).
     """
-    return spark.createDataFrame(list(rows), schema=schema)
+    fields = [f.strip().split(None, 1) for f in schema.split(",")]
+    names = [n for n, _ in fields]
+    rows = list(rows)
+    select = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in fields)
+    if not rows:
+        nulls = ", ".join("NULL" for _ in names)
+        return spark.sql(f"SELECT {select} FROM VALUES ({nulls}) AS t({', '.join(names)}) WHERE false")
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT {select} FROM VALUES {values} AS t({', '.join(names)})")
