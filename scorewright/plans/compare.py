@@ -24,6 +24,9 @@ from scorewright.plans.catalogue import (
     COUNT,
     FLAG,
     GREEN,
+    LEVEL_DISTRICT,
+    LEVEL_NATION,
+    LEVEL_ZONE,
     OWN,
     PERCENT,
     RED,
@@ -45,26 +48,55 @@ def _bench_side(bench: DataFrame) -> DataFrame:
     return bench.selectExpr(*BENCH_SIDE)
 
 
-def bench_is_bounded(bench: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Row-count check before hinting broadcasts of the (materialised) benchmark table."""
-    return bench.count() <= max_rows
+def bench_level_rows(bench: DataFrame) -> dict:
+    """Benchmark rows per level id: one small aggregate, at most five numbers reach the driver."""
+    return {r["level_id"]: r["n"] for r in bench.groupBy("level_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def bench_is_bounded(bench: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> dict:
+    """Size check before any broadcast hint: which join sides are within ``max_rows``.
+
+    Every side is bounded by the hierarchy (KPIs x nodes), not by the entity
+    count, but the check is made on the actual rows.  The district side holds
+    the district rows, the zone side zone rows (and real-NULL-district rows),
+    the region side region rows, the nation side the total rows.  A side over
+    the bound is joined without a hint (shuffle join; AQE may still broadcast
+    or split skewed partitions).
+    """
+    n = bench_level_rows(bench)
+    total = sum(n.values())
+    return {
+        "district": n.get(LEVEL_DISTRICT, 0) <= max_rows,
+        "zone": n.get(LEVEL_DISTRICT, 0) + n.get(LEVEL_ZONE, 0) <= max_rows,
+        "region": total - n.get(LEVEL_NATION, 0) <= max_rows,
+        "nation": total <= max_rows,
+    }
 
 
 class BenchSide:
-    """The benchmark table prepared once for all four level joins (b_* columns)."""
+    """The benchmark table prepared once for all four level joins (b_* columns).
+
+    Rows that can never satisfy a level's equality join (a NULL key) are
+    filtered out of that level's side first; that changes no result.
+    """
 
-    def __init__(self, bench: DataFrame, total_label: str, broadcast: bool = True):
-        hint = F.broadcast if broadcast else (lambda d: d)
+    def __init__(self, bench: DataFrame, total_label: str, broadcast=True):
+        sizes = broadcast if isinstance(broadcast, dict) else {lv: bool(broadcast) for lv in LEVELS}
+        hint = {lv: (F.broadcast if ok else (lambda d: d)) for lv, ok in sizes.items()}
         b = _bench_side(bench)
-        self.district = hint(b)
-        self.nation = hint(b.where(f"b_region = {S.lit(total_label)}"))
-        zone = b.where("b_district IS NULL").withColumn("_hit", F.lit(True))
-        self.zone = hint(zone)
-        self.region = hint(zone.where("b_zone IS NULL"))
-        self.zone_any = hint(b.selectExpr("b_region AS _ab_region", "b_zone AS _ab_zone", "b_metric AS _ab_metric")
-                             .distinct().withColumn("_any", F.lit(True)))
-        self.region_any = hint(b.selectExpr("b_region AS _ab_region", "b_metric AS _ab_metric")
-                               .distinct().withColumn("_any", F.lit(True)))
+        self.district = hint["district"](b.where("b_district IS NOT NULL"))
+        self.nation = hint["nation"](b.where(f"b_region = {S.lit(total_label)}"))
+        zone = b.where("b_district IS NULL AND b_zone IS NOT NULL").withColumn("_hit", F.lit(True))
+        self.zone = hint["zone"](zone)
+        self.region = hint["region"](b.where("b_district IS NULL AND b_zone IS NULL AND b_region IS NOT NULL")
+                                     .withColumn("_hit", F.lit(True)))
+        self.zone_any = hint["zone"](
+            b.where("b_zone IS NOT NULL AND b_region IS NOT NULL")
+            .selectExpr("b_region AS _ab_region", "b_zone AS _ab_zone", "b_metric AS _ab_metric")
+            .distinct().withColumn("_any", F.lit(True)))
+        self.region_any = hint["region"](
+            b.where("b_region IS NOT NULL").selectExpr("b_region AS _ab_region", "b_metric AS _ab_metric")
+            .distinct().withColumn("_any", F.lit(True)))
 
 
 _KEYS = {"district": ("region", "zone", "district"), "zone": ("region", "zone"), "region": ("region",)}
@@ -74,7 +106,7 @@ def _eq(keys, prefix: str, metric: str) -> str:
     return " AND ".join([f"metric_id = {metric}"] + [f"{k} = {prefix}{k}" for k in keys])
 
 
-def level_matches(em: DataFrame, bench, level: str, total_label: str, broadcast: bool = True) -> DataFrame:
+def level_matches(em: DataFrame, bench, level: str, total_label: str, broadcast=True) -> DataFrame:
     """Entity KPI rows with the benchmark columns of one level (b_* NULL when unmatched).
 
     ``bench`` is the benchmark DataFrame or a prepared ``BenchSide``.  Join
@@ -151,7 +183,7 @@ def format_scorecard(matched: DataFrame, catalogue: Catalogue, report_date) -> D
     )
 
 
-def all_levels(em: DataFrame, bench: DataFrame, total_label: str, levels=LEVELS, broadcast: bool = True) -> DataFrame:
+def all_levels(em: DataFrame, bench: DataFrame, total_label: str, levels=LEVELS, broadcast=True) -> DataFrame:
     """UNION ALL of the level comparisons (same columns for every level)."""
     side = BenchSide(bench, total_label, broadcast)
     parts = [level_matches(em, side, lv, total_label).select(*MATCH_COLUMNS) for lv in levels]
@@ -162,7 +194,7 @@ def all_levels(em: DataFrame, bench: DataFrame, total_label: str, levels=LEVELS,
 
 
 def scorecard(em: DataFrame, bench: DataFrame, catalogue: Catalogue, report_date, total_label: str,
-              levels=LEVELS, broadcast: bool | None = None) -> DataFrame:
+              levels=LEVELS, broadcast=None) -> DataFrame:
     """All levels' comparisons appended (UNION ALL), formatted once: one row per entity KPI and level."""
     if broadcast is None:
         broadcast = bench_is_bounded(bench)

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewright.functions import sql as S
-from scorewright.operators.windows import with_sequence
 from scorewright.plans.catalogue import RECOMMENDATION_RULES, RULE_BELOW_BENCH, RULE_NOT_ONE
 from scorewright.plans.compare import LEVELS, BenchSide, bench_is_bounded, level_matches
 
@@ -50,7 +49,7 @@ def recommendations(
     total_label: str,
     rules: Sequence[tuple[int, str]] = RECOMMENDATION_RULES,
     levels=LEVELS,
-    broadcast: bool | None = None,
+    broadcast=None,
 ) -> DataFrame:
     """Resources whose rule fires for an entity KPI at a benchmark level, numbered per (entity, level).
 
@@ -71,5 +70,23 @@ def recommendations(
     fired = matched.where(rule_predicate(rules)).selectExpr(
         f"{rule_resource(rules)} AS resource_id", "level_id", "entity_id",
     )
-    return with_sequence(fired, ["entity_id", "level_id"], [F.col("resource_id").asc()], name="order_id") \
-        .select(*RECOMMENDATION_COLUMNS)
+    return number_duplicates(fired)
+
+
+def number_duplicates(fired: DataFrame) -> DataFrame:
+    """row_number() OVER (PARTITION BY entity, level ORDER BY resource) without a hot-key window.
+
+    Rows of one (entity, level, resource) are identical, so the result is
+    fixed by their count: rows are pre-aggregated to counts (map-side
+    combine), the window numbers at most one row per distinct resource, and
+    each count expands back into its rows with consecutive order ids.  An
+    entity with a huge fan-out therefore never sends its rows through one
+    window task.
+    """
+    counts = fired.groupBy("entity_id", "level_id", "resource_id").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy("entity_id", "level_id").orderBy(F.col("resource_id").asc_nulls_first())
+    start = counts.withColumn("_end", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return start.selectExpr(
+        "resource_id", "level_id", "entity_id",
+        "explode(sequence(CAST(_end - _n + 1 AS INT), CAST(_end AS INT))) AS order_id",
+    )

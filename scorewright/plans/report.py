@@ -101,7 +101,7 @@ def build(spark: SparkSession, src: ReportSources, cfg: ReportConfig) -> Report:
     wide = materialise(wide_table(dim, facts), cfg.wide_mode, "wide")
     em = materialise(entity_metrics(wide, cfg.catalogue), cfg.metrics_mode, "entity-metrics")
     bench = materialise(benchmark_metrics(wide, cfg.catalogue, cfg.total_label), cfg.metrics_mode, "benchmarks")
-    bounded = bench_is_bounded(bench)
+    bounded = bench_is_bounded(bench)   # per join side: within the broadcast bound?
     card = scorecard(em, bench, cfg.catalogue, cfg.report_date, cfg.total_label, broadcast=bounded)
     res = resource_catalogue(src.metric_names, src.resource_map, src.resource_links)
     recs = recommendations(em, bench, res, cfg.total_label, broadcast=bounded)
