@@ -28,6 +28,9 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "sco
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
+    event_dir = os.environ.get("SCOREWRIGHT_EVENT_LOG_DIR")
+    if event_dir:  # local diagnosis: stage/task times without the UI
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
