@@ -75,6 +75,16 @@ def null_rejecting_left(df: DataFrame, other: DataFrame, cond: Column, where: Co
     return df.join(other, on=cond, how="left").where(where)
 
 
-def cross_with_constants(df: DataFrame, consts: DataFrame) -> DataFrame:
-    """Cross join with a small constant relation (broadcast, no shuffle of ``df``)."""
-    return df.crossJoin(F.broadcast(consts))
+def cross_with_constants(df: DataFrame, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """Every row of ``df`` paired with each of a few constant rows, without a join.
+
+    The source writes this as a cross join with a literal relation; here the
+    constants become one array of structs that ``inline`` expands per input
+    row (a single Generate, no join, no shuffle, no pair enumeration).
+    """
+    from scorewright.functions.sql import lit
+
+    structs = ", ".join(
+        "named_struct(" + ", ".join(f"'{n}', {lit(v)}" for n, v in zip(names, r)) + ")" for r in rows
+    )
+    return df.selectExpr("*", f"inline(array({structs}))")

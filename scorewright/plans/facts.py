@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.functions import sql as S
-from scorewright.operators.joins import left_join, lookup, sized_broadcast
+from scorewright.operators.joins import left_join, lookup, null_rejecting_left, sized_broadcast
 from scorewright.operators.windows import top1
 from scorewright.sources.snapshot import as_of, latest_snapshot
 
@@ -103,12 +103,14 @@ def digital_managers(dim: DataFrame, employees: DataFrame, title_prefix: str, ma
     it is broadcast after a size check; a shuffle on district would put a
     whole district into one task.  Several managers per district multiply rows.
     """
-    emp = employees.where(F.col("job").startswith(title_prefix)).selectExpr(
+    emp = employees.selectExpr(
         f"{S.concat_null('name_first', S.lit(' '), 'name_last')} AS digital_manager",
         "job", "district AS _emp_district",
     )
     emp = sized_broadcast(emp, max_rows=max_employees)
-    joined = dim.join(emp, F.expr("district = _emp_district"), "inner")
+    # LEFT JOIN ... WHERE job LIKE 'prefix%': the predicate rejects NULL-extended
+    # rows, so Catalyst plans an inner join and pushes the filter into the employee side.
+    joined = null_rejecting_left(dim, emp, F.expr("district = _emp_district"), F.col("job").startswith(title_prefix))
     return joined.selectExpr("entity_id", "digital_manager", "job", "_emp_district AS district")
 
 

@@ -356,8 +356,9 @@ def join_left_null_rejected(spark, root):
 
 @register("join_cross")
 def join_cross(spark, root):
-    """OP-27: every entity crossed with the KPI catalogue (broadcast constant side)."""
-    return jn.cross_with_constants(E(spark, root).select("entity_id"), K(spark).select("metric_id"))
+    """OP-27: every entity paired with each KPI id of the catalogue (one Generate, no join)."""
+    ids = [(k,) for k in cat.standard_catalogue().ids]
+    return jn.cross_with_constants(E(spark, root).select("entity_id"), ids, ["metric_id"])
 
 
 @register("join_semi")

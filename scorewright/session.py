@@ -59,3 +59,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for one written table."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Spark SQL settings sized from the input volume of one refresh.
+
+    Shuffle partitions are chosen so an initial partition holds about
+    ``target_partition_bytes`` of the largest input; AQE then coalesces
+    small ones and splits skewed ones.  File splits stay at 128 MB so scan
+    tasks fit comfortably in executor memory.  Apply with
+    ``for k, v in cluster_settings(n).items(): spark.conf.set(k, v)``.
+    """
+    partitions = max(200, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
