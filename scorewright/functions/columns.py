@@ -33,12 +33,9 @@ __all__ = [
     "int_div",
 ]
 
-# The decimal shapes of every KPI value and of the display step.
-KPI_DECIMAL = DecimalType(20, 10)
-WIDEN_DECIMAL = DecimalType(20, 13)
-QUOTIENT_INPUT = DecimalType(20, 0)
-PERCENT_PLACES = 1
-MISSING_TEXT = "-"
+from scorewright.fixed import (  # noqa: E402
+    KPI_DECIMAL, MISSING_TEXT, NO, PERCENT_PLACES, QUOTIENT_INPUT, RATIO_PLACES, WIDEN_DECIMAL, YES,
+)
 
 
 def col(c: ColumnOrName) -> Column:
@@ -113,7 +110,7 @@ def _as_decimal(c: Column) -> Column:
     return c.cast(QUOTIENT_INPUT)
 
 
-def percent_of(a: ColumnOrName, b: ColumnOrName, places: int = 3) -> Column:
+def percent_of(a: ColumnOrName, b: ColumnOrName, places: int = RATIO_PLACES) -> Column:
     """round(a / b, places) * 100 as decimal(20,10): the ratio KPI shape."""
     return to_decimal(round_half_away(safe_divide(a, b), places) * F.lit(100))
 
@@ -122,7 +119,7 @@ def to_text(c: ColumnOrName) -> Column:
     return col(c).cast("string")
 
 
-def flag_text(c: ColumnOrName, yes: str = "Y", no: str = "N", on_value: str = "1") -> Column:
+def flag_text(c: ColumnOrName, yes: str = YES, no: str = NO, on_value: str = "1") -> Column:
     """'Y' when the flag equals ``on_value`` (compared as text), otherwise 'N' (NULL included)."""
     return F.when(col(c).cast("string") == F.lit(on_value), F.lit(yes)).otherwise(F.lit(no))
 

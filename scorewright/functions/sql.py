@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from scorewright.functions.columns import MISSING_TEXT, PERCENT_PLACES
+from scorewright.fixed import MISSING_TEXT, NO, PERCENT_PLACES, RATIO_PLACES, YES
 
 __all__ = [
     "lit", "right", "replace", "if_null", "concat_null", "month_label", "trunc_int", "format_thousands",
@@ -77,7 +77,7 @@ def safe_divide(a: str, b: str) -> str:
     return f"try_divide(CAST({a} AS DECIMAL(20,0)), CAST({b} AS DECIMAL(20,0)))"
 
 
-def percent_of(a: str, b: str, places: int = 3) -> str:
+def percent_of(a: str, b: str, places: int = RATIO_PLACES) -> str:
     return to_decimal(f"{round_half_away(safe_divide(a, b), places)} * 100")
 
 
@@ -85,7 +85,7 @@ def to_text(c: str) -> str:
     return f"CAST({c} AS STRING)"
 
 
-def flag_text(c: str, yes: str = "Y", no: str = "N", on_value: str = "1") -> str:
+def flag_text(c: str, yes: str = YES, no: str = NO, on_value: str = "1") -> str:
     return f"CASE WHEN CAST({c} AS STRING) = {lit(on_value)} THEN {lit(yes)} ELSE {lit(no)} END"
 
 

@@ -13,11 +13,7 @@ from scorewright.operators.mutate import keyed_update
 from scorewright.sources.sinks import append_all
 from scorewright.sources.tables import constants
 
-# Fixed values of the footnote text: type label, separator and the two trailing spaces.
-FOOTNOTE_TYPE = "Footer"
-SOURCE_SEPARATOR = " Data Source: "
-FOOTNOTE_TAIL = "  "
-TOOLTIP_SEPARATOR = " "
+from scorewright.fixed import FOOTNOTE_TAIL, FOOTNOTE_TYPE, SOURCE_SEPARATOR, TOOLTIP_SEPARATOR  # noqa: E402
 
 CATALOG_COLUMNS = ("metric", "data_source", "period", "order_id")
 FOOTNOTE_COLUMNS = ("footnote_type", "footnote_name", "footnote_text", "footnote_date")

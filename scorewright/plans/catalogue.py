@@ -13,31 +13,12 @@ from dataclasses import dataclass, field
 
 from scorewright.functions import sql as S
 
-# ---------------------------------------------------------------------------
-# Fixed values (must equal the source's for identical output)
-#   KPI ids:               8, 9, 14, 15, 25, 26, 27, 28, 34
-#   level ids:             '1' nation, '2' region, '3' zone, '4' district
-#   colours (RGB text):    green '226,240,217', red '244,186,186', white '255,255,255'
-#   participation flag:    compared with the text '1'
-#   resource -> metric map: (1,4) (2,6) (3,8) (4,10) (5,12) (6,17) (7,22) (8,23)
-#                          (9,24) (10,26) (11,29) (12,30) (13,31) (14,35) (15,36)
-#   recommendation rules:  resource 10 when the value is below the benchmark,
-#                          resource 3 when the value is not 1
-#   percent rounding:      round(a / b, 3) * 100, shown with one decimal
-# ---------------------------------------------------------------------------
-GREEN = "226,240,217"
-RED = "244,186,186"
-WHITE = "255,255,255"
-LEVEL_NATION, LEVEL_REGION, LEVEL_ZONE, LEVEL_DISTRICT = "1", "2", "3", "4"
-LEVEL_IDS = (LEVEL_NATION, LEVEL_REGION, LEVEL_ZONE, LEVEL_DISTRICT)
-FLAG_ON = "1"
-RESOURCE_METRIC_MAP = (
-    (1, 4), (2, 6), (3, 8), (4, 10), (5, 12), (6, 17), (7, 22), (8, 23),
-    (9, 24), (10, 26), (11, 29), (12, 30), (13, 31), (14, 35), (15, 36),
+from scorewright.fixed import (  # noqa: E402,F401  (re-exported for callers)
+    FLAG_ON, GREEN, LEVEL_DISTRICT, LEVEL_NATION, LEVEL_REGION, LEVEL_ZONE, RECOMMENDATION_RULES, RED,
+    RESOURCE_METRIC_MAP, RULE_BELOW_BENCH, RULE_NOT_ONE, WHITE,
 )
-RULE_BELOW_BENCH = "below_bench"
-RULE_NOT_ONE = "not_one"
-RECOMMENDATION_RULES = ((10, RULE_BELOW_BENCH), (3, RULE_NOT_ONE))
+
+LEVEL_IDS = (LEVEL_NATION, LEVEL_REGION, LEVEL_ZONE, LEVEL_DISTRICT)
 
 # display kinds
 FLAG = "flag"

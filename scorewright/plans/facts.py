@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorewright.fixed import CAMPAIGN_FLAG, SHORT_CODE_LEN
 from scorewright.functions import sql as S
 from scorewright.operators.joins import left_join, lookup, null_rejecting_left, sized_broadcast
 from scorewright.operators.windows import top1
 from scorewright.sources.snapshot import as_of, latest_snapshot
 
-CAMPAIGN_FLAG = "1"  # fixed value: campaign participation flag text
 
 
 def top_vendor(usage: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def service(entities: DataFrame, orders: DataFrame, inspections: DataFrame) -> D
     )
 
 
-def visit_sales(src: DataFrame, short_len: int = 6) -> DataFrame:
+def visit_sales(src: DataFrame, short_len: int = SHORT_CODE_LEN) -> DataFrame:
     """src(entity_code, period, visit_households, visit_sales): long codes cut to the short code."""
     return latest_snapshot(src, "period").selectExpr(
         "period", f"{S.right('entity_code', short_len)} AS entity_id", "visit_households", "visit_sales",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scorewright.fixed import MISSING_NAME
 from scorewright.functions.columns import flag_text, if_null
 
 HEADER_COLUMNS = (
@@ -12,7 +13,6 @@ HEADER_COLUMNS = (
     "lines", "vendor_tool", "leads_tool", "web_tool", "campaign", "other_tools", "enrolled",
     "sales_rank", "service_rank", "digital_manager", "advocate",
 )
-MISSING_NAME = "None"  # fixed value shown for a missing vendor, manager or advocate
 
 
 def header(wide: DataFrame) -> DataFrame:

@@ -55,6 +55,7 @@ class ReportConfig:
     manager_title_prefix: str
     keep: Column | None = None
     order: Sequence[Column] | None = None
+    region_suffix: str | None = None
     # (label, data source, fact name, display order)
     source_labels: Sequence[tuple[str, str, str, int]] = ()
     tooltip_sources: Mapping[int, str] = field(default_factory=dict)
@@ -95,7 +96,8 @@ def build_facts(src: ReportSources, dim: DataFrame, cfg: ReportConfig) -> Facts:
 
 
 def build(spark: SparkSession, src: ReportSources, cfg: ReportConfig) -> Report:
-    dim0 = entity_dimension(src.history, src.current, src.regions, keep=cfg.keep, order=cfg.order)
+    dim0 = entity_dimension(src.history, src.current, src.regions, keep=cfg.keep, order=cfg.order,
+                            region_suffix=cfg.region_suffix)
     facts = build_facts(src, dim0, cfg)
     dim = infer_activity(dim0, facts.service)
     wide = materialise(wide_table(dim, facts), cfg.wide_mode, "wide")

@@ -27,6 +27,7 @@ from scorewright.sources.tables import constants, scan
 REPORT_DATE = "2001-06-30"
 TOTAL_LABEL = "ALL REGIONS"
 MANAGER_PREFIX = "District Digital"
+REGION_SUFFIX = " REGION"   # the testbed appends it to region names; the dimension removes it
 ENROLLMENT_PERIOD = _dt.date(2001, 12, 31)
 E0_NULL_DISTRICT = "MACHINERY"
 E0_NULL_REGION = "ASIA"
@@ -105,7 +106,7 @@ def history(spark: SparkSession, root: str) -> DataFrame:
         "c_name AS entity_code",
         "CASE WHEN o_orderpriority <> '5-LOW' THEN concat('Store ', right(c_name, 6)) END AS dba_name",
         "c_name AS legal_name",
-        "concat(r_name, ' REGION') AS region_name",
+        f"concat(r_name, '{REGION_SUFFIX}') AS region_name",
         "n_name AS zone",
         "c_mktsegment AS district",
         "concat('Manager ', n_name, ' ', c_mktsegment) AS manager",
@@ -124,7 +125,7 @@ def current(spark: SparkSession, root: str) -> DataFrame:
 
 def regions(spark: SparkSession, root: str) -> DataFrame:
     r = scan(spark, "region", ["r_name"], root)
-    return r.selectExpr("concat(r_name, ' REGION') AS region_name", "substring(r_name, 1, 3) AS region_short")
+    return r.selectExpr(f"concat(r_name, '{REGION_SUFFIX}') AS region_name", "substring(r_name, 1, 3) AS region_short")
 
 
 def line_orders_frame(spark: SparkSession, root: str) -> DataFrame:
@@ -279,7 +280,8 @@ def sources(spark: SparkSession, root: str) -> ReportSources:
 def config(**overrides) -> ReportConfig:
     base = dict(
         report_date=REPORT_DATE, total_label=TOTAL_LABEL, manager_title_prefix=MANAGER_PREFIX,
-        keep=F.col("open_flag") == "N", source_labels=SOURCE_LABELS, tooltip_sources=TOOLTIP_SOURCES,
+        keep=F.col("open_flag") == "N", region_suffix=REGION_SUFFIX,
+        source_labels=SOURCE_LABELS, tooltip_sources=TOOLTIP_SOURCES,
     )
     base.update(overrides)
     return ReportConfig(**base)

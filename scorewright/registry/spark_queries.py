@@ -690,7 +690,7 @@ def job_entity_dimension(spark, root):
     src = rep_sources(spark, root)
     cfg = testbed.config()
     from scorewright.plans.dimension import entity_dimension
-    return entity_dimension(src.history, src.current, src.regions, keep=cfg.keep)
+    return entity_dimension(src.history, src.current, src.regions, keep=cfg.keep, region_suffix=cfg.region_suffix)
 
 
 @register("job_infer_activity")

@@ -163,7 +163,7 @@ def dim_sources(spark):
 
 def test_t5_t12_ties_kept_and_suffix_cut_after_ranking(dim_sources):
     hist, current, regions = dim_sources
-    dim = entity_dimension(hist, current, regions, keep=F.col("open_flag") == "N")
+    dim = entity_dimension(hist, current, regions, keep=F.col("open_flag") == "N", region_suffix=" REGION")
     got = rows(dim, "entity_id", "entity_name", "active", "region", "region_short", "rnk")
     assert got == sorted([
         ("111111", "Legal A", 1, "NORTH", "NO", 1),   # NULL dba name falls back to the legal name
