@@ -38,6 +38,3 @@ def as_of(df: DataFrame, end_col: str, report_date) -> DataFrame:
     """Rows that ended on or before the report date (inclusive bound)."""
     return df.where(F.col(end_col) <= _date(report_date))
 
-
-def report_date_col(report_date) -> Column:
-    return _date(report_date)
