@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from scorewright.functions.columns import right
 from scorewright.plans.catalogue import RESOURCE_METRIC_MAP, standard_catalogue
 from scorewright.plans.report import ReportConfig, ReportSources
-from scorewright.session import scratch_path
+from scorewright.session import app_id, scratch_path
 from scorewright.sources.tables import constants, scan
 
 REPORT_DATE = "2001-06-30"
@@ -148,7 +148,7 @@ def line_orders(spark: SparkSession, root: str) -> DataFrame:
     Partitioned by period, so a latest-snapshot filter on it prunes to the
     latest period's files at run time instead of scanning every year.
     """
-    key = (spark.sparkContext.applicationId, root)
+    key = (app_id(spark), root)
     if key not in _staged:
         path = scratch_path(spark, "line-orders")
         line_orders_frame(spark, root).write.mode("overwrite").partitionBy("period").parquet(path)

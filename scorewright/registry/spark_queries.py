@@ -28,7 +28,7 @@ _sources: dict = {}
 
 
 def rep_sources(spark: SparkSession, root: str) -> report.ReportSources:
-    key = (spark.sparkContext.applicationId, root)
+    key = (app_id(spark), root)
     if key not in _sources:
         _sources[key] = testbed.sources(spark, root)
     return _sources[key]
@@ -36,7 +36,7 @@ def rep_sources(spark: SparkSession, root: str) -> report.ReportSources:
 
 def full_report(spark: SparkSession, root: str) -> report.Report:
     """The whole report over the driver tables, built once per session and folder."""
-    key = (spark.sparkContext.applicationId, root)
+    key = (app_id(spark), root)
     if key not in _reports:
         _reports[key] = report.build(spark, rep_sources(spark, root), testbed.config())
     return _reports[key]
@@ -64,7 +64,7 @@ from scorewright.plans import catalogue as cat  # noqa: E402
 from scorewright.plans import compare as cmp  # noqa: E402
 from scorewright.plans import metrics as mt  # noqa: E402
 from scorewright.plans import recommend as rc  # noqa: E402
-from scorewright.session import scratch_path  # noqa: E402
+from scorewright.session import app_id, scratch_path  # noqa: E402
 from scorewright.sources import sinks, snapshot, tables  # noqa: E402
 
 
@@ -102,7 +102,7 @@ def K(spark):
 
 def e0_report(spark, root):
     """Entity metrics and benchmarks over the E0 hierarchy (NULL districts and regions)."""
-    key = (spark.sparkContext.applicationId, root, "e0")
+    key = (app_id(spark), root, "e0")
     if key not in _reports:
         wide = full_report(spark, root).wide
         w0 = wide.withColumn("region", F.when(F.col("region") != testbed.E0_NULL_REGION, F.col("region"))) \

@@ -36,6 +36,17 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "sco
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """Identity of the running application (works for classic and Connect sessions)."""
+    try:
+        return spark.conf.get("spark.app.id")
+    except Exception:  # noqa: BLE001
+        return f"session-{id(spark)}"
+
+
+_private_roots: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediates.
 
@@ -43,7 +54,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     storage).  Only when it is unset -- local mode and tests -- a private
     folder is created and registered as the checkpoint directory.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext on the client)
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        return _private_roots.setdefault(app_id(spark), tempfile.mkdtemp(prefix="scorewright-ckpt-"))
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if configured and not current:
