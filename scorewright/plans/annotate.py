@@ -8,9 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.functions.columns import concat_null, month_label
+from scorewright.functions import sql as S
 from scorewright.operators.mutate import keyed_update
-from scorewright.sources.sinks import append_all
 from scorewright.sources.tables import constants
 
 from scorewright.fixed import FOOTNOTE_TAIL, FOOTNOTE_TYPE, SOURCE_SEPARATOR, TOOLTIP_SEPARATOR  # noqa: E402
@@ -35,24 +34,27 @@ def source_catalogue(specs: Sequence[SourceSpec]) -> DataFrame:
     declared types, and the rows are appended into one relation.
     """
     rows = [
-        s.frame.agg(F.max(s.period_col).cast("date").alias("period")).select(
-            F.lit(s.label).cast("string").alias("metric"),
-            F.lit(s.data_source).cast("string").alias("data_source"),
-            F.col("period"),
-            F.lit(s.order_id).cast("int").alias("order_id"),
+        s.frame.selectExpr(
+            f"CAST({S.lit(s.label)} AS STRING) AS metric",
+            f"CAST({S.lit(s.data_source)} AS STRING) AS data_source",
+            f"CAST(max({s.period_col}) AS DATE) AS period",
+            f"CAST({int(s.order_id)} AS INT) AS order_id",
         )
         for s in specs
     ]
-    return append_all(rows, CATALOG_COLUMNS)
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.union(r)
+    return out
 
 
 def footnotes(catalog: DataFrame) -> DataFrame:
     """'<label> Data Source: <origin>  ' and a 'Month yyyy' date per catalogue row."""
-    return catalog.select(
-        F.lit(FOOTNOTE_TYPE).alias("footnote_type"),
-        F.col("metric").alias("footnote_name"),
-        concat_null(F.col("metric"), SOURCE_SEPARATOR, F.col("data_source"), FOOTNOTE_TAIL).alias("footnote_text"),
-        month_label("period").alias("footnote_date"),
+    return catalog.selectExpr(
+        f"{S.lit(FOOTNOTE_TYPE)} AS footnote_type",
+        "metric AS footnote_name",
+        f"{S.concat_null('metric', S.lit(SOURCE_SEPARATOR), 'data_source', S.lit(FOOTNOTE_TAIL))} AS footnote_text",
+        f"{S.month_label('period')} AS footnote_date",
     )
 
 
@@ -65,12 +67,12 @@ def tooltip_base(tooltips: DataFrame, metric_names: DataFrame) -> DataFrame:
 def tooltip_patch(spark: SparkSession, base: DataFrame, notes: DataFrame, id_to_source: Mapping[int, str]) -> DataFrame:
     """New tooltip text per listed id: base text + ' ' + the source's footnote date (NULL if either is missing)."""
     ids = constants(spark, sorted(id_to_source.items()), "metric_id int, source_label string")
-    n = notes.select(F.col("footnote_name").alias("source_label"), "footnote_date")
+    n = notes.selectExpr("footnote_name AS source_label", "footnote_date")
     patch = ids.join(base.select("metric_id", "tooltip"), on="metric_id", how="left") \
         .join(n, on="source_label", how="left")
-    return patch.select(
+    return patch.selectExpr(
         "metric_id",
-        concat_null(F.col("tooltip"), TOOLTIP_SEPARATOR, F.col("footnote_date")).alias("new_value"),
+        f"{S.concat_null('tooltip', S.lit(TOOLTIP_SEPARATOR), 'footnote_date')} AS new_value",
     )
 
 

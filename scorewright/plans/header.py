@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.fixed import MISSING_NAME
-from scorewright.functions.columns import flag_text, if_null
+from scorewright.functions import sql as S
 
 HEADER_COLUMNS = (
     "entity_id", "entity_name", "region", "zone", "district", "svc_district", "manager", "svc_manager",
@@ -17,18 +17,19 @@ HEADER_COLUMNS = (
 
 def header(wide: DataFrame) -> DataFrame:
     """19 columns per wide row; five are NULL placeholders the report fills elsewhere."""
-    blank = F.lit(None).cast("string")
-    return wide.select(
+    blank = "CAST(NULL AS STRING)"
+    missing = S.lit(MISSING_NAME)
+    return wide.selectExpr(
         "entity_id", "entity_name", "region", "zone", "district", "svc_district", "manager", "svc_manager",
         "lines",
-        if_null("vendor", MISSING_NAME).alias("vendor_tool"),
-        blank.alias("leads_tool"),
-        blank.alias("web_tool"),
-        flag_text("campaign_flag").alias("campaign"),
-        blank.alias("other_tools"),
-        F.col("enrolled"),
-        blank.alias("sales_rank"),
-        blank.alias("service_rank"),
-        if_null("digital_manager", MISSING_NAME).alias("digital_manager"),
-        if_null("advocate", MISSING_NAME).alias("advocate"),
+        f"{S.if_null('vendor', missing)} AS vendor_tool",
+        f"{blank} AS leads_tool",
+        f"{blank} AS web_tool",
+        f"{S.flag_text('campaign_flag')} AS campaign",
+        f"{blank} AS other_tools",
+        "enrolled",
+        f"{blank} AS sales_rank",
+        f"{blank} AS service_rank",
+        f"{S.if_null('digital_manager', missing)} AS digital_manager",
+        f"{S.if_null('advocate', missing)} AS advocate",
     )

@@ -41,17 +41,17 @@ def wide_table(dim: DataFrame, facts: Facts) -> DataFrame:
     Only entities with a known activity (1 or 0) are kept.  Each fact is
     projected to the columns the wide table uses before it is joined.
     """
-    spine = dim.where(F.col("active").isin(1, 0))
+    spine = dim.where("active IN (1, 0)")
     pieces = [
-        facts.participation.select("entity_id", "participation", "vendor", "attributed_sales", "retail_sales"),
-        facts.service.select("entity_id", "inspections_done", "repair_orders"),
-        facts.visit_sales.select("entity_id", "visit_sales", "visit_households"),
-        facts.loyalty.select("entity_id", "loyal_returns", "market_returns"),
-        facts.enrollment.select("entity_id", "enrolled"),
-        facts.opportunity.select("entity_id", "favour_brand", "favour_undecided", "count_new", "count_mine",
-                                 "count_old", "count_any"),
-        facts.campaigns.select("entity_id", "campaign_flag", "units_sold", "customers_contacted"),
-        facts.advocates.select("entity_id", "advocate"),
-        facts.digital_managers.select("entity_id", "digital_manager"),
+        facts.participation.selectExpr("entity_id", "participation", "vendor", "attributed_sales", "retail_sales"),
+        facts.service.selectExpr("entity_id", "inspections_done", "repair_orders"),
+        facts.visit_sales.selectExpr("entity_id", "visit_sales", "visit_households"),
+        facts.loyalty.selectExpr("entity_id", "loyal_returns", "market_returns"),
+        facts.enrollment.selectExpr("entity_id", "enrolled"),
+        facts.opportunity.selectExpr("entity_id", "favour_brand", "favour_undecided", "count_new", "count_mine",
+                                     "count_old", "count_any"),
+        facts.campaigns.selectExpr("entity_id", "campaign_flag", "units_sold", "customers_contacted"),
+        facts.advocates.selectExpr("entity_id", "advocate"),
+        facts.digital_managers.selectExpr("entity_id", "digital_manager"),
     ]
-    return widen(spine, pieces, "entity_id").select(*WIDE_COLUMNS)
+    return widen(spine, pieces, "entity_id").selectExpr(*WIDE_COLUMNS)

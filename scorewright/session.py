@@ -52,24 +52,27 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster's shared
     storage).  Only when it is unset -- local mode and tests -- a private
-    folder is created and registered as the checkpoint directory.
+    folder is created and registered as the checkpoint directory.  The answer
+    is remembered per application.
     """
+    key = app_id(spark)
+    if key in _private_roots:
+        return _private_roots[key]
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext on the client)
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if configured:
-            return configured
-        return _private_roots.setdefault(app_id(spark), tempfile.mkdtemp(prefix="scorewright-ckpt-"))
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if configured and not current:
-        sc.setCheckpointDir(configured)
+        sc = None
+    if sc is not None:
         current = sc.getCheckpointDir()
-    if not current:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="scorewright-ckpt-"))
-        current = sc.getCheckpointDir()
-    return current
+        if not current:
+            sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="scorewright-ckpt-"))
+            current = sc.getCheckpointDir()
+        root = current
+    else:
+        root = configured or tempfile.mkdtemp(prefix="scorewright-ckpt-")
+    _private_roots[key] = root
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -25,7 +25,7 @@ def scan(spark: SparkSession, source: str, cols: Sequence[str] | None = None, ro
         df = spark.read.parquet(source)
     else:
         df = spark.table(source)
-    return df.select(*cols) if cols else df
+    return df.selectExpr(*cols) if cols else df
 
 
 def _sql_literal(v) -> str:
