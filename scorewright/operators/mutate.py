@@ -5,8 +5,6 @@ A DELETE or UPDATE becomes a new DataFrame; nothing is modified in place.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
