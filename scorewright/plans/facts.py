@@ -55,11 +55,15 @@ def campaigns(src: DataFrame, report_date) -> DataFrame:
     """src(entity_id, period, units_sold, customers_contacted, end_date): campaigns
     of the latest period that ended on or before the report date, summed per entity."""
     latest = as_of(latest_snapshot(src, "period"), "end_date", report_date)
-    return latest.groupBy("period", "entity_id").agg(
+    # One period remains after the snapshot filter, so grouping by the entity alone
+    # equals grouping by (period, entity) and leaves the output hash-partitioned
+    # by the wide table's join key: no second exchange before that join.
+    return latest.groupBy("entity_id").agg(
+        F.expr("max(period) AS period"),
         F.expr(f"{S.lit(CAMPAIGN_FLAG)} AS campaign_flag"),
         F.expr("sum(units_sold) AS units_sold"),
         F.expr("sum(customers_contacted) AS customers_contacted"),
-    )
+    ).selectExpr("period", "entity_id", "campaign_flag", "units_sold", "customers_contacted")
 
 
 def service(entities: DataFrame, orders: DataFrame, inspections: DataFrame) -> DataFrame:
@@ -117,7 +121,9 @@ def digital_managers(dim: DataFrame, employees: DataFrame, title_prefix: str, ma
 def loyalty(src: DataFrame) -> DataFrame:
     """src(entity_id, period, loyal_returns, market_returns): summed per entity in the latest period."""
     latest = latest_snapshot(src, "period").where("entity_id IS NOT NULL")
-    return latest.groupBy("entity_id", "period").agg(
+    # single period after the snapshot filter: group by the entity (see campaigns)
+    return latest.groupBy("entity_id").agg(
+        F.expr("max(period) AS period"),
         F.expr("sum(loyal_returns) AS loyal_returns"), F.expr("sum(market_returns) AS market_returns"),
     )
 
