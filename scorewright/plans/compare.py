@@ -1,9 +1,10 @@
 """Benchmark comparisons (OP-32..35), value formatting and colours (JOB-6, JOB-7).
 
 Each entity KPI row is compared with four benchmark levels.  The benchmark
-table is bounded (KPIs x hierarchy nodes), so after a row-count check it is
-broadcast and all four comparisons are map-side hash joins over the same
-entity rows: no shuffle of the entity side at all.
+table is bounded by the hierarchy (KPIs x nodes), not by the entity count;
+one grouped row count per level decides, side by side, which join sides are
+broadcast.  Within the bound all four comparisons are map-side hash joins
+over the same entity rows: no shuffle of the entity side at all.
 
 Zone and region comparisons follow the source's outer-join-then-filter
 semantics exactly, without its fan-out: an entity row joins the benchmark

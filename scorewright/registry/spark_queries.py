@@ -148,7 +148,7 @@ def inline_mapping(spark, root):
     return j.groupBy("display").agg(F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"))
 
 
-@register("source_catalogue")
+@register("source_catalog")
 def source_catalogue_q(spark, root):
     """OP-05: typed source catalogue: six one-row global aggregates appended."""
     return full_report(spark, root).source_catalogue
