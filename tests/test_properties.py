@@ -64,3 +64,20 @@ def test_flagship_plan_pushes_down_and_broadcasts(rep):
     plan = rep.scorecard._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan
+
+
+def test_input_row_order_does_not_matter(spark, rep):
+    from scorewright.plans import catalogue as cat
+    from scorewright.plans.metrics import benchmark_metrics, entity_metrics
+    from scorewright.plans.recommend import recommendations, resource_catalogue
+
+    c = cat.standard_catalogue()
+    shuffled = rep.wide.repartition(5, F.rand(seed=7)).sortWithinPartitions(F.rand(seed=11))
+    b1 = benchmark_metrics(rep.wide, c, testbed.TOTAL_LABEL)
+    b2 = benchmark_metrics(shuffled, c, testbed.TOTAL_LABEL)
+    assert b1.exceptAll(b2).count() == 0 and b2.exceptAll(b1).count() == 0
+    src = testbed.sources(spark, ROOT)
+    res = resource_catalogue(src.metric_names, src.resource_map, src.resource_links)
+    r1 = recommendations(entity_metrics(rep.wide, c), b1, res, testbed.TOTAL_LABEL)
+    r2 = recommendations(entity_metrics(shuffled, c), b2, res, testbed.TOTAL_LABEL)
+    assert r1.exceptAll(r2).count() == 0 and r2.exceptAll(r1).count() == 0
