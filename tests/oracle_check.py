@@ -34,7 +34,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 9)
+        return v if os.environ.get("EXACT_FLOATS") else round(v, 9)
     if hasattr(v, "item"):
         return norm(v.item())
     return v
