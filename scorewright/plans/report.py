@@ -23,7 +23,7 @@ from scorewright.plans.header import header
 from scorewright.plans.metrics import benchmark_metrics, entity_metrics
 from scorewright.plans.recommend import recommendations, resource_catalogue
 from scorewright.plans.wide import Facts, wide_table
-from scorewright.sources.sinks import materialise, overwrite
+from scorewright.sources.sinks import materialise, overwrite, run_concurrently
 
 
 @dataclass(frozen=True)
@@ -101,8 +101,11 @@ def build(spark: SparkSession, src: ReportSources, cfg: ReportConfig) -> Report:
     facts = build_facts(src, dim0, cfg)
     dim = infer_activity(dim0, facts.service)
     wide = materialise(wide_table(dim, facts), cfg.wide_mode, "wide")
-    em = materialise(entity_metrics(wide, cfg.catalogue), cfg.metrics_mode, "entity-metrics")
-    bench = materialise(benchmark_metrics(wide, cfg.catalogue, cfg.total_label), cfg.metrics_mode, "benchmarks")
+    # the two multi-consumer intermediates are independent jobs: written side by side
+    em, bench = run_concurrently([
+        lambda: materialise(entity_metrics(wide, cfg.catalogue), cfg.metrics_mode, "entity-metrics"),
+        lambda: materialise(benchmark_metrics(wide, cfg.catalogue, cfg.total_label), cfg.metrics_mode, "benchmarks"),
+    ])
     bounded = bench_is_bounded(bench)   # per join side: within the broadcast bound?
     card = scorecard(em, bench, cfg.catalogue, cfg.report_date, cfg.total_label, broadcast=bounded)
     res = resource_catalogue(src.metric_names, src.resource_map, src.resource_links)
@@ -133,5 +136,8 @@ def refresh(spark: SparkSession, src: ReportSources, cfg: ReportConfig, out_root
         "footnotes": report.footnotes,
         "metric_names": report.metric_names,
     }
-    staged = {name: materialise(df, "table", f"report-{name}") for name, df in outputs.items() if df is not None}
-    return {name: overwrite(df, os.path.join(out_root, name)) for name, df in staged.items()}
+    names = [n for n, df in outputs.items() if df is not None]
+    staged = run_concurrently([lambda n=n: materialise(outputs[n], "table", f"report-{n}") for n in names])
+    written = run_concurrently([lambda n=n, df=df: overwrite(df, os.path.join(out_root, n))
+                                for n, df in zip(names, staged)])
+    return dict(zip(names, written))

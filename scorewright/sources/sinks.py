@@ -7,7 +7,8 @@ than the write itself (the source truncates four tables before filling any).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -58,3 +59,18 @@ def materialise(df: DataFrame, mode: str = "cache", name: str = "stage") -> Data
         scratch_path(spark, name)  # makes sure a checkpoint folder is registered
         return df.checkpoint(eager=True)
     raise ValueError(f"unknown materialise mode {mode!r}")
+
+
+def run_concurrently(tasks: Sequence[Callable[[], object]], max_workers: int = 4) -> list:
+    """Run independent Spark actions from separate driver threads.
+
+    Each action is its own Spark job; jobs submitted from different threads
+    are scheduled side by side (FIFO or FAIR pool), so independent outputs
+    share the cluster instead of waiting for each other.  Results keep the
+    task order; the first failure is raised.
+    """
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        futures = [pool.submit(t) for t in tasks]
+        return [f.result() for f in futures]
