@@ -263,3 +263,30 @@ def test_recommendation_rules_and_sequence(spark):
     got = rows(recommendations(em, bench, res, TOTAL, levels=("district",)),
                "entity_id", "level_id", "resource_id", "order_id")
     assert got == sorted([("e1", "4", 3, 1), ("e1", "4", 10, 2)], key=repr)
+
+
+# ---------------------------------------------------------------------------
+# an empty source -> catalogue row with NULL period, NULL footnote date, NULL tooltip
+# ---------------------------------------------------------------------------
+
+def test_f12_empty_source_gives_null_date_and_tooltip(spark):
+    from scorewright.plans.annotate import SourceSpec, footnotes, source_catalogue, tooltips
+
+    full = spark.createDataFrame([(dt.date(2017, 12, 1),)], "period date")
+    empty = full.where("period IS NULL")
+    catalog = source_catalogue([SourceSpec("Full", "origin A", full, "period", 3),
+                                SourceSpec("Empty", "origin B", empty, "period", 4)])
+    got = {r["metric"]: r for r in catalog.collect()}
+    assert got["Full"]["period"] == dt.date(2017, 12, 1) and got["Empty"]["period"] is None
+    assert got["Empty"]["order_id"] == 4
+    notes = {r["footnote_name"]: r for r in footnotes(catalog).collect()}
+    assert notes["Full"]["footnote_text"] == "Full Data Source: origin A  "
+    assert notes["Full"]["footnote_date"] == "December 2017"
+    assert notes["Empty"]["footnote_date"] is None
+    names = constants(spark, [(8, "m8", "old"), (9, "m9", "old"), (34, "m34", "keep")],
+                      "metric_id int, metric_name string, tooltip string")
+    base = constants(spark, [(8, "m8", "Base eight"), (9, "m9", "Base nine")],
+                     "metric_id int, metric_name string, tooltip string")
+    out = {r["metric_id"]: r["tooltip"] for r in tooltips(spark, names, base, footnotes(catalog),
+                                                          {8: "Full", 9: "Empty"}).collect()}
+    assert out == {8: "Base eight December 2017", 9: None, 34: "keep"}
