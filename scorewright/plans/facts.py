@@ -14,51 +14,51 @@ from scorewright.fixed import CAMPAIGN_FLAG, SHORT_CODE_LEN
 from scorewright.functions import sql as S
 from scorewright.operators.joins import left_join, lookup, null_rejecting_left, sized_broadcast
 from scorewright.operators.windows import top1
-from scorewright.sources.snapshot import as_of, latest_snapshot
+from scorewright.sources.snapshot import SUBQUERY, as_of, latest_snapshot
 
 
 
-def top_vendor(usage: DataFrame) -> DataFrame:
+def top_vendor(usage: DataFrame, latest=SUBQUERY) -> DataFrame:
     """usage(entity_id, period, vendor, attributed_sales): the vendor with the most
     attributed sales per entity in the latest period (ties: smallest vendor)."""
-    latest = latest_snapshot(usage, "period")
+    rows = latest_snapshot(usage, "period", latest)
     return top1(
-        latest.select("entity_id", "vendor", "attributed_sales"),
+        rows.select("entity_id", "vendor", "attributed_sales"),
         "entity_id",
         [F.col("attributed_sales").desc(), F.col("vendor").asc_nulls_last()],
     ).select("entity_id", "vendor")
 
 
-def participation(usage: DataFrame) -> DataFrame:
+def participation(usage: DataFrame, latest=SUBQUERY) -> DataFrame:
     """usage(entity_id, period, vendor, attributed_sales, retail_sales).
 
     Grouped by entity, retail_sales and period: an entity with several retail
     values in the period yields several rows (kept, as in the source).
     """
-    latest = latest_snapshot(usage, "period").where("entity_id IS NOT NULL")
-    agg = latest.groupBy("entity_id", "retail_sales", "period").agg(
+    rows = latest_snapshot(usage, "period", latest).where("entity_id IS NOT NULL")
+    agg = rows.groupBy("entity_id", "retail_sales", "period").agg(
         F.expr("sum(attributed_sales) AS attributed_sales"), F.expr("max(retail_sales) AS _retail_max"),
     ).selectExpr("period", "entity_id", "attributed_sales", "1 AS participation", "_retail_max AS retail_sales")
-    return lookup(agg, top_vendor(usage), "entity_id", "vendor")
+    return lookup(agg, top_vendor(usage, latest), "entity_id", "vendor")
 
 
-def opportunity(src: DataFrame) -> DataFrame:
+def opportunity(src: DataFrame, latest=SUBQUERY) -> DataFrame:
     """src(entity_id, period, favour_brand, favour_undecided, count_new, count_mine,
     count_old, count_any): the latest snapshot rows as they are (duplicates kept)."""
-    return latest_snapshot(src, "period").select(
+    return latest_snapshot(src, "period", latest).select(
         "period", "entity_id", "favour_brand", "favour_undecided",
         "count_new", "count_mine", "count_old", "count_any",
     )
 
 
-def campaigns(src: DataFrame, report_date) -> DataFrame:
+def campaigns(src: DataFrame, report_date, latest=SUBQUERY) -> DataFrame:
     """src(entity_id, period, units_sold, customers_contacted, end_date): campaigns
     of the latest period that ended on or before the report date, summed per entity."""
-    latest = as_of(latest_snapshot(src, "period"), "end_date", report_date)
+    rows = as_of(latest_snapshot(src, "period", latest), "end_date", report_date)
     # One period remains after the snapshot filter, so grouping by the entity alone
     # equals grouping by (period, entity) and leaves the output hash-partitioned
     # by the wide table's join key: no second exchange before that join.
-    return latest.groupBy("entity_id").agg(
+    return rows.groupBy("entity_id").agg(
         F.expr("max(period) AS period"),
         F.expr(f"{S.lit(CAMPAIGN_FLAG)} AS campaign_flag"),
         F.expr("sum(units_sold) AS units_sold"),
@@ -66,14 +66,14 @@ def campaigns(src: DataFrame, report_date) -> DataFrame:
     ).selectExpr("period", "entity_id", "campaign_flag", "units_sold", "customers_contacted")
 
 
-def service(entities: DataFrame, orders: DataFrame, inspections: DataFrame) -> DataFrame:
+def service(entities: DataFrame, orders: DataFrame, inspections: DataFrame, latest=SUBQUERY) -> DataFrame:
     """entities(entity_id, period), orders(entity_id, period, repair_orders),
     inspections(entity_id, period, inspections_done, menus_presented).
 
     The latest period of ``entities`` decides; the other two must match both
     entity and period; missing measures become 0.
     """
-    d = latest_snapshot(entities, "period").select("entity_id", "period")
+    d = latest_snapshot(entities, "period", latest).select("entity_id", "period")
     out = left_join(d, orders.select("entity_id", "period", "repair_orders"), ["entity_id", "period"])
     out = left_join(out, inspections.select("entity_id", "period", "inspections_done", "menus_presented"),
                     ["entity_id", "period"])
@@ -85,16 +85,16 @@ def service(entities: DataFrame, orders: DataFrame, inspections: DataFrame) -> D
     )
 
 
-def visit_sales(src: DataFrame, short_len: int = SHORT_CODE_LEN) -> DataFrame:
+def visit_sales(src: DataFrame, short_len: int = SHORT_CODE_LEN, latest=SUBQUERY) -> DataFrame:
     """src(entity_code, period, visit_households, visit_sales): long codes cut to the short code."""
-    return latest_snapshot(src, "period").selectExpr(
+    return latest_snapshot(src, "period", latest).selectExpr(
         "period", f"{S.right('entity_code', short_len)} AS entity_id", "visit_households", "visit_sales",
     )
 
 
-def advocates(src: DataFrame) -> DataFrame:
+def advocates(src: DataFrame, latest=SUBQUERY) -> DataFrame:
     """src(entity_id, period, advocate_name): the greatest name per entity."""
-    return latest_snapshot(src, "period").groupBy("entity_id").agg(
+    return latest_snapshot(src, "period", latest).groupBy("entity_id").agg(
         F.expr("max(advocate_name) AS advocate"), F.expr("max(period) AS period"),
     )
 
@@ -118,18 +118,18 @@ def digital_managers(dim: DataFrame, employees: DataFrame, title_prefix: str, ma
     return joined.selectExpr("entity_id", "digital_manager", "job", "_emp_district AS district")
 
 
-def loyalty(src: DataFrame) -> DataFrame:
+def loyalty(src: DataFrame, latest=SUBQUERY) -> DataFrame:
     """src(entity_id, period, loyal_returns, market_returns): summed per entity in the latest period."""
-    latest = latest_snapshot(src, "period").where("entity_id IS NOT NULL")
+    rows = latest_snapshot(src, "period", latest).where("entity_id IS NOT NULL")
     # single period after the snapshot filter: group by the entity (see campaigns)
-    return latest.groupBy("entity_id").agg(
+    return rows.groupBy("entity_id").agg(
         F.expr("max(period) AS period"),
         F.expr("sum(loyal_returns) AS loyal_returns"), F.expr("sum(market_returns) AS market_returns"),
     )
 
 
-def enrollment(src: DataFrame) -> DataFrame:
+def enrollment(src: DataFrame, latest=SUBQUERY) -> DataFrame:
     """src(entity_id, period, enrolled_ref): 'Y' when a reference is present, else 'N'."""
-    return latest_snapshot(src, "period").selectExpr(
+    return latest_snapshot(src, "period", latest).selectExpr(
         "period", "entity_id", "CASE WHEN enrolled_ref IS NOT NULL THEN 'Y' ELSE 'N' END AS enrolled",
     )

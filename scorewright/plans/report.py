@@ -24,6 +24,7 @@ from scorewright.plans.metrics import benchmark_metrics, entity_metrics
 from scorewright.plans.recommend import recommendations, resource_catalogue
 from scorewright.plans.wide import Facts, wide_table
 from scorewright.sources.sinks import materialise, overwrite, run_concurrently
+from scorewright.sources.snapshot import SUBQUERY, latest_periods
 
 
 @dataclass(frozen=True)
@@ -63,6 +64,7 @@ class ReportConfig:
     wide_mode: str = "table"        # written to the shared checkpoint folder: cuts the lineage
     facts_mode: str = "cache"
     metrics_mode: str = "table"     # entity KPIs and benchmarks: read by eight comparison branches
+    snapshot_mode: str = "batch"    # "batch": all latest periods in one job; "subquery": one scalar subquery each
 
 
 @dataclass
@@ -80,17 +82,36 @@ class Report:
     metric_names: DataFrame
 
 
+def snapshot_periods(src: ReportSources, cfg: ReportConfig) -> dict:
+    """Each snapshot source's own latest period.
+
+    ``batch``: all maxima in one job (one global aggregate per source, side by
+    side), then literal filters, statically pruned and pushed down.
+    ``subquery``: every fact filters with its own scalar subquery.
+    """
+    sources = {
+        "usage": (src.usage, "period"), "opportunity": (src.opportunity, "period"),
+        "campaigns": (src.campaigns, "period"), "service": (src.service_entities, "period"),
+        "visits": (src.visits, "period"), "advocates": (src.advocates, "period"),
+        "loyalty": (src.loyalty, "period"), "enrollment": (src.enrollment, "period"),
+    }
+    if cfg.snapshot_mode == "subquery":
+        return {name: SUBQUERY for name in sources}
+    return latest_periods(sources)
+
+
 def build_facts(src: ReportSources, dim: DataFrame, cfg: ReportConfig) -> Facts:
     m = lambda df, name: materialise(df, cfg.facts_mode, name)
+    p = snapshot_periods(src, cfg)
     return Facts(
-        participation=m(fx.participation(src.usage), "participation"),
-        service=m(fx.service(src.service_entities, src.service_orders, src.inspections), "service"),
-        visit_sales=m(fx.visit_sales(src.visits), "visit_sales"),
-        loyalty=m(fx.loyalty(src.loyalty), "loyalty"),
-        enrollment=m(fx.enrollment(src.enrollment), "enrollment"),
-        opportunity=fx.opportunity(src.opportunity),
-        campaigns=m(fx.campaigns(src.campaigns, cfg.report_date), "campaigns"),
-        advocates=fx.advocates(src.advocates),
+        participation=m(fx.participation(src.usage, p["usage"]), "participation"),
+        service=m(fx.service(src.service_entities, src.service_orders, src.inspections, p["service"]), "service"),
+        visit_sales=m(fx.visit_sales(src.visits, latest=p["visits"]), "visit_sales"),
+        loyalty=m(fx.loyalty(src.loyalty, p["loyalty"]), "loyalty"),
+        enrollment=m(fx.enrollment(src.enrollment, p["enrollment"]), "enrollment"),
+        opportunity=fx.opportunity(src.opportunity, p["opportunity"]),
+        campaigns=m(fx.campaigns(src.campaigns, cfg.report_date, p["campaigns"]), "campaigns"),
+        advocates=fx.advocates(src.advocates, p["advocates"]),
         digital_managers=fx.digital_managers(dim, src.employees, cfg.manager_title_prefix),
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,17 +14,47 @@ def scalar_value(df: DataFrame, expr: Column) -> Column:
     return df.select(expr).scalar()
 
 
-def latest_snapshot(df: DataFrame, period_col: str) -> DataFrame:
+SUBQUERY = object()  # default of ``latest``: plan the maximum as a scalar subquery
+
+
+def latest_snapshot(df: DataFrame, period_col: str, latest=SUBQUERY) -> DataFrame:
     """Rows whose period equals the table's own maximum period.
 
-    Planned as a scalar subquery in the filter, not as a window: the max is
-    one partial/final aggregate over the pruned period column, and on a
-    period-partitioned table the filter becomes a partition filter.
-    Apply it to the table as read, before any other predicate, because the
-    maximum is taken over whatever ``df`` contains.
+    Without ``latest`` it is planned as a scalar subquery in the filter, not as
+    a window: the max is one partial/final aggregate over the pruned period
+    column, and on a period-partitioned table the filter becomes a runtime
+    partition filter.  With ``latest`` (the same maximum, computed beforehand
+    for several sources at once by ``latest_periods``) the filter is a literal:
+    statically pruned and pushed down.  A NULL maximum (empty source) keeps no
+    rows either way.  Apply it to the table as read, before any other
+    predicate, because the maximum is taken over whatever ``df`` contains.
     """
-    latest = df.selectExpr(f"max({period_col})").scalar()
-    return df.where(F.col(period_col) == latest)
+    if latest is SUBQUERY:
+        latest = df.selectExpr(f"max({period_col})").scalar()
+        return df.where(F.col(period_col) == latest)
+    if latest is None:
+        return df.where(F.lit(False))
+    return df.where(F.col(period_col) == F.lit(latest))
+
+
+def latest_periods(sources: Mapping[str, tuple[DataFrame, str]]) -> dict:
+    """The maximum period of several sources, computed in one job.
+
+    One global aggregate per source (one row each, NULL when empty), appended
+    and collected: as many values reach the driver as there are sources.  The
+    branches run side by side instead of as one scalar subquery after another.
+    """
+    from scorewright.functions.sql import lit
+
+    parts = [df.selectExpr(f"{lit(n)} AS source", f"CAST(max({c}) AS DATE) AS period")
+             for n, (df, c) in sources.items()]
+    if not parts:
+        return {}
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return {r["source"]: r["period"] for r in out.collect()}
+
 
 
 def _date(value) -> Column:
@@ -37,4 +68,3 @@ def _date(value) -> Column:
 def as_of(df: DataFrame, end_col: str, report_date) -> DataFrame:
     """Rows that ended on or before the report date (inclusive bound)."""
     return df.where(F.col(end_col) <= _date(report_date))
-
