@@ -81,3 +81,10 @@ def test_input_row_order_does_not_matter(spark, rep):
     r1 = recommendations(entity_metrics(rep.wide, c), b1, res, testbed.TOTAL_LABEL)
     r2 = recommendations(entity_metrics(shuffled, c), b2, res, testbed.TOTAL_LABEL)
     assert r1.exceptAll(r2).count() == 0 and r2.exceptAll(r1).count() == 0
+
+
+def test_batch_and_subquery_snapshots_agree(spark, rep):
+    alt = report.build(spark, testbed.sources(spark, ROOT), testbed.config(snapshot_mode="subquery"))
+    assert alt.scorecard.exceptAll(rep.scorecard).count() == 0
+    assert rep.scorecard.exceptAll(alt.scorecard).count() == 0
+    assert alt.footnotes.exceptAll(rep.footnotes).count() == 0
