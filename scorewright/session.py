@@ -59,6 +59,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if key in _private_roots:
         return _private_roots[key]
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not _is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage (HDFS/S3/ABFS); "
+                           "a machine-local folder cannot hold tables that every executor writes and reads")
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext on the client)
@@ -75,6 +78,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.conf.get("spark.master", "local").startswith("local")
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for one written table."""
     root = checkpoint_root(spark)
