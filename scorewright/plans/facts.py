@@ -93,8 +93,16 @@ def visit_sales(src: DataFrame, short_len: int = SHORT_CODE_LEN, latest=SUBQUERY
 
 
 def advocates(src: DataFrame, latest=SUBQUERY) -> DataFrame:
-    """src(entity_id, period, advocate_name): the greatest name per entity."""
-    return latest_snapshot(src, "period", latest).groupBy("entity_id").agg(
+    """src(entity_id, period, advocate_name): the greatest name per entity.
+
+    MAX over a string buffer is planned as a sort-based aggregate.  The rows
+    are first collapsed to distinct (entity, name) pairs by a hash aggregate
+    (map-side combine), so the sort-based step only sees each entity's
+    distinct names, however many raw rows a hot entity has.
+    """
+    rows = latest_snapshot(src, "period", latest)
+    pairs = rows.groupBy("entity_id", "advocate_name").agg(F.expr("max(period) AS period"))
+    return pairs.groupBy("entity_id").agg(
         F.expr("max(advocate_name) AS advocate"), F.expr("max(period) AS period"),
     )
 
