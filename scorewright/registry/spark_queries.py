@@ -215,7 +215,9 @@ def keyed_update_q(spark, root):
     c = tables.scan(spark, "customer", ["c_custkey", "c_mktsegment"], root) \
         .select(F.col("c_custkey").alias("custkey"), F.col("c_mktsegment").alias("label"))
     ev = tables.scan(spark, "events", ["user_id", "event_type"], root)
-    patch = ev.groupBy(F.col("user_id").alias("custkey")).agg(F.max("event_type").alias("_m")) \
+    # distinct (user, type) pairs first (hash aggregate), then the string max per user
+    pairs = ev.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("_n"))
+    patch = pairs.groupBy(F.col("user_id").alias("custkey")).agg(F.max("event_type").alias("_m")) \
         .select("custkey", F.when(F.col("_m") != "view", F.col("_m")).alias("new_value"))
     return mu.keyed_update(c, patch, "custkey", "label")
 
