@@ -38,24 +38,20 @@ def latest_snapshot(df: DataFrame, period_col: str, latest=SUBQUERY) -> DataFram
 
 
 def latest_periods(sources: Mapping[str, tuple[DataFrame, str]]) -> dict:
-    """The maximum period of several sources, computed in one job.
+    """The maximum period of several sources, computed side by side.
 
-    One global aggregate per source (one row each, NULL when empty), appended
-    and collected: as many values reach the driver as there are sources.  The
-    branches run side by side instead of as one scalar subquery after another.
+    One global aggregate per source (one row, NULL when empty), each its own
+    small job, all submitted together from driver threads; every maximum keeps
+    its column's type.  As many values reach the driver as there are sources.
     """
-    from scorewright.functions.sql import lit
-
-    parts = [df.selectExpr(f"{lit(n)} AS source", f"CAST(max({c}) AS DATE) AS period")
-             for n, (df, c) in sources.items()]
-    if not parts:
-        return {}
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return {r["source"]: r["period"] for r in out.collect()}
-
-
+    from scorewright.sources.sinks import run_concurrently
+
+    names = list(sources)
+    values = run_concurrently(
+        [lambda n=n: sources[n][0].selectExpr(f"max({sources[n][1]})").first()[0] for n in names],
+        max_workers=8,
+    )
+    return dict(zip(names, values))
 
 def _date(value) -> Column:
     if isinstance(value, Column):
