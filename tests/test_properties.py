@@ -88,3 +88,14 @@ def test_batch_and_subquery_snapshots_agree(spark, rep):
     assert alt.scorecard.exceptAll(rep.scorecard).count() == 0
     assert rep.scorecard.exceptAll(alt.scorecard).count() == 0
     assert alt.footnotes.exceptAll(rep.footnotes).count() == 0
+
+
+def test_command_line_refresh(spark, tmp_path, capsys):
+    import json
+
+    from scorewright.__main__ import main
+
+    main(["--tables", ROOT, "--out", str(tmp_path / "report"), "--master", "local[8]"])
+    written = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert set(written) == {"header", "scorecard", "recommendations", "footnotes", "metric_names"}
+    assert spark.read.parquet(written["footnotes"]).count() == 6
