@@ -85,8 +85,9 @@ class Report:
 def snapshot_periods(src: ReportSources, cfg: ReportConfig) -> dict:
     """Each snapshot source's own latest period.
 
-    ``batch``: all maxima in one job (one global aggregate per source, side by
-    side), then literal filters, statically pruned and pushed down.
+    ``batch``: every maximum up front (one small global aggregate per source,
+    submitted side by side), then literal filters, statically pruned and
+    pushed down.
     ``subquery``: every fact filters with its own scalar subquery.
     """
     sources = {
@@ -117,6 +118,13 @@ def build_facts(src: ReportSources, dim: DataFrame, cfg: ReportConfig) -> Facts:
 
 
 def build(spark: SparkSession, src: ReportSources, cfg: ReportConfig) -> Report:
+    """Plan the whole report; materialise only the multi-consumer intermediates.
+
+    Order: dimension -> facts (snapshot periods first) -> activity repair ->
+    wide table (written) -> entity KPIs and benchmarks (written side by side)
+    -> size check -> comparisons, recommendations, footnotes, tooltips, header
+    (lazy DataFrames; ``refresh`` computes and writes them).
+    """
     dim0 = entity_dimension(src.history, src.current, src.regions, keep=cfg.keep, order=cfg.order,
                             region_suffix=cfg.region_suffix)
     facts = build_facts(src, dim0, cfg)
