@@ -130,12 +130,16 @@ def build(spark: SparkSession, src: ReportSources, cfg: ReportConfig) -> Report:
     facts = build_facts(src, dim0, cfg)
     dim = infer_activity(dim0, facts.service)
     wide = materialise(wide_table(dim, facts), cfg.wide_mode, "wide")
-    # the two multi-consumer intermediates are independent jobs: written side by side
-    em, bench = run_concurrently([
+    # the two multi-consumer intermediates are independent jobs: written side by side;
+    # the benchmark size check (per join side: within the broadcast bound?) follows its table
+    def bench_and_bound():
+        b = materialise(benchmark_metrics(wide, cfg.catalogue, cfg.total_label), cfg.metrics_mode, "benchmarks")
+        return b, bench_is_bounded(b)
+
+    em, (bench, bounded) = run_concurrently([
         lambda: materialise(entity_metrics(wide, cfg.catalogue), cfg.metrics_mode, "entity-metrics"),
-        lambda: materialise(benchmark_metrics(wide, cfg.catalogue, cfg.total_label), cfg.metrics_mode, "benchmarks"),
+        bench_and_bound,
     ])
-    bounded = bench_is_bounded(bench)   # per join side: within the broadcast bound?
     card = scorecard(em, bench, cfg.catalogue, cfg.report_date, cfg.total_label, broadcast=bounded)
     res = resource_catalogue(src.metric_names, src.resource_map, src.resource_links)
     recs = recommendations(em, bench, res, cfg.total_label, broadcast=bounded)
