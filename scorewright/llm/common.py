@@ -77,6 +77,24 @@ def drop_written(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def matched(docs: DataFrame, rows: DataFrame, how: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Join documents with ``rows`` (doc_id, tk, extra columns) on the identity of a row.
+
+    The documents' columns come back as ``_c0``, ``_c1`` ... in their order, so that no name of theirs can clash with
+    another; ``toDF(*docs.columns)`` on these restores the names.
+    """
+    d = docs.toDF(*numbered(docs))
+    at = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    r = rows.select(F.col("doc_id").alias("_d"), F.col("tk").alias("_t"), *extra)
+    on = F.col(at["doc_id"]).eqNullSafe(F.col("_d")) & (text_key(at["text"]) == F.col("_t"))
+    out = d.join(r, on, how)
+    return out if how in ("left_anti", "left_semi") else out.select(*d.columns, *extra)
+
+
+def numbered(docs: DataFrame) -> list[str]:
+    return [f"_c{i}" for i in range(len(docs.columns))]
+
+
 def blocks(df: DataFrame, rows: int, key: Column, bound: int = BROADCAST_ROWS) -> list[DataFrame]:
     """``df`` cut by hash of ``key`` into blocks of about ``bound`` rows, each small enough to broadcast.
 
@@ -117,24 +135,61 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     Alternating large-star and small-star rounds, each an aggregate and a join, written to the shared folder.  Self
     edges only keep their node.  Nothing but the number of changed edges reaches the driver.
     """
+    def state(df: DataFrame):
+        return df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+
+    nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     cur = write(spark, edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
-    nodes = write(spark, edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct(), "cc-nodes")
+    at = state(cur)
     while True:
-        # large-star: every neighbour above the node points to the least of the node and its neighbours
+        # large-star: neighbours above a node point to the least of the node and its neighbours
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = both.groupBy("a").agg(F.min("b").alias("m"))
+        large = both.join(least, "a").where("b > a").select(
+            F.col("b").alias("a"), F.least("m", "a").alias("b")).distinct()
         # small-star: the node and its lower neighbours point to the least of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a")
-        nxt = small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(
-            low.select("a", F.col("m").alias("b"))).distinct()
-        nxt = write(spark, nxt, "cc")
-        changed = nxt.join(cur, ["a", "b"], "left_anti").limit(1).count() + cur.join(
-            nxt, ["a", "b"], "left_anti").limit(1).count()
+        small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        nxt = write(spark, small.unionByName(low.withColumnRenamed("m", "b")).distinct(), "cc")
         drop_written(spark, cur)
-        cur = nxt
-        if not changed:
+        cur, before, at = nxt, at, state(nxt)
+        if at == before:
             return nodes.join(cur.withColumnRenamed("a", "node"), "node", "left").select(
                 "node", F.coalesce("b", "node").alias("root"))
+
+
+def map_texts(docs: DataFrame, fn, columns: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text",
+              slab: int = 4_000_000) -> DataFrame:
+    """Apply ``fn(list of texts) -> dict of lists`` to the documents in Arrow batches, beside the ``keep`` columns.
+
+    ``columns`` is the DDL of what ``fn`` returns.  A null text reaches ``fn`` as the empty string.  ``fn`` gets at most
+    about ``slab`` characters at once (one text at least), so memory is bounded by the longest text.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    src = docs.select(*keep) if text in keep else docs.select(*keep, F.col(text).alias("_text"))
+    text_at = keep.index(text) if text in keep else len(keep)
+    made = StructType.fromDDL(columns)
+    schema = StructType([src.schema[c] for c in keep] + made.fields)
+    arrow = to_arrow_schema(made)
+    names = list(keep)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(text_at)
+            at = 0
+            while at < batch.num_rows:
+                part, size = [], 0
+                while at + len(part) < batch.num_rows and (not part or size < slab):
+                    part.append(texts[at + len(part)].as_py() or "")
+                    size += len(part[-1])
+                out = fn(part)
+                cols = [batch.column(i).slice(at, len(part)) for i in range(len(names))]
+                cols += [pa.array(out[f.name], f.type) for f in arrow]
+                yield pa.RecordBatch.from_arrays(cols, names=names + arrow.names)
+                at += len(part)
+
+    return src.mapInArrow(run, schema)

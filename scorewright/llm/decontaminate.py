@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import alnum_words, blocks, union_all, write
+from scorewright.llm.common import alnum_words, blocks, matched, union_all, write
 from scorewright.llm.phrases import positions, shingle_hash, token_counts, with_words
 
 WIDTH = 13      # words of a window
@@ -97,8 +97,5 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
-    from scorewright.llm.common import text_key
-
-    bad = contamination(spark, docs, benchmark).where("contaminated").select(
-        F.col("doc_id").alias("_d"), F.col("tk").alias("_t")).distinct()
-    return docs.join(bad, docs.doc_id.eqNullSafe(F.col("_d")) & (text_key() == F.col("_t")), "left_anti")
+    bad = contamination(spark, docs, benchmark).where("contaminated").select("doc_id", "tk").distinct()
+    return matched(docs, bad, "left_anti").toDF(*docs.columns)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from scorewright.llm import decontaminate, licenses
+from pyspark.sql import functions as F
+
+from scorewright.llm import decontaminate, licenses, linededup, mixing, ngram_join, pii, quality, repetition, toxicity, warc
 from scorewright.llm.common import documents
 
 
@@ -11,12 +13,56 @@ def op1_decontamination(spark, sf_dir):
     return decontaminate.contamination(spark, documents(spark, sf_dir), bench).drop("tk")
 
 
+def op2_toxicity(spark, sf_dir):
+    return toxicity.classify(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op3_line_dedup(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    out = linededup.dedup(spark, docs).toDF("doc_id", "text", "lines")
+    return out.select("doc_id", F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_removed"),
+                      F.coalesce(F.array_join("lines", ","), F.lit("")).alias("removed"),
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+def op4_personal_data(spark, sf_dir):
+    return pii.find(documents(spark, sf_dir))
+
+
+def op5_warc(spark, sf_dir):
+    return warc.captures(spark, spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("run", "place")
+
+
 def op6_license_scan(spark, sf_dir):
     return licenses.scan(spark, documents(spark, sf_dir))
 
 
+def op7_mixing(spark, sf_dir):
+    return mixing.mix(spark, documents(spark, sf_dir))
+
+
+def op8_quality(spark, sf_dir):
+    return quality.classify(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op9_ngram_jaccard(spark, sf_dir):
+    return ngram_join.link(spark, documents(spark, sf_dir)).drop("tk", "root")
+
+
+def op10_quality_rules(spark, sf_dir):
+    return repetition.verdicts(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_personal_data": op4_personal_data,
+    "op5_warc": op5_warc,
     "op6_license_scan": op6_license_scan,
+    "op7_mixing": op7_mixing,
+    "op8_quality": op8_quality,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_quality_rules": op10_quality_rules,
 }
 ORACLES: dict[str, str] = {}
