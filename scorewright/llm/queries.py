@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from scorewright.llm import decontaminate, licenses, linededup, mixing, ngram_join, pii, quality, repetition, toxicity, warc
 from scorewright.llm.common import documents
+from scorewright.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_decontamination(spark, sf_dir):
@@ -50,7 +51,7 @@ def op9_ngram_jaccard(spark, sf_dir):
 
 
 def op10_quality_rules(spark, sf_dir):
-    return repetition.verdicts(documents(spark, sf_dir))
+    return repetition.verdicts(documents(spark, sf_dir)).drop("longest_repeat")
 
 
 QUERIES = {
@@ -65,4 +66,3 @@ QUERIES = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLES: dict[str, str] = {}
