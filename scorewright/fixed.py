@@ -6,8 +6,6 @@ labels (region suffixes, job-title prefixes, the total's label, source
 names) are configuration passed in by the caller.
 """
 
-from pyspark.sql.types import DecimalType
-
 # ---------------------------------------------------------------------------
 # Fixed values
 # ---------------------------------------------------------------------------
@@ -18,9 +16,8 @@ CAMPAIGN_FLAG = "1"
 FLAG_ON = "1"
 # KPI value shapes: decimal(20,10); widened to decimal(20,13) before an average;
 # ratios are round(a / b, 3) * 100; percentages are shown with one decimal
-KPI_DECIMAL = DecimalType(20, 10)
-WIDEN_DECIMAL = DecimalType(20, 13)
-QUOTIENT_INPUT = DecimalType(20, 0)
+KPI_DECIMAL = "DECIMAL(20,10)"
+WIDEN_DECIMAL = "DECIMAL(20,13)"
 RATIO_PLACES = 3
 PERCENT_PLACES = 1
 # benchmark level ids: '1' total, '2' region, '3' zone, '4' district
@@ -48,5 +45,3 @@ RESOURCE_METRIC_MAP = (
 RULE_BELOW_BENCH = "below_bench"
 RULE_NOT_ONE = "not_one"
 RECOMMENDATION_RULES = ((10, RULE_BELOW_BENCH), (3, RULE_NOT_ONE))
-# KPI ids of the standard catalogue
-KPI_IDS = (8, 9, 14, 15, 25, 26, 27, 28, 34)

@@ -1,22 +1,23 @@
-"""SQL-expression builders: the same functions as ``columns`` as Spark SQL text.
+"""Functions as Spark SQL text (SURVEY G/H, aggregates of D): built-in expressions only, no Python UDFs.
 
 Plans that build many expressions (the KPI catalogue, the value formatting,
 the comparison join conditions) assemble SQL text and hand it to Spark once
 (``F.expr`` / ``selectExpr``): one driver round trip per expression instead
 of one per operator node.  Arguments are SQL expressions (a column name is
-one).  Semantics are identical to the Column helpers in ``columns``.
+one).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from scorewright.fixed import MISSING_TEXT, NO, PERCENT_PLACES, RATIO_PLACES, YES
+from scorewright.fixed import KPI_DECIMAL, MISSING_TEXT, NO, PERCENT_PLACES, RATIO_PLACES, WIDEN_DECIMAL, YES
 
 __all__ = [
     "lit", "right", "replace", "if_null", "concat_null", "month_label", "trunc_int", "format_thousands",
     "format_percent", "to_decimal", "round_half_away", "safe_divide", "percent_of", "to_text", "flag_text",
-    "int_div", "add_all", "share", "avg_expr", "avg_decimal", "ratio_of_sums", "isin", "case",
+    "int_div", "add_all", "share", "avg_expr", "avg_decimal", "ratio_of_sums", "level_label", "any_nonzero", "isin",
+    "case",
 ]
 
 
@@ -74,11 +75,19 @@ def round_half_away(c: str, places: int = 0) -> str:
 
 
 def safe_divide(a: str, b: str) -> str:
-    return f"try_divide(CAST({a} AS DECIMAL(20,0)), CAST({b} AS DECIMAL(20,0)))"
+    """Decimal quotient; NULL when either side is NULL or b is zero.
+
+    The coalesce with a typed NULL lets Spark widen each side on its own:
+    integers become decimal(20,0) and decimals keep their scale, so neither
+    side is rounded before the division.
+    """
+    wide = "coalesce({}, CAST(NULL AS DECIMAL(20,0)))".format
+    return f"try_divide({wide(a)}, {wide(b)})"
 
 
 def percent_of(a: str, b: str, places: int = RATIO_PLACES) -> str:
-    return to_decimal(f"{round_half_away(safe_divide(a, b), places)} * 100")
+    """round(a / b, places) * 100 in the KPI value shape."""
+    return f"CAST({round_half_away(safe_divide(a, b), places)} * 100 AS {KPI_DECIMAL})"
 
 
 def to_text(c: str) -> str:
@@ -103,6 +112,11 @@ def share(flag: str, on_value: str, ids: str) -> str:
 
 
 def avg_expr(cols: Sequence[str], integer: bool = True) -> str:
+    """AVG of a sum of columns; a row counts only when every addend is non-NULL.
+
+    The source engine truncates the average of integers (``sum div count``);
+    that of decimals is a plain average.
+    """
     total = add_all(cols)
     if integer:
         return int_div(f"sum({total})", f"count({total})")
@@ -110,13 +124,29 @@ def avg_expr(cols: Sequence[str], integer: bool = True) -> str:
 
 
 def avg_decimal(c: str, places: int = 0) -> str:
-    return round_half_away(f"avg(CAST({c} AS DECIMAL(20,13)))", places)
+    return round_half_away(f"avg(CAST({c} AS {WIDEN_DECIMAL}))", places)
 
 
 def ratio_of_sums(num: str, den: str) -> str:
     return percent_of(f"sum({num})", f"sum({den})")
 
 
+def level_label(levels: Sequence[str], ids: Sequence[str] | None = None) -> str:
+    """Level id from which group columns are NULL, read from the values (not grouping_id()).
+
+    For levels (region, zone, district): region NULL -> '1', zone NULL -> '2',
+    district NULL -> '3', else '4'.  A real NULL key in the data is therefore
+    labelled like a subtotal, as in the source.
+    """
+    ids = list(ids or [str(i + 1) for i in range(len(levels) + 1)])
+    return case([(f"{name} IS NULL", lit(i)) for name, i in zip(levels, ids)], lit(ids[len(levels)]))
+
+
+def any_nonzero(measures: Sequence[str]) -> str:
+    """TRUE when one of the measures is known and not zero."""
+    return f"exists(array({', '.join(measures)}), m -> m <> 0)"
+
+
 def isin(c: str, values: Sequence) -> str:
     if not values:
         return "FALSE"

@@ -1,82 +1,18 @@
-"""Aggregates (SURVEY D).  All are partial/final hash aggregates (map-side combine)."""
+"""Aggregates (SURVEY D).  All are partial/final hash aggregates (map-side combine).
+
+The aggregate expressions themselves (share, avg_expr, avg_decimal,
+ratio_of_sums, level_label) are built in ``functions.sql``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from scorewright.functions.columns import (
-    WIDEN_DECIMAL,
-    col,
-    int_div,
-    percent_of,
-    round_half_away,
-)
-
-
-def add_all(cols: Sequence[str | Column]) -> Column:
-    """a + b + ... with NULL propagation."""
-    out = col(cols[0])
-    for c in cols[1:]:
-        out = out + col(c)
-    return out
-
-
-def share(flag: str | Column, on_value: str, ids: str | Column) -> Column:
-    """round(count(flag = on_value) / count(ids), 3) * 100: share of (non-distinct) entities.
-
-    The flag is compared as text, as the source compares it with a string literal.
-    """
-    hit = F.when(col(flag).cast("string") == F.lit(on_value), col(flag))
-    return percent_of(F.count(hit), F.count(col(ids)))
-
-
-def avg_expr(cols: Sequence[str | Column], integer: bool = True) -> Column:
-    """AVG of a sum of columns; a row counts only when every addend is non-NULL.
 
-    With integer inputs the source engine truncates the average, so it is
-    ``sum div count``; with decimal inputs it is a plain average.
-    """
-    total = add_all(cols)
-    if integer:
-        return int_div(F.sum(total), F.count(total))
-    return F.avg(total)
-
-
-def avg_decimal(c: str | Column, places: int = 0) -> Column:
-    """Average after widening to decimal(20,13), then rounded half away from zero."""
-    return round_half_away(F.avg(col(c).cast(WIDEN_DECIMAL)), places)
-
-
-def ratio_of_sums(num: str | Column, den: str | Column) -> Column:
-    """round(sum(num) / sum(den), 3) * 100 -- a ratio of sums, never a mean of ratios."""
-    return percent_of(F.sum(col(num)), F.sum(col(den)))
+from scorewright.functions import avg_decimal, avg_expr, level_label, ratio_of_sums, share  # noqa: F401
 
 
 def rollup_levels(df: DataFrame, levels: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """GROUPING SETS ((a,b,c),(a,b),(a),()) == ROLLUP(a,b,c): one Expand and one aggregate."""
     return df.rollup(*levels).agg(*aggs)
-
-
-def level_label(levels: Sequence[str], ids: Sequence[str] | None = None) -> Column:
-    """Level id from which group columns are NULL, read from the values (not grouping_id()).
-
-    For levels (region, zone, district): region NULL -> '1', zone NULL -> '2',
-    district NULL -> '3', else '4'.  A real NULL key in the data is therefore
-    labelled like a subtotal, as in the source.
-    """
-    ids = list(ids or [str(i + 1) for i in range(len(levels) + 1)])
-    expr = None
-    for name, level_id in zip(levels, ids):
-        cond = F.col(name).isNull()
-        expr = F.when(cond, F.lit(level_id)) if expr is None else expr.when(cond, F.lit(level_id))
-    return expr.otherwise(F.lit(ids[len(levels)]))
-
-
-def level_label_sql(levels: Sequence[str], ids: Sequence[str] | None = None) -> str:
-    """``level_label`` as SQL text."""
-    ids = list(ids or [str(i + 1) for i in range(len(levels) + 1)])
-    whens = " ".join(f"WHEN {name} IS NULL THEN '{lid}'" for name, lid in zip(levels, ids))
-    return f"CASE {whens} ELSE '{ids[len(levels)]}' END"

@@ -1,33 +1,32 @@
 """Joins (SURVEY C).
 
-Broadcasts are only hinted for relations whose row count was checked against
-a bound (``sized_broadcast``); everything else is left to the planner and
-AQE, which converts a shuffle join into a broadcast join at run time when the
-measured size is small, and splits skewed partitions of big joins.
+No join carries a broadcast hint.  Spark broadcasts a side when its size in
+bytes (file statistics, or what AQE measured at run time) is within
+``spark.sql.autoBroadcastJoinThreshold``, and splits skewed partitions of the
+joins it shuffles.  A join on a key with few values goes through
+``spread_join``, so that above the threshold it never puts a whole key value
+into one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on rows for an explicitly broadcast relation.  A benchmark table
-# has at most 9 rows per hierarchy node; config tables have a few dozen.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+SALTS = 64      # tasks over which each value of a low-cardinality join key is spread
 
 
-def sized_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Persist ``small``, count it, and hint a broadcast only when it is within ``max_rows``.
+def spread_join(df: DataFrame, other: DataFrame, on: str, spread: str, how: str = "left", salts: int = SALTS) -> DataFrame:
+    """Equi-join on a key with few values: ``df`` rows of a key are dealt over ``salts`` parts by ``spread``.
 
-    Above the bound the relation is returned un-hinted, so the join stays a
-    shuffle join (or AQE decides from runtime statistics).
+    ``on`` is the SQL join condition, ``spread`` an SQL expression over ``df``.
+    ``other`` is repeated once per part; the result is that of the plain join.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    n = small.count()
-    return F.broadcast(small) if n <= max_rows else small
+    left = df.withColumn("_salt", F.expr(f"pmod(xxhash64({spread}), {int(salts)})"))
+    right = other.selectExpr("*", f"explode(sequence(0L, {int(salts) - 1}L)) AS _part")
+    return left.join(right, F.expr(f"{on} AND _salt = _part"), how).drop("_salt", "_part")
 
 
 def left_join(base: DataFrame, other: DataFrame, on, defaults: Mapping[str, object] | None = None) -> DataFrame:
@@ -70,11 +69,6 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, alias: str | Non
     return df.join(picked, on=key, how="left")
 
 
-def null_rejecting_left(df: DataFrame, other: DataFrame, cond: Column, where: Column) -> DataFrame:
-    """Left join followed by a predicate on the right side; Catalyst turns it into an inner join."""
-    return df.join(other, on=cond, how="left").where(where)
-
-
 def cross_with_constants(df: DataFrame, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
     """Every row of ``df`` paired with each of a few constant rows, without a join.
 

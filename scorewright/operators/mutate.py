@@ -30,10 +30,13 @@ def keyed_update(target: DataFrame, patch: DataFrame, key: str, column: str, new
     """UPDATE target SET column = patch.new WHERE key matches.
 
     A matched key takes the patch value even when it is NULL (not a coalesce);
-    unmatched rows keep their value.  ``patch`` must have one row per key.
+    unmatched rows keep their value.  A key with several patch rows raises when
+    a target row asks for it (a scalar lookup must find one row at most); the
+    check is part of the plan.
     """
-    p = patch.select(F.col(key), F.col(new_column).alias("_new"), F.lit(True).alias("_hit"))
+    p = patch.groupBy(F.col(key)).agg(F.first(new_column).alias("_one"), F.count(F.lit(1)).alias("_n"))
     out = target.join(p, on=key, how="left")
-    out = out.withColumn(column, F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(column)))
-    return out.drop("_new", "_hit")
+    several = F.raise_error(F.concat(F.lit("several patch rows for key "), F.col(key).cast("string")))
+    new = F.when(F.col("_n").isNull(), F.col(column)).when(F.col("_n") == 1, F.col("_one")).otherwise(several)
+    return out.withColumn(column, new).drop("_one", "_n")
 

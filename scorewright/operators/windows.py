@@ -1,13 +1,22 @@
-"""Ranking windows (SURVEY E).  Filters on rank = 1 plan as WindowGroupLimit,
-which trims each partition before the shuffle, so a hot key ships few rows."""
+"""Ranking windows (SURVEY E).
+
+A filter on rank = 1 directly over the ranked rows plans as a partial and a
+final WindowGroupLimit: each task trims its rows before the shuffle, so a hot
+key ships few rows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scorewright.sources.sinks import Workspace, materialise
+
+HOT_ROWS = 1_000_000    # rows of one key that a single task may number
+
 
 def top1(df: DataFrame, key: Sequence[str] | str, order: Sequence[Column], name: str = "_rn") -> DataFrame:
     """One row per key: the first by ``order`` (pass a tie-breaker as the last order column)."""
@@ -22,6 +31,37 @@ def latest_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[Colu
     return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
-def with_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "seq") -> DataFrame:
-    """1..n per group in the given order (written before the sink; no second pass)."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[f"_h_{k}"]) for k in keys])
+
+
+def with_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str = "seq",
+                  hot_rows: int = HOT_ROWS, work: Workspace | None = None) -> DataFrame:
+    """1..n per group in the given order.
+
+    Keys of up to ``hot_rows`` rows are numbered by a window.  The rows of
+    larger ones are range-partitioned by key and order and written, numbered
+    inside each partition, and shifted by the rows the key has in the
+    partitions before: no task sees all rows of a hot key.  Both ways give the
+    same numbers.
+    """
+    plain = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    if df.count() <= hot_rows:
+        return plain
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = materialise(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]), "table", "hot-keys", work)
+    if not hot.limit(1).count():
+        return plain
+    cold = df.join(hot, _same(df, hot, keys), "left_anti")
+    cold = cold.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.join(hot, _same(df, hot, keys), "left_semi").repartitionByRange(parts, *keys, *order)
+    ranged = materialise(ranged.withColumn("_pid", F.spark_partition_id()), "table", "ranged", work)
+    counts = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_pid")) - F.col("_n")
+    counts = counts.select(F.col("_pid").alias("_h__pid"), *[F.col(k).alias(f"_h_{k}") for k in keys],
+                           before.alias("_before"))
+    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid", *keys).orderBy(*order)))
+    hot_rows_numbered = local.join(counts, _same(local, counts, ["_pid", *keys])).withColumn(
+        name, (F.col("_rn") + F.col("_before")).cast("int"))
+    return cold.unionByName(hot_rows_numbered.select(*df.columns, name))

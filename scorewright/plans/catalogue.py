@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.sql.types import IntegralType, StructType
+
 from scorewright.functions import sql as S
 
 from scorewright.fixed import (  # noqa: E402,F401  (re-exported for callers)
@@ -38,7 +40,7 @@ class Kpi:
     metric_id: int
     name: str
     entity: str       # SQL expression over one wide row
-    bench: str        # SQL aggregate expression over a group of wide rows
+    bench: str | Callable[[StructType], str]    # SQL aggregate over wide rows, or made from their schema
     entity_display: str
     bench_display: str
     colour: str = NONE
@@ -73,9 +75,14 @@ class Catalogue:
         """KPI id -> SQL expression, every value decimal(20,10)."""
         return {k.metric_id: S.to_decimal(k.entity) for k in self.kpis}
 
-    def bench_values(self) -> dict[int, str]:
-        """KPI id -> SQL aggregate expression, every value decimal(20,10)."""
-        return {k.metric_id: S.to_decimal(k.bench) for k in self.kpis}
+    def bench_values(self, wide: StructType) -> dict[int, str]:
+        """KPI id -> SQL aggregate expression over wide rows of this schema, every value decimal(20,10)."""
+        return {k.metric_id: S.to_decimal(k.bench(wide) if callable(k.bench) else k.bench) for k in self.kpis}
+
+
+def average_of(cols: list[str]) -> Callable[[StructType], str]:
+    """Average of a sum of columns: truncated for integer columns, plain for others, as their types say."""
+    return lambda wide: S.avg_expr(cols, integer=all(isinstance(wide[c].dataType, IntegralType) for c in cols))
 
 
 def standard_catalogue() -> Catalogue:
@@ -86,9 +93,9 @@ def standard_catalogue() -> Catalogue:
         Kpi(8, "participation", S.to_decimal("participation"),
             S.share("participation", FLAG_ON, "entity_id"), FLAG, PERCENT, OWN),
         Kpi(9, "opportunity_sales", S.to_decimal(S.add_all(opp2)),
-            S.avg_expr(opp2, integer=True), COUNT, COUNT, NONE),
+            average_of(opp2), COUNT, COUNT, NONE),
         Kpi(14, "opportunity_service", S.to_decimal(S.add_all(opp4)),
-            S.avg_expr(opp4, integer=True), COUNT, COUNT, NONE),
+            average_of(opp4), COUNT, COUNT, NONE),
         Kpi(15, "inspection_rate", S.percent_of("inspections_done", "repair_orders"),
             S.ratio_of_sums("inspections_done", "repair_orders"), PERCENT, PERCENT, NONE),
         Kpi(25, "visit_close_rate", S.percent_of("visit_sales", "visit_households"),

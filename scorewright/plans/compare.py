@@ -1,17 +1,21 @@
 """Benchmark comparisons (OP-32..35), value formatting and colours (JOB-6, JOB-7).
 
-Each entity KPI row is compared with four benchmark levels.  The benchmark
-table is bounded by the hierarchy (KPIs x nodes), not by the entity count;
-one grouped row count per level decides, side by side, which join sides are
-broadcast.  Within the bound all four comparisons are map-side hash joins
-over the same entity rows: no shuffle of the entity side at all.
+Each entity KPI row is compared with four benchmark levels in one join: a row
+is expanded into its four level keys (one Generate, the KPI table is read
+once), and the benchmark table is keyed the same way, by level, key columns
+and KPI (``keyed_bench``).  The keyed table is bounded by the hierarchy, not by
+the entity count, and carries no hint: Spark broadcasts it while its size in
+bytes allows and shuffles it beyond that.  The total has one key per KPI only;
+its rows are repeated over ``SALTS`` parts and the entity rows dealt over them,
+so that the join never shuffles on the KPI alone.
 
 Zone and region comparisons follow the source's outer-join-then-filter
 semantics exactly, without its fan-out: an entity row joins the benchmark
 rows of its key prefix whose deeper keys are NULL, and a row with no such
 match survives (with NULLs) only when no benchmark row at all shares its key
 prefix.  That equals "LEFT JOIN on the prefix, then WHERE deeper IS NULL"
-without first producing one row per deeper benchmark row.
+without first producing one row per deeper benchmark row: a prefix that has
+deeper rows only is one blocking row of the keyed table.
 """
 
 from __future__ import annotations
@@ -20,121 +24,93 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.functions import sql as S
-from scorewright.operators.joins import DEFAULT_BROADCAST_ROWS
-from scorewright.plans.catalogue import (
-    COUNT,
-    FLAG,
-    GREEN,
-    LEVEL_DISTRICT,
-    LEVEL_NATION,
-    LEVEL_ZONE,
-    OWN,
-    PERCENT,
-    RED,
-    VS_BENCH,
-    WHITE,
-    Catalogue,
-)
+from scorewright.operators.joins import SALTS
+from scorewright.plans.catalogue import COUNT, FLAG, GREEN, OWN, PERCENT, RED, VS_BENCH, WHITE, Catalogue
 
 LEVELS = ("district", "zone", "region", "nation")
 MATCH_COLUMNS = ("entity_id", "metric_id", "value", "level_id", "b_metric", "b_value")
 SCORECARD_COLUMNS = ("entity_id", "metric_id", "level_id", "value_text", "value_rgb", "bench_text", "period")
 
-
-BENCH_SIDE = ("region AS b_region", "zone AS b_zone", "district AS b_district", "level_id",
-              "metric_id AS b_metric", "value AS b_value")
-
-
-def _bench_side(bench: DataFrame) -> DataFrame:
-    return bench.selectExpr(*BENCH_SIDE)
+#: key columns of a level; the keyed table and the expanded rows fill the others with ''
+_KEYS = {"district": ("region", "zone", "district"), "zone": ("region", "zone"), "region": ("region",)}
 
 
-def bench_level_rows(bench: DataFrame) -> dict:
-    """Benchmark rows per level id: one small aggregate, at most five numbers reach the driver."""
-    return {r["level_id"]: r["n"] for r in bench.groupBy("level_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+def _keys(level: str, prefix: str = "") -> list[str]:
+    names = [f"{prefix}{k}" for k in _KEYS[level]]
+    return [f"{n} AS k{i}" for i, n in enumerate(names + ["''"] * (3 - len(names)), 1)]
 
 
-def bench_is_bounded(bench: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> dict:
-    """Size check before any broadcast hint: which join sides are within ``max_rows``.
+def keyed_bench(bench: DataFrame, total_label: str) -> DataFrame:
+    """(lv, k1, k2, k3, b_metric, level_id, b_value, at_level) for all four comparisons.
 
-    Every side is bounded by the hierarchy (KPIs x nodes), not by the entity
-    count, but the check is made on the actual rows.  The district side holds
-    the district rows, the zone side zone rows (and real-NULL-district rows),
-    the region side region rows, the nation side the total rows.  A side over
-    the bound is joined without a hint (shuffle join; AQE may still broadcast
-    or split skewed partitions).
+    ``at_level`` is false on blocking rows (see above).  Rows with a NULL key
+    could never match an equality and are left out.
     """
-    n = bench_level_rows(bench)
-    total = sum(n.values())
-    return {
-        "district": n.get(LEVEL_DISTRICT, 0) <= max_rows,
-        "zone": n.get(LEVEL_DISTRICT, 0) + n.get(LEVEL_ZONE, 0) <= max_rows,
-        "region": total - n.get(LEVEL_NATION, 0) <= max_rows,
-        "nation": total <= max_rows,
-    }
-
-
-class BenchSide:
-    """The benchmark table prepared once for all four level joins (b_* columns).
-
-    Rows that can never satisfy a level's equality join (a NULL key) are
-    filtered out of that level's side first; that changes no result.
-    """
-
-    def __init__(self, bench: DataFrame, total_label: str, broadcast=True):
-        sizes = broadcast if isinstance(broadcast, dict) else {lv: bool(broadcast) for lv in LEVELS}
-        hint = {lv: (F.broadcast if ok else (lambda d: d)) for lv, ok in sizes.items()}
-        b = _bench_side(bench)
-        self.district = hint["district"](b.where("b_district IS NOT NULL"))
-        self.nation = hint["nation"](b.where(f"b_region = {S.lit(total_label)}"))
-        zone = b.where("b_district IS NULL AND b_zone IS NOT NULL").withColumn("_hit", F.lit(True))
-        self.zone = hint["zone"](zone)
-        self.region = hint["region"](b.where("b_district IS NULL AND b_zone IS NULL AND b_region IS NOT NULL")
-                                     .withColumn("_hit", F.lit(True)))
-        self.zone_any = hint["zone"](
-            b.where("b_zone IS NOT NULL AND b_region IS NOT NULL")
-            .selectExpr("b_region AS _ab_region", "b_zone AS _ab_zone", "b_metric AS _ab_metric")
-            .distinct().withColumn("_any", F.lit(True)))
-        self.region_any = hint["region"](
-            b.where("b_region IS NOT NULL").selectExpr("b_region AS _ab_region", "b_metric AS _ab_metric")
-            .distinct().withColumn("_any", F.lit(True)))
+    b = bench.selectExpr("region AS b_region", "zone AS b_zone", "district AS b_district", "level_id",
+                         "metric_id AS b_metric", "value AS b_value")
+    value = ("b_metric", "level_id", "b_value", "TRUE AS at_level")
+    parts = [b.where("b_region IS NOT NULL AND b_zone IS NOT NULL AND b_district IS NOT NULL").selectExpr(
+        "'district' AS lv", *_keys("district", "b_"), *value)]
+    for level, deeper in (("zone", "b_district"), ("region", "coalesce(b_zone, b_district)")):
+        known = b.where(" AND ".join(f"b_{k} IS NOT NULL" for k in _KEYS[level]))
+        parts.append(known.where(f"{deeper} IS NULL").selectExpr(f"'{level}' AS lv", *_keys(level, "b_"), *value))
+        blocked = known.groupBy(*[f"b_{k}" for k in _KEYS[level]], "b_metric").agg(
+            F.expr(f"max(CASE WHEN {deeper} IS NULL THEN 1 ELSE 0 END) AS _at")).where("_at = 0")
+        parts.append(blocked.selectExpr(
+            f"'{level}' AS lv", *_keys(level, "b_"), "b_metric", "CAST(NULL AS STRING) AS level_id",
+            f"CAST(NULL AS {bench.schema['value'].dataType.simpleString()}) AS b_value", "FALSE AS at_level"))
+    total = b.where(f"b_region = {S.lit(total_label)}")
+    parts.append(total.selectExpr("explode(sequence(0, {})) AS _salt".format(SALTS - 1), "*").selectExpr(
+        "'nation' AS lv", "CAST(_salt AS STRING) AS k1", "'' AS k2", "'' AS k3", *value))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
-_KEYS = {"district": ("region", "zone", "district"), "zone": ("region", "zone"), "region": ("region",)}
+def _level_keys(level: str) -> str:
+    if level == "nation":
+        keys = [f"CAST(pmod(xxhash64(entity_id), {SALTS}) AS STRING) AS k1", "'' AS k2", "'' AS k3"]
+    else:
+        keys = _keys(level)
+    fields = ", ".join(f"'{name}', {value}" for value, name in (k.rsplit(" AS ", 1) for k in keys))
+    return f"named_struct('lv', '{level}', {fields})"
 
 
-def _eq(keys, prefix: str, metric: str) -> str:
-    return " AND ".join([f"metric_id = {metric}"] + [f"{k} = {prefix}{k}" for k in keys])
+def all_levels(em: DataFrame, bench: DataFrame, total_label: str, levels=LEVELS, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The level comparisons of every entity KPI row (MATCH_COLUMNS), all levels from one read of ``em``.
 
+    ``extra`` columns of ``em`` are carried along.  ``bench`` is the benchmark table or an already keyed one (``keyed_bench``).
+    Join conditions are equalities, so a NULL key never matches.
+    """
+    if unknown := set(levels) - set(LEVELS):
+        raise ValueError(f"unknown levels {sorted(unknown)}")
+    keyed = bench if "at_level" in bench.columns else keyed_bench(bench, total_label)
+    b = keyed.selectExpr("lv AS _lv", "k1 AS _k1", "k2 AS _k2", "k3 AS _k3", "b_metric", "level_id", "b_value", "at_level")
+    rows = em.selectExpr("entity_id", "metric_id", "value", *extra,
+                         f"inline(array({', '.join(_level_keys(lv) for lv in levels)}))")
+    on = F.expr("lv = _lv AND metric_id = b_metric AND k1 = _k1 AND k2 = _k2 AND k3 = _k3")
+    # unmatched rows stay, except at the total; matches of a blocking row go
+    kept = "CASE WHEN lv = 'nation' THEN at_level IS NOT NULL ELSE coalesce(at_level, TRUE) END"
+    return rows.join(b, on, "left").where(kept).select(*MATCH_COLUMNS, *extra)
 
-def level_matches(em: DataFrame, bench, level: str, total_label: str, broadcast=True) -> DataFrame:
-    """Entity KPI rows with the benchmark columns of one level (b_* NULL when unmatched).
 
-    ``bench`` is the benchmark DataFrame or a prepared ``BenchSide``.  Join
-    conditions are equalities, so a NULL key never matches.
-    """
-    side = bench if isinstance(bench, BenchSide) else BenchSide(bench, total_label, broadcast)
-    if level == "district":
-        return em.join(side.district, F.expr(_eq(_KEYS["district"], "b_", "b_metric")), "left")
-    if level == "nation":
-        return em.join(side.nation, F.expr("metric_id = b_metric"), "inner")
-    if level not in ("zone", "region"):
-        raise ValueError(f"unknown level {level!r}")
-    keys = _KEYS[level]
-    at_level = side.zone if level == "zone" else side.region
-    prefix = side.zone_any if level == "zone" else side.region_any
-    out = em.join(at_level, F.expr(_eq(keys, "b_", "b_metric")), "left") \
-        .join(prefix, F.expr(_eq(keys, "_ab_", "_ab_metric")), "left") \
-        .where("_hit IS NOT NULL OR _any IS NULL")
-    return out.drop("_hit", "_any", "_ab_metric", *[f"_ab_{k}" for k in keys])
+def level_matches(em: DataFrame, bench: DataFrame, level: str, total_label: str) -> DataFrame:
+    """Entity KPI rows with the benchmark columns of one level (b_* NULL when unmatched)."""
+    return all_levels(em, bench, total_label, (level,))
 
 
 def level_matches_literal(em: DataFrame, bench: DataFrame, level: str, total_label: str) -> DataFrame:
     """The source's literal form (left join on the prefix, then filter); used to test the rewrite."""
-    b = _bench_side(bench)
-    if level in ("district", "nation"):
-        return level_matches(em, bench, level, total_label, broadcast=False)
-    out = em.join(b, F.expr(_eq(_KEYS[level], "b_", "b_metric")), "left").where("b_district IS NULL")
+    b = bench.selectExpr("region AS b_region", "zone AS b_zone", "district AS b_district", "level_id",
+                         "metric_id AS b_metric", "value AS b_value")
+    eq = " AND ".join(["metric_id = b_metric", *[f"{k} = b_{k}" for k in _KEYS.get(level, ())]])
+    out = em.join(b, F.expr(eq), "left")
+    if level == "nation":
+        return out.where(f"b_region = {S.lit(total_label)}")
+    if level == "district":
+        return out
+    out = out.where("b_district IS NULL")
     return out if level == "zone" else out.where("b_zone IS NULL")
 
 
@@ -184,19 +160,7 @@ def format_scorecard(matched: DataFrame, catalogue: Catalogue, report_date) -> D
     )
 
 
-def all_levels(em: DataFrame, bench: DataFrame, total_label: str, levels=LEVELS, broadcast=True) -> DataFrame:
-    """UNION ALL of the level comparisons (same columns for every level)."""
-    side = BenchSide(bench, total_label, broadcast)
-    parts = [level_matches(em, side, lv, total_label).select(*MATCH_COLUMNS) for lv in levels]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
-
-
 def scorecard(em: DataFrame, bench: DataFrame, catalogue: Catalogue, report_date, total_label: str,
-              levels=LEVELS, broadcast=None) -> DataFrame:
-    """All levels' comparisons appended (UNION ALL), formatted once: one row per entity KPI and level."""
-    if broadcast is None:
-        broadcast = bench_is_bounded(bench)
-    return format_scorecard(all_levels(em, bench, total_label, levels, broadcast), catalogue, report_date)
+              levels=LEVELS) -> DataFrame:
+    """All levels' comparisons, formatted once: one row per entity KPI and level."""
+    return format_scorecard(all_levels(em, bench, total_label, levels), catalogue, report_date)

@@ -7,15 +7,14 @@ joins are key-to-key.  Input contracts are listed per function.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewright.fixed import CAMPAIGN_FLAG, SHORT_CODE_LEN
 from scorewright.functions import sql as S
-from scorewright.operators.joins import left_join, lookup, null_rejecting_left, sized_broadcast
+from scorewright.operators.joins import left_join, spread_join
 from scorewright.operators.windows import top1
-from scorewright.sources.snapshot import SUBQUERY, as_of, latest_snapshot
-
+from scorewright.sources.snapshot import SUBQUERY, as_of, latest_snapshot, rows_of
 
 
 def top_vendor(usage: DataFrame, latest=SUBQUERY) -> DataFrame:
@@ -33,13 +32,20 @@ def participation(usage: DataFrame, latest=SUBQUERY) -> DataFrame:
     """usage(entity_id, period, vendor, attributed_sales, retail_sales).
 
     Grouped by entity, retail_sales and period: an entity with several retail
-    values in the period yields several rows (kept, as in the source).
+    values in the period yields several rows (kept, as in the source).  The
+    vendor is that of ``top_vendor``, found in the same pass: the rows are
+    first summed per vendor, keeping the largest single sale, and the window
+    over those few rows per entity leaves them clustered for the last sum.
     """
     rows = latest_snapshot(usage, "period", latest).where("entity_id IS NOT NULL")
-    agg = rows.groupBy("entity_id", "retail_sales", "period").agg(
-        F.expr("sum(attributed_sales) AS attributed_sales"), F.expr("max(retail_sales) AS _retail_max"),
-    ).selectExpr("period", "entity_id", "attributed_sales", "1 AS participation", "_retail_max AS retail_sales")
-    return lookup(agg, top_vendor(usage, latest), "entity_id", "vendor")
+    per_vendor = rows.groupBy("entity_id", "retail_sales", "period", "vendor").agg(
+        F.expr("sum(attributed_sales) AS _sum"), F.expr("max(attributed_sales) AS _best"))
+    w = Window.partitionBy("entity_id").orderBy(F.col("_best").desc(), F.col("vendor").asc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    top = per_vendor.withColumn("_top", F.first("vendor").over(w))
+    return top.groupBy("entity_id", "retail_sales", "period", "_top").agg(
+        F.expr("sum(_sum) AS attributed_sales")).selectExpr(
+        "period", "entity_id", "attributed_sales", "1 AS participation", "retail_sales", "_top AS vendor")
 
 
 def opportunity(src: DataFrame, latest=SUBQUERY) -> DataFrame:
@@ -74,6 +80,9 @@ def service(entities: DataFrame, orders: DataFrame, inspections: DataFrame, late
     entity and period; missing measures become 0.
     """
     d = latest_snapshot(entities, "period", latest).select("entity_id", "period")
+    if latest is not SUBQUERY:      # only that period can match: read no other
+        orders, inspections = (latest_snapshot(x, "period", latest) for x in (orders, inspections))
+    orders, inspections = rows_of(orders), rows_of(inspections)
     out = left_join(d, orders.select("entity_id", "period", "repair_orders"), ["entity_id", "period"])
     out = left_join(out, inspections.select("entity_id", "period", "inspections_done", "menus_presented"),
                     ["entity_id", "period"])
@@ -107,22 +116,21 @@ def advocates(src: DataFrame, latest=SUBQUERY) -> DataFrame:
     )
 
 
-def digital_managers(dim: DataFrame, employees: DataFrame, title_prefix: str, max_employees: int = 1_000_000) -> DataFrame:
+def digital_managers(dim: DataFrame, employees: DataFrame, title_prefix: str) -> DataFrame:
     """employees(name_first, name_last, job, district): managers whose job title starts
     with ``title_prefix``, matched to entities by district name.
 
-    The employee table is a small dimension joined on a low-cardinality key, so
-    it is broadcast after a size check; a shuffle on district would put a
-    whole district into one task.  Several managers per district multiply rows.
+    The employee table is joined on a key with few values: Spark broadcasts it
+    while it is small, and beyond that a district's entities are spread over
+    tasks (``spread_join``).  Several managers per district multiply rows.
     """
     emp = employees.selectExpr(
         f"{S.concat_null('name_first', S.lit(' '), 'name_last')} AS digital_manager",
         "job", "district AS _emp_district",
     )
-    emp = sized_broadcast(emp, max_rows=max_employees)
     # LEFT JOIN ... WHERE job LIKE 'prefix%': the predicate rejects NULL-extended
     # rows, so Catalyst plans an inner join and pushes the filter into the employee side.
-    joined = null_rejecting_left(dim, emp, F.expr("district = _emp_district"), F.col("job").startswith(title_prefix))
+    joined = spread_join(dim, emp, "district = _emp_district", "entity_id").where(F.col("job").startswith(title_prefix))
     return joined.selectExpr("entity_id", "digital_manager", "job", "_emp_district AS district")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorewright.functions import sql as S
-from scorewright.operators.aggregate import level_label_sql, rollup_levels
+from scorewright.operators.aggregate import rollup_levels
 from scorewright.operators.reshape import to_long
 from scorewright.plans.catalogue import HIERARCHY, Catalogue
 
@@ -26,11 +26,11 @@ def benchmark_metrics(wide: DataFrame, catalogue: Catalogue, total_label: str) -
     keys are NULL and the total's region is renamed to ``total_label``.
     Rounding happens per level inside the aggregate expressions.
     """
-    values = catalogue.bench_values()
+    values = catalogue.bench_values(wide.schema)
     agg = rollup_levels(wide, HIERARCHY, [F.expr(f"{v} AS _b{k}") for k, v in values.items()])
     labelled = agg.selectExpr(
         f"coalesce(region, {S.lit(total_label)}) AS region", "zone", "district",
-        f"{level_label_sql(HIERARCHY)} AS level_id",
+        f"{S.level_label(HIERARCHY)} AS level_id",
         *[f"_b{k}" for k in values],
     )
     return to_long(

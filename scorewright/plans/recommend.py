@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorewright.functions import sql as S
+from scorewright.operators.joins import spread_join
 from scorewright.plans.catalogue import RECOMMENDATION_RULES, RULE_BELOW_BENCH, RULE_NOT_ONE
-from scorewright.plans.compare import LEVELS, BenchSide, bench_is_bounded, level_matches
+from scorewright.plans.compare import LEVELS, all_levels
+
+CHUNK = 10_000      # rows that one task expands at once
 
 RECOMMENDATION_COLUMNS = ("resource_id", "level_id", "entity_id", "order_id")
 
@@ -49,24 +52,17 @@ def recommendations(
     total_label: str,
     rules: Sequence[tuple[int, str]] = RECOMMENDATION_RULES,
     levels=LEVELS,
-    broadcast=None,
 ) -> DataFrame:
     """Resources whose rule fires for an entity KPI at a benchmark level, numbered per (entity, level).
 
-    The resource catalogue (tens of rows, a literal mapping joined to two config
-    tables) and the benchmark table are broadcast; the only shuffle is the
-    numbering window on (entity, level).
+    The resources of the rules are joined by KPI, a key with few values
+    (``spread_join``), then all levels are compared in one join.  ``bench`` is
+    the benchmark table or a keyed one (``compare.keyed_bench``).
     """
-    if broadcast is None:
-        broadcast = bench_is_bounded(bench)
-    res = F.broadcast(resources.selectExpr("resource_id", "metric_id AS _res_metric"))
-    with_res = em.join(res, F.expr("metric_id = _res_metric"), "inner").drop("_res_metric")
-    side = BenchSide(bench, total_label, broadcast)
-    cols = ("entity_id", "resource_id", "value", "level_id", "b_value")
-    parts = [level_matches(with_res, side, lv, total_label).select(*cols) for lv in levels]
-    matched = parts[0]
-    for p in parts[1:]:
-        matched = matched.union(p)
+    ids = [rid for rid, _ in rules]
+    res = resources.where(S.isin("resource_id", ids)).selectExpr("resource_id", "metric_id AS _res_metric")
+    with_res = spread_join(em, res, "metric_id = _res_metric", "entity_id", "inner")
+    matched = all_levels(with_res, bench, total_label, levels, extra=("resource_id",))
     fired = matched.where(rule_predicate(rules)).selectExpr(
         f"{rule_resource(rules)} AS resource_id", "level_id", "entity_id",
     )
@@ -79,14 +75,14 @@ def number_duplicates(fired: DataFrame) -> DataFrame:
     Rows of one (entity, level, resource) are identical, so the result is
     fixed by their count: rows are pre-aggregated to counts (map-side
     combine), the window numbers at most one row per distinct resource, and
-    each count expands back into its rows with consecutive order ids.  An
-    entity with a huge fan-out therefore never sends its rows through one
-    window task.
+    each count expands back into its rows with consecutive order ids.  A count
+    is cut into chunks of ``CHUNK`` first and the chunks are dealt over tasks,
+    so a huge fan-out is neither one array nor one task's work.
     """
     counts = fired.groupBy("entity_id", "level_id", "resource_id").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("entity_id", "level_id").orderBy(F.col("resource_id").asc_nulls_first())
     start = counts.withColumn("_end", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return start.selectExpr(
-        "resource_id", "level_id", "entity_id",
-        "explode(sequence(CAST(_end - _n + 1 AS INT), CAST(_end AS INT))) AS order_id",
-    )
+    key = ("resource_id", "level_id", "entity_id")
+    chunks = start.selectExpr(*key, "_end", f"explode(sequence(_end - _n + 1, _end, {CHUNK}L)) AS _from")
+    return chunks.repartition(*key, "_from").selectExpr(
+        *key, f"explode(sequence(CAST(_from AS INT), CAST(least(_end, _from + {CHUNK - 1}) AS INT))) AS order_id")

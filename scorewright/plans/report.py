@@ -1,14 +1,16 @@
 """The whole scorecard refresh: sources -> dimension -> facts -> wide -> KPIs ->
 benchmarks -> scorecard / recommendations / header / footnotes / tooltips.
 
-``build`` returns lazily planned DataFrames (with the three multi-consumer
-intermediates materialised); ``refresh`` computes everything and then
-overwrites the report tables, one write each, after all results exist.
+``build`` returns lazily planned DataFrames (with the multi-consumer
+intermediates materialised); ``refresh`` writes every report table once, into
+the folder of a new version, makes that version current with one rename after
+all of them exist, and releases what the build has held.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -17,36 +19,47 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from scorewright.plans import facts as fx
 from scorewright.plans.annotate import SourceSpec, footnotes, source_catalogue, tooltips
 from scorewright.plans.catalogue import Catalogue, standard_catalogue
-from scorewright.plans.compare import bench_is_bounded, scorecard
+from scorewright.plans.compare import keyed_bench, scorecard
 from scorewright.plans.dimension import entity_dimension, infer_activity
 from scorewright.plans.header import header
 from scorewright.plans.metrics import benchmark_metrics, entity_metrics
 from scorewright.plans.recommend import recommendations, resource_catalogue
 from scorewright.plans.wide import Facts, wide_table
-from scorewright.sources.sinks import materialise, overwrite, run_concurrently
-from scorewright.sources.snapshot import SUBQUERY, latest_periods
+from scorewright.fixed import SHORT_CODE_LEN
+from scorewright.sources.sinks import (
+    Workspace, current_version, delete_path, materialise, overwrite, publish, run_concurrently, versions)
+from scorewright.sources.snapshot import SUBQUERY, PeriodSource, latest_periods
+
+
+Snapshot = DataFrame | PeriodSource
 
 
 @dataclass(frozen=True)
 class ReportSources:
+    """The source tables; those read at their latest period may be a ``PeriodSource``.
+
+    ``work`` holds tables that were staged to make them; ``refresh`` releases it.
+    """
+
     history: DataFrame
     current: DataFrame
     regions: DataFrame
-    usage: DataFrame
-    opportunity: DataFrame
-    campaigns: DataFrame
-    service_entities: DataFrame
-    service_orders: DataFrame
-    inspections: DataFrame
-    visits: DataFrame
-    advocates: DataFrame
+    usage: Snapshot
+    opportunity: Snapshot
+    campaigns: Snapshot
+    service_entities: Snapshot
+    service_orders: Snapshot
+    inspections: Snapshot
+    visits: Snapshot
+    advocates: Snapshot
     employees: DataFrame
-    loyalty: DataFrame
-    enrollment: DataFrame
+    loyalty: Snapshot
+    enrollment: Snapshot
     metric_names: DataFrame
     resource_map: DataFrame
     resource_links: DataFrame
     tooltips: DataFrame
+    work: Workspace = field(default_factory=Workspace)
 
 
 @dataclass(frozen=True)
@@ -57,6 +70,7 @@ class ReportConfig:
     keep: Column | None = None
     order: Sequence[Column] | None = None
     region_suffix: str | None = None
+    short_code_len: int = SHORT_CODE_LEN    # characters of the long code that make the entity key
     # (label, data source, fact name, display order)
     source_labels: Sequence[tuple[str, str, str, int]] = ()
     tooltip_sources: Mapping[int, str] = field(default_factory=dict)
@@ -80,6 +94,11 @@ class Report:
     source_catalogue: DataFrame
     footnotes: DataFrame
     metric_names: DataFrame
+    work: Workspace
+
+    def release(self) -> None:
+        """Unpersist and delete what the build holds; its DataFrames can't be read afterwards."""
+        self.work.release()
 
 
 def snapshot_periods(src: ReportSources, cfg: ReportConfig) -> dict:
@@ -101,13 +120,13 @@ def snapshot_periods(src: ReportSources, cfg: ReportConfig) -> dict:
     return latest_periods(sources)
 
 
-def build_facts(src: ReportSources, dim: DataFrame, cfg: ReportConfig) -> Facts:
-    m = lambda df, name: materialise(df, cfg.facts_mode, name)
+def build_facts(src: ReportSources, dim: DataFrame, cfg: ReportConfig, work: Workspace) -> Facts:
+    m = lambda df, name: materialise(df, cfg.facts_mode, name, work)
     p = snapshot_periods(src, cfg)
     return Facts(
         participation=m(fx.participation(src.usage, p["usage"]), "participation"),
         service=m(fx.service(src.service_entities, src.service_orders, src.inspections, p["service"]), "service"),
-        visit_sales=m(fx.visit_sales(src.visits, latest=p["visits"]), "visit_sales"),
+        visit_sales=m(fx.visit_sales(src.visits, cfg.short_code_len, p["visits"]), "visit_sales"),
         loyalty=m(fx.loyalty(src.loyalty, p["loyalty"]), "loyalty"),
         enrollment=m(fx.enrollment(src.enrollment, p["enrollment"]), "enrollment"),
         opportunity=fx.opportunity(src.opportunity, p["opportunity"]),
@@ -121,28 +140,29 @@ def build(spark: SparkSession, src: ReportSources, cfg: ReportConfig) -> Report:
     """Plan the whole report; materialise only the multi-consumer intermediates.
 
     Order: dimension -> facts (snapshot periods first) -> activity repair ->
-    wide table (written) -> entity KPIs and benchmarks (written side by side)
-    -> size check -> comparisons, recommendations, footnotes, tooltips, header
-    (lazy DataFrames; ``refresh`` computes and writes them).
+    wide table (written) -> entity KPIs and benchmarks (written side by side,
+    the latter also keyed for the comparisons) -> comparisons, recommendations,
+    footnotes, tooltips, header (lazy DataFrames; ``refresh`` writes them).
     """
+    work = Workspace()
     dim0 = entity_dimension(src.history, src.current, src.regions, keep=cfg.keep, order=cfg.order,
-                            region_suffix=cfg.region_suffix)
-    facts = build_facts(src, dim0, cfg)
+                            short_len=cfg.short_code_len, region_suffix=cfg.region_suffix)
+    facts = build_facts(src, dim0, cfg, work)
     dim = infer_activity(dim0, facts.service)
-    wide = materialise(wide_table(dim, facts), cfg.wide_mode, "wide")
-    # the two multi-consumer intermediates are independent jobs: written side by side;
-    # the benchmark size check (per join side: within the broadcast bound?) follows its table
-    def bench_and_bound():
-        b = materialise(benchmark_metrics(wide, cfg.catalogue, cfg.total_label), cfg.metrics_mode, "benchmarks")
-        return b, bench_is_bounded(b)
-
-    em, (bench, bounded) = run_concurrently([
-        lambda: materialise(entity_metrics(wide, cfg.catalogue), cfg.metrics_mode, "entity-metrics"),
-        bench_and_bound,
+    wide = materialise(wide_table(dim, facts), cfg.wide_mode, "wide", work)
+
+    def benchmarks():
+        b = materialise(benchmark_metrics(wide, cfg.catalogue, cfg.total_label), cfg.metrics_mode, "benchmarks", work)
+        return b, materialise(keyed_bench(b, cfg.total_label), cfg.metrics_mode, "keyed-benchmarks", work)
+
+    # independent jobs: written side by side
+    em, (bench, keyed) = run_concurrently([
+        lambda: materialise(entity_metrics(wide, cfg.catalogue), cfg.metrics_mode, "entity-metrics", work),
+        benchmarks,
     ])
-    card = scorecard(em, bench, cfg.catalogue, cfg.report_date, cfg.total_label, broadcast=bounded)
+    card = scorecard(em, keyed, cfg.catalogue, cfg.report_date, cfg.total_label)
     res = resource_catalogue(src.metric_names, src.resource_map, src.resource_links)
-    recs = recommendations(em, bench, res, cfg.total_label, broadcast=bounded)
+    recs = recommendations(em, keyed, res, cfg.total_label)
     by_name = {
         "participation": facts.participation, "service": facts.service, "visit_sales": facts.visit_sales,
         "loyalty": facts.loyalty, "enrollment": facts.enrollment, "campaigns": facts.campaigns,
@@ -155,12 +175,19 @@ def build(spark: SparkSession, src: ReportSources, cfg: ReportConfig) -> Report:
     return Report(
         dimension=dim, facts=facts, wide=wide, entity_metrics=em, benchmarks=bench,
         header=header(wide), scorecard=card, recommendations=recs,
-        source_catalogue=catalog, footnotes=notes, metric_names=names,
+        source_catalogue=catalog, footnotes=notes, metric_names=names, work=work,
     )
 
 
 def refresh(spark: SparkSession, src: ReportSources, cfg: ReportConfig, out_root: str) -> dict[str, str]:
-    """Compute all report tables, then overwrite each sink once (compute first, write last)."""
+    """Write all report tables as a new version of ``out_root`` and make it current (compute first, publish last).
+
+    Every table is written once, to ``out_root/v-<id>/<name>``; the pointer file
+    ``CURRENT`` changes by one atomic rename when all of them exist, so a
+    reader (``current_tables``) sees the old report or the new one, never a
+    mixture.  The version before stays for readers in flight; older ones go.
+    Returns the paths of the new tables.  The build's own tables are released.
+    """
     report = build(spark, src, cfg)
     outputs = {
         "header": report.header,
@@ -170,7 +197,22 @@ def refresh(spark: SparkSession, src: ReportSources, cfg: ReportConfig, out_root
         "metric_names": report.metric_names,
     }
     names = [n for n, df in outputs.items() if df is not None]
-    staged = run_concurrently([lambda n=n: materialise(outputs[n], "table", f"report-{n}") for n in names])
-    written = run_concurrently([lambda n=n, df=df: overwrite(df, os.path.join(out_root, n))
-                                for n, df in zip(names, staged)])
+    before, version = current_version(spark, out_root), f"v-{uuid.uuid4().hex[:12]}"
+    try:
+        written = run_concurrently([lambda n=n: overwrite(outputs[n], os.path.join(out_root, version, n)) for n in names])
+        publish(spark, out_root, version)
+    finally:
+        report.release()
+        src.work.release()
+    for old in set(versions(spark, out_root)) - {before, version}:
+        delete_path(spark, os.path.join(out_root, old))
     return dict(zip(names, written))
+
+
+def current_tables(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
+    """The report tables of the current version of ``out_root``."""
+    version = current_version(spark, out_root)
+    if version is None:
+        raise FileNotFoundError(f"no report has been published in {out_root}")
+    names = ("header", "scorecard", "recommendations", "footnotes", "metric_names")
+    return {n: spark.read.parquet(os.path.join(out_root, version, n)) for n in names}

@@ -1,14 +1,16 @@
 """Maps the driver's TPC-H-style tables onto the report's source contracts.
 
-Entity = customer.  Long code = 'Customer#' + 9-digit key (== c_name), short
-code = its last 6 characters.  Hierarchy: region = r_name, zone = n_name,
+Entity = customer.  Long code = 'Customer#' + the key, zero-padded to 9 digits
+(== c_name); the entity key is its last 19 characters, which hold every digit of
+any key, so that no two customers share one.  Hierarchy: region = r_name, zone = n_name,
 district = c_mktsegment.  Periods are calendar years of order/ship dates
 (months for events), so "latest snapshot" means the latest year.
 
 Every source is derived from the given tables by Spark, so its size grows
 with the scale factor.  The only staged table is ``line_orders`` (lineitem
-joined to its order's customer): three sources read it, so it is written
-once to the shared checkpoint folder instead of being joined three times.
+joined to its order's customer): three sources read it, so each ``sources``
+call writes it once to the shared checkpoint folder instead of joining three
+times; ``ReportSources.work`` releases it.
 """
 
 from __future__ import annotations
@@ -18,15 +20,16 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.functions.columns import right
 from scorewright.plans.catalogue import RESOURCE_METRIC_MAP, standard_catalogue
 from scorewright.plans.report import ReportConfig, ReportSources
-from scorewright.session import app_id, scratch_path
+from scorewright.sources.sinks import Workspace, materialise
+from scorewright.sources.snapshot import PeriodSource
 from scorewright.sources.tables import constants, scan
 
 REPORT_DATE = "2001-06-30"
 TOTAL_LABEL = "ALL REGIONS"
-MANAGER_PREFIX = "District Digital"
+MANAGER_PREFIX = "Area Success"
+SHORT_CODE_LEN = 19         # digits of the longest key
 REGION_SUFFIX = " REGION"   # the testbed appends it to region names; the dimension removes it
 ENROLLMENT_PERIOD = _dt.date(2001, 12, 31)
 E0_NULL_DISTRICT = "MACHINERY"
@@ -43,20 +46,24 @@ SOURCE_LABELS = (
 TOOLTIP_SOURCES = {8: "Participation", 9: "Campaigns", 14: "Campaigns", 15: "Service",
                    25: "Visits", 26: "Loyalty", 27: "Participation", 28: "Campaigns"}
 
-_staged: dict[tuple[str, str], str] = {}
 
 
-def code6(c) -> Column:
-    """Short code of a numeric customer key: last 6 digits of the zero-padded key."""
-    return F.expr(code6_sql(c)) if isinstance(c, str) else right(F.concat(F.lit("00000"), c.cast("string")), 6)
+def long_code_sql(c: str) -> str:
+    """c_name of a customer key; longer keys are never cut."""
+    k = f"CAST({c} AS STRING)"
+    return f"concat('Customer#', repeat('0', greatest(9 - length({k}), 0)), {k})"
 
 
-def code6_sql(c: str) -> str:
-    return f"right(concat('00000', CAST({c} AS STRING)), 6)"
+def code_sql(c: str) -> str:
+    """Entity key of a customer key."""
+    return f"right({long_code_sql(c)}, {SHORT_CODE_LEN})"
 
 
-def long_code_sql(c: str) -> str:
-    return f"concat('Customer#', lpad(CAST({c} AS STRING), 9, '0'))"
+def code(c: str) -> Column:
+    return F.expr(code_sql(c))
+
+
+NAME_CODE = f"right(c_name, {SHORT_CODE_LEN})"
 
 
 def year_sql(c: str) -> str:
@@ -78,14 +85,14 @@ def month_of(c: str) -> Column:
 def geography(spark: SparkSession, root: str) -> DataFrame:
     """customer with its zone (nation) and region names.
 
-    nation and region are fixed-size TPC-H dimensions (25 and 5 rows at every
-    scale factor), so broadcasting them is bounded by construction.
+    nation and region are TPC-H dimensions of 25 and 5 rows at every scale
+    factor; Spark sees their file sizes and broadcasts them.
     """
     n = scan(spark, "nation", ["n_nationkey", "n_name", "n_regionkey"], root)
     r = scan(spark, "region", ["r_regionkey", "r_name"], root)
-    geo = n.join(F.broadcast(r), F.expr("n_regionkey = r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    geo = n.join(r, F.expr("n_regionkey = r_regionkey")).select("n_nationkey", "n_name", "r_name")
     c = scan(spark, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal"], root)
-    return c.join(F.broadcast(geo), F.expr("c_nationkey = n_nationkey")).drop("n_nationkey")
+    return c.join(geo, F.expr("c_nationkey = n_nationkey")).drop("n_nationkey")
 
 
 def entities(spark: SparkSession, root: str, null_keys: bool = False) -> DataFrame:
@@ -95,7 +102,7 @@ def entities(spark: SparkSession, root: str, null_keys: bool = False) -> DataFra
     if null_keys:
         region = f"CASE WHEN r_name <> '{E0_NULL_REGION}' THEN r_name END"
         district = f"CASE WHEN c_mktsegment <> '{E0_NULL_DISTRICT}' THEN c_mktsegment END"
-    return g.selectExpr("c_custkey AS custkey", "right(c_name, 6) AS entity_id", f"{region} AS region",
+    return g.selectExpr("c_custkey AS custkey", f"{NAME_CODE} AS entity_id", f"{region} AS region",
                         "n_name AS zone", f"{district} AS district")
 
 
@@ -132,56 +139,50 @@ def line_orders_frame(spark: SparkSession, root: str) -> DataFrame:
     li = scan(spark, "lineitem", ["l_orderkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate"], root)
     o = scan(spark, "orders", ["o_orderkey", "o_custkey"], root)
     return li.join(o, F.expr("l_orderkey = o_orderkey")).selectExpr(
-        f"{code6_sql('o_custkey')} AS entity_id",
+        f"{code_sql('o_custkey')} AS entity_id",
         f"{year_sql('l_shipdate')} AS period",
         "concat('Vendor ', CAST(l_suppkey AS STRING)) AS vendor",
         "CAST(l_quantity AS BIGINT) AS quantity",
         "l_returnflag AS return_flag",
         # one retail figure per customer: (last digit of the key + 1) * 100
-        f"(CAST(substring({code6_sql('o_custkey')}, 6, 1) AS INT) + 1) * 100 AS retail_sales",
+        "(CAST(right(CAST(o_custkey AS STRING), 1) AS INT) + 1) * 100 AS retail_sales",
     )
 
 
-def line_orders(spark: SparkSession, root: str) -> DataFrame:
-    """lineitem x orders, written once per session to the shared checkpoint folder.
+def line_orders(spark: SparkSession, root: str, work: Workspace | None = None) -> DataFrame:
+    """lineitem x orders, written to the shared checkpoint folder.
 
     Partitioned by period, so a latest-snapshot filter on it prunes to the
-    latest period's files at run time instead of scanning every year.
+    latest period's files instead of scanning every year.
     """
-    key = (app_id(spark), root)
-    if key not in _staged:
-        path = scratch_path(spark, "line-orders")
-        line_orders_frame(spark, root).write.mode("overwrite").partitionBy("period").parquet(path)
-        _staged[key] = path
-    return spark.read.parquet(_staged[key])
+    return materialise(line_orders_frame(spark, root), "table", "line-orders", work, partition_by=("period",))
 
 
-def usage(spark, root):
-    return line_orders(spark, root).selectExpr("entity_id", "period", "vendor", "quantity AS attributed_sales",
-                                               "retail_sales")
+def usage(lines: DataFrame) -> DataFrame:
+    return lines.selectExpr("entity_id", "period", "vendor", "quantity AS attributed_sales", "retail_sales")
 
 
-def inspections(spark, root):
-    return line_orders(spark, root).groupBy("entity_id", "period").agg(
+def inspections(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("entity_id", "period").agg(
         F.expr("count(CASE WHEN return_flag = 'R' THEN 1 END) AS inspections_done"),
         F.expr("count(1) AS menus_presented"),
     )
 
 
-def loyalty_src(spark, root):
-    return line_orders(spark, root).selectExpr(
+def loyalty_src(lines: DataFrame) -> DataFrame:
+    return lines.selectExpr(
         "entity_id", "period", "CASE WHEN return_flag = 'N' THEN 1 ELSE 0 END AS loyal_returns",
         "1 AS market_returns",
     )
 
 
-def _events(spark, root):
-    return scan(spark, "events", ["user_id", "ts", "event_type"], root)
+def _events(spark, root, where):
+    return scan(spark, "events", ["user_id", "ts", "event_type"], root).where(where)
 
 
-def opportunity_src(spark, root):
-    e = _events(spark, root).selectExpr(f"{code6_sql('user_id')} AS entity_id", f"{month_sql('ts')} AS period",
-                                        "event_type")
+def opportunity_src(spark, root, where="TRUE"):
+    e = _events(spark, root, where).selectExpr(f"{code_sql('user_id')} AS entity_id", f"{month_sql('ts')} AS period",
+                                               "event_type")
     cnt = lambda t, name: F.expr(f"count(CASE WHEN event_type = '{t}' THEN 1 END) AS {name}")
     return e.groupBy("entity_id", "period").agg(
         cnt("purchase", "favour_brand"), cnt("click", "favour_undecided"), cnt("view", "count_new"),
@@ -189,36 +190,36 @@ def opportunity_src(spark, root):
     )
 
 
-def advocates_src(spark, root):
-    return _events(spark, root).selectExpr(f"{code6_sql('user_id')} AS entity_id", f"{month_sql('ts')} AS period",
-                                           "concat('Advocate ', upper(event_type)) AS advocate_name")
+def advocates_src(spark, root, where="TRUE"):
+    return _events(spark, root, where).selectExpr(f"{code_sql('user_id')} AS entity_id", f"{month_sql('ts')} AS period",
+                                                  "concat('Advocate ', upper(event_type)) AS advocate_name")
 
 
-def _orders(spark, root):
-    return scan(spark, "orders", ["o_custkey", "o_orderstatus", "o_orderdate"], root)
+def _orders(spark, root, where):
+    return scan(spark, "orders", ["o_custkey", "o_orderstatus", "o_orderdate"], root).where(where)
 
 
-def campaigns_src(spark, root):
-    return _orders(spark, root).selectExpr(
-        f"{code6_sql('o_custkey')} AS entity_id", f"{year_sql('o_orderdate')} AS period",
+def campaigns_src(spark, root, where="TRUE"):
+    return _orders(spark, root, where).selectExpr(
+        f"{code_sql('o_custkey')} AS entity_id", f"{year_sql('o_orderdate')} AS period",
         "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS units_sold", "1 AS customers_contacted",
         "to_date(o_orderdate) AS end_date",
     )
 
 
-def service_orders(spark, root):
-    o = _orders(spark, root).selectExpr(f"{code6_sql('o_custkey')} AS entity_id",
-                                        f"{year_sql('o_orderdate')} AS period")
+def service_orders(spark, root, where="TRUE"):
+    o = _orders(spark, root, where).selectExpr(f"{code_sql('o_custkey')} AS entity_id",
+                                               f"{year_sql('o_orderdate')} AS period")
     return o.groupBy("entity_id", "period").agg(F.expr("count(1) AS repair_orders"))
 
 
-def service_entities(spark, root):
-    return service_orders(spark, root).select("entity_id", "period")
+def service_entities(spark, root, where="TRUE"):
+    return service_orders(spark, root, where).select("entity_id", "period")
 
 
-def visits_src(spark, root):
-    o = _orders(spark, root).selectExpr(f"{long_code_sql('o_custkey')} AS entity_code",
-                                        f"{year_sql('o_orderdate')} AS period", "o_orderstatus")
+def visits_src(spark, root, where="TRUE"):
+    o = _orders(spark, root, where).selectExpr(f"{long_code_sql('o_custkey')} AS entity_code",
+                                               f"{year_sql('o_orderdate')} AS period", "o_orderstatus")
     return o.groupBy("entity_code", "period").agg(
         F.expr("count(1) AS visit_households"),
         F.expr("count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS visit_sales"),
@@ -226,14 +227,12 @@ def visits_src(spark, root):
 
 
 def employees(spark, root):
-    # min(c_name) per segment: c_name is 'Customer#' + the zero-padded key, so the smallest
-    # name is built from the smallest key -- a hash aggregate on a long instead of a
-    # sort-based aggregate over every customer name.
+    # the name of each segment's smallest key: a hash aggregate on a long
     c = scan(spark, "customer", ["c_custkey", "c_mktsegment"], root)
     return c.groupBy("c_mktsegment").agg(F.expr(f"{long_code_sql('min(c_custkey)')} AS name_last")).selectExpr(
         "CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN 'Agent' END AS name_first",
         "name_last",
-        "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Field Analyst' ELSE 'District Digital Manager' END AS job",
+        "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Field Analyst' ELSE 'Area Success Manager' END AS job",
         "c_mktsegment AS district",
     )
 
@@ -241,7 +240,7 @@ def employees(spark, root):
 def enrollment_src(spark, root):
     c = scan(spark, "customer", ["c_name", "c_acctbal"], root)
     return c.selectExpr(
-        "right(c_name, 6) AS entity_id",
+        f"{NAME_CODE} AS entity_id",
         f"DATE '{ENROLLMENT_PERIOD.isoformat()}' AS period",
         "CASE WHEN c_acctbal > 5000 THEN concat('EN-', right(c_name, 6)) END AS enrolled_ref",
     )
@@ -269,21 +268,27 @@ def tooltip_table(spark):
 
 
 def sources(spark: SparkSession, root: str) -> ReportSources:
+    work = Workspace()
+    lines = line_orders(spark, root, work)
+    dated = lambda make, date, grain: PeriodSource(lambda where: make(spark, root, where), date, grain)
     return ReportSources(
         history=history(spark, root), current=current(spark, root), regions=regions(spark, root),
-        usage=usage(spark, root), opportunity=opportunity_src(spark, root), campaigns=campaigns_src(spark, root),
-        service_entities=service_entities(spark, root), service_orders=service_orders(spark, root),
-        inspections=inspections(spark, root), visits=visits_src(spark, root), advocates=advocates_src(spark, root),
-        employees=employees(spark, root), loyalty=loyalty_src(spark, root), enrollment=enrollment_src(spark, root),
+        usage=usage(lines), opportunity=dated(opportunity_src, "ts", "month"),
+        campaigns=dated(campaigns_src, "o_orderdate", "year"),
+        service_entities=dated(service_entities, "o_orderdate", "year"),
+        service_orders=dated(service_orders, "o_orderdate", "year"),
+        inspections=inspections(lines), visits=dated(visits_src, "o_orderdate", "year"),
+        advocates=dated(advocates_src, "ts", "month"),
+        employees=employees(spark, root), loyalty=loyalty_src(lines), enrollment=enrollment_src(spark, root),
         metric_names=metric_names(spark), resource_map=resource_map(spark), resource_links=resource_links(spark),
-        tooltips=tooltip_table(spark),
+        tooltips=tooltip_table(spark), work=work,
     )
 
 
 def config(**overrides) -> ReportConfig:
     base = dict(
         report_date=REPORT_DATE, total_label=TOTAL_LABEL, manager_title_prefix=MANAGER_PREFIX,
-        keep=F.col("open_flag") == "N", region_suffix=REGION_SUFFIX,
+        keep=F.col("open_flag") == "N", region_suffix=REGION_SUFFIX, short_code_len=SHORT_CODE_LEN,
         source_labels=SOURCE_LABELS, tooltip_sources=TOOLTIP_SOURCES,
     )
     base.update(overrides)

@@ -27,16 +27,25 @@ def register(name: str):
 _sources: dict = {}
 
 
+def state_key(spark: SparkSession, root: str) -> tuple:
+    """Session, folder and the sizes and times of its tables: changed tables are read again."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    tables = tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path))
+    return app_id(spark), root, tables
+
+
 def rep_sources(spark: SparkSession, root: str) -> report.ReportSources:
-    key = (app_id(spark), root)
+    key = state_key(spark, root)
     if key not in _sources:
         _sources[key] = testbed.sources(spark, root)
     return _sources[key]
 
 
 def full_report(spark: SparkSession, root: str) -> report.Report:
-    """The whole report over the driver tables, built once per session and folder."""
-    key = (app_id(spark), root)
+    """The whole report over the driver tables, built once per session and state of the folder."""
+    key = state_key(spark, root)
     if key not in _reports:
         _reports[key] = report.build(spark, rep_sources(spark, root), testbed.config())
     return _reports[key]
@@ -52,9 +61,9 @@ def job_scorecard(spark, root):
 # shared pieces over the driver tables
 # ---------------------------------------------------------------------------
 from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql.types import DecimalType  # noqa: E402
 
 from scorewright import functions as fn  # noqa: E402
+from scorewright.functions import sql as S  # noqa: E402
 from scorewright.operators import aggregate as agg  # noqa: E402
 from scorewright.operators import joins as jn  # noqa: E402
 from scorewright.operators import mutate as mu  # noqa: E402
@@ -74,9 +83,8 @@ def E(spark, root, null_keys=False):
 
 def O(spark, root):
     """Latest order year per customer: n_orders, n_filled (customers without one are absent)."""
-    o = tables.scan(spark, "orders", ["o_custkey", "o_orderstatus", "o_orderdate"], root) \
-        .withColumn("period", testbed.year_of("o_orderdate"))
-    latest = snapshot.latest_snapshot(o, "period")
+    o = tables.scan(spark, "orders", ["o_custkey", "o_orderstatus", "o_orderdate"], root)
+    latest = snapshot.latest_in_grain(o, "o_orderdate", "year")
     return latest.groupBy(F.col("o_custkey").alias("custkey")).agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("n_filled"),
@@ -102,7 +110,7 @@ def K(spark):
 
 def e0_report(spark, root):
     """Entity metrics and benchmarks over the E0 hierarchy (NULL districts and regions)."""
-    key = (app_id(spark), root, "e0")
+    key = (*state_key(spark, root), "e0")
     if key not in _reports:
         wide = full_report(spark, root).wide
         w0 = wide.withColumn("region", F.when(F.col("region") != testbed.E0_NULL_REGION, F.col("region"))) \
@@ -126,10 +134,10 @@ def scan_project(spark, root):
 
 @register("latest_snapshot")
 def latest_snapshot_q(spark, root):
-    """OP-02: order rows of the table's own latest year."""
-    o = tables.scan(spark, "orders", ["o_orderkey", "o_custkey", "o_orderdate"], root) \
-        .select("o_orderkey", "o_custkey", testbed.year_of("o_orderdate").alias("period"))
-    return snapshot.latest_snapshot(o, "period")
+    """OP-02: order rows of the table's own latest year (a bound on the date column that reaches the scan)."""
+    o = tables.scan(spark, "orders", ["o_orderkey", "o_custkey", "o_orderdate"], root)
+    return snapshot.latest_in_grain(o, "o_orderdate", "year").select(
+        "o_orderkey", "o_custkey", testbed.year_of("o_orderdate").alias("period"))
 
 
 @register("as_of_filter")
@@ -144,7 +152,7 @@ def inline_mapping(spark, root):
     """OP-04: the KPI catalogue as an inline relation joined to the entity KPI rows."""
     em = full_report(spark, root).entity_metrics
     k = K(spark)
-    j = em.join(F.broadcast(k), on="metric_id", how="inner")
+    j = em.join(k, on="metric_id", how="inner")
     return j.groupBy("display").agg(F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"))
 
 
@@ -168,8 +176,7 @@ def overwrite_roundtrip(spark, root):
 def append_levels(spark, root):
     """OP-07: the four level comparisons appended with one column list, counted per level and KPI."""
     rep = full_report(spark, root)
-    side = cmp.BenchSide(rep.benchmarks, testbed.TOTAL_LABEL)
-    parts = [cmp.level_matches(rep.entity_metrics, side, lv, testbed.TOTAL_LABEL) for lv in cmp.LEVELS]
+    parts = [cmp.level_matches(rep.entity_metrics, rep.benchmarks, lv, testbed.TOTAL_LABEL) for lv in cmp.LEVELS]
     allv = sinks.append_all(parts, ["entity_id", "metric_id", "level_id"])
     return allv.groupBy("level_id", "metric_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -331,12 +338,12 @@ def join_left_composite(spark, root):
 @register("join_widen")
 def join_widen(spark, root):
     """OP-24: three pre-aggregated facts left-joined onto the entity spine on one key."""
-    li = testbed.line_orders(spark, root)
+    li = testbed.line_orders_frame(spark, root)
     L = li.groupBy(F.col("entity_id")).agg(F.sum("quantity").alias("quantity"),
                                            F.count(F.when(F.col("return_flag") == "R", 1)).alias("returned"))
     e = E(spark, root)
-    o = O(spark, root).withColumn("entity_id", testbed.code6(F.col("custkey"))).drop("custkey")
-    v = V(spark, root).withColumn("entity_id", testbed.code6(F.col("custkey"))).drop("custkey")
+    o = O(spark, root).withColumn("entity_id", testbed.code("custkey")).drop("custkey")
+    v = V(spark, root).withColumn("entity_id", testbed.code("custkey")).drop("custkey")
     return jn.widen(e.select("entity_id", "region"), [o, v, L], "entity_id")
 
 
@@ -439,12 +446,12 @@ def agg_global_max(spark, root):
 def agg_by_measure(spark, root):
     """OP-39: GROUP BY that includes a measure: several rows per customer."""
     o = tables.scan(spark, "orders", ["o_custkey", "o_orderpriority", "o_orderdate", "o_orderstatus"], root)
-    src = o.select(testbed.code6(F.col("o_custkey")).alias("entity_id"),
+    o = snapshot.latest_in_grain(o, "o_orderdate", "year")
+    src = o.select(testbed.code("o_custkey").alias("entity_id"),
                    (F.substring("o_orderpriority", 1, 1).cast("int") * 100).alias("retail_sales"),
                    testbed.year_of("o_orderdate").alias("period"),
                    F.when(F.col("o_orderstatus") == "F", F.lit(1)).otherwise(F.lit(0)).alias("filled"))
-    latest = snapshot.latest_snapshot(src, "period")
-    return latest.groupBy("entity_id", "retail_sales", "period").agg(
+    return src.groupBy("entity_id", "retail_sales", "period").agg(
         F.sum("filled").alias("filled"), F.max("retail_sales").alias("retail_max"))
 
 
@@ -463,8 +470,8 @@ def agg_avg_expr(spark, root):
     j = E(spark, root).join(V(spark, root), "custkey", "left")
     return j.groupBy("region").agg(
         agg.avg_expr(["purchases", "clicks"], integer=True).alias("avg_int"),
-        agg.avg_expr([F.col("purchases").cast(DecimalType(20, 0)), F.col("clicks").cast(DecimalType(20, 0))],
-                     integer=False).cast(DecimalType(20, 10)).alias("avg_dec"),
+        agg.avg_expr(["CAST(purchases AS DECIMAL(20,0))", "CAST(clicks AS DECIMAL(20,0))"],
+                     integer=False).cast("decimal(20,10)").alias("avg_dec"),
     )
 
 
@@ -472,14 +479,16 @@ def agg_avg_expr(spark, root):
 def agg_avg_decimal(spark, root):
     """OP-42: average after widening to decimal(20,13), rounded to 0 places, per zone."""
     j = E(spark, root).join(O(spark, root), "custkey", "left")
-    return j.groupBy("zone").agg(agg.avg_decimal("n_filled", 0).cast(DecimalType(20, 10)).alias("avg_filled"))
+    return j.groupBy("zone").agg(agg.avg_decimal("n_filled", 0).cast("decimal(20,10)").alias("avg_filled"))
 
 
 @register("agg_ratio_of_sums")
 def agg_ratio_of_sums(spark, root):
-    """OP-43: ratio of sums (not mean of ratios), per zone."""
+    """OP-43: ratio of sums (not mean of ratios), per zone; integers, and decimals with fractions."""
     j = E(spark, root).join(O(spark, root), "custkey", "left")
-    return j.groupBy("zone").agg(agg.ratio_of_sums("n_filled", "n_orders").alias("filled_rate"))
+    return j.groupBy("zone").agg(
+        agg.ratio_of_sums("n_filled", "n_orders").alias("filled_rate"),
+        agg.ratio_of_sums("CAST(n_filled AS DECIMAL(10,1)) + 0.5", "CAST(n_orders AS DECIMAL(10,2)) + 0.25").alias("frac_rate"))
 
 
 def _rollup(spark, root):
@@ -499,7 +508,7 @@ def level_label_q(spark, root):
     """OP-45: level id read from NULL group keys (real NULL keys included), total renamed."""
     r = _rollup(spark, root)
     return r.select(F.coalesce("region", F.lit(testbed.TOTAL_LABEL)).alias("region"), "zone", "district",
-                    agg.level_label(list(cat.HIERARCHY)).alias("level_id"), "n_entities")
+                    agg.level_label(cat.HIERARCHY).alias("level_id"), "n_entities")
 
 
 # ---------------------------------------------------------------------------
@@ -536,9 +545,9 @@ def window_sequence(spark, root):
 @register("union_distinct")
 def union_distinct_q(spark, root):
     """OP-49: UNION of entity ids seen in events and of customers with a negative balance."""
-    ev = tables.scan(spark, "events", ["user_id"], root).select(testbed.code6(F.col("user_id")).alias("entity_id"))
+    ev = tables.scan(spark, "events", ["user_id"], root).select(testbed.code("user_id").alias("entity_id"))
     neg = tables.scan(spark, "customer", ["c_name", "c_acctbal"], root).where(F.col("c_acctbal") < 0) \
-        .select(fn.right("c_name", 6).alias("entity_id"))
+        .select(F.expr(testbed.NAME_CODE).alias("entity_id"))
     return rs.union_distinct([ev, neg])
 
 
@@ -582,7 +591,7 @@ def fn_right(spark, root):
 def fn_replace(spark, root):
     """OP-53: replace every occurrence of a substring."""
     c = _customers(spark, root)
-    return c.select("c_custkey", fn.replace(F.concat("c_mktsegment", F.lit(" REGION")), " REGION", "").alias("cleaned"),
+    return c.select("c_custkey", fn.replace("concat(c_mktsegment, ' REGION')", " REGION", "").alias("cleaned"),
                     fn.replace("c_name", "0", "o").alias("swapped"))
 
 
@@ -590,22 +599,22 @@ def fn_replace(spark, root):
 def fn_coalesce(spark, root):
     """OP-54: two-argument NULL default over the E0 hierarchy."""
     e = E(spark, root, null_keys=True)
-    return e.select("entity_id", fn.if_null("district", "UNKNOWN").alias("district"),
-                    fn.if_null("region", testbed.TOTAL_LABEL).alias("region"))
+    return e.select("entity_id", fn.if_null("district", S.lit("UNKNOWN")).alias("district"),
+                    fn.if_null("region", S.lit(testbed.TOTAL_LABEL)).alias("region"))
 
 
 @register("fn_concat_null")
 def fn_concat_null(spark, root):
     """OP-55: NULL-propagating concatenation (a NULL part makes the result NULL)."""
     e = E(spark, root, null_keys=True)
-    return e.select("entity_id", fn.concat_null(F.col("district"), " / ", F.col("zone")).alias("label"))
+    return e.select("entity_id", fn.concat_null("district", S.lit(" / "), "zone").alias("label"))
 
 
 @register("fn_month_label")
 def fn_month_label(spark, root):
     """OP-56: 'Month yyyy' from a date."""
     o = tables.scan(spark, "orders", ["o_orderkey", "o_orderdate"], root)
-    return o.select("o_orderkey", fn.month_label(F.to_date("o_orderdate")).alias("month_label"))
+    return o.select("o_orderkey", fn.month_label("to_date(o_orderdate)").alias("month_label"))
 
 
 @register("fn_format_thousands")
@@ -627,7 +636,7 @@ def fn_format_thousands(spark, root):
 def fn_format_percent(spark, root):
     """OP-58: percent with one decimal; NULL -> '-'."""
     j = E(spark, root).join(O(spark, root), "custkey", "left")
-    return j.select("entity_id", fn.format_percent(fn.percent_of("n_filled", "n_orders")).alias("filled_pct"))
+    return j.select("entity_id", fn.format_percent(S.percent_of("n_filled", "n_orders")).alias("filled_pct"))
 
 
 @register("fn_trunc_int")
@@ -635,15 +644,15 @@ def fn_trunc_int(spark, root):
     """OP-59: decimal/double to int truncating toward zero (negative balances included)."""
     c = _customers(spark, root)
     return c.select("c_custkey", fn.trunc_int("c_acctbal").alias("whole"),
-                    fn.trunc_int(F.col("c_custkey").cast(DecimalType(20, 0)) / 3).alias("third"))
+                    fn.trunc_int("CAST(c_custkey AS DECIMAL(20,0)) / 3").alias("third"))
 
 
 @register("fn_cast_decimal")
 def fn_cast_decimal(spark, root):
     """OP-60: decimal(20,10), (20,13) and (10,1) casts; the last rounds half away from zero."""
     li = tables.scan(spark, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"], root)
-    q = F.col("l_quantity").cast("bigint")
-    quarter = fn.to_decimal(q, 20, 10) * F.lit(0.25).cast(DecimalType(3, 2))
+    q = "CAST(l_quantity AS BIGINT)"
+    quarter = f"{S.to_decimal(q, 20, 10)} * 0.25"
     return li.select("l_orderkey", "l_linenumber", fn.to_decimal(q, 20, 10).alias("d20_10"),
                      fn.to_decimal(q, 20, 13).alias("d20_13"), fn.to_decimal(quarter, 10, 1).alias("d10_1"))
 
@@ -652,9 +661,9 @@ def fn_cast_decimal(spark, root):
 def fn_round(spark, root):
     """OP-61: ROUND half away from zero on decimals."""
     li = tables.scan(spark, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"], root)
-    quarter = fn.to_decimal(F.col("l_quantity").cast("bigint"), 20, 10) * F.lit(0.25).cast(DecimalType(3, 2))
+    quarter = f"{S.to_decimal('CAST(l_quantity AS BIGINT)', 20, 10)} * 0.25"
     return li.select("l_orderkey", "l_linenumber", fn.round_half_away(quarter, 1).alias("r1"),
-                     fn.round_half_away(-quarter, 0).alias("r0_negative"))
+                     fn.round_half_away(f"-({quarter})", 0).alias("r0_negative"))
 
 
 @register("fn_arith_null")
@@ -670,7 +679,7 @@ def fn_to_string(spark, root):
     """OP-63: number -> text (the default formatter)."""
     li = tables.scan(spark, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity"], root)
     return li.select("l_orderkey", "l_linenumber",
-                     fn.to_text(fn.to_decimal(F.col("l_quantity").cast("bigint"), 20, 10)).alias("text"))
+                     fn.to_text(S.to_decimal("CAST(l_quantity AS BIGINT)", 20, 10)).alias("text"))
 
 
 @register("safe_divide")
@@ -678,8 +687,10 @@ def safe_divide_q(spark, root):
     """OP-64: decimal division, NULL on a NULL side or a zero divisor (no Python UDF)."""
     j = E(spark, root).join(O(spark, root), "custkey", "left").join(V(spark, root), "custkey", "left")
     return j.select("entity_id",
-                    fn.safe_divide("n_filled", "n_orders").cast(DecimalType(20, 10)).alias("filled_share"),
-                    fn.safe_divide("purchases", F.col("purchases") - F.col("purchases")).alias("by_zero"))
+                    fn.safe_divide("n_filled", "n_orders").cast("decimal(20,10)").alias("filled_share"),
+                    fn.safe_divide("CAST(n_filled AS DECIMAL(10,1)) + 0.5", "CAST(n_orders AS DECIMAL(10,2)) + 0.25")
+                    .cast("decimal(20,10)").alias("frac_share"),
+                    fn.safe_divide("purchases", "purchases - purchases").alias("by_zero"))
 
 
 # ---------------------------------------------------------------------------
@@ -692,7 +703,8 @@ def job_entity_dimension(spark, root):
     src = rep_sources(spark, root)
     cfg = testbed.config()
     from scorewright.plans.dimension import entity_dimension
-    return entity_dimension(src.history, src.current, src.regions, keep=cfg.keep, region_suffix=cfg.region_suffix)
+    return entity_dimension(src.history, src.current, src.regions, keep=cfg.keep, short_len=cfg.short_code_len,
+                            region_suffix=cfg.region_suffix)
 
 
 @register("job_infer_activity")

@@ -2,8 +2,8 @@
 
 Library code never creates a session; callers pass one in.  ``local_session``
 exists for tests and the benchmark only.  ``checkpoint_root`` returns the shared
-folder named by ``spark.checkpoint.dir``; a private temporary folder is only used
-when nothing is configured (local runs and tests).
+folder named by ``spark.checkpoint.dir``; only a local[N] session that names none
+gets a private temporary folder, with a warning.
 """
 
 from __future__ import annotations
@@ -11,11 +11,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "scorewright") -> SparkSession:
+def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "scorewright",
+                  checkpoint_dir: str | None = None) -> SparkSession:
+    """Local session with an explicit folder for written intermediates (a new temporary one by default)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -25,6 +28,8 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "sco
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="scorewright-ckpt-"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
@@ -51,9 +56,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediates.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster's shared
-    storage).  Only when it is unset -- local mode and tests -- a private
-    folder is created and registered as the checkpoint directory.  The answer
-    is remembered per application.
+    storage).  Where it is unset, a session whose master is known to be
+    ``local`` or ``local[...]`` gets a private folder, with a warning; any
+    other raises.  The answer is remembered per application.
     """
     key = app_id(spark)
     if key in _private_roots:
@@ -62,6 +67,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not configured and not _is_local(spark):
         raise RuntimeError("spark.checkpoint.dir is not set: point it at shared storage (HDFS/S3/ABFS); "
                            "a machine-local folder cannot hold tables that every executor writes and reads")
+    if not configured:
+        configured = tempfile.mkdtemp(prefix="scorewright-ckpt-")
+        warnings.warn(f"spark.checkpoint.dir is not set: written intermediates go to {configured}", stacklevel=2)
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext on the client)
@@ -69,20 +77,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     if sc is not None:
         current = sc.getCheckpointDir()
         if not current:
-            sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="scorewright-ckpt-"))
+            sc.setCheckpointDir(configured)
             current = sc.getCheckpointDir()
         root = current
     else:
-        root = configured or tempfile.mkdtemp(prefix="scorewright-ckpt-")
+        root = configured
     _private_roots[key] = root
     return root
 
 
 def _is_local(spark: SparkSession) -> bool:
     try:
-        return spark.conf.get("spark.master", "local").startswith("local")
+        master = spark.conf.get("spark.master", "")
     except Exception:  # noqa: BLE001
         return False
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -108,5 +117,7 @@ def cluster_settings(input_bytes: int, target_partition_bytes: int = 256 * 1024
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # split hot keys of a join even where a later operator then needs another shuffle
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
     }

@@ -17,6 +17,33 @@ from pyspark.sql import DataFrame, SparkSession
 from scorewright.session import scratch_path
 
 
+class Workspace:
+    """The persisted frames and written tables of one build; ``release`` frees both.
+
+    Used from several driver threads at once (list appends only).
+    """
+
+    def __init__(self):
+        self.frames: list[DataFrame] = []
+        self.paths: list[tuple[SparkSession, str]] = []
+
+    def release(self) -> None:
+        while self.frames:
+            self.frames.pop().unpersist()
+        while self.paths:
+            delete_path(*self.paths.pop())
+
+
+def _filesystem(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _filesystem(spark, path)
+    fs.delete(p, True)
+
+
 def append_all(frames: Sequence[DataFrame], cols: Sequence[str] | None = None) -> DataFrame:
     """UNION ALL of several result sets with one explicit column list (duplicates kept)."""
     if cols is not None:
@@ -37,7 +64,8 @@ def read_back(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
     return spark.read.format(fmt).load(path)
 
 
-def materialise(df: DataFrame, mode: str = "cache", name: str = "stage") -> DataFrame:
+def materialise(df: DataFrame, mode: str = "cache", name: str = "stage", work: Workspace | None = None,
+                partition_by: Sequence[str] = ()) -> DataFrame:
     """Materialise an intermediate that several consumers read.
 
     ``cache``      persisted MEMORY_AND_DISK; lost blocks are recomputed from lineage.
@@ -45,16 +73,22 @@ def materialise(df: DataFrame, mode: str = "cache", name: str = "stage") -> Data
                    cuts the lineage, survives executor loss, scans prune and push down.
     ``checkpoint`` reliable ``DataFrame.checkpoint`` into ``spark.checkpoint.dir``.
     ``none``       keep it lazy.
+
+    ``work`` takes note of what has to be released when the build is done.
     """
     if mode == "none":
         return df
     if mode == "cache":
+        if work is not None:
+            work.frames.append(df)
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     spark = df.sparkSession
     if mode == "table":
         path = scratch_path(spark, name)
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        if work is not None:
+            work.paths.append((spark, path))
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
     if mode == "checkpoint":
         scratch_path(spark, name)  # makes sure a checkpoint folder is registered
         return df.checkpoint(eager=True)
@@ -74,3 +108,30 @@ def run_concurrently(tasks: Sequence[Callable[[], object]], max_workers: int = 4
     with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
         futures = [pool.submit(t) for t in tasks]
         return [f.result() for f in futures]
+
+
+def publish(spark: SparkSession, root: str, version: str) -> None:
+    """Make ``version`` the current one of a report folder: one atomic rename of its pointer file."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new, fs = _filesystem(spark, f"{root}/CURRENT.{version}")
+    out = fs.create(new, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    rename = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    rename[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    target = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(new, target, rename)
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The version that ``publish`` made current, None before the first."""
+    path, fs = _filesystem(spark, f"{root}/CURRENT")
+    if not fs.exists(path):
+        return None
+    return spark.read.text(f"{root}/CURRENT", wholetext=True).first()[0].strip()
+
+
+def versions(spark: SparkSession, root: str) -> list[str]:
+    path, fs = _filesystem(spark, root)
+    found = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(n for n in found if n.startswith("v-"))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,45 @@ def scalar_value(df: DataFrame, expr: Column) -> Column:
 SUBQUERY = object()  # default of ``latest``: plan the maximum as a scalar subquery
 
 
-def latest_snapshot(df: DataFrame, period_col: str, latest=SUBQUERY) -> DataFrame:
+@dataclass(frozen=True)
+class PeriodSource:
+    """A source whose ``period`` is the calendar year or month of a date column of its base table.
+
+    ``rows(predicate)`` builds the source from the base rows that satisfy an SQL
+    predicate.  A period read with ``at`` is also stated as a range of the base
+    column, which reaches the scan (pushed filter, row-group pruning); the
+    period itself is an expression and never could.
+    """
+
+    rows: Callable[[str], DataFrame]
+    date: str
+    grain: str
+
+    def frame(self) -> DataFrame:
+        return self.rows("TRUE")
+
+    def at(self, period: _dt.date) -> DataFrame:
+        end = _dt.date(period.year + (self.grain == "year" or period.month == 12),
+                       1 if self.grain == "year" else period.month % 12 + 1, 1)
+        return self.rows(f"{self.date} >= DATE'{period}' AND {self.date} < DATE'{end}'").where(
+            F.col("period") == F.lit(period))
+
+
+def rows_of(source) -> DataFrame:
+    return source.frame() if isinstance(source, PeriodSource) else source
+
+
+def latest_in_grain(df: DataFrame, date_col: str, grain: str) -> DataFrame:
+    """Rows of the latest calendar year or month of a date column, as a lower bound on that column.
+
+    The bound is a scalar subquery; Spark fills in its value before the scan
+    starts and pushes it down.
+    """
+    start = df.selectExpr(f"CAST(trunc(to_date(max({date_col})), '{grain}') AS {df.schema[date_col].dataType.simpleString()})")
+    return df.where(F.col(date_col) >= start.scalar())
+
+
+def latest_snapshot(df: DataFrame | PeriodSource, period_col: str, latest=SUBQUERY) -> DataFrame:
     """Rows whose period equals the table's own maximum period.
 
     Without ``latest`` it is planned as a scalar subquery in the filter, not as
@@ -29,6 +68,8 @@ def latest_snapshot(df: DataFrame, period_col: str, latest=SUBQUERY) -> DataFram
     rows either way.  Apply it to the table as read, before any other
     predicate, because the maximum is taken over whatever ``df`` contains.
     """
+    if isinstance(df, PeriodSource):
+        df = df.frame() if latest is SUBQUERY or latest is None else df.at(latest)
     if latest is SUBQUERY:
         latest = df.selectExpr(f"max({period_col})").scalar()
         return df.where(F.col(period_col) == latest)
@@ -48,11 +89,12 @@ def latest_periods(sources: Mapping[str, tuple[DataFrame, str]]) -> dict:
 
     names = list(sources)
     values = run_concurrently(
-        [lambda n=n: sources[n][0].selectExpr(f"max({sources[n][1]})").first()[0] for n in names],
+        [lambda n=n: rows_of(sources[n][0]).selectExpr(f"max({sources[n][1]})").first()[0] for n in names],
         max_workers=8,
     )
     return dict(zip(names, values))
 
+
 def _date(value) -> Column:
     if isinstance(value, Column):
         return value
