@@ -1,4 +1,4 @@
-"""Column functions and their SQL-text twins."""
+"""Scalar functions."""
 
 from decimal import Decimal
 
@@ -31,7 +31,7 @@ def test_percent_rounds_half_away_exactly(pairs):
 
 
 def test_format_percent_and_missing(pairs):
-    out = _both(pairs, fn.format_percent(fn.percent_of("a", "b")), S.format_percent(S.percent_of("a", "b")))
+    out = _both(pairs, fn.format_percent(S.percent_of("a", "b")), S.format_percent(S.percent_of("a", "b")))
     assert out == ["6.3%", "403.8%", "801.3%", "-", "-", "-", "0.0%"]
 
 
@@ -59,10 +59,10 @@ def test_concat_null_right_replace_coalesce(spark):
     df = spark.createDataFrame([("Customer#000000123", None, "NORTH REGION"), ("ab", "x", "SOUTH")],
                                "code string, first string, reg string")
     assert _both(df, fn.right("code", 6), S.right("code", 6)) == ["000123", "ab"]
-    assert _both(df, fn.concat_null(F.col("first"), " ", F.col("code")),
+    assert _both(df, fn.concat_null("first", S.lit(" "), "code"),
                  S.concat_null("first", S.lit(" "), "code")) == [None, "x ab"]
     assert _both(df, fn.replace("reg", " REGION"), S.replace("reg", " REGION")) == ["NORTH", "SOUTH"]
-    assert _both(df, fn.if_null("first", "None"), S.if_null("first", S.lit("None"))) == ["None", "x"]
+    assert _both(df, fn.if_null("first", S.lit("None")), S.if_null("first", S.lit("None"))) == ["None", "x"]
 
 
 def test_month_label(spark):
@@ -83,3 +83,19 @@ def test_safe_divide_type_is_decimal(spark, pairs):
 def test_flag_text(spark):
     df = spark.createDataFrame([("1",), ("0",), (None,)], "f string")
     assert _both(df, fn.flag_text("f"), S.flag_text("f")) == ["Y", "N", "N"]
+
+
+def test_safe_divide_keeps_fractions(spark):
+    df = spark.createDataFrame([(Decimal("1.5"), Decimal("2.50"), 2, 3.0)], "a decimal(5,1), b decimal(9,2), i int, x double")
+    q = lambda a, b: df.select(fn.safe_divide(a, b).cast("decimal(20,10)")).first()[0]
+    assert q("a", "b") == Decimal("0.6") and q("a", "i") == Decimal("0.75") and q("i", "b") == Decimal("0.8")
+    assert q("a", "x") == Decimal("0.5")
+    rows = spark.createDataFrame([(Decimal("1.4"), Decimal("2.4"))], "a decimal(5,1), b decimal(5,1)")
+    assert rows.select(fn.percent_of("a", "b")).first()[0] == Decimal("58.3")
+    assert rows.agg(fn.ratio_of_sums("a", "b")).first()[0] == Decimal("58.3")
+
+
+def test_any_nonzero(spark):
+    df = spark.createDataFrame([(0, None, 0), (None, None, 2), (None, None, None), (-1, 0, 0)], "a int, b int, c int")
+    assert [r[0] for r in df.select(F.coalesce(fn.any_nonzero(["a", "b", "c"]), F.lit(False))).collect()] == [
+        False, True, False, True]

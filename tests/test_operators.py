@@ -1,5 +1,9 @@
 """Operator building blocks on small fixtures, including their plans."""
 
+import os
+import re
+
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -25,20 +29,20 @@ def test_constants_are_local_relations(spark):
     assert empty.count() == 0 and empty.columns == ["k", "v"]
 
 
-def test_sized_broadcast_hints_only_within_bound(spark):
-    big = spark.range(1000).withColumn("k", F.col("id") % 7)
-    small = spark.range(7).withColumnRenamed("id", "k")
+def test_spread_join_equals_plain_join_and_never_shuffles_on_the_key_alone(spark):
+    big = spark.range(1000).selectExpr("id", "id % 7 AS k")
+    small = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c"), (9, "z")], "sk long, v string")
+    plain = big.join(small, F.expr("k = sk"), "left")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        ok = big.join(jn.sized_broadcast(small, max_rows=10), "k")
-        over = big.join(jn.sized_broadcast(small, max_rows=3), "k")
-        assert "BroadcastHashJoin" in executed(ok)
-        assert "BroadcastHashJoin" not in executed(over)
-        assert ok.count() == over.count() == 1000
+        spread = jn.spread_join(big, small, "k = sk", "id")
+        plan = executed(spread)
+        keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+        assert "SortMergeJoin" in plan and len(keys) == 2
+        assert all("_salt" in k or "_part" in k for k in keys)
+        assert spread.exceptAll(plain).count() == 0 and plain.exceptAll(spread).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
 def test_materialise_modes_keep_rows(spark):
@@ -126,3 +130,44 @@ def test_cluster_settings_scale_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(huge["spark.sql.shuffle.partitions"]) == 409600
     assert huge["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert huge["spark.sql.adaptive.forceOptimizeSkewedJoin"] == "true"
+
+
+def test_hot_key_sequence_equals_window(spark):
+    rows = [("hot", i % 50, i) for i in range(400)] + [(None, i, i) for i in range(150)] + [(f"c{i % 9}", i, i) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, o int, tie int").repartition(7)
+    order = [F.col("o").desc(), F.col("tie").asc()]
+    plain = wn.with_sequence(df, ["k"], order)
+    hot = wn.with_sequence(df, ["k"], order, hot_rows=100)
+    assert hot.columns == plain.columns
+    assert hot.exceptAll(plain).count() == 0 and plain.exceptAll(hot).count() == 0
+    assert wn.with_sequence(df.where("k <> 'hot'"), ["k"], order, hot_rows=100).count() == 60
+
+
+def test_duplicate_patch_keys_raise(spark):
+    t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y")], "k int, new_value string")
+    with pytest.raises(Exception, match="several patch rows for key 1"):
+        mu.keyed_update(t, twice, "k", "v").collect()
+    unasked = spark.createDataFrame([(7, "x"), (7, "y"), (2, "z")], "k int, new_value string")
+    assert sorted(tuple(r) for r in mu.keyed_update(t, unasked, "k", "v").collect()) == [(1, "a"), (2, "z")]
+
+
+def test_large_duplicate_counts_expand_in_chunks(spark, monkeypatch):
+    from scorewright.plans import recommend
+
+    monkeypatch.setattr(recommend, "CHUNK", 7)
+    fired = spark.range(50).selectExpr("'e' AS entity_id", "'4' AS level_id", "CAST(id % 2 AS INT) AS resource_id")
+    got = sorted((r["order_id"], r["resource_id"]) for r in number_duplicates(fired).collect())
+    assert got == [(i + 1, int(i >= 25)) for i in range(50)]
+
+
+def test_workspace_releases_frames_and_tables(spark):
+    work = sinks.Workspace()
+    cached = sinks.materialise(spark.range(5), "cache", work=work)
+    table = sinks.materialise(spark.range(5), "table", "w", work)
+    cached.count()
+    path = table.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert cached.is_cached and os.path.isdir(path)
+    work.release()
+    assert not cached.is_cached and not os.path.exists(path)

@@ -5,10 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from scorewright.registry.oracle import ORACLES
+from scorewright.registry.spark_queries import QUERIES
 from tests.oracle_check import compare, duck
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,13 +19,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    ok_cols, ok_rows, ok_vals, ns, nd, *_ = compare(spark, con, name, entry.queries()[name],
-                                                    entry.oracle_sql()[name], SF_DIR)
+    ok_cols, ok_rows, ok_vals, ns, nd, *_ = compare(spark, con, name, QUERIES[name], ORACLES[name], SF_DIR)
     assert ok_cols, f"{name}: column names differ"
     assert ok_rows, f"{name}: {ns} spark rows vs {nd} oracle rows"
     assert ok_vals, f"{name}: values differ"

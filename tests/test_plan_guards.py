@@ -1,17 +1,106 @@
-"""Plan guards over every registered query: no pair enumeration, no Python in the data path."""
+"""Plan guards: no pair enumeration and no Python in any report query, and the plan shapes the README states."""
+
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from scorewright.operators.joins import widen
+from scorewright.plans import report, testbed
+from scorewright.plans.dimension import entity_dimension
+from scorewright.plans.facts import advocates, participation, visit_sales
+from scorewright.registry.spark_queries import full_report, rep_sources
+from scorewright.registry.spark_queries import QUERIES
 
 ROOT = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_cross_join_or_python(spark, name):
-    df = entry.queries()[name](spark, ROOT)
+    df = QUERIES[name](spark, ROOT)
     plan = df._jdf.queryExecution().executedPlan().toString()
     found = [op for op in FORBIDDEN if op in plan]
     assert not found, f"{name}: {found}"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+
+
+def test_dimension_ranks_before_it_joins(spark, no_broadcast):
+    src, cfg = rep_sources(spark, ROOT), testbed.config()
+    plan = plan_of(entity_dimension(src.history, src.current, src.regions, keep=cfg.keep))
+    limits = re.findall(r"WindowGroupLimit .*", plan)
+    assert [x.rsplit(", ", 1)[1] for x in limits] == ["Final", "Partial"]
+    # the current list is joined above the ranking, so the history is shuffled by code only once after its own join
+    assert plan.index("_cur_code") < plan.index("WindowGroupLimit")
+
+
+def test_order_over_joined_columns_is_ranked_after_the_joins(spark):
+    src = rep_sources(spark, ROOT)
+    by_lines = entity_dimension(src.history, src.current, src.regions, order=[F.col("lines").asc_nulls_last(), F.col("period").desc()])
+    default = entity_dimension(src.history, src.current, src.regions)
+    assert by_lines.exceptAll(default).count() == 0 and default.exceptAll(by_lines).count() == 0
+
+
+def test_snapshots_reach_the_scan(spark):
+    src = rep_sources(spark, ROOT)
+    periods = report.snapshot_periods(src, testbed.config())
+    for plan in (plan_of(visit_sales(src.visits, latest=periods["visits"])), plan_of(advocates(src.advocates, periods["advocates"]))):
+        assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\((o_orderdate|ts),", plan), plan
+    fresh = testbed.sources(spark, ROOT)        # a source whose facts aren't cached
+    usage = plan_of(participation(fresh.usage, periods["usage"]))
+    fresh.work.release()
+    assert re.search(r"PartitionFilters: \[[^]]*period", usage) and usage.count("FileScan") == 1
+    latest = plan_of(QUERIES["latest_snapshot"](spark, ROOT))
+    assert "DataFilters: [isnotnull(o_orderdate" in latest and "subquery" in latest.lower()
+
+
+@pytest.mark.parametrize("name", ["scorecard", "recommendations"])
+def test_comparisons_read_the_kpis_once(spark, name):
+    plan = plan_of(getattr(full_report(spark, ROOT), name))
+    assert plan.count("FileScan") == 2 and "Generate" in plan      # the KPIs and the keyed benchmarks
+
+
+@pytest.mark.parametrize("name", ["job_scorecard", "job_recommendations", "compare_nation", "join_theta_residual"])
+def test_no_shuffle_on_the_kpi_alone(spark, name, no_broadcast):
+    lines = plan_of(QUERIES[name](spark, ROOT)).split("\n")
+    depth = [re.search(r"[A-Za-z]", x + "z").start() for x in lines]
+    for i, line in enumerate(lines):
+        if keys := re.search(r"Exchange hashpartitioning\(([^)]*)\)", line):
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            names = {re.sub(r"#.*", "", k.strip()) for k in keys[1].split(",")[:-1]}
+            if any("FileScan" in x for x in lines[i:end]):         # not the joins among the literal config tables
+                assert not names <= {"metric_id", "b_metric", "_res_metric"}, line
+
+
+def test_hot_key_of_the_wide_join_is_split(spark, no_broadcast, tmp_path):
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        spine = spark.range(60_000).selectExpr(
+            "CASE WHEN id % 10 < 9 THEN 'hot' ELSE CAST(id AS STRING) END AS entity_id", "md5(CAST(id AS STRING)) AS pad").repartition(6)
+        facts = [spark.range(6_000).selectExpr("CASE WHEN id = 0 THEN 'hot' ELSE CAST(id * 10 + 9 AS STRING) END AS entity_id",
+                                               f"id AS f{i}") for i in range(2)]
+        out = widen(spine, facts, "entity_id")
+        out.write.parquet(str(tmp_path / "wide"))
+        df = widen(spine, facts, "entity_id")
+        assert df.collect() and plan_of(df).split("Initial Plan")[0].count("skew=true") >= 1
+        assert df.count() == 60_000
+    finally:
+        for k in settings:
+            spark.conf.unset(k)

@@ -53,11 +53,17 @@ def test_rerun_gives_identical_scorecard(spark, rep):
 
 def test_refresh_writes_every_sink(spark, tmp_path):
     out = report.refresh(spark, testbed.sources(spark, ROOT), testbed.config(), str(tmp_path))
-    assert set(out) == {"header", "scorecard", "recommendations", "footnotes", "metric_names"}
+    want = full_report(spark, ROOT)
+    expected = {"header": want.header, "scorecard": want.scorecard, "recommendations": want.recommendations,
+                "footnotes": want.footnotes, "metric_names": want.metric_names}
+    assert set(out) == set(expected)
+    tables = report.current_tables(spark, str(tmp_path))
     for name, path in out.items():
         assert os.path.isdir(path)
-        assert spark.read.parquet(path).count() >= 0
-    assert spark.read.parquet(out["scorecard"]).count() == 36 * full_report(spark, ROOT).wide.count()
+        got = spark.read.parquet(path)
+        assert got.exceptAll(expected[name]).count() == 0 and expected[name].exceptAll(got).count() == 0
+        assert tables[name].count() == got.count()
+    assert tables["scorecard"].count() == 36 * want.wide.count()
 
 
 def test_flagship_plan_pushes_down_and_broadcasts(rep):

@@ -243,10 +243,10 @@ def test_t8_latest_snapshot_per_table_and_empty(spark):
 def test_f11_manager_null_first_name_and_fanout(spark):
     dim = spark.createDataFrame([("e1", "D1")], "entity_id string, district string")
     emp = spark.createDataFrame([
-        (None, "Smith", "District Digital Manager", "D1"), ("Ann", "Lee", "District Digital Lead", "D1"),
+        (None, "Smith", "Area Success Manager", "D1"), ("Ann", "Lee", "Area Success Lead", "D1"),
         ("Bob", "Ray", "Analyst", "D1"),
     ], "name_first string, name_last string, job string, district string")
-    got = rows(fx.digital_managers(dim, emp, "District Digital"), "entity_id", "digital_manager")
+    got = rows(fx.digital_managers(dim, emp, "Area Success"), "entity_id", "digital_manager")
     assert got == sorted([("e1", "Ann Lee"), ("e1", None)], key=repr)
 
 
