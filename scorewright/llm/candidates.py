@@ -9,15 +9,16 @@ similar pairs, so the output grows with the members and not with the pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import BROADCAST_ROWS, by_value, components, units, write
+from scorewright.llm.common import BROADCAST_ROWS, by_value, components, drop_written, units, write
 
 by_value(__name__)
 
 SIGNATURE = "node long, size int, rid long, prefix array<long>, bits binary"
 TILE, CLUSTER = 2_000, 500      # members of a block of a large tile, and of a large cluster
+BUCKETS, HOT = 1 << 16, 32      # buckets that keys are counted in, and the multiple of the mean that makes one hot
 
 
 def joined_groups(batches, key: int = 0):
@@ -103,6 +104,30 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def shared_keys(spark: SparkSession, sig: DataFrame) -> DataFrame:
+    """(key, node) of the keys that several items have; ``sig`` has one row per node.
+
+    Keys are counted by hash bucket first (a small aggregate).  Keys of ordinary buckets, whose rows are few by that
+    count, go through one shuffle and are looked at in order: a row stays if the row before or after has its key.  Keys
+    of buckets far above the average (at most ``BUCKETS / HOT`` of them) may be hot; these are counted with map-side
+    combine and joined, and Spark splits that join, so that no task gets all rows of a hot key.
+    """
+    bucket = F.pmod(F.xxhash64("key", F.lit("bucket")), F.lit(BUCKETS)).cast("int")
+    keys = sig.select(F.explode("prefix").alias("key"), "node").withColumn("bucket", bucket)
+    counts = write(spark, keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")), "key-buckets")
+    mean = counts.agg(F.sum("c")).first()[0] or 0
+    hot = F.broadcast(counts.where(F.col("c") > F.lit(max(1000, HOT * mean / BUCKETS))).select("bucket"))
+    w = Window.partitionBy("key").orderBy("node")
+    cold = keys.join(hot, "bucket", "left_anti").select(
+        "key", "node", F.lag(F.lit(1)).over(w).alias("_a"), F.lead(F.lit(1)).over(w).alias("_b"))
+    cold = cold.where("_a IS NOT NULL OR _b IS NOT NULL").select("key", "node")
+    maybe = keys.join(hot, "bucket", "left_semi").select("key", "node")
+    several = maybe.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    out = write(spark, cold.unionByName(maybe.join(several, "key", "left_semi")), "shared-keys")
+    drop_written(spark, counts)
+    return out
+
+
 def clusters(spark: SparkSession, sig: DataFrame, compare) -> DataFrame:
     """(node, root) of the items that may be similar to another one, from written signature rows.
 
@@ -111,13 +136,15 @@ def clusters(spark: SparkSession, sig: DataFrame, compare) -> DataFrame:
     again = sig.groupBy("node").agg(F.min("rid").alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
     again = write(spark, sig.select("node", "rid").join(again, "node").where("rid <> m").select("rid"), "met-again")
     sig = sig.join(bounded(again), "rid", "left_anti")
-    keys = sig.select(F.explode("prefix").alias("key"), "node")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    shared = write(spark, shared, "shared-keys")
-    tiles = units(keys.join(bounded(shared), "key", "left_semi"), ["key"], F.col("node"), TILE)
-    tiles = write(spark, tiles.select("unit", "node"), "tiles")
+    shared = shared_keys(spark, sig)
+    tiles = write(spark, units(shared, ["key"], F.col("node"), TILE).select("unit", "node"), "tiles")
+    drop_written(spark, shared)
     rows = tiles.join(sig.select("node", "size", "bits"), "node").select("unit", "node", "size", "bits")
-    return write(spark, components(spark, write(spark, unit_edges(rows, compare), "tile-edges")), "clusters")
+    edges = write(spark, unit_edges(rows, compare), "tile-edges")
+    drop_written(spark, tiles, again)
+    out = components(spark, edges)
+    drop_written(spark, edges)
+    return out
 
 
 def cluster_units(cluster: DataFrame) -> DataFrame:

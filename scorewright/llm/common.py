@@ -6,8 +6,8 @@ result, and rows that share an id but not a text stay apart.
 
 Written tables.  Intermediate tables that are read more than once, and every
 lineage cut of an iteration, are Parquet tables in the folder that
-``spark.checkpoint.dir`` names (shared by all executors).  ``Scratch`` deletes
-the folders of superseded iterations.
+``spark.checkpoint.dir`` names (shared by all executors).  ``drop_written``
+deletes those that nothing reads any more.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.session import scratch_path
+from scorewright.sources.sinks import delete_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"      # word characters: 0-9, a-z and everything beyond ASCII
@@ -66,15 +67,15 @@ def write(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
 
 
-def drop_written(spark: SparkSession, df: DataFrame) -> None:
-    """Delete a table that ``write`` made and nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def drop_written(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete tables that ``write`` made and nothing reads any more."""
+    for t in tables:
+        delete_path(spark, t.written_to)
 
 
 def matched(docs: DataFrame, rows: DataFrame, how: str, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -130,10 +131,12 @@ def units(members: DataFrame, key: list[str], spread: Column, cap: int) -> DataF
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """Connected components of undirected ``edges(a, b)`` (non-null, of one type): ``(node, root)``, root the least node.
+    """Connected components of undirected ``edges(a, b)`` (non-null, of one type), written: ``(node, root)``.
+
+    The root is the component's least node.
 
     Alternating large-star and small-star rounds, each an aggregate and a join, written to the shared folder.  Self
-    edges only keep their node.  Nothing but the number of changed edges reaches the driver.
+    edges only keep their node.  A count and a checksum per round reach the driver.
     """
     def state(df: DataFrame):
         return df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
@@ -142,7 +145,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     cur = write(spark, edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
     at = state(cur)
-    while True:
+    while at[0]:
         # large-star: neighbours above a node point to the least of the node and its neighbours
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -155,8 +158,12 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         drop_written(spark, cur)
         cur, before, at = nxt, at, state(nxt)
         if at == before:
-            return nodes.join(cur.withColumnRenamed("a", "node"), "node", "left").select(
-                "node", F.coalesce("b", "node").alias("root"))
+            break
+    out = nodes.join(cur.withColumnRenamed("a", "node"), "node", "left").select(
+        "node", F.coalesce("b", "node").alias("root"))
+    out = write(spark, out, "components")
+    drop_written(spark, cur)
+    return out
 
 
 def map_texts(docs: DataFrame, fn, columns: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text",

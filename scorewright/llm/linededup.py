@@ -22,11 +22,13 @@ same lines.  Removed lines are cut out with one line feed each.  Extra columns a
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm.candidates import SIGNATURE, cluster_units, clusters, unit_edges
-from scorewright.llm.common import blank_words, by_value, components, matched, numbered, text_key, write
+from scorewright.llm.candidates import SIGNATURE, bounded, cluster_units, clusters, unit_edges
+from scorewright.llm.common import blank_words, by_value, components, drop_written, matched, numbered, text_key, write
 
 by_value(__name__)
 
@@ -54,30 +56,47 @@ def segments(length: int, k: int) -> list[tuple[int, int]]:
     return out
 
 
-def entries(line: str, k: int) -> set[int]:
-    """Keys of the line's index entries and probes (signed 64-bit); two lines within k edits share one."""
-    import xxhash
+@lru_cache(maxsize=100_000)
+def probes(n: int, k: int) -> list[tuple[int, int, int]]:
+    """(start, end, seed) of the substrings of a line of n characters that are its index entries and probes.
 
-    keys, n = set(), len(line)
+    ``seed`` stands for the indexed length and the segment's number.
+    """
+    out = set()
     for indexed in range(max(n - k, k + 1), n + 1):
         longer = n - indexed
         for i, (start, size) in enumerate(segments(indexed, k)):
             # edits before the segment move it by at most i places, edits after it bound the move from the other end
             low = max(0, start - i, start + longer - (k - i))
             high = min(n - size, start + i, start + longer + (k - i))
-            for at in range(low, high + 1):
-                keys.add(xxhash.xxh3_64_intdigest(line[at:at + size].encode(), indexed * (k + 1) + i))
-    return {h - (1 << 64) if h >> 63 else h for h in keys}
+            out |= {(at, at + size, indexed * (k + 1) + i) for at in range(low, high + 1)}
+    return sorted(out)
 
 
-def pair_bits(line: str) -> bytes:
-    """Bitmap in which every pair of neighbouring characters flips one bit."""
+def entries(line: str, k: int):
+    """Keys of the line's index entries and probes (int64 array); two lines within k edits share one."""
     import numpy as np
+    import xxhash
 
-    c = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    at = ((c[:-1] * np.uint64(0x9E3779B1) + c[1:]) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)
-    odd = np.bincount(at.astype(np.int64), minlength=SIGNATURE_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+    raw, digest = line.encode("utf-32-le"), xxhash.xxh3_64_intdigest
+    keys = {digest(raw[4 * a:4 * b], seed) for a, b, seed in probes(len(line), k)}
+    return np.fromiter(keys, np.uint64, len(keys)).view(np.int64)
+
+
+def pair_bits(lines: list[str]) -> list[bytes]:
+    """Bitmap of each line in which every pair of neighbouring characters flips one bit (lines hold no line feed)."""
+    import numpy as np
+
+    c = np.frombuffer("\n".join(lines).encode("utf-32-le"), np.uint32)
+    at = ((c[:-1] * np.uint32(0x9E3779B1) + c[1:]) * np.uint32(0x85EBCA6B)) >> np.uint32(24)
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    line = np.repeat(np.arange(len(lines)), size + 1)[:-2]      # of a pair's first character
+    inside = np.ones(len(at), bool)
+    ends = np.cumsum(size + 1)[:-1] - 1                         # where the line feeds are
+    inside[ends] = inside[np.maximum(ends - 1, 0)] = False
+    odd = np.bincount((line * SIGNATURE_BITS + at)[inside], minlength=len(lines) * SIGNATURE_BITS) & 1
+    packed = np.packbits(odd.astype(np.uint8).reshape(len(lines), SIGNATURE_BITS), axis=1)
+    return [row.tobytes() for row in packed]
 
 
 def common_prefix(a: str, b: str) -> int:
@@ -145,14 +164,18 @@ def line_rows(docs: DataFrame, k: int, least: int) -> DataFrame:
     own = [StructField(f.name, f.dataType) for f in src.schema.fields[:2]]
     schema = StructType(own + StructType.fromDDL(f"nodes array<long>, {SIGNATURE}").fields)
     arrow = to_arrow_schema(schema)
-    made = arrow.names[3:]
+
+    def described(rows, fresh):
+        cols = dict(zip(arrow.names[3:], [*zip(*rows), pair_bits(fresh)]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(len(rows), f.type) for f in arrow], schema=arrow)
 
     def run(batches):
         seen, part = set(), TaskContext.get().partitionId()
         for batch in batches:
-            nodes = []
+            nodes, rows, fresh = [], [], []
             for t in batch.column(2):
-                found, rows = [], []
+                found = []
                 for line in (t.as_py() or "").split("\n"):
                     line = line.strip(BLANK)
                     if len(line) < least:
@@ -161,14 +184,15 @@ def line_rows(docs: DataFrame, k: int, least: int) -> DataFrame:
                     node = node_of(line)
                     found.append(node)
                     if node not in seen:
-                        rows.append((node, len(line), (part << 32) + len(seen), list(entries(line, k)), pair_bits(line)))
+                        rows.append((node, len(line), (part << 32) + len(seen), entries(line, k)))
+                        fresh.append(line)
                         seen.add(node)
                 nodes.append(found)
-                if rows:
-                    cols = dict(zip(made, zip(*rows)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(len(rows), f.type) for f in arrow],
-                        schema=arrow)
+                if len(rows) >= 2_000:
+                    yield described(rows, fresh)
+                    rows, fresh = [], []
+            if rows:
+                yield described(rows, fresh)
             cols = [batch.column(0).cast(arrow.field(0).type), batch.column(1).cast(arrow.field(1).type),
                     pa.array(nodes, arrow.field(2).type), *(pa.nulls(len(nodes), f.type) for f in list(arrow)[3:])]
             yield pa.RecordBatch.from_arrays(cols, schema=arrow)
@@ -187,7 +211,7 @@ def compare_tile(k: int):
 def compare_exactly(k: int):
     def compare(members):
         order = sorted(((node, len(line), line) for node, line in members), key=lambda m: (m[1], m[0]))
-        bits = [int.from_bytes(pair_bits(m[2]), "big") for m in order]
+        bits = [int.from_bytes(b, "big") for b in pair_bits([m[2] for m in order])]
 
         def linked(i: int, j: int) -> bool:
             return (bits[i] ^ bits[j]).bit_count() <= 4 * k and within(order[i][2], order[j][2], k)
@@ -210,24 +234,28 @@ def duplicates(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least:
     first = write(spark, line_rows(docs, k, least), "lines")
     of_doc = first.where("node IS NULL").select("doc_id", "tk", "nodes")
     sig = first.where("node IS NOT NULL").select("node", "size", "rid", "prefix", "bits")
-    work = cluster_units(clusters(spark, sig, compare_tile(k)))
+    cluster = clusters(spark, sig, compare_tile(k))
+    work = cluster_units(cluster)
     at = of_doc.select("doc_id", "tk", F.posexplode("nodes").alias("line", "node")).where("node IS NOT NULL")
     # the text of each line that takes part: from the first document that has it
     one = at.join(work.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
         F.min(F.struct("doc_id", "tk", "line")).alias("o"))
     wanted = one.groupBy("o.doc_id", "o.tk").agg(F.collect_list(F.struct("node", "o.line")).alias("want"))
-    wanted = wanted.toDF("_d", "_t", "want")
+    wanted = write(spark, wanted.toDF("_d", "_t", "want"), "wanted-lines")
     text = docs.select("doc_id", text_key().alias("tk"), "text")
-    got = text.join(wanted, text.doc_id.eqNullSafe(F.col("_d")) & (text.tk == F.col("_t"))).select(
+    got = text.join(bounded(wanted), text.doc_id.eqNullSafe(F.col("_d")) & (text.tk == F.col("_t"))).select(
         F.split("text", "\n").alias("all"), F.explode("want").alias("w")).select(
         "w.node", F.get("all", F.col("w.line")).alias("text"))
     lines = write(spark, work.join(got, "node").select("unit", "node", stripped(F.col("text")).alias("text")), "line-texts")
-    roots = components(spark, write(spark, unit_edges(lines, compare_exactly(k)), "line-links"))
+    links = write(spark, unit_edges(lines, compare_exactly(k)), "line-links")
+    roots = components(spark, links)
     at = at.join(roots, "node", "left").select("doc_id", "tk", "line", F.coalesce("root", "node").alias("class"))
     here = F.struct("doc_id", "tk", "line")
     keep = at.groupBy("class").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
     gone = at.join(keep, "class").where(~here.eqNullSafe(F.col("first")))
-    return write(spark, gone.groupBy("doc_id", "tk").agg(F.sort_array(F.collect_set("line")).alias("lines")), "gone")
+    gone = write(spark, gone.groupBy("doc_id", "tk").agg(F.sort_array(F.collect_set("line")).alias("lines")), "gone")
+    drop_written(spark, first, cluster, wanted, lines, links, roots)
+    return gone
 
 
 def stripped(line):

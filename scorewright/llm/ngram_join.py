@@ -28,15 +28,15 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm.candidates import SIGNATURE, cluster_units, clusters, unit_edges
-from scorewright.llm.common import by_value, components, map_texts, matched, numbered, text_key, write
+from scorewright.llm.candidates import SIGNATURE, bounded, cluster_units, clusters, unit_edges
+from scorewright.llm.common import by_value, components, drop_written, map_texts, matched, numbered, text_key, write
 
 by_value(__name__)
 
 N = 4                   # words of a shingle
 PERCENT = 85            # least Jaccard similarity in hundredths
 BUCKET_BITS = 18        # the rarity table has 2**18 counts, at any input size
-LEAST_BITS, MOST_BITS = 128, 1 << 14
+LEAST_BITS, MOST_BITS = 128, 1 << 11
 
 _M1, _M2, _M3 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9     # odd multipliers
 
@@ -221,14 +221,19 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, percent: int = PERCEN
     of_doc = first.where("counts IS NULL").drop("counts")
     level = rarity_levels(spark, first)
     sig = write(spark, signatures(docs, level, n, percent), "signatures")
-    work = cluster_units(clusters(spark, sig, compare_tile(percent)))
+    cluster = clusters(spark, sig, compare_tile(percent))
+    drop_written(spark, sig)
+    work = cluster_units(cluster)
     one = of_doc.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id", "tk")).alias("o"))
     work = work.join(one, "node").select("unit", "node", F.col("o.doc_id").alias("_d"), F.col("o.tk").alias("_t"))
     text = docs.select("doc_id", text_key().alias("tk"), "text")
-    rows = text.join(work, text.doc_id.eqNullSafe(F.col("_d")) & (text.tk == F.col("_t"))).select("unit", "node", "text")
+    work = write(spark, work, "cluster-work")
+    rows = text.join(bounded(work), text.doc_id.eqNullSafe(F.col("_d")) & (text.tk == F.col("_t"))).select("unit", "node", "text")
     arrays = map_texts(rows, lambda texts: {"h": [shingle_hashes(t, n).tobytes() for t in texts]}, "h binary",
                        keep=("unit", "node"))
-    roots = components(spark, write(spark, unit_edges(arrays, compare_exactly(percent)), "links"))
+    links = write(spark, unit_edges(arrays, compare_exactly(percent)), "links")
+    roots = components(spark, links)
+    drop_written(spark, cluster, work, links)
     ids = of_doc.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("id"))
     ids = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     low = ids.groupBy("root").agg(F.min("id").alias("component_id"))
