@@ -36,7 +36,8 @@ by_value(__name__)
 N = 4                   # words of a shingle
 PERCENT = 85            # least Jaccard similarity in hundredths
 BUCKET_BITS = 18        # the rarity table has 2**18 counts, at any input size
-LEAST_BITS, MOST_BITS = 128, 1 << 11
+LEAST_BITS, MOST_BITS = 128, 1 << 11    # bitmap widths in tiles, whose rows are shuffled
+WIDE_BITS = 1 << 15                     # widest bitmap beside the arrays of a cluster
 
 _M1, _M2, _M3 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9     # odd multipliers
 
@@ -69,12 +70,12 @@ def least_overlap(total: int, percent: int) -> int:
     return -(-percent * total // (100 + percent))
 
 
-def parity_bits(h) -> bytes:
+def parity_bits(h, most: int = MOST_BITS) -> bytes:
     """Bitmap in which every hash flips one bit; about one bit per member, a power of two."""
     import numpy as np
 
     width = LEAST_BITS
-    while width < len(h) and width < MOST_BITS:
+    while width < len(h) and width < most:
         width *= 2
     at = (h * np.uint64(_M3)) >> np.uint64(64 - width.bit_length() + 1)
     odd = np.bincount(at.astype(np.int64), minlength=width) & 1
@@ -202,7 +203,7 @@ def compare_exactly(percent: int):
         order = sorted(((node, np.frombuffer(h, np.uint64)) for node, h in members), key=lambda m: (len(m[1]), m[0]))
         sets = [h for _, h in order]
         size = [len(h) for h in sets]
-        possible = bitmap_test(size, [parity_bits(h) for h in sets], percent)
+        possible = bitmap_test(size, [parity_bits(h, WIDE_BITS) for h in sets], percent)
 
         def linked(i: int, j: int) -> bool:
             if not possible(i, j):

@@ -79,23 +79,30 @@ def fit(y, words: list, sizes: list) -> dict:
     if len(y) == 0 or y.min() == y.max():
         return {"w": np.zeros(1 << BITS, np.float32), "b": 0.0, "const": float(y[0]) if len(y) else 0.0}
     n_docs = len(y)
-    sent_doc = np.repeat(np.arange(n_docs), [max(1, len(s)) for s in sizes])
-    sent_len = np.concatenate([np.asarray(s, np.int64) if len(s) else np.zeros(1, np.int64) for s in sizes])
-    word = np.concatenate([np.asarray(w, np.int64) for w in words]) if len(words) else np.zeros(0, np.int64)
-    sent = np.repeat(np.arange(len(sent_len)), sent_len)
-    pairs = np.unique(word * n_docs + sent_doc[sent])        # (term, document) once
-    in_pos = np.bincount(pairs // n_docs, weights=y[pairs % n_docs], minlength=1 << BITS)
-    in_all = np.bincount(pairs // n_docs, minlength=1 << BITS)
-    pos = y.sum()
+    in_pos, in_all = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    for label, w in zip(y, words):                           # documents that have a term
+        seen = np.unique(w)
+        in_all[seen] += 1
+        in_pos[seen] += label
+    found, pos = np.flatnonzero(in_all), y.sum()
+    p, a, share = in_pos[found], in_all[found], pos / n_docs
     part = lambda seen, rate: seen * np.log(np.maximum(seen, 1e-9) / np.maximum(rate, 1e-9))
-    share, all_share = pos / n_docs, 1 - pos / n_docs
-    g2 = 2 * (part(in_pos, in_all * share) + part(in_all - in_pos, in_all * all_share)
-              + part(pos - in_pos, (n_docs - in_all) * share)
-              + part(n_docs - pos - in_all + in_pos, (n_docs - in_all) * all_share))
-    keep = ((g2 >= EVIDENCE) & (in_pos > in_all * share))[word]
-    vocab, word = np.unique(word[keep], return_inverse=True)
+    g2 = 2 * (part(p, a * share) + part(a - p, a * (1 - share)) + part(pos - p, (n_docs - a) * share)
+              + part(n_docs - pos - a + p, (n_docs - a) * (1 - share)))
+    vocab = found[(g2 >= EVIDENCE) & (p > a * share)]
+    keep = np.zeros(1 << BITS, bool)
+    keep[vocab] = True
+    # the kept terms only: their sentence (numbered through all documents) and the sentence's document
+    word, sent, sent_doc, n_sent = [], [], [], 0
+    for d, (w, size) in enumerate(zip(words, sizes)):
+        at = np.flatnonzero(keep[w])
+        word.append(np.asarray(w)[at])
+        sent.append(np.repeat(np.arange(len(size)), size)[at] + n_sent)
+        sent_doc.append(np.full(max(1, len(size)), d))
+        n_sent += max(1, len(size))
+    word, sent, sent_doc = np.searchsorted(vocab, np.concatenate(word)), np.concatenate(sent), np.concatenate(sent_doc)
     # sentences without such a term keep the bias: only the others take part in the steps
-    used, sent = np.unique(sent[keep], return_inverse=True)
+    used, sent = np.unique(sent, return_inverse=True)
     sent_doc, n_sent = sent_doc[used], len(used)
     w = np.ones(len(vocab))
     m, v = np.zeros_like(w), np.zeros_like(w)
