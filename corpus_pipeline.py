@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from scorewright.llm import decontaminate, linededup, mixing, ngram_join, repetition
 from scorewright.llm.common import documents, write
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80    # near duplicates of a corpus: 5-word shingles, Jaccard similarity of 0.8 or more
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go (operator 10)."""
@@ -24,8 +26,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents the one with the smallest doc_id stays (operator 9)."""
-    return ngram_join.keep_one(spark, docs)
+    """Of linked documents the one with the smallest doc_id stays (operator 9, at the corpus rule's values)."""
+    return ngram_join.keep_one(spark, docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
