@@ -1,6 +1,7 @@
 """Line dedup: segment-partition edit join.
 
-Method.  Lines of ``MIN_CHARS`` characters or more (without outer blanks) are compared; shorter ones always stay.
+Method.  Lines of ``MIN_CHARS`` characters or more (without outer blanks) are compared.  Shorter ones stay, or with
+``short`` those that have a word are compared for equality only: they are nodes without index entries.
 
 1. Equal lines are one ``node`` (a 64-bit hash).
 2. A line is split into ``k + 1`` segments for an edit threshold k: k edits leave one segment of the shorter line
@@ -150,7 +151,12 @@ def within(a: str, b: str, k: int) -> bool:
     return dist <= k
 
 
-def line_rows(docs: DataFrame, k: int, least: int) -> DataFrame:
+def has_word(line: str) -> bool:
+    """Whether the line has a letter or digit (rules, brackets and list marks have none)."""
+    return any(map(str.isalnum, line))
+
+
+def line_rows(docs: DataFrame, k: int, least: int, short: bool = False) -> DataFrame:
     """One pass over the texts, to be written: rows (doc_id, tk, nodes of the lines) and signature rows of lines.
 
     ``nodes`` has null for lines that aren't compared.  A task describes a line the first time it meets it.
@@ -179,7 +185,7 @@ def line_rows(docs: DataFrame, k: int, least: int) -> DataFrame:
                 for line in (t.as_py() or "").split("\n"):
                     line = line.strip(BLANK)
                     if len(line) < least:
-                        found.append(None)
+                        found.append(node_of(line) if short and has_word(line) else None)
                         continue
                     node = node_of(line)
                     found.append(node)
@@ -229,9 +235,10 @@ def size_band(order, k: int) -> list[int]:
     return low
 
 
-def duplicates(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least: int = MIN_CHARS) -> DataFrame:
+def duplicates(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least: int = MIN_CHARS,
+               short: bool = False) -> DataFrame:
     """(doc_id, tk, lines): numbers (from 0) of the lines that are removed, for documents that lose any; written."""
-    first = write(spark, line_rows(docs, k, least), "lines")
+    first = write(spark, line_rows(docs, k, least, short), "lines")
     of_doc = first.where("node IS NULL").select("doc_id", "tk", "nodes")
     sig = first.where("node IS NOT NULL").select("node", "size", "rid", "prefix", "bits")
     cluster = clusters(spark, sig, compare_tile(k))
@@ -263,12 +270,13 @@ def stripped(line):
     return F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
 
 
-def dedup(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least: int = MIN_CHARS) -> DataFrame:
+def dedup(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least: int = MIN_CHARS,
+          short: bool = False) -> DataFrame:
     """The documents without their duplicate lines: their columns as ``_c0`` ... (see ``common.matched``) and ``lines``,
     the numbers of the removed lines (null if none)."""
     names = numbered(docs)
     at = dict(zip(docs.columns, names))
-    out = matched(docs, duplicates(spark, docs, k, least), "left", ("lines",))
+    out = matched(docs, duplicates(spark, docs, k, least, short), "left", ("lines",))
     lost, text = F.col("lines").isNotNull(), at["text"]
     kept = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("lines"), i))
     out = out.withColumn(text, F.when(lost, F.array_join(kept, "\n")).otherwise(F.col(text)))
@@ -279,7 +287,7 @@ def dedup(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least: int =
 
 
 def drop_duplicate_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents without their duplicate lines; those that lost lines and have only blanks left go."""
-    out, names = dedup(spark, docs), numbered(docs)
+    """The documents without their duplicate lines, short ones too; those that lost lines and have only blanks left go."""
+    out, names = dedup(spark, docs, short=True), numbered(docs)
     text = F.col(names[docs.columns.index("text")])
     return out.where(F.col("lines").isNull() | (F.size(blank_words(text)) > 0)).select(*names).toDF(*docs.columns)

@@ -51,3 +51,11 @@ def test_near_duplicates_follow_the_corpus_rule(spark):
     comp = {d: c for d, _, c in brute.op9(data.pairs(small), 5, 80)}
     got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, small, data.SMALL).collect()}
     assert got == {d for d, c in comp.items() if d == c}
+
+
+def test_line_dedup_compares_short_lines(spark):
+    rows = [(1, "All rights reserved.\nfirst text\n---"), (2, "one more\n  All rights reserved. \n---\nAll rights reserved!"),
+            (3, "All rights reserved.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, data.SMALL).collect()}
+    assert got == {1: rows[0][1], 2: "one more\n---\nAll rights reserved!"}
