@@ -4,13 +4,13 @@ Method.  A document is a bag of sentences (cut at line ends and ``.!?|``).  A se
 function of the summed weights of its distinct words and word beginnings (hashed to ``2**BITS`` numbers), the
 document's is their noisy-or, and the weights are trained from document labels alone by gradient steps on the
 noisy-or's log likelihood.  Only terms that are clearly commoner in documents of label 1 get a weight (log-likelihood
-ratio), and the bias is fixed so low that thousands of plain sentences stay below any threshold.  The same sentence
-probabilities then locate the offending sentences.
+ratio).  A sentence without such a term has probability 0, in the fit and in the score, so plain sentences add nothing
+however many there are.  The same sentence probabilities then locate the offending sentences.
 
 Bounds.  The fit uses at most ``MAX_TRAIN`` labelled documents (the documented bound); the model is one float per hash
 number.  Every whole text is scored.
 
-Defined results.  A null, empty or word-less text is one empty sentence and gets its probability.  Repeated rows get
+Defined results.  A null, empty or word-less text is one empty sentence and has score 0.  Repeated rows get
 equal scores; labels that disagree count as the larger; null ids or labels teach nothing.  Without both classes in the
 sample every score is the share of label 1 (0 without labels).  Offsets are code points, end exclusive.  Extra columns
 are ignored.
@@ -36,7 +36,7 @@ ROUNDS = 200
 STEP = 0.3
 DECAY = 1e-5                # weight of |w|
 EVIDENCE = 12.0             # least log-likelihood ratio (G2) of a term with the document label
-BIAS = -10.0                # a plain sentence's probability is 4.5e-5
+BIAS = -10.0                # log odds of a sentence before its weighted terms
 
 _ENDS = b".!?|\n\r"
 _OTHER = bytes(c for c in range(128) if not (chr(c).isalnum() or c in _ENDS))
@@ -136,11 +136,13 @@ def scorer(model):
             bags = [terms(x.split()) for x in parts]
             size = np.array([len(x) for x in bags])
             n = int(size.sum())
-            total = np.r_[0.0, np.cumsum(w[np.fromiter((x for bag in bags for x in bag), np.int64, n)], dtype=float)]
+            each = w[np.fromiter((x for bag in bags for x in bag), np.int64, n)]
+            total, known = np.r_[0.0, np.cumsum(each, dtype=float)], np.r_[0, np.cumsum(each != 0)]
             at = np.r_[0, np.cumsum(size)]
             real = np.flatnonzero(size) if n else np.array([0])
             p = 1 / (1 + np.exp(-np.clip((total[at[1:]] - total[at[:-1]])[real] + b, -30, 30)))
-            doc = -np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
+            p[(known[at[1:]] == known[at[:-1]])[real]] = 0.0
+            doc = 0.0 - np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
             worst = int(real[p.argmax()])
             start = sum(map(len, parts[:worst])) + worst
             first = len(raw[:start].decode())

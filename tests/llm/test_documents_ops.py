@@ -382,3 +382,13 @@ def test_toxic_sentence_is_located(spark):
     got = {r["doc_id"]: r for r in toxicity.classify(spark, docs, labels).collect()}
     assert all(got[i]["predicted"] == i % 2 for i in got)
     assert all("fool" in dict(rows)[i][got[i]["worst_start"]:got[i]["worst_end"]] for i in got if i % 2)
+
+
+def test_long_clean_text_is_not_toxic(spark):
+    rows = [(i, f"plain words here {i}. " + ("You are a fool. " if i % 2 else "") + "more plain words.") for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    rows += [(200, "more plain words. " * 100_000), (201, "more|plain|" * 50_000), (202, "more plain words. " * 100_000 + "You are a fool.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.classify(spark, docs, labels).where("doc_id >= 200").collect()}
+    assert [got[i]["score"] for i in (200, 201)] == [0.0, 0.0]
+    assert got[202]["predicted"] == 1 and got[202]["n_offending"] == 1
