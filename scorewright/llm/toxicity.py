@@ -12,8 +12,8 @@ number.  Every whole text is scored.
 
 Defined results.  A null, empty or word-less text is one empty sentence and has score 0.  Repeated rows get
 equal scores; labels that disagree count as the larger; null ids or labels teach nothing.  Without both classes in the
-sample every score is the share of label 1 (0 without labels).  Offsets are code points, end exclusive.  Extra columns
-are ignored.
+sample every score is the share of label 1 (0 without labels).  Offsets are code points, end exclusive; a text without
+offending sentences has no spans and a null worst one.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -122,14 +122,25 @@ def fit(y, words: list, sizes: list) -> dict:
     return {"w": dense, "b": BIAS, "const": None}
 
 
+def places(raw: bytes, parts: list[bytes], chosen: list[int]) -> list[tuple[int, int]]:
+    """(start, end) in code points of the chosen sentences (ascending) of a prepared text."""
+    out, part, byte, point = [], 0, 0, 0
+    for i in chosen:
+        start = byte + sum(map(len, parts[part:i])) + i - part
+        first = point + len(raw[byte:start].decode())
+        out.append((first, first + len(parts[i].decode())))
+        part, byte, point = i, start, first
+    return out
+
+
 def scorer(model):
-    """A function of texts: score, number of offending sentences and the place of each text's worst sentence."""
+    """A function of texts: score, number and places of the offending sentences, and the place of the worst one."""
     def run(texts: list[str]) -> dict[str, list]:
         import numpy as np
 
         held = model.value
         w, b = held["w"], held["b"]
-        cols = {k: [] for k in ("score", "n_sentences", "n_offending", "worst_start", "worst_end")}
+        cols = {k: [] for k in ("score", "n_sentences", "n_offending", "worst_start", "worst_end", "offending")}
         for text in texts:
             raw = prepared(text)
             parts = raw.split(b"\n")
@@ -143,28 +154,30 @@ def scorer(model):
             p = 1 / (1 + np.exp(-np.clip((total[at[1:]] - total[at[:-1]])[real] + b, -30, 30)))
             p[(known[at[1:]] == known[at[:-1]])[real]] = 0.0
             doc = 0.0 - np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())
-            worst = int(real[p.argmax()])
-            start = sum(map(len, parts[:worst])) + worst
-            first = len(raw[:start].decode())
+            bad = real[p >= OFFENDING].tolist()
+            spans = places(raw, parts, bad)
+            worst = spans[bad.index(int(real[p.argmax()]))] if bad else (None, None)
             cols["score"].append(float(doc) if held["const"] is None else held["const"])
             cols["n_sentences"].append(int((size > 0).sum()))
-            cols["n_offending"].append(int((p >= OFFENDING).sum()))
-            cols["worst_start"].append(first)
-            cols["worst_end"].append(first + len(raw[start:start + len(parts[worst])].decode()))
+            cols["n_offending"].append(len(bad))
+            cols["worst_start"].append(worst[0])
+            cols["worst_end"].append(worst[1])
+            cols["offending"].append(",".join(f"{x}:{y}" for x, y in spans))
         return cols
     return run
 
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, column: str = "toxic") -> DataFrame:
-    """One row per document row: doc_id, held_out, score, predicted, n_sentences, n_offending, worst_start, worst_end."""
+    """One row per document row: doc_id, held_out, score, predicted, n_sentences, n_offending, worst_start, worst_end,
+    offending (start:end of every offending sentence, in order)."""
     sample = training_labels(labels, column, PARTS, FOLD, MAX_TRAIN)
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     bags = map_texts(chosen, bag, "words array<int>, sizes array<int>", keep=("doc_id", "y"))
     rows = bags.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN).toArrow()
     arrays = lambda c: [x.values.to_numpy() for x in rows.column(c)]
     model = spark.sparkContext.broadcast(fit(rows.column("y").to_pylist(), arrays("words"), arrays("sizes")))
-    ddl = "score double, n_sentences int, n_offending int, worst_start int, worst_end int"
+    ddl = "score double, n_sentences int, n_offending int, worst_start int, worst_end int, offending string"
     out = map_texts(docs, scorer(model), ddl)
     return out.select("doc_id", held_out(PARTS, FOLD).alias("held_out"), "score",
                       (F.col("score") >= ACCEPT).cast("int").alias("predicted"), "n_sentences", "n_offending",
-                      "worst_start", "worst_end")
+                      "worst_start", "worst_end", "offending")

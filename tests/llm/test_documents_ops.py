@@ -392,3 +392,16 @@ def test_long_clean_text_is_not_toxic(spark):
     got = {r["doc_id"]: r for r in toxicity.classify(spark, docs, labels).where("doc_id >= 200").collect()}
     assert [got[i]["score"] for i in (200, 201)] == [0.0, 0.0]
     assert got[202]["predicted"] == 1 and got[202]["n_offending"] == 1
+
+
+def test_all_offending_sentences_are_located(spark):
+    rows = [(i, f"plain words here {i}. " + ("You are a fool. " if i % 2 else "") + "more plain words.") for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    text = "Ünï 漢字 plain. You are a fool! more plain words.\nYou 😀 fool. plain|You are a fool"
+    rows += [(200, text), (201, "more plain words. " * 3), (202, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.classify(spark, docs, labels).where("doc_id >= 200").collect()}
+    spans = [tuple(map(int, x.split(":"))) for x in got[200]["offending"].split(",")]
+    assert [text[a:b].strip() for a, b in spans] == ["You are a fool", "You 😀 fool", "You are a fool"]
+    assert got[200]["n_offending"] == 3 and (got[200]["worst_start"], got[200]["worst_end"]) in spans
+    assert all((got[i]["offending"], got[i]["worst_start"], got[i]["worst_end"]) == ("", None, None) for i in (201, 202))
