@@ -183,6 +183,52 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_co
     NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 10 * n_covered_words <= 4 * n_words AND too_long IS NULL AS kept
 FROM m"""
 
+HARD_NEGATIVES = """WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+        CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+    FROM e a JOIN e c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score,
+    score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 3"""
+
+#: Words by deletion: two words are one edit apart if deleting a letter of one gives the other, or deleting the letter at
+#: one position of both gives the same.
+SPELLING = f"""WITH RECURSIVE tab AS MATERIALIZED (SELECT list_transform(range(256), lambda i: list_reduce(
+        [CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: xor(c >> 1, (c & 1) * 3988292384))) AS t),
+run AS (SELECT id, run, count(*) AS c, encode(id || ':' || run) AS bytes FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+        unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) x
+    GROUP BY id, run),
+crc AS (SELECT run, c, xor(list_reduce(list_concat([4294967295], list_transform(range(octet_length(bytes)), lambda i:
+        CAST('0x' || substr(hex(bytes), 2 * i + 1, 2) AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+    FROM run, tab WHERE length(run) >= 7),
+w AS MATERIALIZED (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (SELECT c, CASE WHEN h % 31 <> 0 THEN run ELSE
+        substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) END AS word FROM crc) x
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+del AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM w) x),
+near AS (SELECT a.word, b.word AS other, b.n FROM del a JOIN del b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM del a JOIN w b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM del a JOIN w b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS n FROM near GROUP BY word),
+v AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 10 * w.n THEN other END AS form,
+        CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n FROM w LEFT JOIN best b ON w.word = b.word),
+path AS (SELECT word, form AS at FROM v WHERE form IS NOT NULL
+    UNION ALL SELECT path.word, v.form FROM path JOIN v ON path.at = v.word WHERE v.form IS NOT NULL),
+ends AS (SELECT path.word, path.at FROM path JOIN v ON path.at = v.word WHERE v.form IS NULL)
+SELECT v.word, form, coalesce(ends.at, v.word) AS root, n, n_near, form_n FROM v LEFT JOIN ends ON v.word = ends.word"""
+
+EXACT_DEDUP = """WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)"""
+
 ORACLES: dict[str, str] = {
     "op1_decontamination": DECONTAMINATION,
     "op3_line_dedup": LINES,
@@ -191,4 +237,7 @@ ORACLES: dict[str, str] = {
     "op7_mixing": MIXING,
     "op9_ngram_jaccard": NGRAM_JOIN,
     "op10_quality_rules": QUALITY_RULES,
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_spelling_variants": SPELLING,
+    "op13_exact_dedup": EXACT_DEDUP,
 }

@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scorewright.llm import decontaminate, licenses, linededup, mixing, ngram_join, pii, quality, repetition, toxicity, warc
+from scorewright.llm import (
+    decontaminate,
+    exact_dedup,
+    hard_negatives,
+    licenses,
+    linededup,
+    mixing,
+    ngram_join,
+    pii,
+    quality,
+    repetition,
+    spelling,
+    toxicity,
+    warc,
+)
 from scorewright.llm.common import documents
 from scorewright.llm.oracles import ORACLES  # noqa: F401
 
@@ -54,6 +68,18 @@ def op10_quality_rules(spark, sf_dir):
     return repetition.verdicts(documents(spark, sf_dir)).drop("longest_repeat")
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.variants(spark, documents(spark, sf_dir))
+
+
+def op13_exact_dedup(spark, sf_dir):
+    return exact_dedup.copies(spark, documents(spark, sf_dir), largest=True)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -65,4 +91,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_quality_rules": op10_quality_rules,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_exact_dedup": op13_exact_dedup,
 }

@@ -15,4 +15,4 @@ def test_query_matches_oracle(spark, name):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)] and set(ORACLES) <= set(QUERIES)
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] and set(ORACLES) <= set(QUERIES)
