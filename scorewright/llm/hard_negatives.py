@@ -12,8 +12,8 @@ Method.
 4. Negatives: tiles pair all anchors with all candidates.  For each positive of an anchor a tile gives the heap of the
    ``NEGATIVES`` best rows of other labels within the window of that positive's score; these merge in the same way.
 
-A tile's rows have a proven bound, and a label that holds most rows is only more tiles.  Nothing is broadcast or collected
-but the number of rows, of anchors and the greatest dimension.  All pairs are multiplied: the cost grows with
+A tile's rows have a proven bound, and a label that holds most rows is only more tiles.  Only the numbers of blocks
+and the greatest dimension reach the driver.  All pairs are multiplied: the cost grows with
 anchors x rows, and block rows cross the shuffle once per block of the other side.
 
 Defined results.  Rows with a null label, vector, or component, or a component that is not finite, take no part.  A null id
@@ -52,19 +52,27 @@ def quantised(rows: DataFrame) -> DataFrame:
                        v.cast("array<long>").alias("v"))
 
 
-def tiles(anchors: DataFrame, rows: DataFrame, key: Column, width: int) -> tuple[DataFrame, DataFrame]:
-    """Anchors and rows with the ``unit`` of each tile they belong to; only tiles within a ``key`` are made."""
+def tiles(anchors: DataFrame, rows: DataFrame, width: int, key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Anchors and rows with the ``unit`` of each tile they belong to; only tiles within a ``key`` are made, if given."""
     most = max(64, min(MOST_ROWS, TILE_BYTES // (8 * max(width, 1))))
-    blocks = anchors.groupBy(key.alias("k")).agg(F.ceil(F.count(F.lit(1)) / F.lit(most // 2)).cast("int").alias("na")).join(
-        rows.groupBy(key.alias("k")).agg(F.ceil(F.count(F.lit(1)) / F.lit(most)).cast("int").alias("nc")), "k")
+
+    def parts(df: DataFrame, name: str, bound: int) -> Column:
+        return F.ceil(F.count(F.lit(1)) / F.lit(bound)).cast("int").alias(name)
+
+    if key is None:     # two numbers, as literals: no join
+        na, nc = (df.agg(parts(df, "n", bound)).first()[0] for df, bound in ((anchors, most // 2), (rows, most)))
+        counted = [df.select("*", F.lit(0).alias("k"), F.lit(na).alias("na"), F.lit(nc).alias("nc")) for df in (anchors, rows)]
+    else:
+        blocks = anchors.groupBy(F.col(key).alias("k")).agg(parts(anchors, "na", most // 2)).join(
+            rows.groupBy(F.col(key).alias("k")).agg(parts(rows, "nc", most)), "k")
+        counted = [df.withColumn("k", F.col(key)).join(blocks, "k") for df in (anchors, rows)]
 
     def side(df: DataFrame, own: str, other: str, order: tuple[str, str]) -> DataFrame:
-        x = df.withColumn("k", key).join(blocks, "k").withColumn(
-            "own", F.pmod(F.xxhash64("rid", F.lit("block")), F.col(own)).cast("int"))
+        x = df.withColumn("own", F.pmod(F.xxhash64("rid", F.lit("block")), F.col(own)).cast("int")).where(F.col(other) > 0)
         x = x.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         return x.withColumn("unit", F.xxhash64("k", *order)).drop("k", "na", "nc", "own", "other")
 
-    a, c = side(anchors, "na", "nc", ("own", "other")), side(rows, "nc", "na", ("other", "own"))
+    a, c = side(counted[0], "na", "nc", ("own", "other")), side(counted[1], "nc", "na", ("other", "own"))
     return a, c.toDF(*c.columns)        # both come from one table: new column identities for the cogroup
 
 
@@ -143,7 +151,7 @@ def positives(anchors: DataFrame, rows: DataFrame, width: int, k: int) -> DataFr
         return pa.table({"aid": a["rid"].take(pa.array(i)), "rid": c["rid"].take(pa.array(j)),
                          "positive_id": c["vec_id"].take(pa.array(j)), "positive_score": pa.array(longs(s[i, j]))})
 
-    a, c = tiles(anchors, rows, F.col("label"), width)
+    a, c = tiles(anchors, rows, width, "label")
     heaps = a.groupBy("unit").cogroup(c.groupBy("unit")).applyInArrow(
         tile, "aid long, rid long, positive_id long, positive_score long")
     return merge(heaps, ["aid"], "positive_score", "positive_id", k).drop("rid")
@@ -185,7 +193,7 @@ def negatives(anchors: DataFrame, rows: DataFrame, width: int, k: int, least: in
         return pa.table({n: pa.array(np.concatenate(x) if x and not n.endswith(("positive_id", "negative_id")) else x,
                                      pa.int64()) for n, x in out.items()})
 
-    a, c = tiles(anchors, rows, F.lit(0), width)
+    a, c = tiles(anchors, rows, width)
     heaps = a.groupBy("unit").cogroup(c.groupBy("unit")).applyInArrow(tile, ", ".join(f"{n} long" for n in names))
     return merge(heaps, ["aid", "place"], "negative_score", "negative_id", k)
 
