@@ -9,7 +9,8 @@ one).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from scorewright.fixed import KPI_DECIMAL, MISSING_TEXT, NO, PERCENT_PLACES, RATIO_PLACES, WIDEN_DECIMAL, YES
 
@@ -106,29 +107,76 @@ def add_all(cols: Sequence[str]) -> str:
     return "(" + " + ".join(cols) + ")"
 
 
-def share(flag: str, on_value: str, ids: str) -> str:
+class Agg(NamedTuple):
+    """An aggregate made from partial states that add up.
+
+    ``states`` are SQL aggregates (counts and sums) whose values over parts of
+    a group add up to those of the whole; ``final`` makes the result from the
+    SQL text of the states.  ``whole`` is the aggregate in one step, where that
+    isn't ``final`` over the states (an average has a type of its own).
+    """
+
+    states: tuple[str, ...]
+    final: Callable[..., str]
+    whole: str | None = None
+
+    def sql(self) -> str:
+        """The aggregate in one step."""
+        return self.whole or self.final(*self.states)
+
+    def then(self, outer: Callable[[str], str]) -> Agg:
+        """The same states with ``outer`` applied to the result."""
+        return Agg(self.states, lambda *parts: outer(self.final(*parts)), outer(self.whole) if self.whole else None)
+
+
+def plain_agg(aggregate: str) -> Agg:
+    """A count or a sum, its own state."""
+    return Agg((aggregate,), lambda state: state)
+
+
+def share_agg(flag: str, on_value: str, ids: str) -> Agg:
     hit = f"count(CASE WHEN CAST({flag} AS STRING) = {lit(on_value)} THEN {flag} END)"
-    return percent_of(hit, f"count({ids})")
+    return Agg((hit, f"count({ids})"), percent_of)
 
 
-def avg_expr(cols: Sequence[str], integer: bool = True) -> str:
+def avg_expr_agg(cols: Sequence[str], integer: bool = True) -> Agg:
     """AVG of a sum of columns; a row counts only when every addend is non-NULL.
 
     The source engine truncates the average of integers (``sum div count``);
-    that of decimals is a plain average.
+    that of others is a plain average.
     """
     total = add_all(cols)
-    if integer:
-        return int_div(f"sum({total})", f"count({total})")
-    return f"avg({total})"
+    states = f"sum({total})", f"count({total})"
+    return Agg(states, int_div) if integer else Agg(states, mean_of, f"avg({total})")
+
+
+def mean_of(total: str, n: str) -> str:
+    return f"try_divide({total}, {n})"
+
+
+def avg_decimal_agg(c: str, places: int = 0) -> Agg:
+    wide = f"CAST({c} AS {WIDEN_DECIMAL})"
+    return Agg((f"sum({wide})", f"count({wide})"), mean_of, f"avg({wide})").then(lambda mean: round_half_away(mean, places))
+
+
+def ratio_of_sums_agg(num: str, den: str) -> Agg:
+    return Agg((f"sum({num})", f"sum({den})"), percent_of)
+
+
+def share(flag: str, on_value: str, ids: str) -> str:
+    return share_agg(flag, on_value, ids).sql()
+
+
+def avg_expr(cols: Sequence[str], integer: bool = True) -> str:
+    return avg_expr_agg(cols, integer).sql()
 
 
 def avg_decimal(c: str, places: int = 0) -> str:
-    return round_half_away(f"avg(CAST({c} AS {WIDEN_DECIMAL}))", places)
+    return avg_decimal_agg(c, places).sql()
 
 
 def ratio_of_sums(num: str, den: str) -> str:
-    return percent_of(f"sum({num})", f"sum({den})")
+    return ratio_of_sums_agg(num, den).sql()
 
 
 def level_label(levels: Sequence[str], ids: Sequence[str] | None = None) -> str:

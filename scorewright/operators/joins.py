@@ -64,9 +64,24 @@ def semi_join(df: DataFrame, evidence: DataFrame, on) -> DataFrame:
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, alias: str | None = None) -> DataFrame:
-    """Correlated scalar lookup written as a left join to a one-row-per-key table."""
-    picked = dim.select(key, F.col(value).alias(alias or value))
-    return df.join(picked, on=key, how="left")
+    """Correlated scalar subquery: ``(SELECT value FROM dim WHERE dim.key = df.key)`` as a column of ``df``.
+
+    NULL where no row matches (a NULL key never does).  A key of ``df`` with
+    two matching rows raises at run time, as a scalar subquery must; a repeated
+    key that nothing asks for doesn't.  The subquery counts its rows, so Spark
+    turns it into a left join with ``dim`` aggregated by key, which it can
+    broadcast or shuffle; its own check for a second row is made by a nested
+    loop beyond the broadcast threshold.
+    """
+    name = alias or value
+    picked = dim.select(F.col(key).alias("_lookup_key"), F.col(value).alias("_lookup_value"))
+    # a name of its own for the outer key, so that it can't be taken for a column of ``dim``
+    matches = picked.where(F.col("_lookup_key") == F.col("_outer_key").outer()).select(
+        F.expr("named_struct('n', count(1), 'v', any_value(_lookup_value))")).scalar()
+    found = df.withColumn("_outer_key", F.col(key)).select(*df.columns, matches.alias("_found"))
+    kind = dim.schema[value].dataType.simpleString()
+    return found.selectExpr(*[f"`{c}`" for c in df.columns], f"""CASE WHEN _found.n > 1
+        THEN CAST(raise_error('more than one row for {key} ' || CAST(`{key}` AS STRING)) AS {kind}) ELSE _found.v END AS `{name}`""")
 
 
 def cross_with_constants(df: DataFrame, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:

@@ -40,7 +40,7 @@ class Kpi:
     metric_id: int
     name: str
     entity: str       # SQL expression over one wide row
-    bench: str | Callable[[StructType], str]    # SQL aggregate over wide rows, or made from their schema
+    bench: S.Agg | Callable[[StructType], S.Agg]    # mergeable aggregate over wide rows, or made from their schema
     entity_display: str
     bench_display: str
     colour: str = NONE
@@ -75,14 +75,14 @@ class Catalogue:
         """KPI id -> SQL expression, every value decimal(20,10)."""
         return {k.metric_id: S.to_decimal(k.entity) for k in self.kpis}
 
-    def bench_values(self, wide: StructType) -> dict[int, str]:
-        """KPI id -> SQL aggregate expression over wide rows of this schema, every value decimal(20,10)."""
-        return {k.metric_id: S.to_decimal(k.bench(wide) if callable(k.bench) else k.bench) for k in self.kpis}
+    def bench_values(self, wide: StructType) -> dict[int, S.Agg]:
+        """KPI id -> mergeable aggregate over wide rows of this schema, every value decimal(20,10)."""
+        return {k.metric_id: (k.bench if isinstance(k.bench, S.Agg) else k.bench(wide)).then(S.to_decimal) for k in self.kpis}
 
 
-def average_of(cols: list[str]) -> Callable[[StructType], str]:
+def average_of(cols: list[str]) -> Callable[[StructType], S.Agg]:
     """Average of a sum of columns: truncated for integer columns, plain for others, as their types say."""
-    return lambda wide: S.avg_expr(cols, integer=all(isinstance(wide[c].dataType, IntegralType) for c in cols))
+    return lambda wide: S.avg_expr_agg(cols, integer=all(isinstance(wide[c].dataType, IntegralType) for c in cols))
 
 
 def standard_catalogue() -> Catalogue:
@@ -91,21 +91,21 @@ def standard_catalogue() -> Catalogue:
     opp4 = ["count_new", "count_mine", "count_old", "count_any"]
     return Catalogue((
         Kpi(8, "participation", S.to_decimal("participation"),
-            S.share("participation", FLAG_ON, "entity_id"), FLAG, PERCENT, OWN),
+            S.share_agg("participation", FLAG_ON, "entity_id"), FLAG, PERCENT, OWN),
         Kpi(9, "opportunity_sales", S.to_decimal(S.add_all(opp2)),
             average_of(opp2), COUNT, COUNT, NONE),
         Kpi(14, "opportunity_service", S.to_decimal(S.add_all(opp4)),
             average_of(opp4), COUNT, COUNT, NONE),
         Kpi(15, "inspection_rate", S.percent_of("inspections_done", "repair_orders"),
-            S.ratio_of_sums("inspections_done", "repair_orders"), PERCENT, PERCENT, NONE),
+            S.ratio_of_sums_agg("inspections_done", "repair_orders"), PERCENT, PERCENT, NONE),
         Kpi(25, "visit_close_rate", S.percent_of("visit_sales", "visit_households"),
-            S.ratio_of_sums("visit_sales", "visit_households"), PERCENT, PERCENT, VS_BENCH),
+            S.ratio_of_sums_agg("visit_sales", "visit_households"), PERCENT, PERCENT, VS_BENCH),
         Kpi(26, "loyalty_rate", S.percent_of("loyal_returns", "market_returns"),
-            S.ratio_of_sums("loyal_returns", "market_returns"), PERCENT, PERCENT, VS_BENCH),
+            S.ratio_of_sums_agg("loyal_returns", "market_returns"), PERCENT, PERCENT, VS_BENCH),
         Kpi(27, "attributed_share", S.percent_of("attributed_sales", "retail_sales"),
-            S.ratio_of_sums("attributed_sales", "retail_sales"), PERCENT, PERCENT, NONE),
+            S.ratio_of_sums_agg("attributed_sales", "retail_sales"), PERCENT, PERCENT, NONE),
         Kpi(28, "campaign_buy_rate", S.percent_of("units_sold", "customers_contacted"),
-            S.ratio_of_sums("units_sold", "customers_contacted"), PERCENT, PERCENT, VS_BENCH),
+            S.ratio_of_sums_agg("units_sold", "customers_contacted"), PERCENT, PERCENT, VS_BENCH),
         Kpi(34, "visit_sales", S.to_decimal("visit_sales"),
-            S.avg_decimal("visit_sales", 0), COUNT, COUNT, NONE),
+            S.avg_decimal_agg("visit_sales", 0), COUNT, COUNT, NONE),
     ))

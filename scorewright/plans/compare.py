@@ -5,9 +5,10 @@ is expanded into its four level keys (one Generate, the KPI table is read
 once), and the benchmark table is keyed the same way, by level, key columns
 and KPI (``keyed_bench``).  The keyed table is bounded by the hierarchy, not by
 the entity count, and carries no hint: Spark broadcasts it while its size in
-bytes allows and shuffles it beyond that.  The total has one key per KPI only;
-its rows are repeated over ``SALTS`` parts and the entity rows dealt over them,
-so that the join never shuffles on the KPI alone.
+bytes allows and shuffles it beyond that.  A level with few keys (the total has
+one, there are few regions) would then put all entity rows into few tasks: its
+benchmark rows are repeated over as many parts as bring the keys to ``SALTS``,
+and the entity rows are dealt over the parts (``level_parts``).
 
 Zone and region comparisons follow the source's outer-join-then-filter
 semantics exactly, without its fan-out: an entity row joins the benchmark
@@ -20,6 +21,11 @@ deeper rows only is one blocking row of the keyed table.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Mapping
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +38,14 @@ MATCH_COLUMNS = ("entity_id", "metric_id", "value", "level_id", "b_metric", "b_v
 SCORECARD_COLUMNS = ("entity_id", "metric_id", "level_id", "value_text", "value_rgb", "bench_text", "period")
 
 #: key columns of a level; the keyed table and the expanded rows fill the others with ''
-_KEYS = {"district": ("region", "zone", "district"), "zone": ("region", "zone"), "region": ("region",)}
+_KEYS = {"district": ("region", "zone", "district"), "zone": ("region", "zone"), "region": ("region",), "nation": ()}
+
+
+class KeyedBench(NamedTuple):
+    """The benchmark table keyed for the comparisons, and the parts its levels are dealt over."""
+
+    frame: DataFrame
+    parts: Mapping[str, int]
 
 
 def _keys(level: str, prefix: str = "") -> list[str]:
@@ -40,44 +53,47 @@ def _keys(level: str, prefix: str = "") -> list[str]:
     return [f"{n} AS k{i}" for i, n in enumerate(names + ["''"] * (3 - len(names)), 1)]
 
 
-def keyed_bench(bench: DataFrame, total_label: str) -> DataFrame:
-    """(lv, k1, k2, k3, b_metric, level_id, b_value, at_level) for all four comparisons.
+def level_parts(bench: DataFrame, salts: int = SALTS) -> dict[str, int]:
+    """Parts per level: as many as bring its number of distinct keys to ``salts`` (four numbers reach the driver)."""
+    counts = bench.selectExpr(*[f"count(DISTINCT {', '.join(_KEYS[lv])}) AS {lv}" for lv in LEVELS if _KEYS[lv]]).first()
+    return {lv: max(1, math.ceil(salts / max(1, counts[lv] if _KEYS[lv] else 1))) for lv in LEVELS}
+
+
+def keyed_bench(bench: DataFrame, total_label: str, parts: Mapping[str, int] | None = None) -> KeyedBench:
+    """(lv, k1, k2, k3, part, b_metric, level_id, b_value, at_level) for all four comparisons.
 
     ``at_level`` is false on blocking rows (see above).  Rows with a NULL key
     could never match an equality and are left out.
     """
+    parts = parts or level_parts(bench)
     b = bench.selectExpr("region AS b_region", "zone AS b_zone", "district AS b_district", "level_id",
                          "metric_id AS b_metric", "value AS b_value")
-    value = ("b_metric", "level_id", "b_value", "TRUE AS at_level")
-    parts = [b.where("b_region IS NOT NULL AND b_zone IS NOT NULL AND b_district IS NOT NULL").selectExpr(
-        "'district' AS lv", *_keys("district", "b_"), *value)]
+
+    def keyed(df: DataFrame, level: str, *columns: str) -> DataFrame:
+        return df.selectExpr(f"'{level}' AS lv", *_keys(level, "b_"), f"explode(sequence(0, {parts[level] - 1})) AS part",
+                             "b_metric", *columns)
+
+    value = ("level_id", "b_value", "TRUE AS at_level")
+    out = [keyed(b.where("b_region IS NOT NULL AND b_zone IS NOT NULL AND b_district IS NOT NULL"), "district", *value)]
     for level, deeper in (("zone", "b_district"), ("region", "coalesce(b_zone, b_district)")):
         known = b.where(" AND ".join(f"b_{k} IS NOT NULL" for k in _KEYS[level]))
-        parts.append(known.where(f"{deeper} IS NULL").selectExpr(f"'{level}' AS lv", *_keys(level, "b_"), *value))
+        out.append(keyed(known.where(f"{deeper} IS NULL"), level, *value))
         blocked = known.groupBy(*[f"b_{k}" for k in _KEYS[level]], "b_metric").agg(
             F.expr(f"max(CASE WHEN {deeper} IS NULL THEN 1 ELSE 0 END) AS _at")).where("_at = 0")
-        parts.append(blocked.selectExpr(
-            f"'{level}' AS lv", *_keys(level, "b_"), "b_metric", "CAST(NULL AS STRING) AS level_id",
-            f"CAST(NULL AS {bench.schema['value'].dataType.simpleString()}) AS b_value", "FALSE AS at_level"))
-    total = b.where(f"b_region = {S.lit(total_label)}")
-    parts.append(total.selectExpr("explode(sequence(0, {})) AS _salt".format(SALTS - 1), "*").selectExpr(
-        "'nation' AS lv", "CAST(_salt AS STRING) AS k1", "'' AS k2", "'' AS k3", *value))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _level_keys(level: str) -> str:
-    if level == "nation":
-        keys = [f"CAST(pmod(xxhash64(entity_id), {SALTS}) AS STRING) AS k1", "'' AS k2", "'' AS k3"]
-    else:
-        keys = _keys(level)
-    fields = ", ".join(f"'{name}', {value}" for value, name in (k.rsplit(" AS ", 1) for k in keys))
-    return f"named_struct('lv', '{level}', {fields})"
+        out.append(keyed(blocked, level, "CAST(NULL AS STRING) AS level_id",
+                         f"CAST(NULL AS {bench.schema['value'].dataType.simpleString()}) AS b_value", "FALSE AS at_level"))
+    out.append(keyed(b.where(f"b_region = {S.lit(total_label)}"), "nation", *value))
+    return KeyedBench(reduce(DataFrame.unionByName, out), dict(parts))
+
+
+def _level_keys(level: str, parts: int) -> str:
+    fields = ", ".join(f"'{name}', {value}" for value, name in (k.rsplit(" AS ", 1) for k in _keys(level)))
+    part = f"CAST(pmod(xxhash64(entity_id), {int(parts)}) AS INT)" if parts > 1 else "0"
+    return f"named_struct('lv', '{level}', {fields}, 'part', {part})"
 
 
-def all_levels(em: DataFrame, bench: DataFrame, total_label: str, levels=LEVELS, extra: tuple[str, ...] = ()) -> DataFrame:
+def all_levels(em: DataFrame, bench: DataFrame | KeyedBench, total_label: str, levels=LEVELS,
+               extra: tuple[str, ...] = ()) -> DataFrame:
     """The level comparisons of every entity KPI row (MATCH_COLUMNS), all levels from one read of ``em``.
 
     ``extra`` columns of ``em`` are carried along.  ``bench`` is the benchmark table or an already keyed one (``keyed_bench``).
@@ -85,11 +101,12 @@ def all_levels(em: DataFrame, bench: DataFrame, total_label: str, levels=LEVELS,
     """
     if unknown := set(levels) - set(LEVELS):
         raise ValueError(f"unknown levels {sorted(unknown)}")
-    keyed = bench if "at_level" in bench.columns else keyed_bench(bench, total_label)
-    b = keyed.selectExpr("lv AS _lv", "k1 AS _k1", "k2 AS _k2", "k3 AS _k3", "b_metric", "level_id", "b_value", "at_level")
+    keyed = bench if isinstance(bench, KeyedBench) else keyed_bench(bench, total_label)
+    b = keyed.frame.selectExpr("lv AS _lv", "k1 AS _k1", "k2 AS _k2", "k3 AS _k3", "part AS _part", "b_metric", "level_id",
+                               "b_value", "at_level")
     rows = em.selectExpr("entity_id", "metric_id", "value", *extra,
-                         f"inline(array({', '.join(_level_keys(lv) for lv in levels)}))")
-    on = F.expr("lv = _lv AND metric_id = b_metric AND k1 = _k1 AND k2 = _k2 AND k3 = _k3")
+                         f"inline(array({', '.join(_level_keys(lv, keyed.parts[lv]) for lv in levels)}))")
+    on = F.expr("lv = _lv AND metric_id = b_metric AND k1 = _k1 AND k2 = _k2 AND k3 = _k3 AND part = _part")
     # unmatched rows stay, except at the total; matches of a blocking row go
     kept = "CASE WHEN lv = 'nation' THEN at_level IS NOT NULL ELSE coalesce(at_level, TRUE) END"
     return rows.join(b, on, "left").where(kept).select(*MATCH_COLUMNS, *extra)
@@ -104,7 +121,7 @@ def level_matches_literal(em: DataFrame, bench: DataFrame, level: str, total_lab
     """The source's literal form (left join on the prefix, then filter); used to test the rewrite."""
     b = bench.selectExpr("region AS b_region", "zone AS b_zone", "district AS b_district", "level_id",
                          "metric_id AS b_metric", "value AS b_value")
-    eq = " AND ".join(["metric_id = b_metric", *[f"{k} = b_{k}" for k in _KEYS.get(level, ())]])
+    eq = " AND ".join(["metric_id = b_metric", *[f"{k} = b_{k}" for k in _KEYS[level]]])
     out = em.join(b, F.expr(eq), "left")
     if level == "nation":
         return out.where(f"b_region = {S.lit(total_label)}")

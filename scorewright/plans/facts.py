@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from scorewright.fixed import CAMPAIGN_FLAG, SHORT_CODE_LEN
 from scorewright.functions import sql as S
-from scorewright.operators.joins import left_join, spread_join
+from scorewright.operators.joins import left_join, lookup, spread_join
 from scorewright.operators.windows import top1
 from scorewright.sources.snapshot import SUBQUERY, as_of, latest_snapshot, rows_of
 
@@ -48,6 +48,14 @@ def participation(usage: DataFrame, latest=SUBQUERY) -> DataFrame:
         "period", "entity_id", "attributed_sales", "1 AS participation", "retail_sales", "_top AS vendor")
 
 
+def participation_by_lookup(usage: DataFrame, latest=SUBQUERY) -> DataFrame:
+    """``participation`` as the source states it: the vendor is a correlated scalar subquery per grouped row."""
+    rows = latest_snapshot(usage, "period", latest).where("entity_id IS NOT NULL")
+    grouped = rows.groupBy("entity_id", "retail_sales", "period").agg(F.expr("sum(attributed_sales) AS attributed_sales"))
+    return lookup(grouped, top_vendor(usage, latest), "entity_id", "vendor").selectExpr(
+        "period", "entity_id", "attributed_sales", "1 AS participation", "retail_sales", "vendor")
+
+
 def opportunity(src: DataFrame, latest=SUBQUERY) -> DataFrame:
     """src(entity_id, period, favour_brand, favour_undecided, count_new, count_mine,
     count_old, count_any): the latest snapshot rows as they are (duplicates kept)."""

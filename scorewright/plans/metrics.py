@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from scorewright.functions import sql as S
 from scorewright.operators.aggregate import rollup_levels
@@ -22,12 +21,13 @@ def entity_metrics(wide: DataFrame, catalogue: Catalogue) -> DataFrame:
 def benchmark_metrics(wide: DataFrame, catalogue: Catalogue, total_label: str) -> DataFrame:
     """The KPIs per district, zone, region and in total, NULL values dropped.
 
-    One ROLLUP over region > zone > district.  The level id is read from which
+    One rollup over region > zone > district, merged from the states of the
+    districts.  The level id is read from which
     keys are NULL and the total's region is renamed to ``total_label``.
     Rounding happens per level inside the aggregate expressions.
     """
     values = catalogue.bench_values(wide.schema)
-    agg = rollup_levels(wide, HIERARCHY, [F.expr(f"{v} AS _b{k}") for k, v in values.items()])
+    agg = rollup_levels(wide, HIERARCHY, {f"_b{k}": v for k, v in values.items()})
     labelled = agg.selectExpr(
         f"coalesce(region, {S.lit(total_label)}) AS region", "zone", "district",
         f"{S.level_label(HIERARCHY)} AS level_id",

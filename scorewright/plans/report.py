@@ -3,14 +3,13 @@ benchmarks -> scorecard / recommendations / header / footnotes / tooltips.
 
 ``build`` returns lazily planned DataFrames (with the multi-consumer
 intermediates materialised); ``refresh`` writes every report table once, into
-the folder of a new version, makes that version current with one rename after
-all of them exist, and releases what the build has held.
+the folder of a new version, makes that version current with one log entry
+after all of them exist, and releases what the build has held.
 """
 
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -20,28 +19,27 @@ from scorewright.plans import facts as fx
 from scorewright.plans.annotate import SourceSpec, footnotes, source_catalogue, tooltips
 from scorewright.plans.catalogue import Catalogue, standard_catalogue
 from scorewright.plans.compare import keyed_bench, scorecard
-from scorewright.plans.dimension import entity_dimension, infer_activity
+from scorewright.plans.dimension import HistorySource, entity_dimension, infer_activity
 from scorewright.plans.header import header
 from scorewright.plans.metrics import benchmark_metrics, entity_metrics
 from scorewright.plans.recommend import recommendations, resource_catalogue
 from scorewright.plans.wide import Facts, wide_table
 from scorewright.fixed import SHORT_CODE_LEN
-from scorewright.sources.sinks import (
-    Workspace, current_version, delete_path, materialise, overwrite, publish, run_concurrently, versions)
-from scorewright.sources.snapshot import SUBQUERY, PeriodSource, latest_periods
+from scorewright.sources.sinks import VersionLog, Workspace, materialise, overwrite, run_concurrently
+from scorewright.sources.snapshot import SUBQUERY, Periodic, latest_periods
 
 
-Snapshot = DataFrame | PeriodSource
+Snapshot = DataFrame | Periodic
 
 
 @dataclass(frozen=True)
 class ReportSources:
-    """The source tables; those read at their latest period may be a ``PeriodSource``.
+    """The source tables; those read at their latest period may be ``Periodic``.
 
     ``work`` holds tables that were staged to make them; ``refresh`` releases it.
     """
 
-    history: DataFrame
+    history: DataFrame | HistorySource
     current: DataFrame
     regions: DataFrame
     usage: Snapshot
@@ -104,9 +102,9 @@ class Report:
 def snapshot_periods(src: ReportSources, cfg: ReportConfig) -> dict:
     """Each snapshot source's own latest period.
 
-    ``batch``: every maximum up front (one small global aggregate per source,
-    submitted side by side), then literal filters, statically pruned and
-    pushed down.
+    ``batch``: every maximum up front (from statistics or one small global
+    aggregate, submitted side by side), then literal filters, statically pruned
+    and pushed down.
     ``subquery``: every fact filters with its own scalar subquery.
     """
     sources = {
@@ -153,7 +151,8 @@ def build(spark: SparkSession, src: ReportSources, cfg: ReportConfig) -> Report:
 
     def benchmarks():
         b = materialise(benchmark_metrics(wide, cfg.catalogue, cfg.total_label), cfg.metrics_mode, "benchmarks", work)
-        return b, materialise(keyed_bench(b, cfg.total_label), cfg.metrics_mode, "keyed-benchmarks", work)
+        k = keyed_bench(b, cfg.total_label)
+        return b, k._replace(frame=materialise(k.frame, cfg.metrics_mode, "keyed-benchmarks", work))
 
     # independent jobs: written side by side
     em, (bench, keyed) = run_concurrently([
@@ -179,39 +178,45 @@ def build(spark: SparkSession, src: ReportSources, cfg: ReportConfig) -> Report:
     )
 
 
-def refresh(spark: SparkSession, src: ReportSources, cfg: ReportConfig, out_root: str) -> dict[str, str]:
-    """Write all report tables as a new version of ``out_root`` and make it current (compute first, publish last).
+def refresh(spark: SparkSession, src: ReportSources, cfg: ReportConfig, out_root: str,
+            lease_seconds: int = 86_400) -> dict[str, str]:
+    """Write all report tables as a new version of ``out_root`` and make it current (compute first, commit last).
 
-    Every table is written once, to ``out_root/v-<id>/<name>``; the pointer file
-    ``CURRENT`` changes by one atomic rename when all of them exist, so a
-    reader (``current_tables``) sees the old report or the new one, never a
-    mixture.  The version before stays for readers in flight; older ones go.
-    Returns the paths of the new tables.  The build's own tables are released.
+    Every table is written once, to ``out_root/v-<id>/<name>``; one log entry
+    makes the version current when all of them exist (``sinks.VersionLog``), so
+    a reader (``current_tables``) sees the old report or the new one, never a
+    mixture.  Refreshes may overlap: each has its own leased version, and both
+    are readable afterwards, the later commit as the current one.  The version
+    before stays for readers in flight; older ones go, and those of failed
+    refreshes when their lease (``lease_seconds``) has ended.  Returns the paths
+    of the new tables.  The build's own tables are released.
     """
-    report = build(spark, src, cfg)
-    outputs = {
-        "header": report.header,
-        "scorecard": report.scorecard,
-        "recommendations": report.recommendations,
-        "footnotes": report.footnotes,
-        "metric_names": report.metric_names,
-    }
-    names = [n for n, df in outputs.items() if df is not None]
-    before, version = current_version(spark, out_root), f"v-{uuid.uuid4().hex[:12]}"
+    log = VersionLog(spark, out_root, lease_seconds)
+    version, committed = log.begin(), False
     try:
-        written = run_concurrently([lambda n=n: overwrite(outputs[n], os.path.join(out_root, version, n)) for n in names])
-        publish(spark, out_root, version)
-    finally:
-        report.release()
-        src.work.release()
-    for old in set(versions(spark, out_root)) - {before, version}:
-        delete_path(spark, os.path.join(out_root, old))
-    return dict(zip(names, written))
+        report = build(spark, src, cfg)
+        try:
+            outputs = {name: df for name, df in (
+                ("header", report.header), ("scorecard", report.scorecard), ("recommendations", report.recommendations),
+                ("footnotes", report.footnotes), ("metric_names", report.metric_names)) if df is not None}
+            written = run_concurrently([lambda n=n: overwrite(outputs[n], os.path.join(out_root, version, n)) for n in outputs])
+            log.commit(version)
+            committed = True
+        finally:
+            report.release()
+            src.work.release()
+    except BaseException:
+        if not committed:
+            log.abandon(version)
+        raise
+    log.release(version)
+    log.clean()
+    return dict(zip(outputs, written))
 
 
 def current_tables(spark: SparkSession, out_root: str) -> dict[str, DataFrame]:
     """The report tables of the current version of ``out_root``."""
-    version = current_version(spark, out_root)
+    version = VersionLog(spark, out_root).current()
     if version is None:
         raise FileNotFoundError(f"no report has been published in {out_root}")
     names = ("header", "scorecard", "recommendations", "footnotes", "metric_names")

@@ -8,9 +8,9 @@ district = c_mktsegment.  Periods are calendar years of order/ship dates
 
 Every source is derived from the given tables by Spark, so its size grows
 with the scale factor.  The only staged table is ``line_orders`` (lineitem
-joined to its order's customer): three sources read it, so each ``sources``
-call writes it once to the shared checkpoint folder instead of joining three
-times; ``ReportSources.work`` releases it.
+joined to its order's customer): three sources read it, so each year that a
+report asks for is joined once and written to the shared checkpoint folder;
+``ReportSources.work`` releases it.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.plans.catalogue import RESOURCE_METRIC_MAP, standard_catalogue
+from scorewright.plans.dimension import HistorySource
 from scorewright.plans.report import ReportConfig, ReportSources
-from scorewright.sources.sinks import Workspace, materialise
-from scorewright.sources.snapshot import PeriodSource
+from scorewright.sources.sinks import Workspace
+from scorewright.sources.snapshot import DateColumn, DerivedPeriods, PeriodSource, StagedPeriods
 from scorewright.sources.tables import constants, scan
 
 REPORT_DATE = "2001-06-30"
@@ -106,23 +107,30 @@ def entities(spark: SparkSession, root: str, null_keys: bool = False) -> DataFra
                         "n_name AS zone", f"{district} AS district")
 
 
-def history(spark: SparkSession, root: str) -> DataFrame:
-    o = scan(spark, "orders", ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"], root)
-    g = geography(spark, root)
-    return o.join(g, F.expr("o_custkey = c_custkey")).selectExpr(
-        "c_name AS entity_code",
-        "CASE WHEN o_orderpriority <> '5-LOW' THEN concat('Store ', right(c_name, 6)) END AS dba_name",
-        "c_name AS legal_name",
-        f"concat(r_name, '{REGION_SUFFIX}') AS region_name",
-        "n_name AS zone",
-        "c_mktsegment AS district",
-        "concat('Manager ', n_name, ' ', c_mktsegment) AS manager",
-        "n_name AS svc_zone",
-        "c_mktsegment AS svc_district",
-        "concat('Service ', n_name) AS svc_manager",
-        "to_date(o_orderdate) AS period",
-        "CASE WHEN o_orderstatus = 'P' THEN 'Y' ELSE 'N' END AS open_flag",
-    )
+def history(spark: SparkSession, root: str) -> HistorySource:
+    """One record per order (four columns), with the customer's names joined to those that are left after ranking."""
+    records = scan(spark, "orders", ["o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"], root).selectExpr(
+        "o_custkey", "to_date(o_orderdate) AS period", "o_orderpriority <> '5-LOW' AS has_dba",
+        "CASE WHEN o_orderstatus = 'P' THEN 'Y' ELSE 'N' END AS open_flag")
+
+    def complete(df: DataFrame) -> DataFrame:
+        g = geography(spark, root)
+        more = [c for c in df.columns if c not in ("o_custkey", "has_dba", "period", "open_flag")]
+        return df.join(g, F.expr("o_custkey = c_custkey")).selectExpr(
+            "c_name AS entity_code",
+            "CASE WHEN has_dba THEN concat('Store ', right(c_name, 6)) END AS dba_name",
+            "c_name AS legal_name",
+            f"concat(r_name, '{REGION_SUFFIX}') AS region_name",
+            "n_name AS zone",
+            "c_mktsegment AS district",
+            "concat('Manager ', n_name, ' ', c_mktsegment) AS manager",
+            "n_name AS svc_zone",
+            "c_mktsegment AS svc_district",
+            "concat('Service ', n_name) AS svc_manager",
+            "period", "open_flag", *more,
+        )
+
+    return HistorySource(records, "o_custkey", complete)
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
@@ -135,8 +143,9 @@ def regions(spark: SparkSession, root: str) -> DataFrame:
     return r.selectExpr(f"concat(r_name, '{REGION_SUFFIX}') AS region_name", "substring(r_name, 1, 3) AS region_short")
 
 
-def line_orders_frame(spark: SparkSession, root: str) -> DataFrame:
-    li = scan(spark, "lineitem", ["l_orderkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate"], root)
+def line_orders_frame(spark: SparkSession, root: str, where: str = "TRUE") -> DataFrame:
+    """Line items that satisfy ``where``, joined to their order's customer."""
+    li = scan(spark, "lineitem", ["l_orderkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate"], root).where(where)
     o = scan(spark, "orders", ["o_orderkey", "o_custkey"], root)
     return li.join(o, F.expr("l_orderkey = o_orderkey")).selectExpr(
         f"{code_sql('o_custkey')} AS entity_id",
@@ -149,13 +158,15 @@ def line_orders_frame(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def line_orders(spark: SparkSession, root: str, work: Workspace | None = None) -> DataFrame:
-    """lineitem x orders, written to the shared checkpoint folder.
+def line_orders(spark: SparkSession, root: str, work: Workspace) -> StagedPeriods:
+    """lineitem x orders by ship year; a year that is asked for is joined once and written to the shared folder.
 
-    Partitioned by period, so a latest-snapshot filter on it prunes to the
-    latest period's files instead of scanning every year.
+    The year is a range of ``l_shipdate`` below the join, so no other year is shuffled or written.
     """
-    return materialise(line_orders_frame(spark, root), "table", "line-orders", work, partition_by=("period",))
+    shipped = DateColumn(scan(spark, "lineitem", ["l_shipdate"], root), "l_shipdate", "year")
+    # a line without its order has no row: the latest ship year counts only if the join has rows
+    source = PeriodSource(lambda where: line_orders_frame(spark, root, where), "l_shipdate", "year", shipped, complete=False)
+    return StagedPeriods(source, "line-orders", work)
 
 
 def usage(lines: DataFrame) -> DataFrame:
@@ -270,16 +281,21 @@ def tooltip_table(spark):
 def sources(spark: SparkSession, root: str) -> ReportSources:
     work = Workspace()
     lines = line_orders(spark, root, work)
-    dated = lambda make, date, grain: PeriodSource(lambda where: make(spark, root, where), date, grain)
+    ordered = DateColumn(scan(spark, "orders", ["o_orderdate"], root), "o_orderdate", "year")
+    seen = DateColumn(scan(spark, "events", ["ts"], root), "ts", "month")
+
+    def dated(make, column: DateColumn) -> PeriodSource:
+        return PeriodSource(lambda where: make(spark, root, where), column.date, column.grain, column)
+
     return ReportSources(
         history=history(spark, root), current=current(spark, root), regions=regions(spark, root),
-        usage=usage(lines), opportunity=dated(opportunity_src, "ts", "month"),
-        campaigns=dated(campaigns_src, "o_orderdate", "year"),
-        service_entities=dated(service_entities, "o_orderdate", "year"),
-        service_orders=dated(service_orders, "o_orderdate", "year"),
-        inspections=inspections(lines), visits=dated(visits_src, "o_orderdate", "year"),
-        advocates=dated(advocates_src, "ts", "month"),
-        employees=employees(spark, root), loyalty=loyalty_src(lines), enrollment=enrollment_src(spark, root),
+        usage=DerivedPeriods(lines, usage), opportunity=dated(opportunity_src, seen),
+        campaigns=dated(campaigns_src, ordered),
+        service_entities=dated(service_entities, ordered),
+        service_orders=dated(service_orders, ordered),
+        inspections=DerivedPeriods(lines, inspections), visits=dated(visits_src, ordered),
+        advocates=dated(advocates_src, seen),
+        employees=employees(spark, root), loyalty=DerivedPeriods(lines, loyalty_src), enrollment=enrollment_src(spark, root),
         metric_names=metric_names(spark), resource_map=resource_map(spark), resource_links=resource_links(spark),
         tooltips=tooltip_table(spark), work=work,
     )

@@ -71,6 +71,7 @@ from scorewright.operators import reshape as rs  # noqa: E402
 from scorewright.operators import windows as wn  # noqa: E402
 from scorewright.plans import catalogue as cat  # noqa: E402
 from scorewright.plans import compare as cmp  # noqa: E402
+from scorewright.plans import facts as fx  # noqa: E402
 from scorewright.plans import metrics as mt  # noqa: E402
 from scorewright.plans import recommend as rc  # noqa: E402
 from scorewright.session import app_id, scratch_path  # noqa: E402
@@ -390,8 +391,9 @@ def subquery_scalar(spark, root):
 
 @register("subquery_correlated")
 def subquery_correlated(spark, root):
-    """OP-30: correlated vendor lookup written as a join to the top-1 table."""
-    return full_report(spark, root).facts.participation
+    """OP-30: the vendor of each grouped row by a correlated scalar subquery over the top-1 table."""
+    usage = rep_sources(spark, root).usage
+    return fx.participation_by_lookup(usage, usage.latest())
 
 
 def _level_query(level):
@@ -493,8 +495,8 @@ def agg_ratio_of_sums(spark, root):
 
 def _rollup(spark, root):
     j = E(spark, root, null_keys=True).join(O(spark, root), "custkey", "left")
-    return agg.rollup_levels(j, list(cat.HIERARCHY), [F.count("entity_id").alias("n_entities"),
-                                                       F.sum("n_orders").alias("n_orders")])
+    return agg.rollup_levels(j, list(cat.HIERARCHY), {"n_entities": S.plain_agg("count(entity_id)"),
+                                                      "n_orders": S.plain_agg("sum(n_orders)")})
 
 
 @register("grouping_sets")

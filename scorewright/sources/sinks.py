@@ -7,6 +7,9 @@ than the write itself (the source truncates four tables before filling any).
 
 from __future__ import annotations
 
+import os
+import time
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -110,28 +113,144 @@ def run_concurrently(tasks: Sequence[Callable[[], object]], max_workers: int = 4
         return [f.result() for f in futures]
 
 
-def publish(spark: SparkSession, root: str, version: str) -> None:
-    """Make ``version`` the current one of a report folder: one atomic rename of its pointer file."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    new, fs = _filesystem(spark, f"{root}/CURRENT.{version}")
-    out = fs.create(new, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    rename = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    rename[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    target = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT")
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(new, target, rename)
+class Conflict(RuntimeError):
+    """Another refresh committed after the version that this one was based on."""
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """The version that ``publish`` made current, None before the first."""
-    path, fs = _filesystem(spark, f"{root}/CURRENT")
-    if not fs.exists(path):
-        return None
-    return spark.read.text(f"{root}/CURRENT", wholetext=True).first()[0].strip()
+class VersionLog:
+    """Versions of a report folder: leased while they are written, committed by one put-if-absent log entry.
+
+    Layout under ``root``: ``v-<id>/`` the tables of a version, ``_log/<number>``
+    the committed versions in order (an entry holds the version's name and its
+    predecessor's), ``_leases/v-<id>`` the end of a lease (epoch seconds).
+
+    ``begin`` leases a new version before anything of it is written.  ``commit``
+    writes the log entry after the last one with "create, never overwrite": of
+    two refreshes that commit at once one gets the number, the other finds it
+    taken.  A refresh recomputes the whole report, so by default the other
+    takes the next number and both stay readable, in log order; with
+    ``expected`` it raises ``Conflict`` instead.  ``clean`` deletes what no
+    reader or writer can need: committed versions but the last ``keep``, and
+    uncommitted ones whose lease has ended.  The folder of a refresh in flight
+    has a running lease and is never touched, whoever cleans.
 
+    A put-if-absent is atomic where the store's create without overwrite is
+    (HDFS, stores with conditional writes); on local disks it is made from a
+    finished temporary file that is linked to the name.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, lease_seconds: int = 86_400, keep: int = 2):
+        self.spark, self.root, self.lease_seconds, self.keep = spark, root, lease_seconds, keep
+
+    # ---- files
+    def _names(self, folder: str) -> list[str]:
+        path, fs = _filesystem(self.spark, f"{self.root}/{folder}" if folder else self.root)
+        return sorted(f.getPath().getName() for f in fs.listStatus(path)) if fs.exists(path) else []
+
+    def _read(self, name: str) -> str | None:
+        path, fs = _filesystem(self.spark, f"{self.root}/{name}")
+        try:
+            stream = fs.open(path)
+        except Exception:  # noqa: BLE001  (deleted since it was listed)
+            if fs.exists(path):
+                raise
+            return None
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def _put(self, name: str, text: str) -> bool:
+        """Create the file with this content; False if it exists."""
+        path, fs = _filesystem(self.spark, f"{self.root}/{name}")
+        if fs.getUri().getScheme() == "file":
+            return self._put_local(path.toUri().getPath(), text)
+        try:
+            out = fs.create(path, False)
+        except Exception:  # noqa: BLE001  (the store's own "already exists")
+            if fs.exists(path):
+                return False
+            raise
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+
+    @staticmethod
+    def _put_local(path: str, text: str) -> bool:
+        # a finished file linked into place: the link fails if the name is taken, and no reader sees half a file
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        part = os.path.join(os.path.dirname(path), f".{uuid.uuid4().hex}")
+        with open(part, "x") as f:
+            f.write(text)
+        try:
+            os.link(part, path)
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(part)
+
+    # ---- log
+    def entries(self) -> list[int]:
+        return sorted(int(n) for n in self._names("_log") if n.isdigit())
+
+    def entry(self, number: int) -> tuple[str, str | None] | None:
+        """(version, predecessor) of a log entry, None if it was cleaned away."""
+        text = self._read(f"_log/{number:012d}")
+        if not text:
+            return None
+        version, _, before = text.partition("\n")
+        return version, before or None
+
+    def current(self) -> str | None:
+        """The version committed last, None before the first."""
+        for number in reversed(self.entries()):
+            if found := self.entry(number):
+                return found[0]
+        return None
 
-def versions(spark: SparkSession, root: str) -> list[str]:
-    path, fs = _filesystem(spark, root)
-    found = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
-    return sorted(n for n in found if n.startswith("v-"))
+    def begin(self) -> str:
+        """Lease and name of a new version."""
+        version = f"v-{uuid.uuid4().hex[:12]}"
+        self._put(f"_leases/{version}", str(int(time.time()) + self.lease_seconds))
+        return version
+
+    def commit(self, version: str, expected=...) -> int:
+        """Make ``version`` the current one; with ``expected`` only if that is the current one now."""
+        while True:
+            numbers = self.entries()
+            before = self.current()
+            if expected is not ... and before != expected:
+                raise Conflict(f"{before} was committed after {expected}")
+            number = (numbers[-1] if numbers else 0) + 1
+            if self._put(f"_log/{number:012d}", f"{version}\n{before or ''}"):
+                return number
+
+    def abandon(self, version: str) -> None:
+        """Delete an uncommitted version and end its lease."""
+        delete_path(self.spark, f"{self.root}/{version}")
+        delete_path(self.spark, f"{self.root}/_leases/{version}")
+
+    def leased(self) -> set[str]:
+        """Versions whose lease is running."""
+        now = time.time()
+        return {v for v in self._names("_leases") if int(self._read(f"_leases/{v}") or 0) > now}
+
+    def clean(self) -> list[str]:
+        """Delete versions that nobody needs; returns their names."""
+        folders = [n for n in self._names("") if n.startswith("v-")]
+        # leases are read before the log: a version committed in between is still seen as leased
+        leased, numbers = self.leased(), self.entries()
+        kept = {found[0] for n in numbers[-self.keep:] if (found := self.entry(n))}
+        old = [v for v in folders if v not in kept and v not in leased]
+        for v in old:
+            delete_path(self.spark, f"{self.root}/{v}")
+        for v in set(self._names("_leases")) - leased:
+            delete_path(self.spark, f"{self.root}/_leases/{v}")
+        for n in numbers[:-self.keep]:
+            delete_path(self.spark, f"{self.root}/_log/{n:012d}")
+        return old
+
+    def release(self, version: str) -> None:
+        """End the lease of a committed version: from now on the log keeps it."""
+        delete_path(self.spark, f"{self.root}/_leases/{version}")

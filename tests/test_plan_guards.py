@@ -5,10 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from scorewright.operators.joins import widen
+from scorewright.operators.joins import SALTS, widen
 from scorewright.plans import report, testbed
+from scorewright.plans.compare import LEVELS, keyed_bench, level_parts
 from scorewright.plans.dimension import entity_dimension
 from scorewright.plans.facts import advocates, participation, visit_sales
+from scorewright.plans.metrics import benchmark_metrics
 from scorewright.registry.spark_queries import full_report, rep_sources
 from scorewright.registry.spark_queries import QUERIES
 
@@ -39,13 +41,26 @@ def no_broadcast(spark):
         spark.conf.unset(k)
 
 
-def test_dimension_ranks_before_it_joins(spark, no_broadcast):
+def test_dimension_ranks_base_rows_before_any_join(spark, no_broadcast):
     src, cfg = rep_sources(spark, ROOT), testbed.config()
     plan = plan_of(entity_dimension(src.history, src.current, src.regions, keep=cfg.keep))
     limits = re.findall(r"WindowGroupLimit .*", plan)
     assert [x.rsplit(", ", 1)[1] for x in limits] == ["Final", "Partial"]
-    # the current list is joined above the ranking, so the history is shuffled by code only once after its own join
-    assert plan.index("_cur_code") < plan.index("WindowGroupLimit")
+    # every join is above the ranking; the orders are shuffled once, by the key that also joins them to the customers
+    below = plan[plan.index("WindowGroupLimit"):]
+    ranked = below[:below.index("parquet [o_custkey")]
+    assert "Join" not in ranked and ranked.count("Exchange") == 1 and "Exchange hashpartitioning(o_custkey" in ranked
+    scan = re.search(r"FileScan parquet \[(o_custkey[^]]*)\]", plan)[1]
+    assert len(scan.split(",")) == 4
+    assert not re.search(r"Exchange hashpartitioning\(region_name#\d+, \d+\)", plan)      # regions are few: spread
+    registered = plan_of(QUERIES["job_entity_dimension"](spark, ROOT))
+    assert registered.index("WindowGroupLimit") < registered.index("parquet [o_custkey")
+
+
+def test_dimension_of_a_plain_history_is_the_same(spark):
+    src, cfg = rep_sources(spark, ROOT), testbed.config()
+    a, b = (entity_dimension(h, src.current, src.regions, keep=cfg.keep) for h in (src.history, src.history.frame()))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
 
 
 def test_order_over_joined_columns_is_ranked_after_the_joins(spark):
@@ -61,9 +76,15 @@ def test_snapshots_reach_the_scan(spark):
     for plan in (plan_of(visit_sales(src.visits, latest=periods["visits"])), plan_of(advocates(src.advocates, periods["advocates"]))):
         assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\((o_orderdate|ts),", plan), plan
     fresh = testbed.sources(spark, ROOT)        # a source whose facts aren't cached
+    staged = fresh.usage.of.source.at(periods["usage"])      # what is written for that year
+    year = plan_of(staged)
+    assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(l_shipdate,", year), year
+    assert staged.selectExpr("min(period) = max(period)").first()[0]
     usage = plan_of(participation(fresh.usage, periods["usage"]))
+    assert len(fresh.work.paths) == 1 and usage.count("FileScan") == 1 and "lineitem" not in usage
+    fresh.loyalty.at(periods["loyalty"])
+    assert len(fresh.work.paths) == 1       # one staged year for all sources of it
     fresh.work.release()
-    assert re.search(r"PartitionFilters: \[[^]]*period", usage) and usage.count("FileScan") == 1
     latest = plan_of(QUERIES["latest_snapshot"](spark, ROOT))
     assert "DataFilters: [isnotnull(o_orderdate" in latest and "subquery" in latest.lower()
 
@@ -86,6 +107,28 @@ def test_no_shuffle_on_the_kpi_alone(spark, name, no_broadcast):
                 assert not names <= {"metric_id", "b_metric", "_res_metric"}, line
 
 
+def test_few_keys_of_a_level_are_dealt_over_parts(spark, no_broadcast):
+    """With 5 regions and one total, the comparison's shuffle still has dozens of keys per KPI at each level."""
+    rep = full_report(spark, ROOT)
+    parts = level_parts(rep.benchmarks)
+    keyed = keyed_bench(rep.benchmarks, testbed.TOTAL_LABEL)
+    assert parts["nation"] == SALTS and parts["region"] >= SALTS // 10 and keyed.parts == parts
+    per_level = keyed.frame.selectExpr("lv", "k1", "k2", "k3", "part").distinct().groupBy("lv").count().collect()
+    assert {r["lv"] for r in per_level} == set(LEVELS) and all(r["count"] >= SALTS for r in per_level)
+    plan = plan_of(QUERIES["job_scorecard"](spark, ROOT))
+    assert re.search(r"Exchange hashpartitioning\(lv#\d+, metric_id#\d+, k1#\d+, k2#\d+, k3#\d+, part#\d+", plan)
+
+
+def test_rollup_expands_partial_states_only(spark):
+    for name in ("grouping_sets", "level_label", "job_benchmark_metrics"):
+        df = full_report(spark, ROOT).wide if name.startswith("job") else None
+        plan = plan_of(QUERIES[name](spark, ROOT) if df is None else benchmark_metrics(df, testbed.config().catalogue, "T"))
+        at = [m.start() for m in re.finditer(r"Expand \[.*spark_grouping_id", plan)]
+        assert len(at) == 1, name
+        below = plan[at[0]:]
+        assert below.count("HashAggregate") >= 2 and "Exchange" in below, name      # the finest level comes first
+
+
 def test_hot_key_of_the_wide_join_is_split(spark, no_broadcast, tmp_path):
     settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}

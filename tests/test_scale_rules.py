@@ -143,6 +143,8 @@ def test_refresh_releases_what_it_holds(spark, tmp_path):
     persisted = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
     before = persisted()
     src = testbed.sources(spark, ROOT)
+    assert not src.work.paths      # nothing is staged before a period is asked for
+    src.usage.at(src.usage.latest())
     staged = src.work.paths[0][1].removeprefix("file:")
     report.refresh(spark, src, testbed.config(), str(tmp_path))
     assert persisted() <= before and not src.work.paths
