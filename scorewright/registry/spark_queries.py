@@ -25,6 +25,7 @@ def register(name: str):
 
 
 _sources: dict = {}
+_e0: dict = {}
 
 
 def state_key(spark: SparkSession, root: str) -> tuple:
@@ -36,9 +37,19 @@ def state_key(spark: SparkSession, root: str) -> tuple:
     return app_id(spark), root, tables
 
 
+def forget_old(key: tuple) -> None:
+    """Release what is held for an earlier state of the folder that ``key`` describes (or for an ended session)."""
+    for held, work in ((_reports, lambda r: r.work), (_sources, lambda s: s.work), (_e0, lambda e: e[2])):
+        for old in [k for k in held if k != key and (k[1] == key[1] or k[0] != key[0])]:
+            gone = held.pop(old)
+            if old[0] == key[0]:
+                work(gone).release()
+
+
 def rep_sources(spark: SparkSession, root: str) -> report.ReportSources:
     key = state_key(spark, root)
     if key not in _sources:
+        forget_old(key)
         _sources[key] = testbed.sources(spark, root)
     return _sources[key]
 
@@ -111,16 +122,16 @@ def K(spark):
 
 def e0_report(spark, root):
     """Entity metrics and benchmarks over the E0 hierarchy (NULL districts and regions)."""
-    key = (*state_key(spark, root), "e0")
-    if key not in _reports:
+    key = state_key(spark, root)
+    if key not in _e0:
         wide = full_report(spark, root).wide
         w0 = wide.withColumn("region", F.when(F.col("region") != testbed.E0_NULL_REGION, F.col("region"))) \
             .withColumn("district", F.when(F.col("district") != testbed.E0_NULL_DISTRICT, F.col("district")))
-        c = cat.standard_catalogue()
-        em = sinks.materialise(mt.entity_metrics(w0, c), "table", "e0-entity-metrics")
-        bench = sinks.materialise(mt.benchmark_metrics(w0, c, testbed.TOTAL_LABEL), "table", "e0-benchmarks")
-        _reports[key] = (em, bench)
-    return _reports[key]
+        c, work = cat.standard_catalogue(), sinks.Workspace()
+        em = sinks.materialise(mt.entity_metrics(w0, c), "table", "e0-entity-metrics", work)
+        bench = sinks.materialise(mt.benchmark_metrics(w0, c, testbed.TOTAL_LABEL), "table", "e0-benchmarks", work)
+        _e0[key] = (em, bench, work)
+    return _e0[key][:2]
 
 
 # ---------------------------------------------------------------------------

@@ -139,6 +139,33 @@ def test_registered_queries_notice_changed_tables(spark, tmp_path):
     assert state_key(spark, root) != a
 
 
+def test_registered_queries_release_old_states(spark, tmp_path):
+    import os
+
+    from scorewright.registry import spark_queries as q
+
+    root = str(tmp_path)
+    copied(spark, root)
+    q.e0_report(spark, root)
+    first = q.state_key(spark, root)
+    held = [p.removeprefix("file:") for w in (q._sources[first].work, q._reports[first].work, q._e0[first][2]) for _, p in w.paths]
+    assert held and all(os.path.exists(p) for p in held)
+    spark.range(3).write.parquet(f"{root}/more.parquet")
+    assert q.QUERIES["job_header"](spark, root).count() > 0
+    assert not any(os.path.exists(p) for p in held)
+    assert not {first} & {*q._sources, *q._reports, *q._e0}
+
+
+def test_hot_keys_are_found_by_the_sketch(spark):
+    from scorewright.operators.windows import hot_keys
+
+    df = spark.range(30_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE CAST(id AS STRING) END AS k",
+                                        "id % 2 AS j")
+    got = {tuple(r) for r in hot_keys(df, ["k", "j"], 1_000, tracked=1_000).collect()}
+    assert got == {("hot", 0), ("hot", 1), (None, 0), (None, 1)}
+    assert hot_keys(df, ["k", "j"], 6_000) is None and hot_keys(df.limit(0), ["k"], 1) is None
+
+
 def test_refresh_releases_what_it_holds(spark, tmp_path):
     persisted = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
     before = persisted()
