@@ -12,7 +12,8 @@ containment 1 the necessary prefix is the window's single rarest shingle.  The s
 
 Defined results.  Null or word-less texts have no words, no hits and are not contaminated.  Null or word-less items
 have no window.  Repeated rows each get the same result; items with equal texts all count; equal item ids count
-once.  Null item ids are left out of the item list.  Extra columns of either table are ignored.
+once.  The windows of items with a null id hit words like any other; such items are left out of the item list and its
+count.  Extra columns of either table are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ SHINGLE = 3     # words of a shingle; shorter windows use all their words
 def item_windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """Distinct (win: array of words, item_id: string) of all items."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"),
-                             alnum_words(F.col("text")).alias("w")).where("size(w) > 0 AND item_id IS NOT NULL")
+                             alnum_words(F.col("text")).alias("w")).where("size(w) > 0")
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - width + 1, F.lit(1)))
     return items.select("item_id", "w", F.explode(starts).alias("s")).select(
         F.slice("w", F.col("s"), F.lit(width)).alias("win"), "item_id").distinct()
@@ -82,8 +83,9 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     spans = spans.withColumn("reach", F.coalesce(F.max(end).over(w), F.lit(0)))
     hit = spans.groupBy(*row).agg(
         F.sum(F.greatest(end - F.greatest("start", "reach"), F.lit(0))).cast("long").alias("n_hit"))
+    # collect_list and count leave null ids out
     items = occ.select(*row, "win").distinct().join(pairs, "win").select(*row, "item_id").distinct().groupBy(*row).agg(
-        F.count(F.lit(1)).alias("n_items"),
+        F.count("item_id").alias("n_items"),
         F.sha2(F.array_join(F.sort_array(F.collect_list("item_id")), ","), 256).alias("items_sha256"))
     base = with_words(docs).select(*row, F.size("words").cast("long").alias("n_words"))
     got = hit.join(items, (hit.doc_id.eqNullSafe(items.doc_id)) & (hit.tk == items.tk)).select(

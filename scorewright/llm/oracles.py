@@ -22,7 +22,7 @@ def blank(text: str, lower: bool = False) -> str:
 
 
 DECONTAMINATION = f"""WITH d AS (SELECT doc_id, {alnum('text')} AS w FROM documents),
-i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {alnum('text')} AS w FROM benchmark WHERE item_id IS NOT NULL),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {alnum('text')} AS w FROM benchmark),
 win AS (SELECT DISTINCT item_id, w[s:s + 12] AS win
     FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM i WHERE len(w) > 0) x),
 lens AS (SELECT DISTINCT len(win) AS n FROM win),
@@ -30,7 +30,7 @@ dw AS (SELECT doc_id, n, s, w[s:s + n - 1] AS win
     FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d JOIN lens ON len(w) >= n) x),
 hit AS (SELECT doc_id, s, n, item_id FROM dw JOIN win USING (win)),
 pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) x GROUP BY 1),
-it AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS h
+it AS (SELECT doc_id, count(item_id) AS n_items, sha256(coalesce(string_agg(item_id, ',' ORDER BY item_id), '')) AS h
     FROM (SELECT DISTINCT doc_id, item_id FROM hit) x GROUP BY 1)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
     coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
@@ -80,13 +80,14 @@ def _list(words) -> str:
 
 
 LICENSES = f"""WITH d AS (SELECT doc_id, {alnum('text')} AS w FROM documents),
-t(tid, label, phrase, words, need) AS (VALUES {', '.join(
-    f"({i}, '{label}', {phrase}, {_list(words)}, {need})" for i, label, phrase, words, need in templates())}),
+t(tid, label, phrase, words, need, span) AS (VALUES {', '.join(
+    f"({i}, '{label}', {phrase}, {_list(words)}, {need}, {span})" for i, label, phrase, words, need, span in templates())}),
 pb AS (SELECT doc_id, label, s AS start, 1.0 AS share
     FROM (SELECT doc_id, w, label, words, unnest(range(0, len(w) - len(words) + 1)) AS s FROM d, t WHERE phrase) x
     WHERE w[s + 1:s + len(words)] = words),
-nb AS (SELECT doc_id, label, need, len(words) AS m, len(list_intersect(words, w[s + 1:s + 2 * len(words)])) AS got
-    FROM (SELECT doc_id, w, label, words, need, unnest(range(0, len(w), len(words))) AS s FROM d, t WHERE NOT phrase) x),
+nb AS (SELECT doc_id, label, need, len(words) AS m, len(list_intersect(words, w[s + 1:s + 2 * span])) AS got
+    FROM (SELECT doc_id, w, label, words, need, span, unnest(range(len(w))) AS s FROM d, t WHERE NOT phrase) x
+    WHERE list_contains(words, w[s + 1])),
 found AS (SELECT doc_id, label, start, share FROM pb
     UNION ALL SELECT doc_id, label, NULL, CAST(got AS DOUBLE) / m FROM nb WHERE got >= need),
 f AS (SELECT doc_id, count(start) AS n_base, min(start) AS first_word, max(start) AS last_word,

@@ -28,7 +28,7 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("account", "url")
 CUES = ("iban", "account", "acct", "ssn", "passport")
 
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
+_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -71,14 +71,24 @@ def automaton():
 
 
 def left_of(text: str, at: int, floor: int, pattern) -> int:
-    """Start of the longest run matching ``pattern`` that ends before ``at`` and starts at ``floor`` or later."""
-    back = _LOCAL_MAX
-    while True:
-        lo = max(floor, at - back)
-        start = lo + pattern.search(text[lo:at]).start()
-        if start > lo or lo == floor:
-            return start
-        back *= 2
+    """Start of the longest run of ``pattern`` that ends before ``at`` and starts at ``floor`` or later.
+
+    Matches the reversed text, a piece at a time and each only once, so the time is linear in the run.
+    """
+    end, back = at, _LOCAL_MAX
+    while end > floor:
+        low = max(floor, end - back)
+        run = pattern.match(text[low:end][::-1]).end()
+        if run < end - low:
+            return end - run
+        end, back = low, back * 2
+    return end
+
+
+def ip_part(digits: str) -> bool:
+    """Whether a part of an address, with leading zeros or not, is at most 255."""
+    digits = digits.lstrip("0")
+    return len(digits) < 3 or len(digits) == 3 and digits <= "255"
 
 
 def spans(text: str, ac) -> dict[str, list[tuple[int, int]]]:
@@ -92,7 +102,7 @@ def spans(text: str, ac) -> dict[str, list[tuple[int, int]]]:
                 continue
             if at >= end["ip"] and (m := _IP.match(text, at)):
                 end["ip"] = m.end()
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                if all(map(ip_part, m[0].split("."))):
                     out["ip"].append(m.span())
             if at >= end["card"] and (m := _CARD.match(text, at)):
                 end["card"] = m.end()

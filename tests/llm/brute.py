@@ -22,9 +22,8 @@ def op1(docs, items, width=13):
     wins = {}
     for i, t in items:
         w = alnum(t)
-        if w and i is not None:
-            for s in range(max(1, len(w) - width + 1)):
-                wins.setdefault(tuple(w[s:s + width]), set()).add(str(i))
+        for s in range(max(1, len(w) - width + 1) if w else 0):
+            wins.setdefault(tuple(w[s:s + width]), set()).update([] if i is None else [str(i)])
     sizes = sorted({len(w) for w in wins})
     out = []
     for d, t in docs:
@@ -50,14 +49,13 @@ def op6_base(text, phrases):
 
 
 def op6_labels(text, templates):
-    """Labels of all templates (tid, label, phrase?, words, need) whose threshold some block of the text meets."""
+    """Labels of all templates (tid, label, phrase?, words, need, span) whose threshold some window of the text meets."""
     w, got = alnum(text), set()
-    for _, label, phrase, t, need in templates:
-        m = len(t)
+    for _, label, phrase, t, need, span in templates:
         if phrase:
-            ok = any(w[i:i + m] == t for i in range(len(w) - m + 1))
+            ok = any(w[i:i + span] == t for i in range(len(w) - span + 1))
         else:
-            ok = any(len(set(t) & set(w[i:i + 2 * m])) >= need for i in range(0, len(w), m))
+            ok = any(len(set(t) & set(w[i:i + 2 * span])) >= need for i in range(len(w)))
         if ok:
             got.add(label)
     return ",".join(sorted(got))

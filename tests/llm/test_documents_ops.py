@@ -35,6 +35,18 @@ def test_decontamination_awkward(spark, odd):
     assert any(r[5] for r in got)
 
 
+def test_items_without_an_id_still_count(spark):
+    """A passage of an item with a null id hits; the item isn't listed."""
+    passage = " ".join(f"word{i}" for i in range(13))
+    bench = spark.createDataFrame([(None, passage), (None, "lone"), (4, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"before {passage} after"), (2, "a lone word"), (3, "clean text")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in decontaminate.contamination(spark, docs, bench).collect()}
+    assert (got[1]["n_hit"], got[1]["n_items"], got[1]["contaminated"]) == (13, 0, True)
+    assert (got[2]["n_hit"], got[2]["contaminated"], got[3]["n_hit"]) == (1, True, 0)
+    assert got[1]["items_sha256"] == sha256(b"").hexdigest()
+    assert {r["doc_id"] for r in decontaminate.drop_contaminated(spark, docs, bench).collect()} == {3}
+
+
 def test_decontamination_small(spark, small):
     items = [(r["item_id"], r["text"]) for r in data.small("benchmark")]
     got = data.rows(decontaminate.contamination(spark, small, spark.read.parquet(f"{data.SMALL}/benchmark.parquet")), *DECON)
@@ -86,6 +98,39 @@ def test_licenses_near_notice(spark):
     assert licenses.scan(spark, docs.limit(0)).count() == 0
 
 
+def test_licenses_at_every_offset(spark):
+    """A copy that holds exactly the needed words, at every offset of two blocks, with repeated words and insertions."""
+    label, notice = next((n for n in licenses.NOTICES if n[0] == "bsd"))
+    words = notice.split()
+    span, distinct = len(words), list(dict.fromkeys(words))
+    need = next(t[4] for t in licenses.templates() if t[1] == "bsd")
+    assert need < len(distinct) < span
+    drop = distinct[-(len(distinct) - need):]
+    copy = [w for w in words if w not in drop]
+    spread = [x for w in copy for x in (w, "filler")][:2 * span]
+    docs = [(100 * kind + at, " ".join(["pad"] * at + body + ["pad"] * (3 * span)))
+            for kind, body in ((0, copy), (1, spread), (2, copy[1:])) for at in range(4 * span + 1)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = {i: brute.op6_labels(t, licenses.templates()) for i, t in docs}
+    assert {r["doc_id"]: r["labels"] for r in licenses.scan(spark, df).collect()} == want
+    assert all(want[at] == "bsd" for at in range(4 * span + 1)) and not any(want[200 + at] for at in range(4 * span + 1))
+
+
+def test_licenses_full_text_template_and_blocks(spark, monkeypatch):
+    """Templates of a whole license's length, from the caller, and an index cut into many blocks."""
+    rng = random.Random(6)
+    vocabulary = [f"term{i}" for i in range(60)] + ["the", "of", "and", "or"] * 10
+    full = [rng.choice(vocabulary) for _ in range(170)]
+    rows = licenses.templates(notices=(("own", " ".join(full)), *licenses.NOTICES))
+    docs = [(k, " ".join(["the of and"] * k + [w for w in full if rng.random() < keep] + ["or the"] * 40))
+            for k, keep in enumerate((1, 0.97, 0.9, 0.8, 0.5, 0.85, 0.75))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = {i: brute.op6_labels(t, rows) for i, t in docs}
+    assert {r["doc_id"]: r["labels"] for r in licenses.scan(spark, df, rows).collect()} == want
+    monkeypatch.setattr(licenses, "BROADCAST_WORDS", 150)
+    assert {r["doc_id"]: r["labels"] for r in licenses.scan(spark, df, rows).collect()} == want and len(set(want.values())) > 1
+
+
 # ---- 4: personal data
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -97,7 +142,8 @@ def base_spans(text):
         out[kind] = []
         for m in re.finditer(pattern, text or ""):
             d = re.sub("[^0-9]", "", m[0])
-            ok = {"email": True, "ip": kind == "ip" and all(int(p) < 256 for p in m[0].split(".")),
+            ok = {"email": True, "ip": kind == "ip" and all(re.fullmatch("0*([0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])", p)
+                                                            for p in m[0].split(".")),
                   "card": 16 <= len(d) <= 19 and pii.luhn(d), "phone": 8 <= len(d) <= 15}[kind]
             out[kind] += [m.span()] * ok
     return out
@@ -116,6 +162,22 @@ def test_personal_data(spark, table, request):
     assert pii.find(docs.limit(0)).count() == 0
 
 
+def test_personal_data_long_runs():
+    """Digit runs beyond what an int takes, and a local part of a million characters, in linear time."""
+    import time
+
+    ac = pii.automaton()
+    assert pii.spans("0" * 5000 + ".1.1.1", ac)["ip"] == [(0, 5006)] and pii.spans("0" * 5000 + "256.1.1.1", ac)["ip"] == []
+    assert pii.spans("1" * 5000 + ".1.1.1", ac)["ip"] == [] and pii.spans("0.00.000.0000", ac)["ip"] == [(0, 13)]
+    for text in ("x" * 1_000_000 + "@host.org", ("y" * 700 + "!") * 1500 + "z" * 300_000 + "@host.org"):
+        start = time.perf_counter()
+        found = pii.spans(text, ac)["email"]
+        assert time.perf_counter() - start < 1
+        assert found[-1] == (len(text) - len(re.search(r"[a-z]+@host\.org\Z", text[-1_000_009:])[0]), len(text))
+    assert pii.spans("a@b.c" + "z" * 300_000 + "@host.org", ac)["email"] == [(0, 300_005)]
+    assert pii.spans("!" + "x" * 200 + "@h.org", ac)["email"] == [(1, 207)]
+
+
 def test_personal_data_fuzz():
     rng, ac = random.Random(5), pii.automaton()
     for _ in range(20_000):
