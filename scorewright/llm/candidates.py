@@ -9,15 +9,16 @@ similar pairs, so the output grows with the members and not with the pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import BROADCAST_ROWS, by_value, components, drop_written, units, write
+from scorewright.llm.common import by_value, components, drop_written, units, write
 
 by_value(__name__)
 
 SIGNATURE = "node long, size int, rid long, prefix array<long>, bits binary"
 TILE, CLUSTER = 2_000, 500      # members of a block of a large tile, and of a large cluster
+BROADCAST_BYTES, FIXED_ROW = 32 << 20, 64     # of a broadcast table, and of a row of a few numbers
 BUCKETS, HOT = 1 << 16, 32      # buckets that keys are counted in, and the multiple of the mean that makes one hot
 
 
@@ -99,9 +100,13 @@ def unit_edges(rows: DataFrame, compare) -> DataFrame:
     return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long").distinct()
 
 
-def bounded(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint if its measured row count allows, else as it is (a shuffle join follows)."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def bounded(df: DataFrame, row_bytes: Column | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its measured size in bytes allows, else as it is (a shuffle join follows).
+
+    ``row_bytes`` is an upper bound of a row's bytes, where rows have no fixed size.
+    """
+    size = df.agg(F.sum(F.lit(FIXED_ROW) if row_bytes is None else row_bytes + FIXED_ROW)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def shared_keys(spark: SparkSession, sig: DataFrame) -> DataFrame:

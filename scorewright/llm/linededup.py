@@ -1,7 +1,8 @@
 """Line dedup: segment-partition edit join.
 
-Method.  Lines of ``MIN_CHARS`` characters or more (without outer blanks) are compared.  Shorter ones stay, or with
-``short`` those that have a word are compared for equality only: they are nodes without index entries.
+Method.  Every line that has a word (a letter or digit of ASCII, or any character beyond) is compared, without its outer
+blanks.  The edit threshold follows the length: 0 below ``MIN_CHARS`` characters, where a single edit makes another line
+(these are nodes without index entries), and k = ``MAX_EDITS`` from there on.  Lines without a word (rules, brackets) stay.
 
 1. Equal lines are one ``node`` (a 64-bit hash).
 2. A line is split into ``k + 1`` segments for an edit threshold k: k edits leave one segment of the shorter line
@@ -14,7 +15,8 @@ Method.  Lines of ``MIN_CHARS`` characters or more (without outer blanks) are co
 5. Of each class the first line in order of (doc_id, text hash, line number) stays, all others are removed.
 
 Large tiles and clusters are cut into blocks (``candidates``); classes are compared as spanning forests, so a line
-that a third of all documents share is one node and makes no pairs.
+that a third of all documents share is one node and makes no pairs.  Its places meet the class's first line by a broadcast
+join of the at most ``HOT_CLASSES`` classes with the most lines; all other classes are joined by a shuffle.
 
 Defined results.  A null text stays null and has no lines; an empty text has one empty line.  Repeated rows lose the
 same lines.  Removed lines are cut out with one line feed each.  Extra columns are kept as they are, except that
@@ -23,6 +25,7 @@ same lines.  Removed lines are cut out with one line feed each.  Extra columns a
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +40,8 @@ MAX_EDITS = 2
 MIN_CHARS = 30
 SIGNATURE_BITS = 256
 BLANK = " \t\n\r\x0b\x0c"
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
+HOT_CLASSES = 1_000     # classes of lines, at most, that are joined by broadcast
 
 
 def node_of(line: str) -> int:
@@ -153,10 +158,10 @@ def within(a: str, b: str, k: int) -> bool:
 
 def has_word(line: str) -> bool:
     """Whether the line has a letter or digit (rules, brackets and list marks have none)."""
-    return any(map(str.isalnum, line))
+    return WORD.search(line) is not None
 
 
-def line_rows(docs: DataFrame, k: int, least: int, short: bool = False) -> DataFrame:
+def line_rows(docs: DataFrame, k: int, least: int) -> DataFrame:
     """One pass over the texts, to be written: rows (doc_id, tk, nodes of the lines) and signature rows of lines.
 
     ``nodes`` has null for lines that aren't compared.  A task describes a line the first time it meets it.
@@ -184,12 +189,9 @@ def line_rows(docs: DataFrame, k: int, least: int, short: bool = False) -> DataF
                 found = []
                 for line in (t.as_py() or "").split("\n"):
                     line = line.strip(BLANK)
-                    if len(line) < least:
-                        found.append(node_of(line) if short and has_word(line) else None)
-                        continue
-                    node = node_of(line)
+                    node = node_of(line) if has_word(line) else None
                     found.append(node)
-                    if node not in seen:
+                    if len(line) >= least and node is not None and node not in seen:
                         rows.append((node, len(line), (part << 32) + len(seen), entries(line, k)))
                         fresh.append(line)
                         seen.add(node)
@@ -235,10 +237,9 @@ def size_band(order, k: int) -> list[int]:
     return low
 
 
-def duplicates(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least: int = MIN_CHARS,
-               short: bool = False) -> DataFrame:
+def duplicates(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least: int = MIN_CHARS) -> DataFrame:
     """(doc_id, tk, lines): numbers (from 0) of the lines that are removed, for documents that lose any; written."""
-    first = write(spark, line_rows(docs, k, least, short), "lines")
+    first = write(spark, line_rows(docs, k, least), "lines")
     of_doc = first.where("node IS NULL").select("doc_id", "tk", "nodes")
     sig = first.where("node IS NOT NULL").select("node", "size", "rid", "prefix", "bits")
     cluster = clusters(spark, sig, compare_tile(k))
@@ -250,7 +251,7 @@ def duplicates(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least:
     wanted = one.groupBy("o.doc_id", "o.tk").agg(F.collect_list(F.struct("node", "o.line")).alias("want"))
     wanted = write(spark, wanted.toDF("_d", "_t", "want"), "wanted-lines")
     text = docs.select("doc_id", text_key().alias("tk"), "text")
-    got = text.join(bounded(wanted), text.doc_id.eqNullSafe(F.col("_d")) & (text.tk == F.col("_t"))).select(
+    got = text.join(bounded(wanted, 16 * F.size("want")), text.doc_id.eqNullSafe(F.col("_d")) & (text.tk == F.col("_t"))).select(
         F.split("text", "\n").alias("all"), F.explode("want").alias("w")).select(
         "w.node", F.get("all", F.col("w.line")).alias("text"))
     lines = write(spark, work.join(got, "node").select("unit", "node", stripped(F.col("text")).alias("text")), "line-texts")
@@ -259,9 +260,13 @@ def duplicates(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least:
     at = at.join(roots, "node", "left").select("doc_id", "tk", "line", F.coalesce("root", "node").alias("class"))
     here = F.struct("doc_id", "tk", "line")
     keep = at.groupBy("class").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    gone = at.join(keep, "class").where(~here.eqNullSafe(F.col("first")))
+    keep = write(spark, keep, "classes")
+    total = keep.agg(F.sum("c")).first()[0] or 0
+    hot = F.broadcast(keep.where(F.col("c") > F.lit(total // HOT_CLASSES)))
+    gone = at.join(hot, "class").unionByName(at.join(hot.select("class"), "class", "left_anti").join(
+        keep.where(F.col("c") <= F.lit(total // HOT_CLASSES)), "class")).where(~here.eqNullSafe(F.col("first")))
     gone = write(spark, gone.groupBy("doc_id", "tk").agg(F.sort_array(F.collect_set("line")).alias("lines")), "gone")
-    drop_written(spark, first, cluster, wanted, lines, links, roots)
+    drop_written(spark, first, cluster, wanted, lines, links, roots, keep)
     return gone
 
 
@@ -270,13 +275,12 @@ def stripped(line):
     return F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
 
 
-def dedup(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least: int = MIN_CHARS,
-          short: bool = False) -> DataFrame:
+def dedup(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least: int = MIN_CHARS) -> DataFrame:
     """The documents without their duplicate lines: their columns as ``_c0`` ... (see ``common.matched``) and ``lines``,
     the numbers of the removed lines (null if none)."""
     names = numbered(docs)
     at = dict(zip(docs.columns, names))
-    out = matched(docs, duplicates(spark, docs, k, least, short), "left", ("lines",))
+    out = matched(docs, duplicates(spark, docs, k, least), "left", ("lines",))
     lost, text = F.col("lines").isNotNull(), at["text"]
     kept = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(F.col("lines"), i))
     out = out.withColumn(text, F.when(lost, F.array_join(kept, "\n")).otherwise(F.col(text)))
@@ -287,7 +291,7 @@ def dedup(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least: int =
 
 
 def drop_duplicate_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The documents without their duplicate lines, short ones too; those that lost lines and have only blanks left go."""
-    out, names = dedup(spark, docs, short=True), numbered(docs)
+    """The documents without their duplicate lines; those that lost lines and have only blanks left go."""
+    out, names = dedup(spark, docs), numbered(docs)
     text = F.col(names[docs.columns.index("text")])
     return out.where(F.col("lines").isNull() | (F.size(blank_words(text)) > 0)).select(*names).toDF(*docs.columns)

@@ -39,10 +39,10 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)"""
 LINES = r"""WITH RECURSIVE ln AS (SELECT doc_id, i - 1 AS line, trim(l[i], E' \t\n\r\x0b\x0c') AS t
     FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
           FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents) a) b),
-big AS (SELECT * FROM ln WHERE length(t) >= 30),
+big AS (SELECT * FROM ln WHERE regexp_matches(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]')),
 txt AS (SELECT t, length(t) AS n, row_number() OVER (ORDER BY t) AS id FROM (SELECT DISTINCT t FROM big) x),
 near AS (SELECT a.id AS a, b.id AS b FROM txt a JOIN txt b ON b.n BETWEEN a.n AND a.n + 2 AND a.id <> b.id
-    WHERE levenshtein(a.t, b.t) <= 2),
+    WHERE a.n >= 30 AND levenshtein(a.t, b.t) <= 2),
 link AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
 reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
 cls AS (SELECT txt.t, least(id, coalesce(min(b), id)) AS c FROM txt LEFT JOIN reach ON id = a GROUP BY txt.t, id),

@@ -288,7 +288,8 @@ def brute_lines(pairs, k, least):
     lines = {}
     for d, t in pairs:
         for i, line in enumerate((t or "").split("\n")):
-            if len(s := line.strip(linededup.BLANK)) >= least:
+            s = line.strip(" \t\n\r\x0b\x0c")
+            if any(c.isascii() and c.isalnum() or not c.isascii() for c in s):
                 lines.setdefault(s, []).append((d, t, i))
     keys = list(lines)
     root = list(range(len(keys)))
@@ -300,7 +301,7 @@ def brute_lines(pairs, k, least):
 
     for i, a in enumerate(keys):
         for j in range(i):
-            if abs(len(a) - len(keys[j])) <= k and linededup.within(a, keys[j], k):
+            if min(len(a), len(keys[j])) >= least and abs(len(a) - len(keys[j])) <= k and linededup.within(a, keys[j], k):
                 root[find(i)] = find(j)
     classes = {}
     for i, s in enumerate(keys):
@@ -331,6 +332,30 @@ def test_line_dedup_texts(spark, odd):
     assert linededup.drop_duplicate_lines(spark, odd.limit(0)).count() == 0
 
 
+def test_short_lines_are_compared_for_equality(spark):
+    """The query's operator removes equal short lines; near short lines and lines without a word stay."""
+    docs = [(i, f"Text number {i} of the collection, long enough to be compared\nAll rights reserved.\n-----\n{'=' * 40}\nPage {i}")
+            for i in range(5)] + [(9, "All rights reserved!\n漢\n漢\nÄ\n Ä "), (None, "All rights reserved.")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["lines"] for r in linededup.duplicates(spark, df).collect()}
+    # the text numbers differ by one edit: one class, whose first line is that of document 0
+    assert got == {0: [1], 1: [0, 1], 2: [0, 1], 3: [0, 1], 4: [0, 1], 9: [2, 4]}
+
+
+def test_hot_lines_and_others_agree(spark, monkeypatch):
+    rng = random.Random(2)
+    lines = [f"A common line with the number {i} in it" * (1 + i % 2) for i in range(40)]
+    docs = [(i, "\n".join(["hot line of a third of all rows"] * (i % 3) + rng.sample(lines, 4))) for i in range(120)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = []
+    for n in (1, 7, 1000):
+        monkeypatch.setattr(linededup, "HOT_CLASSES", n)
+        got.append(data.ordered([(r["doc_id"], str(r["lines"])) for r in linededup.duplicates(spark, df).collect()]))
+    monkeypatch.setattr("scorewright.llm.candidates.BROADCAST_BYTES", 0)
+    got.append(data.ordered([(r["doc_id"], str(r["lines"])) for r in linededup.duplicates(spark, df).collect()]))
+    assert got[0] == got[1] == got[2] == got[3] and got[0]
+
+
 def test_banded_distance_and_segments():
     rng = random.Random(7)
     for _ in range(8000):
