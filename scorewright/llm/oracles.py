@@ -86,8 +86,8 @@ pb AS (SELECT doc_id, label, s AS start, 1.0 AS share
     FROM (SELECT doc_id, w, label, words, unnest(range(0, len(w) - len(words) + 1)) AS s FROM d, t WHERE phrase) x
     WHERE w[s + 1:s + len(words)] = words),
 nb AS (SELECT doc_id, label, need, len(words) AS m, len(list_intersect(words, w[s + 1:s + 2 * span])) AS got
-    FROM (SELECT doc_id, w, label, words, need, span, unnest(range(len(w))) AS s FROM d, t WHERE NOT phrase) x
-    WHERE list_contains(words, w[s + 1])),
+    FROM (SELECT doc_id, w, label, words, need, span, unnest(list_filter(range(len(w)), lambda s: list_contains(words, w[s + 1]))) AS s
+        FROM d, t WHERE NOT phrase) x),
 found AS (SELECT doc_id, label, start, share FROM pb
     UNION ALL SELECT doc_id, label, NULL, CAST(got AS DOUBLE) / m FROM nb WHERE got >= need),
 f AS (SELECT doc_id, count(start) AS n_base, min(start) AS first_word, max(start) AS last_word,
