@@ -1,9 +1,10 @@
 """Quality rules from suffix-array repetition.
 
 Method.  The words of many texts are laid end to end and their suffixes sorted by prefix doubling, with the text's
-number as part of the first key, so that only suffixes of one text ever compare equal.  The ranks of every doubling
-level give the longest common prefix of neighbours in the suffix array.  A suffix's larger neighbour value is the
-longest substring that starts there and occurs again; over all suffixes these are the longest-common-prefix intervals'
+number as part of the first key, so that only suffixes of one text ever compare equal.  The longest common prefix of
+neighbours in the suffix array is compared word by word only where the words in front of both suffixes differ; elsewhere
+it is one less than at the place in front, so memory is linear and no rank levels are kept.  A suffix's larger neighbour
+value is the longest substring that starts there and occurs again; over all suffixes these are the longest-common-prefix intervals'
 maximal repeats, and their spans are united per text.  A text is rejected when repeats of ``MIN_REPEAT`` words or more
 cover too large a share, or when its longest repeat is too long.
 
@@ -27,31 +28,53 @@ MIN_REPEAT = 4          # words of the shortest repeat that the method's verdict
 MAX_COVERED = 0.4       # share of words inside such repeats
 MAX_LONGEST = 200       # words of the longest repeat
 SLAB_WORDS = 300_000    # words sorted together
+STEP_WORDS = 1 << 20    # words that one step of the common-prefix search compares at most
 
 _BLANKS = b" \t\n\r\x0b\x0c"
 _SYMBOLS = b"#*$%&|<>"
 
 
-def longest_repeats(ids, doc):
-    """For every word position the length of the longest word sequence that starts there and occurs again in its text.
+def common_words(ids, a, b, limit):
+    """For every pair of places a, b the number of equal words from there on, at most ``limit``.
 
-    ``ids``: word numbers, ``doc``: ascending text numbers, both int64 arrays.
+    All pairs advance together, in steps that grow while few enough pairs are left: a step compares STEP_WORDS words.
     """
     import numpy as np
 
+    length = np.zeros(len(a), np.int64)
+    live, width = np.flatnonzero(limit > 0), 1
+    while len(live):
+        width = max(1, min(2 * width, STEP_WORDS // len(live)))
+        done = length[live]
+        x, y, room = a[live] + done, b[live] + done, limit[live] - done
+        if width == 1:
+            same = (ids[x] == ids[y]).astype(np.int64)
+        else:
+            k = np.arange(width)
+            last = room[:, None] - 1
+            equal = ids[x[:, None] + np.minimum(k, last)] == ids[y[:, None] + np.minimum(k, last)]
+            equal &= k <= last
+            same = np.where(equal.all(axis=1), width, equal.argmin(axis=1))
+        length[live] = done + same
+        live = live[(same == width) & (room > width)]
+    return length
+
+
+def suffix_array(ids, doc, ends):
+    """Places of all words, ordered by text and then by the words from there to the text's end (prefix doubling)."""
+    import numpy as np
+
     n = len(ids)
-    if n == 0:
-        return np.zeros(0, np.int64)
-    ends = np.searchsorted(doc, doc, side="right")          # first position after the word's text
     key = doc * (int(ids.max()) + 1) + ids
     order = np.argsort(key, kind="stable")
-    new = np.r_[True, np.diff(key[order]) != 0]
-    start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    key = key[order]
+    start = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], np.arange(n), 0))
+    del key
     rank = np.empty(n, np.int64)
     rank[order] = start                                     # a group's rank is the place of its first member
-    levels, h = [rank.copy()], 1
-    size = np.bincount(rank, minlength=n)
-    active = np.flatnonzero(size[rank] > 1)
+    del order, start
+    h = 1
+    active = np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)
     while len(active):
         nxt = active + h
         second = np.where(nxt < ends[active], rank[np.minimum(nxt, n - 1)], -1)
@@ -60,27 +83,49 @@ def longest_repeats(ids, doc):
         act, comp = active[o], comp[o]
         old = rank[act]
         i = np.arange(len(act))
-        old_first = np.maximum.accumulate(np.where(np.r_[True, np.diff(old) != 0], i, 0))
-        new_first = np.maximum.accumulate(np.where(np.r_[True, np.diff(comp) != 0], i, 0))
+        old_first = np.maximum.accumulate(np.where(np.r_[True, old[1:] != old[:-1]], i, 0))
+        new_first = np.maximum.accumulate(np.where(np.r_[True, comp[1:] != comp[:-1]], i, 0))
         rank[act] = old + new_first - old_first
-        levels.append(rank.copy())
+        del nxt, second, comp, o, old, i, old_first, new_first
         h *= 2
         size = np.bincount(rank[act], minlength=n)
         active = np.sort(act[size[rank[act]] > 1])
     sa = np.empty(n, np.int64)
     sa[rank] = np.arange(n)
-    a, b = sa[:-1], sa[1:]
-    near = np.flatnonzero(levels[0][a] == levels[0][b])     # neighbours with a common first word
-    a, b = a[near], b[near]
-    lcp = np.zeros(len(near), np.int64)
-    for k in range(len(levels) - 1, -1, -1):
-        x, y = a + lcp, b + lcp
-        inside = (x < ends[a]) & (y < ends[b])
-        same = inside & (levels[k][np.minimum(x, n - 1)] == levels[k][np.minimum(y, n - 1)])
-        lcp += same * (1 << k)
-    best = np.zeros(n, np.int64)
-    np.maximum.at(best, a, lcp)
-    np.maximum.at(best, b, lcp)
+    return sa
+
+
+def longest_repeats(ids, doc):
+    """For every word position the length of the longest word sequence that starts there and occurs again in its text.
+
+    ``ids``: word numbers, ``doc``: ascending text numbers, both int64 arrays.  Memory is a fixed number of arrays of
+    that length, whatever the texts repeat.
+    """
+    import numpy as np
+
+    n = len(ids)
+    if n == 0:
+        return np.zeros(0, np.int64)
+    ends = np.searchsorted(doc, doc, side="right")          # first position after the word's text
+    sa = suffix_array(ids, doc, ends)
+    before = np.full(n, -1, np.int64)                       # the suffix before, if it is of the same text
+    at = np.flatnonzero(doc[sa[1:]] == doc[sa[:-1]])
+    before[sa[at + 1]] = sa[at]
+    del sa
+    # where the words in front of both are equal, the common prefix is one shorter than that of the place in front
+    front = np.flatnonzero((before[1:] > 0) & (doc[1:] == doc[:-1])) + 1
+    front = front[(doc[before[front] - 1] == doc[front]) & (ids[before[front] - 1] == ids[front - 1])]
+    fresh = before >= 0
+    fresh[front] = False
+    own = np.flatnonzero(fresh)
+    lcp = np.zeros(n, np.int64)
+    lcp[own] = common_words(ids, own, before[own], ends[own] - np.maximum(own, before[own]))
+    fresh[before < 0] = True                                # a text's least suffix: nothing before it, length 0
+    source = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+    lcp = np.where(fresh, lcp, lcp[source] - (np.arange(n) - source))
+    best = lcp.copy()
+    has = np.flatnonzero(before >= 0)
+    np.maximum.at(best, before[has], lcp[has])
     return best
 
 
@@ -100,12 +145,12 @@ def measure(texts: list[str]) -> dict[str, list]:
 
     cols = {k: [] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered_words",
                             "longest_repeat")}
-    slab, held = [], 0
+    slab, held, number = [], 0, {}          # word numbers of each text, their sum, the slab's numbering
 
     def flush():
-        nonlocal slab, held
-        number: dict[bytes, int] = {}
-        ids = np.fromiter((number.setdefault(w, len(number)) for ws in slab for w in ws), np.int64, held)
+        nonlocal slab, held, number
+        number = {}
+        ids = np.concatenate(slab)
         doc = np.repeat(np.arange(len(slab)), [len(ws) for ws in slab])
         best = longest_repeats(ids, doc)
         longest = np.zeros(len(slab), np.int64)
@@ -123,8 +168,9 @@ def measure(texts: list[str]) -> dict[str, list]:
         cols["n_symbols"].append(len(raw) - len(raw.translate(None, _SYMBOLS)))
         lines = [x for x in raw.split(b"\n") if x.strip(_BLANKS)]
         cols["n_dup_lines"].append(len(lines) - len(set(lines)))
-        slab.append(words)
+        slab.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)))
         held += len(words)
+        del raw, words, lines
         if held >= SLAB_WORDS:
             flush()
     if slab:

@@ -232,6 +232,35 @@ def test_suffix_array_brute_force():
             [sum(doc[x] == d for x in spans) for d in range(4)]
 
 
+def test_common_words():
+    import numpy as np
+
+    rng = random.Random(4)
+    ids = np.array([rng.choice([0, 0, 0, 1]) for _ in range(300)], np.int64)
+    a, b = (np.array([rng.randint(0, 299) for _ in range(400)]) for _ in range(2))
+    limit = 300 - np.maximum(a, b)
+    want = []
+    for i, j, most in zip(a, b, limit):
+        k = 0
+        while k < most and ids[i + k] == ids[j + k]:
+            k += 1
+        want.append(k)
+    assert repetition.common_words(ids, a, b, limit).tolist() == want
+
+
+@pytest.mark.parametrize("text", ["ab " * 1_000_000, "a b c d e f g h i j " * 100_000])
+def test_a_million_repeated_words(text):
+    import tracemalloc
+
+    tracemalloc.start()
+    got = repetition.measure([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    period = 1 if text.startswith("ab") else 10
+    assert got["n_repeat_words"] == [1_000_000] and got["longest_repeat"] == [1_000_000 - period]
+    assert peak < 250 * 1_000_000       # bytes a word: a fixed number of arrays, not one for each doubling
+
+
 # ---- 9: n-gram join
 @pytest.mark.parametrize("table", ["odd", "small"])
 def test_ngram_join(spark, table, request):
