@@ -3,14 +3,16 @@
 Features.  A text becomes the indicators of its n-grams over character classes: the UTF-8 bytes are mapped to twelve
 classes, runs of one class are collapsed, and every 1- to 3-gram of the runs is an indicator together with the power
 of two of its share in the text ("this 3-gram makes up 1/8 to 1/4 of the text").  Pairs of equal neighbouring words,
-repeated words and repeated lines are indicators of the same kind.
+repeated words and repeated lines are indicators of the same kind.  Its distinct words (A-Z lower-cased, cut at blanks
+and ASCII marks) and pairs of neighbouring words are indicators hashed to ``2**WORD_BITS`` numbers.
 
 Method.  The indicators are scaled by the log ratio of their smoothed frequencies in the two classes, and a linear
 hinge-loss model is fitted to the scaled indicators by dual coordinate descent.  A logistic curve fitted to the
 training margins turns a margin into a score.
 
-Bounds.  Features are computed for all documents, and the log-count ratios come from all labelled training rows of
-the sample ``MAX_TRAIN`` (the documented bound of the fit).  The model is a vector of ``N_FEATURES`` numbers.
+Bounds.  The fit uses at most ``MAX_TRAIN`` labelled rows with ``MAX_NUMBERS`` indicators in all, the documented bound
+of the fit and of what reaches the driver.  The model is a vector of ``N_FEATURES`` numbers.  Every whole text is scored,
+in one pass that writes nothing.
 
 Defined results.  A null or empty text has only the "no words" indicator and gets a score.  Repeated rows get equal
 scores; labels that disagree count as the larger; null ids or labels teach nothing.  With no labelled row, or one
@@ -22,13 +24,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm.common import by_value, map_texts, write
-from scorewright.llm.labelled import held_out, training_labels
+from scorewright.llm.common import by_value, map_texts
+from scorewright.llm.labelled import held_out, training_labels, training_rows
 
 by_value(__name__)
 
 PARTS, FOLD = 4, 2          # crc32(doc_id) mod 4 = 2 is held out
 MAX_TRAIN = 20_000          # labelled rows that the fit may use
+MAX_NUMBERS = 16_000_000    # indicators of these rows together
 ACCEPT = 0.7
 SMOOTHING = 1.0
 COST = 1.0                  # hinge-loss weight
@@ -40,7 +43,34 @@ _K = len(_CLASSES) + 1
 _GRAMS = _K + _K ** 2 + _K ** 3
 _EXTRA = 4                  # equal neighbours, repeated words, repeated lines, words (by their number)
 _LEVELS = 12
-N_FEATURES = (_GRAMS + _EXTRA) * _LEVELS
+_FORMS = (_GRAMS + _EXTRA) * _LEVELS
+WORD_BITS = 19              # words and pairs of words are hashed to 2**WORD_BITS numbers
+N_FEATURES = _FORMS + (1 << WORD_BITS)
+
+_MARKS = bytes(c for c in range(128) if not chr(c).isalnum())
+_WORDS = bytes.maketrans(_MARKS + b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b" " * len(_MARKS) + b"abcdefghijklmnopqrstuvwxyz")
+_MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)     # odd multipliers of the word hashes
+
+
+class _Hashes(dict):
+    """crc32 of every word asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        from zlib import crc32
+
+        self[word] = found = crc32(word) + 1
+        return found
+
+
+def word_numbers(raw: bytes, known: dict):
+    """The distinct hash numbers of the words and pairs of neighbouring words of a text."""
+    import numpy as np
+
+    words = raw.translate(_WORDS).split()
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    one, two = (np.uint64(m) for m in _MIX)
+    both = np.r_[h * one, (h[:-1] * one + h[1:]) * two]
+    return np.unique(both >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
 
 def indicators(texts: list[str]) -> dict[str, list]:
@@ -50,7 +80,7 @@ def indicators(texts: list[str]) -> dict[str, list]:
     table = np.full(256, _K - 1, np.int64)
     for i, chars in enumerate(_CLASSES):
         table[list(chars)] = i
-    out = []
+    out, known = [], _Hashes()
     for text in texts:
         raw = text.encode()
         words = raw.split()
@@ -80,32 +110,22 @@ def indicators(texts: list[str]) -> dict[str, list]:
                 for i, (a, b) in enumerate(extra) if a]
         more.append((_GRAMS + 3) * _LEVELS + min(_LEVELS - 1, n_words.bit_length()))
         feats.append(np.array(more, np.int64))
-        out.append(np.concatenate(feats).tolist())
+        feats.append(_FORMS + word_numbers(raw, known))
+        out.append(np.concatenate(feats))
     return {"feats": out}
 
 
-def fit(rows: list, n_features: int = N_FEATURES, cost: float = COST, epochs: int = EPOCHS) -> dict:
-    """Fit on (y, feats) rows: log-count ratios, dual coordinate descent for the hinge loss, logistic calibration."""
+def dual_descent(feats: list, values: list, y, upper, n_features: int, epochs: int):
+    """Weights, bias and duals that minimise ``(|w|^2 + b^2) / 2 + sum(upper * hinge)`` by dual coordinate descent."""
     import numpy as np
 
-    y = np.array([1 if r[0] else -1 for r in rows])
-    if len(rows) == 0 or abs(y.sum()) == len(y):
-        return {"w": np.zeros(n_features), "b": 0.0, "const": 0.5 if len(rows) == 0 else float((y[0] + 1) / 2)}
-    feats = [np.asarray(r[1], np.int64) for r in rows]
-    counts = [np.full(n_features, SMOOTHING), np.full(n_features, SMOOTHING)]
-    for f, s in zip(feats, y):
-        counts[int(s > 0)][f] += 1
-    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    # dual coordinate descent: min 1/2 |w|^2 + cost * sum(hinge), bias as a constant feature; classes weigh the same
-    upper = np.where(y > 0, cost * len(y) / (2 * (y > 0).sum()), cost * len(y) / (2 * (y < 0).sum()))
     w, b, alpha = np.zeros(n_features), 0.0, np.zeros(len(y))
-    scaled = [ratio[f] for f in feats]
-    diag = np.array([(s * s).sum() + 1 for s in scaled])
+    diag = np.array([(s * s).sum() + 1 for s in values])    # the bias is a constant feature
     rng = np.random.default_rng(0)
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(len(y)):
-            f, s = feats[i], scaled[i]
+            f, s = feats[i], values[i]
             grad = y[i] * (w[f] @ s + b) - 1
             new = min(max(alpha[i] - grad / diag[i], 0), upper[i])
             step = (new - alpha[i]) * y[i]
@@ -116,6 +136,24 @@ def fit(rows: list, n_features: int = N_FEATURES, cost: float = COST, epochs: in
                 moved = max(moved, abs(step))
         if moved < 1e-4:
             break
+    return w, b, alpha
+
+
+def fit(rows: list, n_features: int = N_FEATURES, cost: float = COST, epochs: int = EPOCHS) -> dict:
+    """Fit on (y, feats) rows: log-count ratios, dual coordinate descent for the hinge loss, logistic calibration."""
+    import numpy as np
+
+    y = np.array([1 if r[0] else -1 for r in rows])
+    if len(rows) == 0 or abs(y.sum()) == len(y):
+        return {"w": np.zeros(n_features), "b": 0.0, "const": 0.5 if len(rows) == 0 else float((y[0] + 1) / 2)}
+    feats = [np.asarray(r[1], np.int64) for r in rows]
+    counts = [np.full(n_features, SMOOTHING), np.full(n_features, SMOOTHING)]
+    for f, s in zip(feats, y):
+        counts[int(s > 0)][f] += 1
+    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    # classes weigh the same
+    upper = np.where(y > 0, cost * len(y) / (2 * (y > 0).sum()), cost * len(y) / (2 * (y < 0).sum()))
+    w, b, _ = dual_descent(feats, [ratio[f] for f in feats], y, upper, n_features, epochs)
     w *= ratio
     margin = np.array([w[f].sum() + b for f in feats])
     slope, shift, t = 1.0, 0.0, (y > 0) * 0.98 + 0.01       # logistic curve through the margins, by Newton steps
@@ -130,38 +168,26 @@ def fit(rows: list, n_features: int = N_FEATURES, cost: float = COST, epochs: in
     return {"w": w * slope, "b": b * slope + shift, "const": None}
 
 
-def score(docs: DataFrame, model: dict, schema: str = "score double") -> DataFrame:
-    """Append the score to rows that carry ``feats``."""
-    import pyarrow as pa
-    from pyspark.sql.types import StructType
-
-    names = [c for c in docs.columns if c != "feats"]
-    out = StructType([docs.schema[c] for c in names] + StructType.fromDDL(schema).fields)
-
-    def run(batches):
-        import numpy as np
-
-        for batch in batches:
-            lists = batch.column(len(names))
-            at = lists.offsets.to_numpy()
-            flat = lists.values.to_numpy(zero_copy_only=False)
-            total = np.r_[0.0, np.cumsum(model["w"][flat])]
-            z = total[at[1:]] - total[at[:-1]] + model["b"]
-            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            if model["const"] is not None:
-                p[:] = model["const"]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(p)], names=[*names, "score"])
+def scorer(model):
+    """A function of texts: their scores under a broadcast model."""
+    def run(texts: list[str]) -> dict[str, list]:
+        import math
 
-    return docs.select(*names, "feats").mapInArrow(run, out)
+        held = model.value
+        if held["const"] is not None:
+            return {"score": [held["const"]] * len(texts)}
+        margins = (float(held["w"][f].sum()) + held["b"] for f in indicators(texts)["feats"])
+        return {"score": [1 / (1 + math.exp(-min(max(z, -30.0), 30.0))) for z in margins]}
+    return run
 
 
 def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, column: str = "quality") -> DataFrame:
     """One row per document row: doc_id, held_out, score, predicted."""
-    feats = write(spark, map_texts(docs, indicators, "feats array<int>"), "quality-features")
     sample = training_labels(labels, column, PARTS, FOLD, MAX_TRAIN)
-    rows = feats.join(F.broadcast(sample), "doc_id").select("y", "feats", "doc_id").orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN).toArrow()
-    model = fit(list(zip(rows.column("y").to_pylist(), (x.values.to_numpy() for x in rows.column("feats")))))
-    out = score(feats, model)
+    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    feats = map_texts(chosen, indicators, "feats array<int>", keep=("doc_id", "y"))
+    rows = training_rows(feats, ("feats",), MAX_TRAIN, MAX_NUMBERS).toArrow()
+    fitted = fit(list(zip(rows.column("y").to_pylist(), (x.values.to_numpy() for x in rows.column("feats")))))
+    out = map_texts(docs, scorer(spark.sparkContext.broadcast(fitted)), "score double")
     return out.select("doc_id", held_out(PARTS, FOLD).alias("held_out"), "score",
                       (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
