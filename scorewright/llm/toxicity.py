@@ -3,12 +3,13 @@
 Method.  A document is a bag of sentences (cut at line ends and ``.!?|``).  A sentence's probability is a logistic
 function of the summed weights of its distinct words and word beginnings (hashed to ``2**BITS`` numbers), the
 document's is their noisy-or, and the weights are trained from document labels alone by gradient steps on the
-noisy-or's log likelihood.  Only terms that are clearly commoner in documents of label 1 get a weight (log-likelihood
-ratio).  A sentence without such a term has probability 0, in the fit and in the score, so plain sentences add nothing
-however many there are.  The same sentence probabilities then locate the offending sentences.
+noisy-or's log likelihood, together with the bias.  Terms that are clearly commoner in documents of one label (log-
+likelihood ratio) get a weight, so words can speak for a sentence as well as against it.  A sentence without a term that
+speaks against it has probability 0, in the fit and in the score, so plain sentences add nothing however many there are.
+The same sentence probabilities then locate the offending sentences.
 
-Bounds.  The fit uses at most ``MAX_TRAIN`` labelled documents (the documented bound); the model is one float per hash
-number.  Every whole text is scored.
+Bounds.  The fit uses at most ``MAX_TRAIN`` labelled documents with ``MAX_NUMBERS`` terms in all (the documented bound of
+the fit and of what reaches the driver); the model is one float per hash number.  Every whole text is scored.
 
 Defined results.  A null, empty or word-less text is one empty sentence and has score 0.  Repeated rows get
 equal scores; labels that disagree count as the larger; null ids or labels teach nothing.  Without both classes in the
@@ -22,12 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorewright.llm.common import by_value, map_texts
-from scorewright.llm.labelled import held_out, training_labels
+from scorewright.llm.labelled import held_out, training_labels, training_rows
 
 by_value(__name__)
 
 PARTS, FOLD = 3, 1          # crc32(doc_id) mod 3 = 1 is held out
 MAX_TRAIN = 8_000           # labelled documents that the fit may use
+MAX_NUMBERS = 16_000_000    # terms of these documents together
 ACCEPT = 0.7
 OFFENDING = 0.5             # probability from which a sentence counts as offending
 BITS = 20
@@ -36,7 +38,7 @@ ROUNDS = 200
 STEP = 0.3
 DECAY = 1e-5                # weight of |w|
 EVIDENCE = 12.0             # least log-likelihood ratio (G2) of a term with the document label
-BIAS = -10.0                # log odds of a sentence before its weighted terms
+BIAS = -10.0                # log odds of a sentence before its weighted terms, where the fit starts
 
 _ENDS = b".!?|\n\r"
 _OTHER = bytes(c for c in range(128) if not (chr(c).isalnum() or c in _ENDS))
@@ -89,7 +91,8 @@ def fit(y, words: list, sizes: list) -> dict:
     part = lambda seen, rate: seen * np.log(np.maximum(seen, 1e-9) / np.maximum(rate, 1e-9))
     g2 = 2 * (part(p, a * share) + part(a - p, a * (1 - share)) + part(pos - p, (n_docs - a) * share)
               + part(n_docs - pos - a + p, (n_docs - a) * (1 - share)))
-    vocab = found[(g2 >= EVIDENCE) & (p > a * share)]
+    chosen = g2 >= EVIDENCE
+    vocab, against = found[chosen], (p > a * share)[chosen]  # against: the term is commoner where the label is 1
     keep = np.zeros(1 << BITS, bool)
     keep[vocab] = True
     # the kept terms only: their sentence (numbered through all documents) and the sentence's document
@@ -101,25 +104,27 @@ def fit(y, words: list, sizes: list) -> dict:
         sent_doc.append(np.full(max(1, len(size)), d))
         n_sent += max(1, len(size))
     word, sent, sent_doc = np.searchsorted(vocab, np.concatenate(word)), np.concatenate(sent), np.concatenate(sent_doc)
-    # sentences without such a term keep the bias: only the others take part in the steps
-    used, sent = np.unique(sent, return_inverse=True)
+    # sentences without a term against them have probability 0: only the others take part in the steps
+    part_of = np.bincount(sent, weights=against[word], minlength=n_sent)[sent] > 0
+    word = word[part_of]
+    used, sent = np.unique(sent[part_of], return_inverse=True)
     sent_doc, n_sent = sent_doc[used], len(used)
-    w = np.ones(len(vocab))
+    w = np.r_[np.where(against, 1.0, 0.0), BIAS]             # the bias is the last weight
     m, v = np.zeros_like(w), np.zeros_like(w)
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / n_docs
     for t in range(1, ROUNDS + 1):
-        z = np.clip(np.bincount(sent, weights=w[word], minlength=n_sent) + BIAS, -30, 30)
+        z = np.clip(np.bincount(sent, weights=w[word], minlength=n_sent) + w[-1], -30, 30)
         p = 1 / (1 + np.exp(-z))
         none = np.bincount(sent_doc, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n_docs)
         q = np.clip(-np.expm1(none), 1e-12, 1.0)             # document probability
         # d loss / d z of a sentence: p for label 0, -p (1 - q) / q for label 1
         g = p * np.where(y > 0, -(1 - q) / q, 1.0)[sent_doc] * weight[sent_doc]
-        grad = np.bincount(word, weights=g[sent], minlength=len(vocab)) + DECAY * np.sign(w)
+        grad = np.r_[np.bincount(word, weights=g[sent], minlength=len(vocab)) + DECAY * np.sign(w[:-1]), g.sum()]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w -= STEP * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
     dense = np.zeros(1 << BITS, np.float32)
-    dense[vocab] = w
-    return {"w": dense, "b": BIAS, "const": None}
+    dense[vocab] = w[:-1]
+    return {"w": dense, "b": float(w[-1]), "const": None}
 
 
 def places(raw: bytes, parts: list[bytes], chosen: list[int]) -> list[tuple[int, int]]:
@@ -148,7 +153,7 @@ def scorer(model):
             size = np.array([len(x) for x in bags])
             n = int(size.sum())
             each = w[np.fromiter((x for bag in bags for x in bag), np.int64, n)]
-            total, known = np.r_[0.0, np.cumsum(each, dtype=float)], np.r_[0, np.cumsum(each != 0)]
+            total, known = np.r_[0.0, np.cumsum(each, dtype=float)], np.r_[0, np.cumsum(each > 0)]
             at = np.r_[0, np.cumsum(size)]
             real = np.flatnonzero(size) if n else np.array([0])
             p = 1 / (1 + np.exp(-np.clip((total[at[1:]] - total[at[:-1]])[real] + b, -30, 30)))
@@ -173,7 +178,7 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, column: st
     sample = training_labels(labels, column, PARTS, FOLD, MAX_TRAIN)
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     bags = map_texts(chosen, bag, "words array<int>, sizes array<int>", keep=("doc_id", "y"))
-    rows = bags.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN).toArrow()
+    rows = training_rows(bags, ("words", "sizes"), MAX_TRAIN, MAX_NUMBERS).toArrow()
     arrays = lambda c: [x.values.to_numpy() for x in rows.column(c)]
     model = spark.sparkContext.broadcast(fit(rows.column("y").to_pylist(), arrays("words"), arrays("sizes")))
     ddl = "score double, n_sentences int, n_offending int, worst_start int, worst_end int, offending string"

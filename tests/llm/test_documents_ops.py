@@ -468,6 +468,104 @@ def test_classifiers_held_out(spark, module, column, parts, fold):
     right = got.where("held_out").join(labels.where(f"{column} IS NOT NULL"), "doc_id").select(
         F.avg((F.col("predicted") == F.col(column)).cast("int"))).first()[0]
     assert right >= 0.9
+    marked = [tuple(r) for r in got.where("held_out").join(labels.where(f"{column} IS NOT NULL"), "doc_id").select(
+        F.col(column), "score", "predicted").collect()]
+    pos, neg = ([m for m in marked if m[0] == y] for y in (1, 0))
+    pairs = [(a[1] > b[1]) + (a[1] == b[1]) / 2 for a in pos for b in neg]
+    assert sum(pairs) / len(pairs) >= {"toxic": 0.9, "quality": 0.98}[column]                       # area under the curve
+    assert sum(m[2] for m in pos) / len(pos) >= {"toxic": 0.8, "quality": 0.98}[column]             # recall
+    assert sum(m[2] for m in neg) / len(neg) <= {"toxic": 0.02, "quality": 0.05}[column]            # false positives
+    got.unpersist()
+
+
+def test_training_rows_are_bounded(spark):
+    from scorewright.llm.labelled import training_rows
+
+    rows = spark.createDataFrame([(i, i % 2, list(range(5 if i else 500))) for i in range(200)], "doc_id long, y int, feats array<int>")
+    got = training_rows(rows, ("feats",), 80, 1000).collect()
+    assert len(got) == 80 and all(len(r["feats"]) == 5 for r in got)        # the text of 500 is beyond a hundredth
+    assert len(training_rows(rows, ("feats",), 150, 503).collect()) == 503 // 5
+    assert [r["doc_id"] for r in got[:7]] == [r["doc_id"] for r in training_rows(rows.repartition(5), ("feats",), 7, 1000).collect()]
+
+
+def test_quality_learns_words(spark):
+    """Words with the same shapes: only the words themselves tell the classes apart."""
+    rng = random.Random(6)
+    kinds = (["harbour", "lantern", "meadows"], ["kwzptrx", "vvqjkzm", "xxyzqpw"])
+    rows = [(i, " ".join(rng.choice(kinds[i % 2]) for _ in range(30))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(80)], "doc_id long, quality int")
+    got = quality.classify(spark, docs, labels).where("doc_id >= 80").collect()
+    assert len(got) == 40 and all(r["predicted"] == 1 - r["doc_id"] % 2 for r in got)
+
+
+def test_word_numbers():
+    import numpy as np
+
+    known = quality._Hashes()
+    number = lambda t: set(quality.word_numbers(t.encode(), known).tolist())
+    assert number("") == number(" .,! ") == set()
+    assert number("Ab cd") == number("ab,  CD!") and len(number("ab cd")) == 3
+    assert len(number("ab cd ab cd")) == 4 and number("ab cd") != number("cd ab")
+    assert number("ab") <= number("ab cd") and max(number("Ünï 漢字 😀 " * 3)) < 1 << quality.WORD_BITS
+    assert np.all(np.diff(quality.word_numbers(b"one two three four", known)) > 0)
+
+
+def test_dual_descent_reaches_the_optimum():
+    """The duality gap bounds the distance to the best objective of any weights."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for n, width in ((6, 4), (20, 8), (40, 12)):
+        feats = [np.sort(rng.choice(width, rng.integers(1, width), replace=False)) for _ in range(n)]
+        ratio, y = rng.normal(size=width), np.where(rng.random(n) < 0.4, 1, -1)
+        values, upper = [ratio[f] for f in feats], np.where(y > 0, 1.5, 0.7)
+        w, b, alpha = quality.dual_descent(feats, values, y, upper, width, 3000)
+        margin = np.array([w[f] @ v + b for f, v in zip(feats, values)])
+        primal = (w @ w + b * b) / 2 + (upper * np.maximum(0, 1 - y * margin)).sum()
+        dual = alpha.sum() - (w @ w + b * b) / 2
+        assert np.all((alpha >= 0) & (alpha <= upper)) and dual - 1e-9 <= primal <= dual + 0.01 * abs(dual)
+
+
+def test_noisy_or_fit_lowers_the_loss():
+    """The trained weights and bias are better than the start and than any small step from them along one weight."""
+    import numpy as np
+
+    rng = random.Random(8)
+    words = [["stone", "river", "glass"], ["vile", "crow"]]
+    texts = [". ".join(" ".join(rng.choice(words[0]) for _ in range(4)) + (" vile" if i % 2 and j == 1 else "")
+                       for j in range(3)) for i in range(200)]
+    bags, y = toxicity.bag(texts), [i % 2 for i in range(200)]
+    model = toxicity.fit(y, [np.array(x) for x in bags["words"]], [np.array(x) for x in bags["sizes"]])
+
+    class Held:
+        value = model
+
+    def loss(w, b):
+        Held.value = {**model, "w": w, "b": b}
+        p = np.clip(toxicity.scorer(Held)(texts)["score"], 1e-12, 1 - 1e-12)
+        return -np.where(np.array(y) > 0, np.log(p), np.log1p(-p)).mean()
+
+    best = loss(model["w"], model["b"])
+    assert best < 0.05 < loss((model["w"] != 0).astype(float), toxicity.BIAS)
+    assert model["b"] != toxicity.BIAS
+    for at in [*np.flatnonzero(model["w"]), None]:
+        for step in (-0.5, 0.5):
+            w = model["w"].copy()
+            if at is not None:
+                w[at] += step
+            assert loss(w, model["b"] + (step if at is None else 0)) > best - 0.01
+
+
+def test_words_can_speak_for_a_sentence(spark):
+    bad, play = "Then came a fool again. ", "Then came a fool on the theatre stage. "
+    rows = [(i, f"plain words here {i}. " + (bad if i % 3 == 0 else play if i % 3 == 1 else "") + "more plain words.")
+            for i in range(180)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(150)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.classify(spark, docs, labels).where("doc_id >= 150").collect()}
+    assert all(r["predicted"] == int(i % 3 == 0) for i, r in got.items())
+    assert all(r["score"] < 0.3 for i, r in got.items() if i % 3)
 
 
 def test_classifiers_ignore_held_out_labels(spark):
