@@ -114,20 +114,25 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def units(members: DataFrame, key: list[str], spread: Column, cap: int) -> DataFrame:
+def units(members: DataFrame, key: list[str], spread: Column, cap: int, weight: Column | None = None,
+          most: int = 1) -> DataFrame:
     """Split every group of ``key`` into work units of at most about ``2 * cap`` members.
 
     A group of up to ``cap`` members is one unit.  A larger one is cut by the hash of ``spread`` into blocks of about
     ``cap``, and its units are the pairs of blocks, so any two members meet in some unit and no task holds a whole
-    group.  Adds ``unit`` (long); rows of a large group are repeated once per block.  Groups of one are dropped.
+    group.  With a ``weight`` of each member, a block has a weight of about ``most`` too (one member at least).  Adds
+    ``unit`` (long) and ``side``: 0 in the unit of one block, whose members meet each other there, 1 and 2 for the two
+    blocks of the others, so that each pair can be counted once.  Rows of a large group are repeated once per block.
+    Groups of one are dropped.
     """
-    sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    x = members.join(sizes, key)
-    nb = F.ceil(F.col("_n") / F.lit(cap)).cast("int")
+    sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.lit(0) if weight is None else weight).alias("_w"))
+    x = members.join(sizes.where("_n > 1"), key)
+    nb = F.least(F.col("_n"), F.greatest(F.ceil(F.col("_n") / F.lit(cap)), F.ceil(F.col("_w") / F.lit(most)))).cast("int")
     x = x.withColumn("_nb", nb).withColumn("_b", F.pmod(F.xxhash64(spread, F.lit("unit")), F.col("_nb")).cast("int"))
     x = x.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
-    return x.withColumn("unit", F.xxhash64(*key, F.least("_b", "_o"), F.greatest("_b", "_o"))).drop(
-        "_n", "_nb", "_b", "_o")
+    side = F.when(F.col("_b") == F.col("_o"), 0).when(F.col("_b") < F.col("_o"), 1).otherwise(2)
+    return x.withColumn("unit", F.xxhash64(*key, F.least("_b", "_o"), F.greatest("_b", "_o"))).withColumn(
+        "side", side).drop("_n", "_w", "_nb", "_b", "_o")
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:

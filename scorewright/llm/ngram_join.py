@@ -10,14 +10,18 @@ Method.
 3. Every class has a bitmap in which each shingle flips one bit.  The bits that differ between two bitmaps bound the
    overlap from above.  A tile gives a spanning forest of its pairs within the band and bound, never all its pairs.
    The components of these edges are clusters: classes in different clusters cannot be linked.
-4. The classes of a cluster are compared exactly, by intersection of their arrays, again as a spanning forest.  The
-   components of the exact edges are the result.
+4. The classes of a cluster are compared exactly: the sorted arrays of a work unit are merged, and each run of equal
+   hashes adds to the overlaps of the classes that hold it.  All links are counted, each once; a spanning forest of
+   them is returned, and its components are the result.
 
-Groups beyond a bound (tiles and clusters alike) are cut into blocks, and every pair of blocks is a work unit of its
-own (``common.units``): no task holds a whole group, and no link is lost.
+Groups beyond a bound (tiles by members, clusters by members and shingles) are cut into blocks, and every pair of
+blocks is a work unit of its own (``common.units``): no task holds a whole group, and no link is lost.  An array is
+made once per class and dealt to the units of its class.  Counting the links of a cluster of m classes takes m * m / 2
+overlaps; these are bulk products of 0-1 columns, not pairs of rows.
 
 Defined results.  Null, empty and blank texts have no shingles, link with nothing and are components of their own.
-Repeated rows and copies share a component.  A null doc_id takes part; a component's id is its smallest non-null
+Repeated rows and copies share a component and are links of each other: ``n_links`` is the number of other rows that a
+row links with.  A null doc_id takes part; a component's id is its smallest non-null
 doc_id (null if there is none).  Extra columns are ignored.
 """
 
@@ -28,8 +32,18 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm.candidates import SIGNATURE, bounded, cluster_units, clusters, unit_edges
-from scorewright.llm.common import by_value, components, drop_written, map_texts, matched, numbered, text_key, write
+from scorewright.llm.candidates import SIGNATURE, bounded, clusters, joined_groups
+from scorewright.llm.common import (
+    by_value,
+    components,
+    drop_written,
+    map_texts,
+    matched,
+    numbered,
+    text_key,
+    units,
+    write,
+)
 
 by_value(__name__)
 
@@ -37,7 +51,10 @@ N = 4                   # words of a shingle
 PERCENT = 85            # least Jaccard similarity in hundredths
 BUCKET_BITS = 18        # the rarity table has 2**18 counts, at any input size
 LEAST_BITS, MOST_BITS = 128, 1 << 11    # bitmap widths in tiles, whose rows are shuffled
-WIDE_BITS = 1 << 15                     # widest bitmap beside the arrays of a cluster
+CLUSTER = 500                           # classes of a block of a large cluster
+BLOCK_SHINGLES = 1 << 20                # shingles of a block of a cluster (8 MB): a work unit is two blocks
+CELLS = 1 << 23                         # of a 0-1 matrix of the exact step (32 MB)
+FEW = 16                                # holders up to which a run of equal hashes is paired one by one
 
 _M1, _M2, _M3 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9     # odd multipliers
 
@@ -196,52 +213,122 @@ def compare_tile(percent: int):
     return compare
 
 
-def compare_exactly(percent: int):
-    def compare(members):
+def overlaps(arrays: list):
+    """Matrix of the pairwise intersection sizes of sorted arrays of distinct hashes.
+
+    The arrays are merged.  A run of equal hashes with few holders adds one to each pair of them; those with more
+    holders are columns of 0-1 matrices of bounded size, whose products add up (exact: counts stay below 2**24).
+    """
+    import numpy as np
+
+    m = len(arrays)
+    total = np.zeros((m, m), np.int64)
+    merged = np.concatenate(arrays)
+    by_hash = np.argsort(merged, kind="stable")
+    holder = np.repeat(np.arange(m), [len(a) for a in arrays])[by_hash]
+    merged = merged[by_hash]
+    starts = np.flatnonzero(np.concatenate(([True], merged[1:] != merged[:-1])))
+    length = np.diff(np.append(starts, len(merged)))
+    few = np.repeat(length <= FEW, length)
+    run = np.repeat(np.arange(len(starts)), length)
+    h, r = holder[few], run[few]
+    for step in range(1, FEW):                      # holders of a run ascend: the sort is stable
+        same = r[step:] == r[:-step]
+        if not same.any():
+            break
+        total += np.bincount(h[:-step][same] * m + h[step:][same], minlength=m * m).reshape(m, m)
+    h, r = holder[~few], run[~few]
+    width = max(1, CELLS // m)
+    many = np.flatnonzero(length > FEW)
+    for at in range(0, len(many), width):
+        part = many[at:at + width]
+        lo, hi = np.searchsorted(r, (part[0], part[-1] + 1))
+        x = np.zeros((m, len(part)), np.float32)
+        x[h[lo:hi], np.searchsorted(part, r[lo:hi])] = 1
+        total += np.triu(x @ x.T, 1).astype(np.int64)
+    return total
+
+
+def unit_links(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b, n) of every unit of rows (unit, node, side, copies, h).
+
+    Rows with ``a <> b`` are a spanning forest of the unit's links (n is 0); a row with ``a = b`` says that the class
+    links with ``n`` document rows of other classes in this unit.  Between two blocks only pairs across are looked at.
+    """
+    import pyarrow as pa
+
+    def of_unit(members):
         import numpy as np
 
-        order = sorted(((node, np.frombuffer(h, np.uint64)) for node, h in members), key=lambda m: (len(m[1]), m[0]))
-        sets = [h for _, h in order]
-        size = [len(h) for h in sets]
-        possible = bitmap_test(size, [parity_bits(h, WIDE_BITS) for h in sets], percent)
+        members = sorted(members, key=lambda r: (len(r[4]), r[1]))
+        node = np.array([r[1] for r in members], np.int64)
+        side, copies = np.array([r[2] for r in members]), np.array([r[3] for r in members], np.int64)
+        size = np.array([len(r[4]) // 8 for r in members], np.int64)
+        if len(members) < 2 or side[0] and (side == side[0]).all():
+            return None
+        both = overlaps([np.frombuffer(r[4], np.uint64) for r in members])
+        linked = (100 + percent) * both >= percent * (size[:, None] + size[None, :])
+        linked &= np.triu(np.ones_like(linked), 1) & ((side[:, None] != side[None, :]) | (side[:, None] == 0))
+        linked |= linked.T
+        links = linked @ copies
+        free, edges = np.ones(len(members), bool), []
+        for start in np.flatnonzero(links):
+            reached = [start] if free[start] else []
+            free[start] = False
+            while reached:
+                i = reached.pop()
+                new = np.flatnonzero(linked[i] & free)
+                free[new] = False
+                edges += [(i, j) for j in new]
+                reached += list(new)
+        at = np.array(edges, np.int64).reshape(-1, 2)
+        own = np.flatnonzero(links)
+        cols = (np.concatenate((node[at[:, 0]], node[own])), np.concatenate((node[at[:, 1]], node[own])),
+                np.concatenate((np.zeros(len(at), np.int64), links[own])))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["a", "b", "n"]) if len(own) else None
 
-        def linked(i: int, j: int) -> bool:
-            if not possible(i, j):
-                return False
-            at = np.searchsorted(sets[j], sets[i])
-            at[at == size[j]] = 0
-            return int((sets[j][at] == sets[i]).sum()) >= least_overlap(size[i] + size[j], percent)
+    def run(batches):
+        yield from filter(None, map(of_unit, joined_groups(batches)))
 
-        return order, size_band(size, percent), linked
-    return compare
+    return rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "a long, b long, n long")
 
 
 def link(spark: SparkSession, docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """One row per document row: doc_id, tk, n_shingles, component_id."""
+    """One row per document row: doc_id, tk, n_shingles, component_id, n_links, root (its class's component)."""
     first = write(spark, sketch(docs, n), "shingle-rows")
     of_doc = first.where("counts IS NULL").drop("counts")
     level = rarity_levels(spark, first)
     sig = write(spark, signatures(docs, level, n, percent), "signatures")
     cluster = clusters(spark, sig, compare_tile(percent))
     drop_written(spark, sig)
-    work = cluster_units(cluster)
-    one = of_doc.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("doc_id", "tk")).alias("o"))
-    work = work.join(one, "node").select("unit", "node", F.col("o.doc_id").alias("_d"), F.col("o.tk").alias("_t"))
-    text = docs.select("doc_id", text_key().alias("tk"), "text")
+    rows = of_doc.where("node IS NOT NULL").groupBy("node", "n_shingles", "doc_id", "tk").agg(F.count(F.lit(1)).alias("c"))
+    classes = rows.groupBy("node").agg(
+        F.min(F.struct("doc_id", "tk", "c")).alias("o"), F.sum("c").alias("copies"), F.max("n_shingles").alias("size"),
+        F.min("doc_id").alias("id"))
+    classes = write(spark, classes, "classes")
+    work = units(cluster.join(classes, "node"), ["root"], F.col("node"), CLUSTER, F.col("size"), BLOCK_SHINGLES)
+    work = work.groupBy("node", "copies", F.col("o.doc_id").alias("_d"), F.col("o.tk").alias("_t"), F.col("o.c").alias("_c")).agg(
+        F.collect_list(F.struct("unit", "side")).alias("units"))
     work = write(spark, work, "cluster-work")
-    rows = text.join(bounded(work), text.doc_id.eqNullSafe(F.col("_d")) & (text.tk == F.col("_t"))).select("unit", "node", "text")
+    text = docs.select("doc_id", text_key().alias("tk"), "text")
+    rows = text.join(bounded(work, 16 * F.size("units")), text.doc_id.eqNullSafe(F.col("_d")) & (text.tk == F.col("_t")))
+    rows = rows.select("node", "copies", "units", "text", "_c")
+    rows = rows.where("_c = 1").unionByName(rows.where("_c > 1").dropDuplicates(["node"]))     # repeated rows
     arrays = map_texts(rows, lambda texts: {"h": [shingle_hashes(t, n).tobytes() for t in texts]}, "h binary",
-                       keep=("unit", "node"))
-    links = write(spark, unit_edges(arrays, compare_exactly(percent)), "links")
+                       keep=("node", "copies", "units"))
+    arrays = arrays.select("node", "copies", "h", F.inline("units")).select("unit", "node", "side", "copies", "h")
+    links = write(spark, unit_links(arrays, percent), "links")
     roots = components(spark, links)
+    others = write(spark, links.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("others")), "link-counts")
     drop_written(spark, cluster, work, links)
-    ids = of_doc.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("id"))
-    ids = ids.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    ids = classes.join(roots, "node", "left").join(others, "node", "left").select(
+        "node", "id", F.coalesce("root", "node").alias("root"),
+        (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
     low = ids.groupBy("root").agg(F.min("id").alias("component_id"))
-    ids = ids.join(low, "root").select("node", "root", "component_id")
+    ids = ids.join(low, "root")
     return of_doc.join(ids, "node", "left").select(
         "doc_id", "tk", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(
-            F.col("doc_id")).alias("component_id"), "root")
+            F.col("doc_id")).alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), "root")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:

@@ -156,9 +156,10 @@ size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 link AS (SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
 reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
-low AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
-SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id
-FROM d LEFT JOIN size USING (doc_id) LEFT JOIN low ON a = d.doc_id"""
+low AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+links AS (SELECT a AS doc_id, count(*) AS l FROM link GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(m, d.doc_id)) AS component_id, coalesce(l, 0) AS n_links
+FROM d LEFT JOIN size USING (doc_id) LEFT JOIN links USING (doc_id) LEFT JOIN low ON a = d.doc_id"""
 
 
 def _covered(n: int, only: str = "TRUE") -> str:

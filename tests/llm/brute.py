@@ -62,7 +62,7 @@ def op6_labels(text, templates):
 
 
 def op9(docs, n=4, num=85):
-    """[(doc_id, n_shingles, component_id)]; all pairs, exact."""
+    """[(doc_id, n_shingles, component_id, n_links)]; all pairs, exact."""
     sets = []
     for d, t in docs:
         w = blank(t, lower=True)
@@ -80,15 +80,18 @@ def op9(docs, n=4, num=85):
         for g in s:
             by.setdefault(g, []).append(i)
     pairs = {(a, b) for m in by.values() if len(m) > 1 for x, a in enumerate(m) for b in m[x + 1:]}
+    links = [0] * len(sets)
     for a, b in pairs:
         x, y = sets[a][1], sets[b][1]
         if 100 * len(x & y) >= num * len(x | y):
             parent[find(a)] = find(b)
+            links[a] += 1
+            links[b] += 1
     low = {}
     for i, (d, _) in enumerate(sets):
         r = find(i)
         low[r] = d if low.get(r) is None else min(low[r], d)
-    return [(d, len(s), low[find(i)]) for i, (d, s) in enumerate(sets)]
+    return [(d, len(s), low[find(i)], links[i]) for i, (d, s) in enumerate(sets)]
 
 
 def op10(text, window=8):

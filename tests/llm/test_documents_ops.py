@@ -4,6 +4,7 @@ import random
 import re
 from hashlib import sha256
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,7 +266,7 @@ def test_a_million_repeated_words(text):
 @pytest.mark.parametrize("table", ["odd", "small"])
 def test_ngram_join(spark, table, request):
     docs = request.getfixturevalue(table)
-    got = data.rows(ngram_join.link(spark, docs), "doc_id", "n_shingles", "component_id")
+    got = data.rows(ngram_join.link(spark, docs), "doc_id", "n_shingles", "component_id", "n_links")
     assert got == data.ordered(brute.op9(data.pairs(docs)))
 
 
@@ -284,11 +285,26 @@ def near_copies(spark, n=150):
 def test_ngram_join_blocks(spark, monkeypatch):
     docs, rows = near_copies(spark)
     want = data.ordered(brute.op9(rows))
-    assert data.rows(ngram_join.link(spark, docs), "doc_id", "n_shingles", "component_id") == want
+    assert data.rows(ngram_join.link(spark, docs), "doc_id", "n_shingles", "component_id", "n_links") == want
     monkeypatch.setattr("scorewright.llm.candidates.TILE", 20)
-    monkeypatch.setattr("scorewright.llm.candidates.CLUSTER", 10)
-    monkeypatch.setattr("scorewright.llm.candidates.BROADCAST_ROWS", 0)
-    assert data.rows(ngram_join.link(spark, docs), "doc_id", "n_shingles", "component_id") == want
+    monkeypatch.setattr(ngram_join, "CLUSTER", 10)
+    monkeypatch.setattr("scorewright.llm.candidates.BROADCAST_BYTES", 0)
+    assert data.rows(ngram_join.link(spark, docs), "doc_id", "n_shingles", "component_id", "n_links") == want
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 400)      # blocks of some three texts: units bounded in shingles
+    assert data.rows(ngram_join.link(spark, docs.unionAll(docs.where("doc_id < 30"))), "doc_id", "n_shingles", "component_id",
+                     "n_links") == data.ordered(brute.op9(rows + rows[:30]))
+
+
+@pytest.mark.parametrize("few,cells", [(16, 1 << 23), (2, 90), (1, 1)])
+def test_overlaps(monkeypatch, few, cells):
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    monkeypatch.setattr(ngram_join, "CELLS", cells)
+    rng = np.random.default_rng(5)
+    for m in (2, 3, 40):
+        arrays = [np.unique(rng.integers(0, 60, rng.integers(1, 50))).astype(np.uint64) for _ in range(m)]
+        got = ngram_join.overlaps(arrays)
+        assert [[got[i, j] for j in range(i + 1, m)] for i in range(m)] == [
+            [len(np.intersect1d(arrays[i], arrays[j])) for j in range(i + 1, m)] for i in range(m)]
 
 
 def test_keep_one(spark, odd):

@@ -15,7 +15,7 @@ def test_stages_over_the_small_table(spark):
             assert out.columns == columns
         kept[name] = out
         if name == "near_duplicates":
-            comp = {d: c for d, _, c in brute.op9(data.pairs(docs))}
+            comp = {d: c for d, _, c, _ in brute.op9(data.pairs(docs))}
             assert {r["doc_id"] for r in out.collect()} == {d for d, c in comp.items() if d == c}
         if name == "quality_rules":
             bad = {d for d, t in data.pairs(docs) if brute.op10(t)[-1]}
@@ -44,11 +44,11 @@ def test_near_duplicates_follow_the_corpus_rule(spark):
     far[10] = far[30] = "x"
     rows = [(3, " ".join(words)), (5, " ".join(near)), (7, " ".join(far))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    comp = {d: c for d, _, c in brute.op9(rows, 5, 80)}
+    comp = {d: c for d, _, c, _ in brute.op9(rows, 5, 80)}
     got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, data.SMALL).collect()}
     assert got == {d for d, c in comp.items() if d == c} == {3, 7}
     small = spark.read.parquet(f"{data.SMALL}/documents.parquet")
-    comp = {d: c for d, _, c in brute.op9(data.pairs(small), 5, 80)}
+    comp = {d: c for d, _, c, _ in brute.op9(data.pairs(small), 5, 80)}
     got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, small, data.SMALL).collect()}
     assert got == {d for d, c in comp.items() if d == c}
 
