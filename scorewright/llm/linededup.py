@@ -242,7 +242,7 @@ def duplicates(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least:
     first = write(spark, line_rows(docs, k, least), "lines")
     of_doc = first.where("node IS NULL").select("doc_id", "tk", "nodes")
     sig = first.where("node IS NOT NULL").select("node", "size", "rid", "prefix", "bits")
-    cluster = clusters(spark, sig, compare_tile(k))
+    cluster = clusters(spark, sig, compare_tile(k), lambda x, y: F.abs(x - y) <= k)
     work = cluster_units(cluster)
     at = of_doc.select("doc_id", "tk", F.posexplode("nodes").alias("line", "node")).where("node IS NOT NULL")
     # the text of each line that takes part: from the first document that has it

@@ -50,7 +50,7 @@ by_value(__name__)
 N = 4                   # words of a shingle
 PERCENT = 85            # least Jaccard similarity in hundredths
 BUCKET_BITS = 18        # the rarity table has 2**18 counts, at any input size
-LEAST_BITS, MOST_BITS = 128, 1 << 11    # bitmap widths in tiles, whose rows are shuffled
+LEAST_BITS, MOST_BITS = 128, 1 << 11    # bitmap widths in tiles, whose rows are shuffled; large sets need more
 CLUSTER = 500                           # classes of a block of a large cluster
 BLOCK_SHINGLES = 1 << 20                # shingles of a block of a cluster (8 MB): a work unit is two blocks
 CELLS = 1 << 23                         # of a 0-1 matrix of the exact step (32 MB)
@@ -87,6 +87,15 @@ def least_overlap(total: int, percent: int) -> int:
     return -(-percent * total // (100 + percent))
 
 
+def most_bits(size: int, percent: int) -> int:
+    """Bits that a set of this size needs at most to be told from an unrelated one.
+
+    Half the bits of unrelated sets differ, and two similar sets of ``size`` may differ in ``2 * size * (100 - percent)
+    / (100 + percent)`` shingles; half the bits are 1.375 times that, which leaves room for the other set's size.
+    """
+    return max(MOST_BITS, 11 * size * (100 - percent) // (2 * (100 + percent)))
+
+
 def parity_bits(h, most: int = MOST_BITS) -> bytes:
     """Bitmap in which every hash flips one bit; about one bit per member, a power of two."""
     import numpy as np
@@ -175,13 +184,19 @@ def signatures(docs: DataFrame, level, n: int, percent: int) -> DataFrame:
                 seen.add(node)
                 k = len(h) - -(-percent * len(h) // 100) + 1
                 order = np.lexsort((h, table[h & np.uint64((1 << BUCKET_BITS) - 1)]))[:k]
-                rows.append((node, len(h), rid, h[order].view(np.int64), parity_bits(h)))
+                rows.append((node, len(h), rid, h[order].view(np.int64),
+                             parity_bits(h, most_bits(len(h), percent))))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
     return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, schema)
 
 
+def near_sizes(percent: int):
+    """Whether two columns of sizes are within the band."""
+    return lambda x, y: F.least(x, y) * F.lit(100).cast("long") >= F.greatest(x, y) * F.lit(percent).cast("long")
+
+
 def size_band(size: list[int], percent: int) -> list[int]:
     """For members in order of size the first one whose size is within the band of each."""
     low, at = [], 0
@@ -299,7 +314,7 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, percent: int = PERCEN
     of_doc = first.where("counts IS NULL").drop("counts")
     level = rarity_levels(spark, first)
     sig = write(spark, signatures(docs, level, n, percent), "signatures")
-    cluster = clusters(spark, sig, compare_tile(percent))
+    cluster = clusters(spark, sig, compare_tile(percent), near_sizes(percent))
     drop_written(spark, sig)
     rows = of_doc.where("node IS NOT NULL").groupBy("node", "n_shingles", "doc_id", "tk").agg(F.count(F.lit(1)).alias("c"))
     classes = rows.groupBy("node").agg(
