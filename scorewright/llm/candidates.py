@@ -168,8 +168,3 @@ def clusters(spark: SparkSession, sig: DataFrame, compare, near) -> DataFrame:
     out = components(spark, edges)
     drop_written(spark, edges)
     return out
-
-
-def cluster_units(cluster: DataFrame) -> DataFrame:
-    """(unit, node): the work units of the clusters."""
-    return units(cluster, ["root"], F.col("node"), CLUSTER).select("unit", "node")

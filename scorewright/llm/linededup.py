@@ -14,9 +14,10 @@ blanks.  The edit threshold follows the length: 0 below ``MIN_CHARS`` characters
    classes of lines.
 5. Of each class the first line in order of (doc_id, text hash, line number) stays, all others are removed.
 
-Large tiles and clusters are cut into blocks (``candidates``); classes are compared as spanning forests, so a line
-that a third of all documents share is one node and makes no pairs.  Its places meet the class's first line by a broadcast
-join of the at most ``HOT_CLASSES`` classes with the most lines; all other classes are joined by a shuffle.
+Large tiles and clusters are cut into blocks (``candidates``; a cluster's blocks are bounded in characters too); classes
+are compared as spanning forests, so a line that a third of all documents share is one node and makes no pairs.  Its
+places meet the class's first line by a broadcast join of the at most ``HOT_CLASSES`` classes with the most lines; all
+other classes are joined by a shuffle.
 
 Defined results.  A null text stays null and has no lines; an empty text has one empty line.  Repeated rows lose the
 same lines.  Removed lines are cut out with one line feed each.  Extra columns are kept as they are, except that
@@ -31,8 +32,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorewright.llm.candidates import SIGNATURE, bounded, cluster_units, clusters, unit_edges
-from scorewright.llm.common import blank_words, by_value, components, drop_written, matched, numbered, text_key, write
+from scorewright.llm.candidates import CLUSTER, SIGNATURE, bounded, clusters, unit_edges
+from scorewright.llm.common import blank_words, by_value, components, drop_written, matched, numbered, text_key, units, write
 
 by_value(__name__)
 
@@ -42,6 +43,9 @@ SIGNATURE_BITS = 256
 BLANK = " \t\n\r\x0b\x0c"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
 HOT_CLASSES = 1_000     # classes of lines, at most, that are joined by broadcast
+LINES, CHARS = 2_000, 500_000       # lines described together at most, and about their characters
+PLACES = 100_000        # places of lines that a batch of documents holds, or those of one text
+BLOCK_CHARS = 4_000_000             # characters of a block of a cluster's lines (one line at least)
 
 
 def node_of(line: str) -> int:
@@ -90,7 +94,35 @@ def entries(line: str, k: int):
 
 
 def pair_bits(lines: list[str]) -> list[bytes]:
-    """Bitmap of each line in which every pair of neighbouring characters flips one bit (lines hold no line feed)."""
+    """Bitmap of each line in which every pair of neighbouring characters flips one bit (lines hold no line feed).
+
+    Works on pieces of at most ``CHARS`` characters, and at most ``LINES`` pieces or about ``CHARS`` characters at once,
+    whatever the lines' number and length.  Pieces of one line share a character; their bitmaps flip each other's bits.
+    """
+    import numpy as np
+
+    out, held, chars = np.zeros((len(lines), SIGNATURE_BITS // 8), np.uint8), [], 0
+
+    def flush():
+        nonlocal held, chars
+        if held:
+            of = np.fromiter((i for i, _ in held), np.int64, len(held))
+            first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+            out[of[first]] ^= np.bitwise_xor.reduceat(piece_bits([piece for _, piece in held]), first, axis=0)
+        held, chars = [], 0
+
+    for i, line in enumerate(lines):
+        for at in range(0, max(1, len(line) - 1), CHARS - 1):
+            held.append((i, line[at:at + CHARS]))
+            chars += len(held[-1][1])
+            if len(held) >= LINES or chars >= CHARS:
+                flush()
+    flush()
+    return [row.tobytes() for row in out]
+
+
+def piece_bits(lines: list[str]):
+    """Rows of packed bits for ``pair_bits``: some 31 bytes of memory a character and 2 KB a line."""
     import numpy as np
 
     c = np.frombuffer("\n".join(lines).encode("utf-32-le"), np.uint32)
@@ -101,8 +133,7 @@ def pair_bits(lines: list[str]) -> list[bytes]:
     ends = np.cumsum(size + 1)[:-1] - 1                         # where the line feeds are
     inside[ends] = inside[np.maximum(ends - 1, 0)] = False
     odd = np.bincount((line * SIGNATURE_BITS + at)[inside], minlength=len(lines) * SIGNATURE_BITS) & 1
-    packed = np.packbits(odd.astype(np.uint8).reshape(len(lines), SIGNATURE_BITS), axis=1)
-    return [row.tobytes() for row in packed]
+    return np.packbits(odd.astype(np.uint8).reshape(len(lines), SIGNATURE_BITS), axis=1)
 
 
 def common_prefix(a: str, b: str) -> int:
@@ -164,7 +195,8 @@ def has_word(line: str) -> bool:
 def line_rows(docs: DataFrame, k: int, least: int) -> DataFrame:
     """One pass over the texts, to be written: rows (doc_id, tk, nodes of the lines) and signature rows of lines.
 
-    ``nodes`` has null for lines that aren't compared.  A task describes a line the first time it meets it.
+    ``nodes`` has null for lines that aren't compared.  A task describes a line the first time it meets it,
+    at most ``LINES`` lines or about ``CHARS`` characters at once, also within a text.
     """
     import pyarrow as pa
     from pyspark import TaskContext
@@ -181,10 +213,16 @@ def line_rows(docs: DataFrame, k: int, least: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array(cols[f.name], f.type) if f.name in cols else pa.nulls(len(rows), f.type) for f in arrow], schema=arrow)
 
+    def of_docs(batch, at, nodes):
+        cols = [batch.column(i).slice(at, len(nodes)).cast(arrow.field(i).type) for i in range(2)]
+        cols += [pa.array(nodes, arrow.field(2).type), *(pa.nulls(len(nodes), f.type) for f in list(arrow)[3:])]
+        return pa.RecordBatch.from_arrays(cols, schema=arrow)
+
     def run(batches):
         seen, part = set(), TaskContext.get().partitionId()
+        rows, fresh, chars = [], [], 0
         for batch in batches:
-            nodes, rows, fresh = [], [], []
+            nodes, places, done = [], 0, 0
             for t in batch.column(2):
                 found = []
                 for line in (t.as_py() or "").split("\n"):
@@ -195,15 +233,19 @@ def line_rows(docs: DataFrame, k: int, least: int) -> DataFrame:
                         rows.append((node, len(line), (part << 32) + len(seen), entries(line, k)))
                         fresh.append(line)
                         seen.add(node)
+                        chars += len(line)
+                        if len(rows) >= LINES or chars >= CHARS:
+                            yield described(rows, fresh)
+                            rows, fresh, chars = [], [], 0
                 nodes.append(found)
-                if len(rows) >= 2_000:
-                    yield described(rows, fresh)
-                    rows, fresh = [], []
-            if rows:
-                yield described(rows, fresh)
-            cols = [batch.column(0).cast(arrow.field(0).type), batch.column(1).cast(arrow.field(1).type),
-                    pa.array(nodes, arrow.field(2).type), *(pa.nulls(len(nodes), f.type) for f in list(arrow)[3:])]
-            yield pa.RecordBatch.from_arrays(cols, schema=arrow)
+                places += len(found)
+                if places >= PLACES:
+                    yield of_docs(batch, done, nodes)
+                    done, nodes, places = done + len(nodes), [], 0
+            if nodes:
+                yield of_docs(batch, done, nodes)
+        if rows:
+            yield described(rows, fresh)
 
     return src.mapInArrow(run, schema)
 
@@ -243,7 +285,8 @@ def duplicates(spark: SparkSession, docs: DataFrame, k: int = MAX_EDITS, least:
     of_doc = first.where("node IS NULL").select("doc_id", "tk", "nodes")
     sig = first.where("node IS NOT NULL").select("node", "size", "rid", "prefix", "bits")
     cluster = clusters(spark, sig, compare_tile(k), lambda x, y: F.abs(x - y) <= k)
-    work = cluster_units(cluster)
+    sizes = sig.join(bounded(cluster), "node").groupBy("node", "root").agg(F.max("size").alias("size"))
+    work = units(sizes, ["root"], F.col("node"), CLUSTER, F.col("size"), BLOCK_CHARS).select("unit", "node")
     at = of_doc.select("doc_id", "tk", F.posexplode("nodes").alias("line", "node")).where("node IS NOT NULL")
     # the text of each line that takes part: from the first document that has it
     one = at.join(work.select("node").distinct(), "node", "left_semi").groupBy("node").agg(

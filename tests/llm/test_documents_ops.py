@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from hashlib import sha256
 
 import numpy as np
@@ -387,6 +388,52 @@ def test_short_lines_are_compared_for_equality(spark):
     assert got == {0: [1], 1: [0, 1], 2: [0, 1], 3: [0, 1], 4: [0, 1], 9: [2, 4]}
 
 
+def test_line_bitmaps_are_made_in_bounded_memory(monkeypatch):
+    rng = random.Random(3)
+    lines = ["x", "xy", *("".join(rng.choices("abcdé漢😀 ", k=n)) for n in (2, 30, 31, 59, 60, 61, 500, 1))]
+    want = linededup.pair_bits(lines)
+    for pieces, chars in ((1, 2), (2, 30), (3, 31), (100, 60)):
+        monkeypatch.setattr(linededup, "LINES", pieces)
+        monkeypatch.setattr(linededup, "CHARS", chars)
+        assert linededup.pair_bits(lines) == want
+    monkeypatch.undo()
+    long = "".join(rng.choices("abcdefgh ", k=20_000))
+    for many in ([long[i:] for i in range(300)], [long], [long * 200], [long[i:i + 30] for i in range(19_000)] * 5):
+        tracemalloc.start()
+        try:
+            linededup.pair_bits(many)
+            assert tracemalloc.get_traced_memory()[1] < 64 << 20
+        finally:
+            tracemalloc.stop()
+
+
+def test_lines_are_described_in_bounded_batches(spark, monkeypatch):
+    """A text of many lines, and many long lines, go on in parts; the parts don't change what is removed."""
+    rng = random.Random(4)
+    lines = [f"{i} of many lines, long enough to be compared, {rng.random()}" for i in range(2 * linededup.LINES + 10)]
+    long = [f"{i} " + "".join(rng.choices("abcdefgh ", k=20_000)) for i in range(60)]
+    near = [x[:9_000] + "x" + x[9_000:] for x in long]
+    df = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(long)), (3, "\n".join(near + lines[5:7]))],
+                               "doc_id long, text string").coalesce(1)
+    bits, most, chars = linededup.pair_bits, linededup.LINES, 500_000
+
+    def bounded_bits(part):
+        if len(part) > most or sum(map(len, part)) > chars + 30_000:
+            raise ValueError(f"{len(part)} lines at once")
+        return bits(part)
+
+    with monkeypatch.context() as m:
+        m.setattr(linededup, "pair_bits", bounded_bits)
+        rows = linededup.line_rows(df, linededup.MAX_EDITS, linededup.MIN_CHARS).collect()
+    assert {r["doc_id"]: len(r["nodes"]) for r in rows if r["node"] is None} == {1: len(lines), 2: 60, 3: 62}
+    assert len({r["node"] for r in rows if r["node"] is not None}) == len(lines) + 120
+    got = [{r["doc_id"]: r["lines"] for r in linededup.duplicates(spark, df).collect()}]
+    for name, n in (("LINES", 7), ("CHARS", 100), ("PLACES", 50), ("BLOCK_CHARS", 1_000)):
+        monkeypatch.setattr(linededup, name, n)
+    got.append({r["doc_id"]: r["lines"] for r in linededup.duplicates(spark, df).collect()})
+    assert got[0] == got[1] == {3: list(range(62))}
+
+
 def test_hot_lines_and_others_agree(spark, monkeypatch):
     rng = random.Random(2)
     lines = [f"A common line with the number {i} in it" * (1 + i % 2) for i in range(40)]
